@@ -88,9 +88,10 @@ def enrich_stand(rows: DataFrame, stands: DataFrame) -> DataFrame:
     return given.join(shapes, "_found", "left").select(*columns.values())
 
 
-def unseen(rows: DataFrame, target: DataFrame, key: str, target_key: str | None = None) -> DataFrame:
+def unseen(rows: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """``rows`` whose key the target does not hold yet, so that a run can be repeated. Rows without a key stay."""
-    seen = target.select(F.col(target_key or key).alias(key)).distinct()
+    keys = rows.select(key).distinct()
+    seen = target.select(key).distinct().join(keys, key, "left_semi")
     return rows.join(seen, key, "left_anti")
 
 

@@ -22,24 +22,24 @@ BRANCHES = [
 PAIR_SPREAD = 16
 
 
-def _entry(list_name: str, name: Column | str, label: Column | str, **others: Column | str) -> Column:
-    """One row of the choice table; columns not given are NULL."""
-    values = {"list_name": F.lit(list_name), "name": name, "label": label, **others}
-    columns = [values.get(column, F.lit(None)) for column in LAYOUT]
-    return F.struct(*[(F.col(c) if isinstance(c, str) else c).cast("string").alias(n) for c, n in zip(columns, LAYOUT)])
+def _entry(list_name: str, name: str, label: str, **others: str) -> str:
+    """One row of the choice table as a SQL struct; columns not given are NULL."""
+    values = {"list_name": f"'{list_name}'", "name": name, "label": label, **others}
+    fields = ", ".join(f"'{column}', cast({values.get(column, 'NULL')} AS string)" for column in LAYOUT)
+    return f"named_struct({fields})"
 
 
-def _entries(rows: DataFrame, entries: dict[str, Column], branches: list[str]) -> DataFrame | None:
+def _entries(rows: DataFrame, entries: dict[str, str], branches: list[str]) -> DataFrame | None:
     """All wanted lists of one source out of a single scan."""
     wanted = [entry for name, entry in entries.items() if name in branches]
-    return rows.select("property_oid", F.inline(F.array(*wanted))) if wanted else None
+    return rows.selectExpr("property_oid", f"inline(array({', '.join(wanted)}))") if wanted else None
 
 
 def _property_entries(tables: Tables, branches: list[str]) -> DataFrame | None:
     categories = active(tables["property_category"]).withColumnRenamed("category", "Category")
-    rows = active(tables["property_type"]).join(categories, ["property_oid", "Category"], "left_semi")
+    rows = active(tables["property_type"]).distinct().join(categories, ["property_oid", "Category"], "left_semi")
     return _entries(rows, {
-        "p_category": _entry("p_category", "Category", "Category_desc", prop_or_stand=F.lit("prop")),
+        "p_category": _entry("p_category", "Category", "Category_desc", prop_or_stand="'prop'"),
         "p_type": _entry("p_type", "type_name", "type_desc", p_category="Category"),
         "p_subtype": _entry("p_subtype", "subtype", "subtype_desc", p_type="type_name"),
     }, branches)
@@ -47,7 +47,7 @@ def _property_entries(tables: Tables, branches: list[str]) -> DataFrame | None:
 
 def _stand_entries(tables: Tables, branches: list[str]) -> DataFrame | None:
     return _entries(active(tables["stand_type"]), {
-        "s_category": _entry("s_category", "Category", "Category_desc", prop_or_stand=F.lit("stand")),
+        "s_category": _entry("s_category", "Category", "Category_desc", prop_or_stand="'stand'"),
         "s_type": _entry("s_type", "type_name", "type_desc", s_category="Category"),
         "s_subtype": _entry("s_subtype", "subtype", "subtype_desc", s_type="type_name"),
     }, branches)
@@ -55,7 +55,7 @@ def _stand_entries(tables: Tables, branches: list[str]) -> DataFrame | None:
 
 def _species_entries(tables: Tables, branches: list[str]) -> DataFrame | None:
     return _entries(active(tables["species"]), {
-        "REG_Species": _entry("REG_Species", "SPECIES_CODE", "SPECIES_DESC", prop_or_stand=F.lit("stand")),
+        "REG_Species": _entry("REG_Species", "SPECIES_CODE", "SPECIES_DESC", prop_or_stand="'stand'"),
         "REG_Variety": _entry("REG_Variety", "Variety_Code", "Variety_DESC", REG_Species="SPECIES_CODE"),
     }, branches)
 
@@ -74,17 +74,17 @@ def _locations(tables: Tables, props: DataFrame, spread: int) -> DataFrame:
     places = active(tables["chem_view"]).select("property_oid", "Inventory_Location").distinct().withColumn("deal", deal)
     pairs = of_properties(places, props).join(subtypes, ["property_oid", "deal"])
     entry = _entry("inv_loc", "Inventory_Location", "Inventory_Location", s_subtype="subtype")
-    return pairs.select("property_oid", F.inline(F.array(entry)))
+    return pairs.selectExpr("property_oid", f"inline(array({entry}))")
 
 
 def _chemicals(tables: Tables) -> DataFrame:
     entry = _entry("chem_masterOID", "code", "description", inv_loc="Inventory_Location")
-    return chemical_codes(tables, "Inventory_Location").select("property_oid", F.inline(F.array(entry)))
+    return chemical_codes(tables, "Inventory_Location").selectExpr("property_oid", f"inline(array({entry}))")
 
 
-def choice_order(property_oid: str = "property_oid") -> list[Column]:
+def choice_order() -> list[Column | str]:
     """Property, then list name regardless of case, then every other column, so equal lists come out in equal order."""
-    return [F.col(property_oid), F.lower("list_name"), *[F.col(column) for column in LAYOUT]]
+    return ["property_oid", F.lower("list_name"), *LAYOUT]
 
 
 def itemsets(

@@ -39,14 +39,20 @@ def planned_and_actual(
     return chemicals.select(F.inline(copies))
 
 
-def activity_keys(chemicals: DataFrame, activities: DataFrame) -> DataFrame:
-    """``Child_GUID, _oid, _gid`` of the activity with each GUID among ``chemicals``; the highest ObjectID wins."""
-    wanted = chemicals.select(F.col("Child_GUID").alias("Parent_GUID")).distinct()
-    return (
-        activities.select("Parent_GUID", "OBJECTID", "GlobalID").join(wanted, "Parent_GUID", "left_semi")
-        .groupBy(F.col("Parent_GUID").alias("Child_GUID"))
-        .agg(F.max("OBJECTID").alias("_oid"), F.max_by("GlobalID", "OBJECTID").alias("_gid"))
+def guids_of(chemicals: DataFrame) -> DataFrame:
+    return chemicals.select("Child_GUID").distinct()
+
+
+def activity_keys(guids: DataFrame, activities: DataFrame) -> DataFrame:
+    """``Child_GUID, _oid, _gid`` of the activity with each of the GUIDs; the highest ObjectID wins.
+
+    While the GUIDs are few, Catalyst filters the activities by them first. Otherwise activities that share a GUID
+    collapse before they are shuffled.
+    """
+    keys = activities.groupBy(F.col("Parent_GUID").alias("Child_GUID")).agg(
+        F.max("OBJECTID").alias("_oid"), F.max_by("GlobalID", "OBJECTID").alias("_gid")
     )
+    return keys.join(guids, "Child_GUID", "left_semi")
 
 
 def set_activity_keys(chemicals: DataFrame, keys: DataFrame) -> DataFrame:
@@ -60,4 +66,4 @@ def set_activity_keys(chemicals: DataFrame, keys: DataFrame) -> DataFrame:
 
 def backfill(chemicals: DataFrame, new: DataFrame, activities: DataFrame) -> DataFrame:
     """``chemicals`` with activity keys wherever a GUID is among the new ones, older rows included."""
-    return set_activity_keys(chemicals, activity_keys(new, activities))
+    return set_activity_keys(chemicals, activity_keys(guids_of(new), activities))

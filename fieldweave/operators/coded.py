@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldweave.functions import scalars as X
-from fieldweave.operators.lists import Tables, union, universal_domains
+from fieldweave.operators.lists import Tables, property_lists, union, universal_domains
 
 
 class FieldList(NamedTuple):
@@ -36,16 +36,21 @@ def bindings_of(dataset: str, per_property: bool | None = None) -> list[FieldLis
     return [b for b in BINDINGS if b.dataset == dataset and per_property in (None, b.per_property)]
 
 
-def code_lists(tables: Tables, domains: DataFrame) -> DataFrame:
-    """``list_name, property_oid, code, description`` of the property lists and the universal ones.
+def code_lists(tables: Tables, props: DataFrame) -> DataFrame:
+    """``list_name, property_oid, code, description`` of the properties' lists and the universal ones."""
+    own = property_lists(tables, props).withColumnRenamed("kind", "list_name")
+    return own.unionByName(universal_domains(tables).withColumn("property_oid", F.lit(None).cast("int")))
 
-    ``domains`` has the layout of ``domain_all``, best read back from where the lists were published: the size of a
-    stored table is known beforehand, so a join of many rows with it needs no shuffle if it is small.
+
+def published_code_lists(domains: DataFrame, universal: DataFrame) -> DataFrame:
+    """The same out of the tables that the lists were published to.
+
+    Prefer this for many rows: the size of a stored list is known beforehand, so while it is small it goes to the rows
+    and the rows stay where they are.
     """
-    kind = F.substring_index("domain_name", "_", -1)
-    own = domains.select(kind.alias("list_name"), "property_oid", "code", "description")
-    shared = universal_domains(tables).withColumn("property_oid", F.lit(None).cast("int"))
-    return own.unionByName(shared)
+    kind = F.substring_index("domain_name", "_", -1).alias("list_name")
+    own = domains.select(kind, "property_oid", "code", "description")
+    return own.unionByName(universal.withColumn("property_oid", F.lit(None).cast("int")))
 
 
 def decode(rows: DataFrame, bindings: list[FieldList], lists: DataFrame, property_field: str = "PropertyOID") -> DataFrame:
@@ -66,37 +71,38 @@ def decode(rows: DataFrame, bindings: list[FieldList], lists: DataFrame, propert
     return rows.select(*columns)
 
 
-def violations(
-    rows: DataFrame, bindings: list[FieldList], lists: DataFrame, property_field: str = "PropertyOID"
-) -> DataFrame:
-    """``dataset, field, list_name, property_oid, code, rows`` of the values that their list lacks. NULL is no violation.
-
-    All fields come out of one scan. Equal values are counted before they meet the lists, so neither a common value nor
-    a large property travels row by row.
-    """
-    def value(b: FieldList):
-        place = F.col(property_field).cast("int") if b.per_property else F.lit(None).cast("int")
-        return F.struct(
-            F.lit(b.dataset).alias("dataset"), F.lit(b.field).alias("field"), F.lit(b.list_name).alias("list_name"),
-            place.alias("property_oid"), F.col(b.field).cast("string").alias("code"),
+def coded_values(rows: DataFrame, bindings: list[FieldList], property_field: str = "PropertyOID") -> DataFrame:
+    """``dataset, field, list_name, property_oid, code, rows`` of the values in bound fields, all out of one scan."""
+    def value(b: FieldList) -> str:
+        place = property_field if b.per_property else "NULL"
+        return (
+            f"named_struct('dataset', '{b.dataset}', 'field', '{b.field}', 'list_name', '{b.list_name}', "
+            f"'property_oid', cast({place} AS int), 'code', cast({b.field} AS string))"
         )
 
-    values = rows.select(F.inline(F.array(*[value(b) for b in bindings]))).filter(F.col("code").isNotNull())
-    counted = values.groupBy("dataset", "field", "list_name", "property_oid", "code").agg(F.count("*").alias("rows"))
-    v, k = counted.alias("v"), lists.select("list_name", "property_oid", "code").distinct().alias("k")
+    values = rows.selectExpr(f"inline(array({', '.join(map(value, bindings))}))").filter("code IS NOT NULL")
+    return values.groupBy("dataset", "field", "list_name", "property_oid", "code").agg(F.count("*").alias("rows"))
+
+
+def violations(values: DataFrame, lists: DataFrame) -> DataFrame:
+    """The values, as ``coded_values`` counts them, that their list lacks. NULL is no violation.
+
+    Equal values are counted before they meet the lists, so neither a common value nor a large property travels row by
+    row.
+    """
+    v, k = values.alias("v"), lists.select("list_name", "property_oid", "code").distinct().alias("k")
     match = (
         (F.col("v.list_name") == F.col("k.list_name")) & (F.col("v.code") == F.col("k.code"))
         & F.col("v.property_oid").eqNullSafe(F.col("k.property_oid"))
     )
-    return v.join(k, match, "left_anti").select(*counted.columns)
+    return v.join(k, match, "left_anti").select(*values.columns)
 
 
-def domain_violations(tables: Tables, lists: DataFrame) -> DataFrame:
-    """Violations of every bound field of the data model."""
-    found = []
-    for dataset in dict.fromkeys(b.dataset for b in BINDINGS):
-        found.append(violations(tables[dataset], bindings_of(dataset), lists))
-    return union(found)
+def domain_violations(tables: Tables, lists: DataFrame, bindings: list[FieldList] = BINDINGS) -> DataFrame:
+    """Violations of all bound fields."""
+    datasets = dict.fromkeys(b.dataset for b in bindings)
+    values = union([coded_values(tables[name], [b for b in bindings if b.dataset == name]) for name in datasets])
+    return violations(values, lists)
 
 
 def subtypes(flags: DataFrame) -> DataFrame:

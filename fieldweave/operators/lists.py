@@ -112,17 +112,22 @@ def domain(tables: Tables, kind: str, props: DataFrame, placeholder: bool = True
     return rows.unionByName(empty.select("property_oid", *_placeholder()))
 
 
-def domain_all(tables: Tables, props: DataFrame, kinds: list[str] = KINDS) -> DataFrame:
-    """``domain_name, property_oid, code, description`` of all lists of the requested properties."""
+def property_lists(tables: Tables, props: DataFrame, kinds: list[str] = KINDS) -> DataFrame:
+    """``kind, property_oid, code, description`` of all lists of the requested properties, placeholders included.
+
+    A filter on ``kind`` leaves only that list's source to read.
+    """
     rows = union([list_rows(tables, kind).withColumn("kind", F.lit(kind)) for kind in kinds])
     filled = union([listed_properties(tables, kind).withColumn("kind", F.lit(kind)) for kind in kinds])
-    wanted = requested(props).withColumn("kind", F.explode(F.array(*[F.lit(kind) for kind in kinds])))
-    empty = wanted.join(filled, ["property_oid", "kind"], "left_anti").withColumns(
-        {"code": F.lit(PLACEHOLDER_CODE), "description": F.lit(PLACEHOLDER_DESCRIPTION)}
-    )
-    return of_properties(rows, props).unionByName(empty).select(
-        X.list_name("property_oid", "kind").alias("domain_name"), "property_oid", *CODE_COLUMNS
-    )
+    wanted = union([requested(props).withColumn("kind", F.lit(kind)) for kind in kinds])
+    empty = wanted.join(filled, ["property_oid", "kind"], "left_anti").select("kind", "property_oid", *_placeholder())
+    return of_properties(rows, props).select("kind", "property_oid", *CODE_COLUMNS).unionByName(empty)
+
+
+def domain_all(tables: Tables, props: DataFrame, kinds: list[str] = KINDS) -> DataFrame:
+    """``domain_name, property_oid, code, description`` of all lists of the requested properties."""
+    name = X.list_name("property_oid", "kind").alias("domain_name")
+    return property_lists(tables, props, kinds).select(name, "property_oid", *CODE_COLUMNS)
 
 
 def hardcoded_lists(tables: Tables, props: DataFrame) -> DataFrame:

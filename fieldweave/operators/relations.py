@@ -45,19 +45,23 @@ def relate(
 ) -> DataFrame:
     """Related rows as ``parent_*`` and ``child_*`` columns.
 
-    ``inner`` and ``left`` go from parents to children, ``backward`` from every child to its parent if it has one.
-    Name the columns wanted: only those are read.
+    ``inner`` and ``left`` go from parents to children, ``left`` with a row for a parent without children as well;
+    ``backward`` goes from every child to its parent if it has one. Name the columns wanted: only those are read.
+
+    The children, of which one parent may have very many, are never the side of an outer join that must stay in one
+    piece: ``left`` adds the childless parents to the inner join.
     """
     parent_keys = [rel.parent_key, *[c for c in parent_columns or tables[rel.parent].columns if c != rel.parent_key]]
     child_keys = [rel.child_key, *[c for c in child_columns or tables[rel.child].columns if c != rel.child_key]]
     parents = _prefixed(tables[rel.parent], "parent", parent_keys)
     children = _prefixed(tables[rel.child], "child", child_keys)
     match = F.col(f"parent_{rel.parent_key}") == F.col(f"child_{rel.child_key}")
-    if how == "backward":
-        joined = children.join(parents, match, "left")
-    else:
-        joined = parents.join(children, match, how)
-    return joined.select(*parents.columns, *children.columns)
+    joined = children.join(parents, match, "left" if how == "backward" else "inner")
+    joined = joined.select(*parents.columns, *children.columns)
+    if how != "left":
+        return joined
+    used = children.select(f"child_{rel.child_key}").distinct()
+    return joined.unionByName(parents.join(used, match, "left_anti"), allowMissingColumns=True)
 
 
 def _key(rel: Relation, column: str) -> Column:

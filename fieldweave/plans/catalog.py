@@ -38,7 +38,7 @@ def _all_lists(t) -> DataFrame:
 
 
 def _code_lists(t) -> DataFrame:
-    return coded.code_lists(t, _all_lists(t))
+    return coded.code_lists(t, lists.all_properties(t))
 
 
 def _changed(t) -> DataFrame:

@@ -21,6 +21,17 @@ def _count(rows: DataFrame, check: str, dataset: str) -> DataFrame:
     return total.select(F.lit(check).alias("check_name"), F.lit(dataset).alias("dataset"), "violations")
 
 
+def _outside_lists(tables: Tables, lists: DataFrame, bindings: list[coded.FieldList]) -> DataFrame:
+    """One check per bound field, with zero for a field without violations."""
+    found = coded.domain_violations(tables, lists, bindings)
+    name = F.concat_ws(".", "dataset", "field")
+    counted = found.groupBy(name.alias("dataset")).agg(F.sum("rows").alias("violations"))
+    fields = lists.sparkSession.createDataFrame([(f"{b.dataset}.{b.field}",) for b in bindings], "dataset string")
+    return fields.join(counted, "dataset", "left").select(
+        F.lit("outside_list").alias("check_name"), "dataset", F.coalesce("violations", F.lit(0)).alias("violations")
+    )
+
+
 def prepare(
     tables: Tables,
     lists: DataFrame,
@@ -29,15 +40,7 @@ def prepare(
 ) -> DataFrame:
     """``check_name, dataset, violations`` of all checks. ``lists`` is as ``coded.code_lists`` returns it."""
     checks = [relations.check_relation(tables, rel) for rel in rels]
-    for dataset in dict.fromkeys(b.dataset for b in bindings):
-        bound = [b for b in bindings if b.dataset == dataset]
-        found = coded.violations(tables[dataset], bound, lists)
-        fields = found.groupBy("field").agg(F.sum("rows").alias("violations"))
-        every = tables[dataset].sparkSession.createDataFrame([(b.field,) for b in bound], "field string")
-        checks.append(every.join(fields, "field", "left").select(
-            F.lit("outside_list").alias("check_name"), F.concat(F.lit(f"{dataset}."), F.col("field")).alias("dataset"),
-            F.coalesce("violations", F.lit(0)).alias("violations"),
-        ))
+    checks.append(_outside_lists(tables, lists, bindings))
     for dataset in BY_PROPERTY:
         checks.append(_count(coded.unknown_subtypes(tables[dataset], tables["property_flags"]), "unknown_property", dataset))
     return union(checks)

@@ -112,11 +112,11 @@ def publish(tables: Tables, folder: str, skip_known: bool = False) -> DataFrame
         return None
     added = stored(new_activities(tables, skip_known), f"{folder}/new_activities")
     activities = tables["activity"].unionByName(added)
-    mobile = chemical_input(tables, skip_known)
-    # The keys are as few as the day's activities. Stored, their size is known, and while it is small the whole
-    # chemical table is updated without moving its rows.
+    # GUIDs and keys are as few as the day's activities. Stored, their size is known, and while it is small neither the
+    # activities nor the chemicals of the office move to meet them.
     new = stored(new_chemicals(tables, skip_known), f"{folder}/new_chemicals")
-    keys = stored(C.activity_keys(mobile, activities), f"{folder}/activity_keys")
+    guids = stored(C.guids_of(new), f"{folder}/guids")
+    keys = stored(C.activity_keys(guids, activities), f"{folder}/activity_keys")
     stored(C.set_activity_keys(tables["chem_app"].unionByName(new), keys), f"{folder}/chemicals")
     routes = A.route(tables["activity_mobile"])
     stored(routes.reject, f"{folder}/rejects")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldweave.sources.bindings import BINDINGS
+from fieldweave.sources.bindings import BINDINGS, RAW_SCHEMAS
 
 # The datasets every sync run requires, and those that carry an ObjectID but no GlobalID.
 REQUIRED = ["activity_mobile", "chem_mobile", "activity", "chem_app", "stand", "property"]
@@ -20,7 +20,7 @@ NOT_STAGED = {"activity": ["office_only"], "chem_app": ["Cost"]}
 
 COLLATION = "UTF8_LCASE_RTRIM"
 
-RAW_NAME = re.compile(r"\b(region|nation|customer|supplier|part|orders|lineitem|pages)\b")
+RAW_NAME = re.compile(rf"\b({'|'.join(RAW_SCHEMAS)})\b")
 
 # The same rows as nation x distinct priorities, without a cross join: the few distinct priorities travel as one array.
 PROPERTY_CATEGORY = (
@@ -39,7 +39,7 @@ class BoundTables(Mapping):
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            self._raw[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+            self._raw[name] = self._spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self._folder}/{name}.parquet")
         return self._raw[name]
 
     def __getitem__(self, name: str) -> DataFrame:
