@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldweave.functions import scalars as X
 from fieldweave.operators.lists import Tables, active, approved, chemical_codes, of_properties, union
+from fieldweave.sources.tables import collated
 
 # Columns of the choice table and its ten lists.
 LAYOUT = [
@@ -29,35 +30,44 @@ def _entry(list_name: str, name: str, label: str, **others: str) -> str:
     return f"named_struct({fields})"
 
 
-def _entries(rows: DataFrame, entries: dict[str, str], branches: list[str]) -> DataFrame | None:
-    """All wanted lists of one source out of a single scan."""
-    wanted = [entry for name, entry in entries.items() if name in branches]
-    return rows.selectExpr("property_oid", f"inline(array({', '.join(wanted)}))") if wanted else None
+def _property_rows(tables: Tables) -> DataFrame:
+    categories = active(tables["property_category"]).withColumnRenamed("category", "Category")
+    return active(tables["property_type"]).distinct().join(categories, ["property_oid", "Category"], "left_semi")
 
 
-def _property_entries(tables: Tables, branches: list[str]) -> DataFrame | None:
-    categories = active(tables["property_category"]).withColumnRenamed("category", "Category")
-    rows = active(tables["property_type"]).distinct().join(categories, ["property_oid", "Category"], "left_semi")
-    return _entries(rows, {
+def _stand_rows(tables: Tables) -> DataFrame:
+    return active(tables["stand_type"])
+
+
+def _species_rows(tables: Tables) -> DataFrame:
+    return active(tables["species"])
+
+
+# The lists that come straight from one source each; all lists of a source come out of a single scan.
+SOURCES = [
+    (_property_rows, {
         "p_category": _entry("p_category", "Category", "Category_desc", prop_or_stand="'prop'"),
         "p_type": _entry("p_type", "type_name", "type_desc", p_category="Category"),
         "p_subtype": _entry("p_subtype", "subtype", "subtype_desc", p_type="type_name"),
-    }, branches)
-
-
-def _stand_entries(tables: Tables, branches: list[str]) -> DataFrame | None:
-    return _entries(active(tables["stand_type"]), {
+    }),
+    (_stand_rows, {
         "s_category": _entry("s_category", "Category", "Category_desc", prop_or_stand="'stand'"),
         "s_type": _entry("s_type", "type_name", "type_desc", s_category="Category"),
         "s_subtype": _entry("s_subtype", "subtype", "subtype_desc", s_type="type_name"),
-    }, branches)
-
-
-def _species_entries(tables: Tables, branches: list[str]) -> DataFrame | None:
-    return _entries(active(tables["species"]), {
+    }),
+    (_species_rows, {
         "REG_Species": _entry("REG_Species", "SPECIES_CODE", "SPECIES_DESC", prop_or_stand="'stand'"),
         "REG_Variety": _entry("REG_Variety", "Variety_Code", "Variety_DESC", REG_Species="SPECIES_CODE"),
-    }, branches)
+    }),
+]
+
+
+def _plain_lists(tables: Tables, branches: list[str]) -> list[DataFrame]:
+    found = []
+    for rows, entries in SOURCES:
+        if wanted := [entry for name, entry in entries.items() if name in branches]:
+            found.append(rows(tables).selectExpr("property_oid", f"inline(array({', '.join(wanted)}))"))
+    return found
 
 
 def _locations(tables: Tables, props: DataFrame, spread: int) -> DataFrame:
@@ -93,16 +103,23 @@ def itemsets(
     branches: list[str] = BRANCHES,
     ordered: bool = True,
     spread: int = PAIR_SPREAD,
+    collation: str | None = None,
 ) -> DataFrame:
     """Choice table of the requested properties: ``property_oid`` and the eleven columns of ``LAYOUT``.
 
     Lists never share a row, as each has its own name, so one DISTINCT serves the lists that need it. Chemicals and
-    location pairs are distinct by construction and are not shuffled again for it.
+    location pairs are distinct by construction and are not shuffled again for it. Under a ``collation`` rows that are
+    equal for it count as one; give the tables the same one.
     """
-    sources = [build(tables, branches) for build in (_property_entries, _stand_entries, _species_entries)]
     frames = []
-    if found := [source for source in sources if source is not None]:
-        frames.append(of_properties(union(found).distinct(), props))
+    if plain := _plain_lists(tables, branches):
+        rows = union(plain)
+        if collation:
+            texts = [F.col(name).cast("string").alias(name) for name in LAYOUT]
+            rows = collated(rows, collation).distinct().select("property_oid", *texts)
+        else:
+            rows = rows.distinct()
+        frames.append(of_properties(rows, props))
     if "chem_masterOID" in branches:
         frames.append(of_properties(_chemicals(tables), props))
     if "inv_loc" in branches:

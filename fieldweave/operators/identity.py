@@ -25,16 +25,16 @@ def add_guid_column(rows: DataFrame, name: str) -> DataFrame:
     return rows.withColumn(name, F.lit(None).cast("string"))
 
 
-def number_rows(rows: DataFrame, group: str, key: str, name: str) -> DataFrame:
+def number_rows(rows: DataFrame, group: str, key: str, name: str, bits: int = BLOCK_BITS) -> DataFrame:
     """``rows`` numbered 1, 2, 3 … by ``group``, then by the unique whole number ``key``, without one global sort.
 
     Rows are numbered inside blocks of neighbouring keys. The start of a block is the number of rows in the blocks
     before it, found from the block sizes in two steps, so each window spans a bounded number of rows. Nothing depends
     on how rows are split into tasks: a repeated task gives the same numbers.
     """
-    blocked = rows.withColumn("_block", F.shiftright(F.col(key).cast("long"), BLOCK_BITS))
+    blocked = rows.withColumn("_block", F.shiftright(F.col(key).cast("long"), bits))
     sizes = blocked.groupBy(F.col(group), F.col("_block")).agg(F.count("*").alias("_rows"))
-    sizes = sizes.withColumn("_area", F.shiftright("_block", BLOCK_BITS))
+    sizes = sizes.withColumn("_area", F.shiftright("_block", bits))
     areas = sizes.groupBy(group, "_area").agg(F.sum("_rows").alias("_rows"))
 
     def before(order: WindowSpec) -> Column:

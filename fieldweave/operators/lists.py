@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldweave.functions import scalars as X
 
@@ -75,7 +76,9 @@ def chemical_codes(tables: Tables, *extra: str) -> DataFrame:
 
 
 def _codes(table: DataFrame, code: str, description: str) -> DataFrame:
-    return active(table).select("property_oid", X.text_code(code).alias("code"), F.col(description).alias("description"))
+    is_text = isinstance(table.select(code).schema[0].dataType, T.StringType)
+    value = F.col(code) if is_text else X.text_code(code)  # a cast would lose the collation of a text
+    return active(table).select("property_oid", value.alias("code"), F.col(description).alias("description"))
 
 
 def list_rows(tables: Tables, kind: str) -> DataFrame:
