@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from fieldweave.functions import scalars as X
 from fieldweave.operators.identity import next_object_ids
+from fieldweave.operators.joins import split_join
 from fieldweave.operators.mapping import align, aligned_columns, map_fields
 
 # The two routes, and the categories whose activities cover the whole property.
@@ -77,7 +78,7 @@ def enrich_stand(rows: DataFrame, stands: DataFrame) -> DataFrame:
         .groupBy("Parent_GUID")
         .agg(F.max_by(STAND_KEY, READ_ORDER).alias("_found"), F.max(READ_ORDER).alias("_upto"))
     )
-    given = rows.join(last, "Parent_GUID", "left").withColumn(
+    given = split_join(rows, last, ["Parent_GUID"], "left").withColumn(
         "_found", F.when(F.col(READ_ORDER) <= F.col("_upto"), F.col("_found"))
     )
     shapes = stands.select(F.col("ObjectID").alias("_found"), F.col("SHAPE").alias("_shape"))
@@ -92,7 +93,7 @@ def unseen(rows: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """``rows`` whose key the target does not hold yet, so that a run can be repeated. Rows without a key stay."""
     keys = rows.select(key).distinct()
     seen = target.select(key).distinct().join(keys, key, "left_semi")
-    return rows.join(seen, key, "left_anti")
+    return split_join(rows, seen, [key], "left_anti")
 
 
 def append_new(target: DataFrame, property_rows: DataFrame, stand_rows: DataFrame, dataset: str) -> DataFrame:
@@ -108,7 +109,8 @@ def overlay_worklist(activities: DataFrame, stand_items: DataFrame) -> DataFrame
     Items are counted per GUID before the join, so many items with one GUID never meet as pairs.
     """
     items = stand_items.groupBy("Parent_GUID").agg(F.count("*").alias("times"))
-    return activities.select("OBJECTID", "Parent_GUID").join(items, "Parent_GUID").select("OBJECTID", "times")
+    found = split_join(activities.select("OBJECTID", "Parent_GUID"), items, ["Parent_GUID"], "inner")
+    return found.select("OBJECTID", "times")
 
 
 def route_counts(mobile: DataFrame, chemicals: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldweave.functions import scalars as X
+from fieldweave.operators.joins import split_join
 from fieldweave.operators.lists import Tables, active, approved, chemical_codes, of_properties, union
 from fieldweave.sources.tables import collated
 
@@ -79,7 +80,7 @@ def _locations(tables: Tables, props: DataFrame, spread: int) -> DataFrame:
     deal = F.pmod(F.xxhash64("Inventory_Location"), F.lit(spread)).cast("int")
     subtypes = active(tables["act_type"]).filter(F.col("IS_CHEMICAL_IND") == 1).select("property_oid", "subtype").distinct()
     chemicals = approved(tables).select(F.col("PropertyOID").cast("int").alias("property_oid"))
-    subtypes = of_properties(subtypes.join(chemicals.distinct(), "property_oid", "left_semi"), props)
+    subtypes = of_properties(split_join(subtypes, chemicals.distinct(), ["property_oid"], "left_semi"), props)
     subtypes = subtypes.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     places = active(tables["chem_view"]).select("property_oid", "Inventory_Location").distinct().withColumn("deal", deal)
     pairs = of_properties(places, props).join(subtypes, ["property_oid", "deal"])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldweave.operators.joins import split_join
 from fieldweave.operators.mapping import align, aligned_columns, map_fields
 
 # Fixed value: context of a record of work done.
@@ -61,7 +62,7 @@ def set_activity_keys(chemicals: DataFrame, keys: DataFrame) -> DataFrame:
     columns = {name: F.col(name) for name in chemicals.columns}
     for name, value in {"ActivityOID": "_oid", "TFM_OP_ACTIVITY_GlobalID": "_gid"}.items():
         columns[name] = F.when(hit, F.col(value)).otherwise(F.col(name)).alias(name)
-    return chemicals.join(keys, "Child_GUID", "left").select(*columns.values())
+    return split_join(chemicals, keys, ["Child_GUID"], "left").select(*columns.values())
 
 
 def backfill(chemicals: DataFrame, new: DataFrame, activities: DataFrame) -> DataFrame:

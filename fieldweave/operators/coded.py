@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldweave.functions import scalars as X
+from fieldweave.operators.joins import split_join
 from fieldweave.operators.lists import Tables, property_lists, union, universal_domains
 
 
@@ -60,14 +61,16 @@ def decode(rows: DataFrame, bindings: list[FieldList], lists: DataFrame, propert
     """
     columns = list(rows.columns)
     for number, binding in enumerate(bindings):
-        keys = ["property_oid", "code"] if binding.per_property else ["code"]
-        found = lists.filter(F.col("list_name") == binding.list_name).groupBy(*keys).agg(F.min("description").alias("text"))
-        found = found.select(*[F.col(name).alias(f"_{name}_{number}") for name in found.columns])
-        match = F.col(binding.field).cast("string") == F.col(f"_code_{number}")
+        text, code, place = f"_text_{number}", f"_code_{number}", f"_place_{number}"
+        found = lists.filter(F.col("list_name") == binding.list_name)
+        found = found.select(F.col("property_oid").alias(place), F.col("code").alias(code), F.col("description").alias(text))
+        keys = [place, code] if binding.per_property else [code]
+        found = found.groupBy(*keys).agg(F.min(text).alias(text))
+        rows = rows.withColumn(code, F.col(binding.field).cast("string"))
         if binding.per_property:
-            match &= F.col(property_field) == F.col(f"_property_oid_{number}")
-        rows = rows.join(found, match, "left")
-        columns.append(F.col(f"_text_{number}").alias(f"{binding.field}_description"))
+            rows = rows.withColumn(place, F.col(property_field).cast("int"))
+        rows = split_join(rows, found, keys, "left")
+        columns.append(F.col(text).alias(f"{binding.field}_description"))
     return rows.select(*columns)
 
 

@@ -27,9 +27,14 @@ Tables = Mapping[str, DataFrame]
 CODE_COLUMNS = ["code", "description"]
 
 
+def property_keys(props: DataFrame) -> DataFrame:
+    """The first column of ``props``, as ``property_oid``."""
+    return props.select(F.col(props.columns[0]).cast("int").alias("property_oid"))
+
+
 def requested(props: DataFrame) -> DataFrame:
-    """The distinct property keys in the first column of ``props``, as ``property_oid``."""
-    return props.select(F.col(props.columns[0]).cast("int").alias("property_oid")).distinct()
+    """The distinct property keys in the first column of ``props``."""
+    return property_keys(props).distinct()
 
 
 def all_properties(tables: Tables) -> DataFrame:
@@ -48,7 +53,7 @@ def active(table: DataFrame) -> DataFrame:
 
 
 def of_properties(rows: DataFrame, props: DataFrame) -> DataFrame:
-    return rows.join(requested(props), "property_oid", "left_semi")
+    return rows.join(property_keys(props), "property_oid", "left_semi")
 
 
 def active_rows(table: DataFrame, props: DataFrame) -> DataFrame:

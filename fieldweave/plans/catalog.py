@@ -11,6 +11,7 @@ from fieldweave.functions import scalars as X
 from fieldweave.operators import activities as A
 from fieldweave.operators import cascade, chemicals, coded, control, identity, lists, mapping
 from fieldweave.operators import relations as R
+from fieldweave.operators.joins import split_join
 from fieldweave.plans import prepare, refresh, sync
 from fieldweave.sources import sinks, tables as S
 
@@ -191,7 +192,7 @@ def _subtype_names(t) -> DataFrame:
 def _sync_chemicals(t) -> DataFrame:
     """Chemicals that the run adds or updates."""
     after = sync.sync(t).chemicals
-    return after.join(t["chem_mobile"].select("Child_GUID").distinct(), "Child_GUID", "left_semi")
+    return split_join(after, chemicals.guids_of(t["chem_mobile"]), ["Child_GUID"], "left_semi")
 
 
 QUERIES: dict[str, Query] = {

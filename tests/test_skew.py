@@ -1,0 +1,139 @@
+"""A third of all rows under one key: Spark must be able to split them, and the rows must stay whole."""
+
+import contextlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from fieldweave.operators import activities as A
+from fieldweave.operators import cascade, chemicals, coded, lists
+from fieldweave.operators import relations as R
+
+# Small sizes stand for large ones: shuffled joins only, and partitions of some kilobytes count as too large.
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+}
+
+ROWS = 30_000
+
+
+@contextlib.contextmanager
+def small_partitions(spark):
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in SETTINGS:
+            spark.conf.unset(name)
+
+
+def hot(spark, hot_key, other):
+    """Rows 0 … ROWS-1 with a key column: every third row has the hot key."""
+    key = F.when(F.col("id") % 3 == 0, hot_key).otherwise(other)
+    return spark.range(0, ROWS, 1, 16).withColumn("key", key)
+
+
+def guid_rows(spark):
+    return hot(spark, F.lit("hot"), F.concat(F.lit("g"), F.col("id").cast("string")))
+
+
+def stand(spark):
+    rows = guid_rows(spark).select(
+        F.col("key").alias("PARENT_GUID"), F.lit(None).cast("long").alias("Parent_OID"), F.lit(None).cast("string").alias("SHAPE"),
+        F.col("id").alias("_read_order"), (F.col("id") % 50).alias("_stand_oid"),
+    )
+    table = spark.range(40).select(F.col("id").alias("ObjectID"), F.lit("s").alias("SHAPE"))
+    return A.enrich_stand(rows, table)
+
+
+def keys_of_chemicals(spark):
+    rows = guid_rows(spark).select(
+        F.col("key").alias("Child_GUID"), F.col("id").alias("ActivityOID"), F.lit("x").alias("TFM_OP_ACTIVITY_GlobalID")
+    )
+    activity = rows.select(
+        F.col("Child_GUID").alias("Parent_GUID"), F.col("ActivityOID").alias("OBJECTID"), F.lit("g").alias("GlobalID")
+    )
+    return chemicals.backfill(rows, rows, activity)
+
+
+def unseen(spark):
+    rows = guid_rows(spark)
+    return A.unseen(rows, rows.filter("id % 2 = 1 and key <> 'hot'"), "key")
+
+
+def decoded(spark):
+    rows = hot(spark, F.lit("A"), F.concat(F.lit("c"), (F.col("id") % 500).cast("string")))
+    rows = rows.select("id", F.lit(0).alias("PropertyOID"), F.col("key").alias("REG_Species"))
+    codes = rows.select(
+        F.lit("species").alias("list_name"), F.col("PropertyOID").alias("property_oid"), F.col("REG_Species").alias("code"),
+        F.lit("d").alias("description"),
+    )
+    return coded.decode(rows, [b for b in coded.BINDINGS if b.field == "REG_Species"], codes)
+
+
+def rekeyed(spark):
+    children = hot(spark, F.lit(-1).cast("long"), F.col("id")).select(F.col("key").alias("HUOID"), F.col("id").alias("Quantity"))
+    parents = spark.range(-1, ROWS).select(F.col("id").alias("ObjectID"), F.lit("g").alias("GlobalID"))
+    return R.rekey({"hv_unit": parents, "hv_optprod": children}, R.relation("HVunit_OPTproduct"))
+
+
+def related(spark):
+    children = hot(spark, F.lit(0).cast("long"), F.col("id")).select(F.col("key").alias("HUOID"), F.col("id").alias("Quantity"))
+    parents = spark.range(0, ROWS).select(F.col("id").alias("ObjectID"), F.lit("g").alias("GlobalID"))
+    return R.relate({"hv_unit": parents, "hv_optprod": children}, R.relation("HVunit_OPTproduct"))
+
+
+def defaults(spark):
+    listed = hot(spark, F.lit(0).cast("long"), F.col("id")).select(F.col("key").alias("CODE"), F.lit(1).alias("activeflag"))
+    masters = spark.range(ROWS).select(
+        F.col("id").alias("ObjectID"), F.lit(0).alias("PropertyOID"), F.lit("Y").alias("GTFF_Approved_IND"),
+        F.lit(1.0).alias("Default_Cost_per_unit"), F.lit(1).alias("DefaultRate"),
+    )
+    props = spark.createDataFrame([(0,)], "oid int")
+    return cascade.chem_defaults({"chem_view": listed, "chem_master": masters}, props)
+
+
+def compartments(spark):
+    rows = hot(spark, F.lit(0), (F.col("id") % 1000).cast("int")).select(
+        F.col("id").alias("CompartmentOID"), F.col("id").cast("string").alias("description"),
+        F.col("key").cast("int").alias("PropertyOID"), F.lit(1).alias("activeflag"),
+    )
+    return lists.domain({"compartment": rows}, "compartment", spark.range(1000), placeholder=False)
+
+
+@pytest.mark.parametrize("build", [
+    stand, keys_of_chemicals, unseen, decoded, rekeyed, related, defaults, compartments,
+], ids=lambda build: build.__name__)
+def test_hot_key_is_split(spark, build):
+    with small_partitions(spark):
+        df = build(spark)
+        found = df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    missing = ROWS // 3 if build is unseen else 0
+    assert len(found) == ROWS - missing
+
+
+def test_pairs_of_a_hot_property_are_dealt_to_tasks(spark):
+    places = spark.range(600).select(
+        F.lit(0).alias("PropertyOID"), F.concat(F.lit("place "), F.col("id")).alias("Inventory_Location"), F.lit(1).alias("activeflag")
+    )
+    types = spark.range(50).select(
+        F.lit(0).alias("PROPERTYOID"), F.concat(F.lit("type "), F.col("id")).alias("subtype"), F.lit(1).alias("ACTIVEFLAG"),
+        F.lit(1).alias("IS_CHEMICAL_IND"),
+    )
+    masters = spark.range(1).select(F.lit(0).alias("PropertyOID"), F.lit("Y").alias("GTFF_Approved_IND"))
+    tables = {"chem_view": places, "act_type": types, "chem_master": masters}
+    props = spark.createDataFrame([(0,)], "oid int")
+    with small_partitions(spark):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        pairs = cascade.itemsets(tables, props, ["inv_loc"], ordered=False)
+        per_task = pairs.groupBy(F.spark_partition_id()).count().collect()
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [row["count"] for row in per_task]
+    assert sum(sizes) == 600 * 50 and len(sizes) > 1
