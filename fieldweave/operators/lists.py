@@ -102,21 +102,18 @@ def list_rows(tables: Tables, kind: str) -> DataFrame:
     raise ValueError(f"unknown list kind: {kind}")
 
 
-def listed_properties(tables: Tables, kind: str) -> DataFrame:
-    """Distinct properties whose list of this kind has a row. Reads no descriptions."""
-    return list_rows(tables, kind).select("property_oid").distinct()
-
-
 def _placeholder() -> list[Column]:
     return [F.lit(PLACEHOLDER_CODE).alias("code"), F.lit(PLACEHOLDER_DESCRIPTION).alias("description")]
 
 
 def domain(tables: Tables, kind: str, props: DataFrame, placeholder: bool = True) -> DataFrame:
     """One kind of list for the requested properties; an empty list becomes the placeholder row."""
-    rows = of_properties(list_rows(tables, kind), props)
+    every = list_rows(tables, kind)
+    rows = of_properties(every, props)
     if not placeholder:
         return rows
-    empty = requested(props).join(listed_properties(tables, kind), "property_oid", "left_anti")
+    filled = every.select("property_oid").distinct()
+    empty = requested(props).join(filled, "property_oid", "left_anti")
     return rows.unionByName(empty.select("property_oid", *_placeholder()))
 
 
@@ -125,9 +122,9 @@ def property_lists(tables: Tables, props: DataFrame, kinds: list[str] = KINDS) -
 
     A filter on ``kind`` leaves only that list's source to read.
     """
-    rows = union([list_rows(tables, kind).withColumn("kind", F.lit(kind)) for kind in kinds])
-    filled = union([listed_properties(tables, kind).withColumn("kind", F.lit(kind)) for kind in kinds])
-    wanted = union([requested(props).withColumn("kind", F.lit(kind)) for kind in kinds])
+    rows = union([list_rows(tables, kind).select(F.lit(kind).alias("kind"), "*") for kind in kinds])
+    filled = rows.select("kind", "property_oid").distinct()
+    wanted = requested(props).withColumn("kind", F.explode(F.array(*[F.lit(kind) for kind in kinds])))
     empty = wanted.join(filled, ["property_oid", "kind"], "left_anti").select("kind", "property_oid", *_placeholder())
     return of_properties(rows, props).select("kind", "property_oid", *CODE_COLUMNS).unionByName(empty)
 

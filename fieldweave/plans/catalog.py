@@ -26,6 +26,10 @@ def _session(t: S.BoundTables) -> SparkSession:
     return t["property"].sparkSession
 
 
+def _work_folder(t) -> str:
+    return sinks.work_folder(_session(t))
+
+
 def _domain(kind: str) -> Query:
     return lambda t: lists.domain(t, kind, lists.all_properties(t))
 
@@ -74,21 +78,21 @@ def _typed_codes(t) -> DataFrame:
 
 
 def _read_code_lists(t) -> DataFrame:
-    folder = sinks.work_folder(_session(t))
+    folder = _work_folder(t)
     rows = sinks.stored(lists.universal_domains(t), f"{folder}/lists")
     sinks.write_code_lists(rows, f"{folder}/csv", lists.UNIVERSAL)
     return sinks.read_code_lists(_session(t), f"{folder}/csv")
 
 
 def _csv_roundtrip(t) -> DataFrame:
-    folder = sinks.work_folder(_session(t))
+    folder = _work_folder(t)
     sinks.write_csv(cascade.itemsets(t, lists.all_properties(t)), folder, ordered=True)
     schema = ", ".join(f"{name} string" for name in cascade.LAYOUT) + ", property_oid int"
     return sinks.read_csv(_session(t), folder, schema)
 
 
 def _domain_replace(t) -> DataFrame:
-    folder = sinks.work_folder(_session(t))
+    folder = _work_folder(t)
     sinks.replace_domains(_all_lists(t).withColumn("description", F.lit("old")), folder)
     sinks.replace_domains(lists.domain_all(t, _changed(t)), folder)
     schema = "property_oid int, code string, description string, domain_name string"
@@ -96,14 +100,14 @@ def _domain_replace(t) -> DataFrame:
 
 
 def _truncate(t) -> DataFrame:
-    folder = sinks.work_folder(_session(t))
+    folder = _work_folder(t)
     sinks.copy_dataset(t["activity"], folder)
     sinks.truncate(_session(t), folder)
     return _session(t).read.parquet(folder)
 
 
 def _copy(t) -> DataFrame:
-    folder = sinks.work_folder(_session(t))
+    folder = _work_folder(t)
     sinks.copy_dataset(t["activity_mobile"], folder)
     return _session(t).read.parquet(folder)
 
@@ -191,7 +195,7 @@ def _subtype_names(t) -> DataFrame:
 
 def _sync_chemicals(t) -> DataFrame:
     """Chemicals that the run adds or updates."""
-    after = sync.sync(t).chemicals
+    after = sync.sync(t, folder=_work_folder(t)).chemicals
     return split_join(after, chemicals.guids_of(t["chem_mobile"]), ["Child_GUID"], "left_semi")
 
 
@@ -255,11 +259,11 @@ QUERIES: dict[str, Query] = {
     "sync_counts": lambda t: A.route_counts(t["activity_mobile"], t["chem_mobile"]),
     "chem_actual": _actual,
     "chem_planned_actual": sync.new_chemicals,
-    "chem_backfill": lambda t: sync.sync(t).chemicals,
+    "chem_backfill": lambda t: sync.sync(t, folder=_work_folder(t)).chemicals,
     "sync_property_activities": lambda t: _staged(t, sync.staged_property(t, _activity_staging(t))),
     "sync_stand_activities": _stand,
     "sync_chemicals": _sync_chemicals,
-    "sync_all": sync.sync_rows,
+    "sync_all": lambda t: sync.sync_rows(t, _work_folder(t)),
     # relations and coded values
     "rel_property_activity": _related("Property_PropAct", ["Name"], ["OBJECTID", "Status", "Cost"]),
     "rel_activity_chemical": _related("Activity_Chemical_Existing", ["GlobalID"], ["MasterChemOID", "Rate", "Cost"]),

@@ -50,12 +50,6 @@ def new_chemicals(tables: Tables, skip_known: bool = False) -> DataFrame:
     return C.planned_and_actual(chemical_input(tables, skip_known), target.schema, staging_schema(target, "chem_app"))
 
 
-def sync_chemicals(tables: Tables, activities: DataFrame, skip_known: bool = False) -> DataFrame:
-    """The whole chemical table after the run. ``activities`` is the activity table with its new rows."""
-    new = chemical_input(tables, skip_known)
-    return C.backfill(tables["chem_app"].unionByName(new_chemicals(tables, skip_known)), new, activities)
-
-
 @dataclass
 class SyncResult:
     new_activities: DataFrame
@@ -66,25 +60,35 @@ class SyncResult:
     counts: DataFrame
 
 
-def sync(tables: Tables, skip_known: bool = False) -> SyncResult:
-    """All results of a run as lazy frames."""
+def sync(tables: Tables, skip_known: bool = False, folder: str | None = None) -> SyncResult:
+    """All results of a run.
+
+    With a ``folder`` the new rows and their keys are computed once, written there and read back. They are as few as the
+    day's work; stored, their size is known, and while it is small neither the activities nor the chemicals of the
+    office move to meet them. Without a folder every frame is lazy and computes what it needs anew.
+    """
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return stored(df, f"{folder}/{name}") if folder else df
+
     mobile = tables["activity_mobile"]
     routes = A.route(mobile)
-    new = new_activities(tables, skip_known)
+    new = keep(new_activities(tables, skip_known), "new_activities")
     activities = tables["activity"].unionByName(new)
+    records = keep(new_chemicals(tables, skip_known), "new_chemicals")
+    keys = keep(C.activity_keys(C.guids_of(records), activities), "activity_keys")
     return SyncResult(
         new_activities=new,
         activities=activities,
-        chemicals=sync_chemicals(tables, activities, skip_known),
+        chemicals=C.set_activity_keys(tables["chem_app"].unionByName(records), keys),
         rejects=routes.reject,
         overlay=A.overlay_worklist(activities, routes.stand),
         counts=A.route_counts(mobile, tables["chem_mobile"]),
     )
 
 
-def sync_rows(tables: Tables) -> DataFrame:
+def sync_rows(tables: Tables, folder: str | None = None) -> DataFrame:
     """Activities, chemicals, rejects, overlay work list and counts of a run in one frame, told apart by ``output``."""
-    result = sync(tables)
+    result = sync(tables, folder=folder)
     parts = {
         "activity": result.activities,
         "chemical": result.chemicals,
@@ -110,15 +114,8 @@ def publish(tables: Tables, folder: str, skip_known: bool = False) -> DataFrame
     dataset_counts(tables)
     if tables["activity_mobile"].isEmpty():
         return None
-    added = stored(new_activities(tables, skip_known), f"{folder}/new_activities")
-    activities = tables["activity"].unionByName(added)
-    # GUIDs and keys are as few as the day's activities. Stored, their size is known, and while it is small neither the
-    # activities nor the chemicals of the office move to meet them.
-    new = stored(new_chemicals(tables, skip_known), f"{folder}/new_chemicals")
-    guids = stored(C.guids_of(new), f"{folder}/guids")
-    keys = stored(C.activity_keys(guids, activities), f"{folder}/activity_keys")
-    stored(C.set_activity_keys(tables["chem_app"].unionByName(new), keys), f"{folder}/chemicals")
-    routes = A.route(tables["activity_mobile"])
-    stored(routes.reject, f"{folder}/rejects")
-    stored(A.overlay_worklist(activities, routes.stand), f"{folder}/overlay")
-    return stored(A.route_counts(tables["activity_mobile"], tables["chem_mobile"]), f"{folder}/counts")
+    result = sync(tables, skip_known, folder)
+    stored(result.chemicals, f"{folder}/chemicals")
+    stored(result.rejects, f"{folder}/rejects")
+    stored(result.overlay, f"{folder}/overlay")
+    return stored(result.counts, f"{folder}/counts")
