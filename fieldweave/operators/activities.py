@@ -70,8 +70,11 @@ def enrich_stand(rows: DataFrame, stands: DataFrame) -> DataFrame:
 
     Rows are read by ascending ``OBJECTID``, and each found stand is written to the rows with its GUID read so far. So
     of the rows that share a GUID, those up to the last one with a known stand get that stand, later ones none.
-    Which stands count is settled on keys alone; geometry joins once, at the end.
+    Only the stands that some row names are looked at: while these are few, the stands are scanned but not moved. Which
+    of them count is settled on keys alone; geometry joins once, at the end.
     """
+    named = rows.select(F.col(STAND_KEY).alias("ObjectID")).distinct()
+    stands = stands.select("ObjectID", "SHAPE").join(named, "ObjectID", "left_semi")
     known = stands.select(F.col("ObjectID").alias(STAND_KEY))
     last = (
         rows.select("Parent_GUID", STAND_KEY, READ_ORDER).join(known, STAND_KEY, "left_semi")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from fieldweave.operators import activities as A
 from fieldweave.operators import chemicals as C
+from fieldweave.operators.joins import broadcast_if_few
 from fieldweave.operators.lists import Tables
 from fieldweave.sources.sinks import stored
 from fieldweave.sources.tables import dataset_counts, staging_schema
@@ -64,18 +65,22 @@ def sync(tables: Tables, skip_known: bool = False, folder: str | None = None) ->
     """All results of a run.
 
     With a ``folder`` the new rows and their keys are computed once, written there and read back. They are as few as the
-    day's work; stored, their size is known, and while it is small neither the activities nor the chemicals of the
+    day's work. Stored, they can be counted, and while they are few neither the activities nor the chemicals of the
     office move to meet them. Without a folder every frame is lazy and computes what it needs anew.
     """
     def keep(df: DataFrame, name: str) -> DataFrame:
         return stored(df, f"{folder}/{name}") if folder else df
 
+    def keep_keys(df: DataFrame, name: str) -> DataFrame:
+        return broadcast_if_few(keep(df, name)) if folder else df
+
     mobile = tables["activity_mobile"]
     routes = A.route(mobile)
     new = keep(new_activities(tables, skip_known), "new_activities")
     activities = tables["activity"].unionByName(new)
     records = keep(new_chemicals(tables, skip_known), "new_chemicals")
-    keys = keep(C.activity_keys(C.guids_of(records), activities), "activity_keys")
+    guids = keep_keys(C.guids_of(records), "guids")
+    keys = keep_keys(C.activity_keys(guids, activities), "activity_keys")
     return SyncResult(
         new_activities=new,
         activities=activities,

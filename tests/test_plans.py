@@ -39,3 +39,39 @@ def test_matching_forms_needs_no_shuffle_of_titles(spark, folder):
     text = plan(entry.queries()["form_match"](spark, folder))
     before_scan = text[: text.index("page_id")]
     assert "Exchange hashpartitioning(text" not in before_scan
+
+
+def test_office_tables_stay_in_place_while_keys_are_few(spark, tables, tmp_path):
+    """With the day's keys stored, the whole chemical table is updated without a shuffle of its own."""
+    from fieldweave.operators.joins import broadcast_if_few
+    from fieldweave.plans import sync
+
+    for name in ("activity", "chem_app"):
+        tables[name].write.parquet(str(tmp_path / name))
+    stored = {**tables, **{name: spark.read.parquet(str(tmp_path / name)) for name in ("activity", "chem_app")}}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = sync.sync(stored, folder=str(tmp_path / "run"))
+        assert "Exchange hashpartitioning" not in plan(result.chemicals)
+        keys = spark.read.parquet(str(tmp_path / "run" / "activity_keys"))
+        assert "BroadcastExchange" in plan(tables["chem_app"].join(broadcast_if_few(keys), "Child_GUID", "left"))
+        assert "BroadcastExchange" not in plan(stored["chem_app"].join(broadcast_if_few(keys, rows=0), "Child_GUID", "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_named_stands_are_moved(spark, tables, tmp_path):
+    """Few new rows and many stands: the stands are filtered where they are read."""
+    from fieldweave.operators import activities as A
+
+    spark.range(200_000).selectExpr("id AS ObjectID", "repeat('x', 100) AS SHAPE").write.parquet(str(tmp_path / "stand"))
+    stands = spark.read.parquet(str(tmp_path / "stand"))
+    layout = "PARENT_GUID string, Parent_OID long, SHAPE string, _read_order long, _stand_oid long"
+    spark.createDataFrame([("g", None, None, 1, 7)], layout).write.parquet(str(tmp_path / "rows"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20KB")
+    try:
+        df = A.enrich_stand(spark.read.parquet(str(tmp_path / "rows")), stands)
+        assert [tuple(r)[1:3] for r in df.collect()] == [(7, "x" * 100)]
+        assert "BroadcastHashJoin [ObjectID" in plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
