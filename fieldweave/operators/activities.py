@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,10 +18,10 @@ PROPERTY_ROUTE = "prop"
 STAND_ROUTE = "stand"
 PROPERTY_CATEGORIES = ["Property", "PropertyE", "PropertyH", "PropertyM"]
 
-# Helper columns that travel with a staged row: its place in the order of reading and its stand.
+# Helper columns that travel with a staged row: its place in the order of reading, its stand and its route.
 READ_ORDER = "_read_order"
 STAND_KEY = "_stand_oid"
-ROUTE = "_route"
+IS_STAND = "_is_stand"
 
 
 class Routes(NamedTuple):
@@ -38,58 +38,72 @@ def route(mobile: DataFrame) -> Routes:
 
 
 def stage(rows: DataFrame, staging: T.StructType) -> DataFrame:
-    """``rows`` in the staging layout, plus their reading order and stand."""
+    """``rows`` in the staging layout, plus their route, reading order and stand."""
     mapped = map_fields(staging, rows.schema)
+    is_stand = F.col("prop_or_stand") == STAND_ROUTE
     return rows.select(
-        *aligned_columns(mapped, staging), F.col("OBJECTID").alias(READ_ORDER), F.col("standOID").alias(STAND_KEY)
+        *aligned_columns(mapped, staging), is_stand.alias(IS_STAND), F.col("OBJECTID").alias(READ_ORDER),
+        F.col("standOID").alias(STAND_KEY),
     )
 
 
+def _with(rows: DataFrame, joined: DataFrame, values: dict[str, tuple[Column, str]]) -> DataFrame:
+    """The columns of ``rows`` out of ``joined``, those in ``values`` replaced where their condition holds."""
+    changed = {
+        name: F.when(hit, F.col(value)).otherwise(F.col(name)).alias(name) for name, (hit, value) in values.items()
+    }
+    return joined.select(*[changed.get(name, name) for name in rows.columns])
+
 
 def enrich_property(
-    rows: DataFrame, properties: DataFrame, geometry: bool = True, global_id: bool = True
+    rows: DataFrame,
+    properties: DataFrame,
+    geometry: bool = True,
+    global_id: bool = True,
+    where: Column | None = None,
 ) -> DataFrame:
-    """Property GlobalID for every category and boundary for the property categories, out of one left join."""
+    """Property GlobalID for every category and boundary for the property categories, out of one left join.
+
+    Rows without a match stay as they are, and so do those where ``where`` does not hold, if given.
+    """
     parents = properties.select(
         F.col("ObjectID").alias("PropertyOID"), F.col("GlobalID").alias("_gid"), F.col("SHAPE").alias("_shape"),
         F.lit(True).alias("_hit"),
     )
-    hit = F.col("_hit").isNotNull()
-    columns = {name: F.col(name) for name in rows.columns}
+    hit = F.col("_hit").isNotNull() & (F.lit(True) if where is None else where)
+    values = {}
     if global_id:
-        name = "TFM_CMN_PROPERTY_GlobalID"
-        columns[name] = F.when(hit, F.col("_gid")).otherwise(F.col(name)).alias(name)
+        values["TFM_CMN_PROPERTY_GlobalID"] = (hit, "_gid")
     if geometry:
-        covers = hit & F.col("Category").isin(PROPERTY_CATEGORIES)
-        columns["SHAPE"] = F.when(covers, F.col("_shape")).otherwise(F.col("SHAPE")).alias("SHAPE")
-    return rows.join(parents, "PropertyOID", "left").select(*columns.values())
+        values["SHAPE"] = (hit & F.col("Category").isin(PROPERTY_CATEGORIES), "_shape")
+    return _with(rows, rows.join(parents, "PropertyOID", "left"), values)
 
 
-def enrich_stand(rows: DataFrame, stands: DataFrame) -> DataFrame:
-    """Stand key and geometry for staged stand rows.
+def enrich_stand(
+    rows: DataFrame, stands: DataFrame, where: Column | None = None, staged: DataFrame | None = None
+) -> DataFrame:
+    """Stand key and geometry for staged rows; only those where ``where`` holds, if given.
 
     Rows are read by ascending ``OBJECTID``, and each found stand is written to the rows with its GUID read so far. So
     of the rows that share a GUID, those up to the last one with a known stand get that stand, later ones none.
     Only the stands that some row names are looked at: while these are few, the stands are scanned but not moved. Which
-    of them count is settled on keys alone; geometry joins once, at the end.
+    of them count is settled on keys alone; geometry joins once, at the end. ``staged`` is a frame with the same keys as
+    ``rows`` that is cheaper to compute, if there is one.
     """
-    named = rows.select(F.col(STAND_KEY).alias("ObjectID")).distinct()
+    where = F.lit(True) if where is None else where
+    items = (rows if staged is None else staged).filter(where).select("Parent_GUID", STAND_KEY, READ_ORDER)
+    named = items.select(F.col(STAND_KEY).alias("ObjectID")).distinct()
     stands = stands.select("ObjectID", "SHAPE").join(named, "ObjectID", "left_semi")
     known = stands.select(F.col("ObjectID").alias(STAND_KEY))
     last = (
-        rows.select("Parent_GUID", STAND_KEY, READ_ORDER).join(known, STAND_KEY, "left_semi")
-        .groupBy("Parent_GUID")
+        items.join(known, STAND_KEY, "left_semi").groupBy("Parent_GUID")
         .agg(F.max_by(STAND_KEY, READ_ORDER).alias("_found"), F.max(READ_ORDER).alias("_upto"))
     )
-    given = split_join(rows, last, ["Parent_GUID"], "left").withColumn(
-        "_found", F.when(F.col(READ_ORDER) <= F.col("_upto"), F.col("_found"))
-    )
+    reached = where & (F.col(READ_ORDER) <= F.col("_upto"))
+    given = split_join(rows, last, ["Parent_GUID"], "left").withColumn("_found", F.when(reached, F.col("_found")))
     shapes = stands.select(F.col("ObjectID").alias("_found"), F.col("SHAPE").alias("_shape"))
-    columns = {name: F.col(name) for name in rows.columns}
     hit = F.col("_found").isNotNull()
-    columns["Parent_OID"] = F.when(hit, F.col("_found")).otherwise(F.col("Parent_OID")).alias("Parent_OID")
-    columns["SHAPE"] = F.when(hit, F.col("_shape")).otherwise(F.col("SHAPE")).alias("SHAPE")
-    return given.join(shapes, "_found", "left").select(*columns.values())
+    return _with(rows, given.join(shapes, "_found", "left"), {"Parent_OID": (hit, "_found"), "SHAPE": (hit, "_shape")})
 
 
 def unseen(rows: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -99,11 +113,15 @@ def unseen(rows: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return split_join(rows, seen, [key], "left_anti")
 
 
-def append_new(target: DataFrame, property_rows: DataFrame, stand_rows: DataFrame, dataset: str) -> DataFrame:
-    """New rows of ``target``: property rows, then stand rows, each in reading order, with ObjectIDs and GlobalIDs."""
-    rows = property_rows.withColumn(ROUTE, F.lit(0)).unionByName(stand_rows.withColumn(ROUTE, F.lit(1)))
-    numbered = next_object_ids(target, rows, ROUTE, READ_ORDER)
-    return align(numbered.withColumn("GlobalID", X.global_id(dataset, "OBJECTID")), target.schema)
+def append_new(target: DataFrame, staged: DataFrame, properties: DataFrame, stands: DataFrame, dataset: str) -> DataFrame:
+    """New rows of ``target`` out of staged ones, enriched by their route, with ObjectIDs and GlobalIDs.
+
+    ObjectIDs go to property rows first, then to stand rows, each in reading order.
+    """
+    rows = enrich_property(staged, properties, where=~F.col(IS_STAND))
+    rows = enrich_stand(rows, stands, where=F.col(IS_STAND), staged=staged)
+    rows = next_object_ids(target, rows, IS_STAND, READ_ORDER, keys=staged)
+    return align(rows.withColumn("GlobalID", X.global_id(dataset, "OBJECTID")), target.schema)
 
 
 def overlay_worklist(activities: DataFrame, stand_items: DataFrame) -> DataFrame:

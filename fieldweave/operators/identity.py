@@ -25,15 +25,19 @@ def add_guid_column(rows: DataFrame, name: str) -> DataFrame:
     return rows.withColumn(name, F.lit(None).cast("string"))
 
 
-def number_rows(rows: DataFrame, group: str, key: str, name: str, bits: int = BLOCK_BITS) -> DataFrame:
+def number_rows(
+    rows: DataFrame, group: str, key: str, name: str, bits: int = BLOCK_BITS, keys: DataFrame | None = None
+) -> DataFrame:
     """``rows`` numbered 1, 2, 3 … by ``group``, then by the unique whole number ``key``, without one global sort.
 
     Rows are numbered inside blocks of neighbouring keys. The start of a block is the number of rows in the blocks
     before it, found from the block sizes in two steps, so each window spans a bounded number of rows. Nothing depends
-    on how rows are split into tasks: a repeated task gives the same numbers.
+    on how rows are split into tasks: a repeated task gives the same numbers. ``keys`` is a frame with the same groups
+    and keys as ``rows`` that is cheaper to compute, to count the blocks by.
     """
-    blocked = rows.withColumn("_block", F.shiftright(F.col(key).cast("long"), bits))
-    sizes = blocked.groupBy(F.col(group), F.col("_block")).agg(F.count("*").alias("_rows"))
+    block = F.shiftright(F.col(key).cast("long"), bits)
+    blocked = rows.withColumn("_block", block)
+    sizes = (rows if keys is None else keys).groupBy(F.col(group), block.alias("_block")).agg(F.count("*").alias("_rows"))
     sizes = sizes.withColumn("_area", F.shiftright("_block", bits))
     areas = sizes.groupBy(group, "_area").agg(F.sum("_rows").alias("_rows"))
 
@@ -53,8 +57,10 @@ def number_rows(rows: DataFrame, group: str, key: str, name: str, bits: int = BL
     return numbered.withColumn(name, F.col("_start") + F.col("_place")).drop("_block", "_place", "_start")
 
 
-def next_object_ids(target: DataFrame, rows: DataFrame, group: str, key: str, id_col: str = "OBJECTID") -> DataFrame:
+def next_object_ids(
+    target: DataFrame, rows: DataFrame, group: str, key: str, id_col: str = "OBJECTID", keys: DataFrame | None = None
+) -> DataFrame:
     """``rows`` with ``id_col`` counting on from the highest one in ``target``, in the order of ``group`` and ``key``."""
     highest = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_highest"))
-    numbered = number_rows(rows, group, key, "_number")
+    numbered = number_rows(rows, group, key, "_number", keys=keys)
     return numbered.withColumn(id_col, F.col("_number") + highest.scalar()).drop("_number")

@@ -32,11 +32,11 @@ def new_activities(tables: Tables, skip_known: bool = False) -> DataFrame:
     ``skip_known`` leaves out activities whose GUID the table already holds, so that a run can be repeated.
     """
     target = tables["activity"]
-    staging = staging_schema(target, "activity")
-    parts = [staged_property(tables, staging), staged_stand(tables, staging)]
+    routed = tables["activity_mobile"].filter(F.col("prop_or_stand").isin(A.PROPERTY_ROUTE, A.STAND_ROUTE))
+    staged = A.stage(routed, staging_schema(target, "activity"))
     if skip_known:
-        parts = [A.unseen(part, target, "Parent_GUID") for part in parts]
-    return A.append_new(target, *parts, dataset="activity")
+        staged = A.unseen(staged, target, "Parent_GUID")
+    return A.append_new(target, staged, tables["property"], tables["stand"], "activity")
 
 
 def chemical_input(tables: Tables, skip_known: bool = False) -> DataFrame:
