@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldweave.functions import scalars as X
@@ -76,15 +76,22 @@ def decode(rows: DataFrame, bindings: list[FieldList], lists: DataFrame, propert
 
 def coded_values(rows: DataFrame, bindings: list[FieldList], property_field: str = "PropertyOID") -> DataFrame:
     """``dataset, field, list_name, property_oid, code, rows`` of the values in bound fields, all out of one scan."""
-    def value(b: FieldList) -> str:
+    def value(number: int, b: FieldList) -> str:
         place = property_field if b.per_property else "NULL"
         return (
-            f"named_struct('dataset', '{b.dataset}', 'field', '{b.field}', 'list_name', '{b.list_name}', "
-            f"'property_oid', cast({place} AS int), 'code', cast({b.field} AS string))"
+            f"named_struct('number', {number}, 'property_oid', cast({place} AS int), 'code', cast({b.field} AS string))"
         )
 
-    values = rows.selectExpr(f"inline(array({', '.join(map(value, bindings))}))").filter("code IS NOT NULL")
-    return values.groupBy("dataset", "field", "list_name", "property_oid", "code").agg(F.count("*").alias("rows"))
+    def label(names: list[str]) -> Column:
+        return F.element_at(F.array(*[F.lit(name) for name in names]), F.col("number"))
+
+    # Values are counted under the number of their binding; its names join the counts afterwards.
+    values = rows.selectExpr(f"inline(array({', '.join(value(n, b) for n, b in enumerate(bindings, 1))}))")
+    counted = values.filter("code IS NOT NULL").groupBy("number", "property_oid", "code").agg(F.count("*").alias("rows"))
+    return counted.select(
+        label([b.dataset for b in bindings]).alias("dataset"), label([b.field for b in bindings]).alias("field"),
+        label([b.list_name for b in bindings]).alias("list_name"), "property_oid", "code", "rows",
+    )
 
 
 def violations(values: DataFrame, lists: DataFrame) -> DataFrame:

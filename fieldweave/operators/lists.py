@@ -145,7 +145,7 @@ def hardcoded_lists(tables: Tables, props: DataFrame) -> DataFrame:
 def universal_domains(tables: Tables) -> DataFrame:
     """``list_name, code, description`` of the lists that hold for every property.
 
-    Each source collapses before the union, so what is shuffled is the size of the lists.
+    Rows collapse in the tasks that read them, so what is shuffled is the size of the lists.
     """
     plain = {
         "act_status": "status_code",
