@@ -74,8 +74,11 @@ def decode(rows: DataFrame, bindings: list[FieldList], lists: DataFrame, propert
     return rows.select(*columns)
 
 
-def coded_values(rows: DataFrame, bindings: list[FieldList], property_field: str = "PropertyOID") -> DataFrame:
-    """``dataset, field, list_name, property_oid, code, rows`` of the values in bound fields, all out of one scan."""
+def coded_values(tables: Tables, bindings: list[FieldList], property_field: str = "PropertyOID") -> DataFrame:
+    """``dataset, field, list_name, property_oid, code, rows`` of the values in bound fields; one scan per dataset.
+
+    Values are counted under the number of their binding, over all datasets at once; its names join the counts after.
+    """
     def value(number: int, b: FieldList) -> str:
         place = property_field if b.per_property else "NULL"
         return (
@@ -85,9 +88,11 @@ def coded_values(rows: DataFrame, bindings: list[FieldList], property_field: str
     def label(names: list[str]) -> Column:
         return F.element_at(F.array(*[F.lit(name) for name in names]), F.col("number"))
 
-    # Values are counted under the number of their binding; its names join the counts afterwards.
-    values = rows.selectExpr(f"inline(array({', '.join(value(n, b) for n, b in enumerate(bindings, 1))}))")
-    counted = values.filter("code IS NOT NULL").groupBy("number", "property_oid", "code").agg(F.count("*").alias("rows"))
+    found = []
+    for dataset in dict.fromkeys(b.dataset for b in bindings):
+        fields = [value(number, b) for number, b in enumerate(bindings, 1) if b.dataset == dataset]
+        found.append(tables[dataset].selectExpr(f"inline(array({', '.join(fields)}))").filter("code IS NOT NULL"))
+    counted = union(found).groupBy("number", "property_oid", "code").agg(F.count("*").alias("rows"))
     return counted.select(
         label([b.dataset for b in bindings]).alias("dataset"), label([b.field for b in bindings]).alias("field"),
         label([b.list_name for b in bindings]).alias("list_name"), "property_oid", "code", "rows",
@@ -110,9 +115,7 @@ def violations(values: DataFrame, lists: DataFrame) -> DataFrame:
 
 def domain_violations(tables: Tables, lists: DataFrame, bindings: list[FieldList] = BINDINGS) -> DataFrame:
     """Violations of all bound fields."""
-    datasets = dict.fromkeys(b.dataset for b in bindings)
-    values = union([coded_values(tables[name], [b for b in bindings if b.dataset == name]) for name in datasets])
-    return violations(values, lists)
+    return violations(coded_values(tables, bindings), lists)
 
 
 def subtypes(flags: DataFrame) -> DataFrame:

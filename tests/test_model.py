@@ -83,7 +83,7 @@ def test_violations(spark):
         "PropertyOID int, REG_Species string, Status string",
     )
     bindings = [b for b in coded.BINDINGS if b.field in ("REG_Species", "Status") and b.dataset == "activity"]
-    got = coded.violations(coded.coded_values(data, bindings), code_lists(spark))
+    got = coded.violations(coded.coded_values({"activity": data}, bindings), code_lists(spark))
     assert rows(got, "field", "property_oid", "code", "rows") == [
         ("REG_Species", None, "A", 1), ("REG_Species", 1, "A", 2), ("Status", None, "X", 2),
     ]
