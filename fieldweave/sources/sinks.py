@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,16 +16,17 @@ CSV_READ = {"header": True, "escape": '"', "nullValue": "\0", "emptyValue": ""}
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder under the shared folder that ``spark.checkpoint.dir`` names.
+    """A new folder under the shared folder that ``spark.checkpoint.dir`` or else ``setCheckpointDir`` names."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared.rstrip('/')}/fieldweave-{uuid.uuid4()}"
 
-    Only a local session without that setting gets a temporary folder of its own machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/fieldweave-{uuid.uuid4()}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="fieldweave-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a work folder that is no longer read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, folder: str) -> DataFrame:
