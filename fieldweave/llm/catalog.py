@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldweave.llm import mixing, radix
+from fieldweave.llm import licenses, mixing, preferences, radix
 from fieldweave.llm.common import read
 from fieldweave.llm.sql import SQL  # noqa: F401 - read by the entry
 
@@ -19,7 +20,22 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents")).drop("row")
 
 
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(read(spark, folder, "documents")).drop("spans")
+
+
+def preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = preferences.format_pairs(preferences.neighbours(read(spark, folder, "conversations")))
+    text = lambda side: F.array_join(F.transform(side, lambda s: s.text), "")
+    return pairs.select(
+        "pair_id", "n_prompt_turns", "n_chosen_turns", "n_rejected_turns", "prompt",
+        text("chosen").alias("chosen_text"), preferences.mask(F.col("chosen")).alias("chosen_mask"),
+        text("rejected").alias("rejected_text"), preferences.mask(F.col("rejected")).alias("rejected_mask"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_preference_pairs": preference_pairs,
+    "op5_license_scan": license_scan,
     "op6_exact_dedup": exact_dedup,
     "op7_source_mix": source_mix,
 }

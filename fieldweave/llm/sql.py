@@ -44,7 +44,31 @@ SELECT doc_id, size, source_size, target,
 FROM p JOIN goal USING (k)
 """
 
+PREFERENCE_PAIRS = r"""
+WITH t AS (SELECT DISTINCT conv_id >> 1 AS pair_id, conv_id % 2 = 0 AS chosen, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, chosen ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k FROM t),
+paired AS (
+  SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.k, b.k) AS k,
+         a.k IS NOT NULL AND b.k IS NOT NULL AND a.role IS NOT DISTINCT FROM b.role AND a.text IS NOT DISTINCT FROM b.text AS same
+  FROM (SELECT * FROM n WHERE chosen) a FULL JOIN (SELECT * FROM n WHERE NOT chosen) b ON a.pair_id = b.pair_id AND a.k = b.k),
+p AS (SELECT pair_id, coalesce(min(k) FILTER (WHERE NOT same) - 1, max(k)) AS n_prompt FROM paired GROUP BY pair_id),
+s AS (SELECT *, '<|im_start|>' || replace(coalesce(role, ''), '<|', '< |') || chr(10) AS head,
+             replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10) AS body,
+             CASE WHEN role = 'assistant' THEN 1 ELSE 0 END AS train
+      FROM n JOIN p USING (pair_id))
+SELECT pair_id, any_value(n_prompt) AS n_prompt_turns,
+       count(*) FILTER (WHERE chosen AND k > n_prompt) AS n_chosen_turns,
+       count(*) FILTER (WHERE NOT chosen AND k > n_prompt) AS n_rejected_turns,
+       coalesce(string_agg(head || body, '' ORDER BY k) FILTER (WHERE chosen AND k <= n_prompt), '') AS prompt,
+       coalesce(string_agg(head || body, '' ORDER BY k) FILTER (WHERE chosen AND k > n_prompt), '') AS chosen_text,
+       coalesce(string_agg(length(head) || ':0 ' || length(body) || ':' || train, ' ' ORDER BY k) FILTER (WHERE chosen AND k > n_prompt), '') AS chosen_mask,
+       coalesce(string_agg(head || body, '' ORDER BY k) FILTER (WHERE NOT chosen AND k > n_prompt), '') AS rejected_text,
+       coalesce(string_agg(length(head) || ':0 ' || length(body) || ':' || train, ' ' ORDER BY k) FILTER (WHERE NOT chosen AND k > n_prompt), '') AS rejected_mask
+FROM s GROUP BY pair_id
+"""
+
 SQL = {
+    "op2_preference_pairs": PREFERENCE_PAIRS,
     "op6_exact_dedup": EXACT_DEDUP,
     "op7_source_mix": SOURCE_MIX,
 }
