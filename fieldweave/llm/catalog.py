@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldweave.llm import licenses, minhash, mixing, preferences, radix
+from fieldweave.llm import licenses, minhash, mixing, preferences, radix, vectors
 from fieldweave.llm.common import read
 from fieldweave.llm.sql import SQL  # noqa: F401 - read by the entry
 
@@ -37,10 +37,15 @@ def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(read(spark, folder, "documents"))
 
 
+def near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_groups(read(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_preference_pairs": preference_pairs,
     "op5_license_scan": license_scan,
     "op6_exact_dedup": exact_dedup,
     "op7_source_mix": source_mix,
     "op8_near_dedup": near_dedup,
+    "op9_near_vectors": near_vectors,
 }
