@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldweave.llm.common import BLANKS, forget, stored
 
-FIRST_DIGIT, GROWTH = 64, 8
+FIRST_DIGIT, GROWTH = 256, 8
 
 
 def normalised(text: Column) -> Column:
@@ -22,7 +22,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The others are split by the following bytes, ``GROWTH`` times as many in each round, until a group has one member
     or its text has ended; then its members are equal byte by byte, and no digest is compared. The number of rounds
     grows with the logarithm of the longest text. Grouping combines copies before the shuffle, and the join that hands
-    out the groups of the next round is between two stored tables, so that Spark can split a hot group over tasks.
+    out the groups of the next round is between two stored tables, so that Spark can split a hot group over tasks. These
+    joins are sort-merge joins at every size: the tables of shared digits grow with the corpus.
 
     NULL texts count as empty ones; empty texts are equal. Of equal texts the row with the smallest id stays; rows with
     a NULL id come last. Rows that repeat an id and a text count each in ``group_size``, and one of them stays. Other
@@ -38,12 +39,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     alone = (
         base.select("doc_id", "row", digit.alias("digit"), F.sha2("rest", 256).alias("text_sha256"))
-        .join(shared, "digit", "left_anti")
+        .join(shared.hint("merge"), "digit", "left_anti")
         .select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                 F.lit(True).alias("kept"), "text_sha256", "row")
     )
     tied = stored(
-        base.withColumn("digit", digit).join(shared, "digit")
+        base.withColumn("digit", digit).join(shared.hint("merge"), "digit")
         .select(F.monotonically_increasing_id().alias("place"), "part", "doc_id", "row", "rest",
                 F.sha2("rest", 256).alias("text_sha256"))
     )
@@ -70,7 +71,7 @@ def _split(state: DataFrame) -> DataFrame:
             .filter("group_size > 1").withColumn("next", F.monotonically_increasing_id())
         )
         sizes = stored(sizes)
-        joined = state.withColumn("digit", F.when(F.col("ended"), F.lit(b"")).otherwise(digit)).join(sizes, ["part", "digit", "ended"])
+        joined = state.withColumn("digit", F.when(F.col("ended"), F.lit(b"")).otherwise(digit)).join(sizes.hint("merge"), ["part", "digit", "ended"])
         done.append(stored(joined.filter("ended").select("place", "keep_id", "keep_place", "group_size")))
         open_ = stored(joined.filter("not ended").select(
             "place", F.col("next").alias("part"), "doc_id", F.expr(f"substring(rest, {width + 1})").alias("rest"),

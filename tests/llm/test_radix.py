@@ -5,7 +5,7 @@ from collections import defaultdict
 from fieldweave.llm import radix
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, kept int, part int, digit int"
-LONG = "word and " * 9000
+LONG = "word and " * 40000
 
 
 def brute(docs):
@@ -26,8 +26,8 @@ CASES = [
     (5, "a b"), (3, "a  b"), (9, "a\t\nb"), (1, "a b "), (2, None), (4, ""), (6, LONG), (7, LONG), (8, LONG + "x"),
     (10, LONG[:64]), (11, LONG[:64]), (12, LONG[:63]), (13, LONG[:512]), (14, LONG[:512]), (15, "é" * 40), (16, "é" * 40),
     (17, "é" * 40), (18, " "), (19, "  "), (None, "lost"), (None, "lost"), (20, "lost"), (None, "alone"), (None, "pair"),
-    (None, "pair"), (21, "same"), (21, "same"), (22, "a b"), (23, "A b"), (30, "x" * 64 + "tail"), (30, "y" * 64 + "tail"),
-    (31, "x" * 64 + "tail"), (32, "y" * 64 + "tail"),
+    (None, "pair"), (21, "same"), (21, "same"), (22, "a b"), (23, "A b"), (30, "x" * 256 + "tail"), (30, "y" * 256 + "tail"),
+    (31, "x" * 256 + "tail"), (32, "y" * 256 + "tail"), (33, LONG[:256]), (34, LONG[:256]), (35, LONG[:2304]), (36, LONG[:2304]),
 ]
 
 
