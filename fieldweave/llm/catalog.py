@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldweave.llm import licenses, minhash, mixing, preferences, radix, vectors
+from fieldweave.llm import licenses, minhash, mixing, packing, preferences, radix, vectors
 from fieldweave.llm.common import read
 from fieldweave.llm.sql import SQL  # noqa: F401 - read by the entry
 
@@ -41,8 +42,14 @@ def near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_groups(read(spark, folder, "embeddings"))
 
 
+def packed(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_preference_pairs": preference_pairs,
+    "op3_packing": packed,
     "op5_license_scan": license_scan,
     "op6_exact_dedup": exact_dedup,
     "op7_source_mix": source_mix,

@@ -40,39 +40,42 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def ranged(df: DataFrame, keys: list[str], group: str, value: str, partitions: int | None = None) -> DataFrame:
-    """``df`` with ``before``: the sum of ``value`` over the rows of the same ``group`` that come earlier by ``keys``.
+def ranged(df: DataFrame, keys: list[str], group: str, *values: str) -> DataFrame:
+    """``df`` with ``before_<value>``: the sum of each value over the rows of the same ``group`` that come earlier by ``keys``.
 
-    ``keys`` begin with ``group``. Rows are sorted by range, so that a large group spans several tasks; each task sums
-    its own rows, and the totals, one row for each task and group, are summed once more. ``group`` holds no NULL. The sorted rows are stored, as
-    a second run might draw other range bounds.
+    ``keys`` begin with ``group``, which holds no NULL; values are whole numbers. Rows are sorted by range, so that a large
+    group spans several tasks; each task sums its own rows, and the totals, one row for each task and group, are summed
+    once more. The sorted rows are stored, as a second run might draw other range bounds.
     """
-    spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys).withColumn("_task", F.spark_partition_id())
-
     columns = rows.columns
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, total = None, 0
+        last, totals = None, [0] * len(values)
         for batch in batches:
             if not batch.num_rows:
                 continue
             own = batch.column(columns.index(group)).dictionary_encode()
             codes = own.indices.to_numpy(zero_copy_only=False)
-            values = batch.column(columns.index(value)).to_numpy(zero_copy_only=False).astype(np.int64)
             starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-            before = np.cumsum(values) - values
-            before -= np.repeat(before[starts], np.diff(np.r_[starts, len(codes)]))
-            if own[0].as_py() == last:
-                before[: starts[1] if len(starts) > 1 else len(codes)] += total
-            last, total = own[-1].as_py(), int(before[-1] + values[-1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before)], names=[*columns, "_before"])
-
-    schema = T.StructType([*rows.schema.fields, T.StructField("_before", T.LongType())])
+            found = []
+            for n, value in enumerate(values):
+                sizes = batch.column(columns.index(value)).to_numpy(zero_copy_only=False).astype(np.int64)
+                before = np.cumsum(sizes) - sizes
+                before -= np.repeat(before[starts], np.diff(np.r_[starts, len(codes)]))
+                if own[0].as_py() == last:
+                    before[: starts[1] if len(starts) > 1 else len(codes)] += totals[n]
+                totals[n] = int(before[-1] + sizes[-1])
+                found.append(pa.array(before))
+            last = own[-1].as_py()
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*columns, *(f"before_{v}" for v in values)])
+
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(f"before_{v}", T.LongType()) for v in values)])
     kept = stored(rows.mapInArrow(sums, schema))
-    totals = kept.groupBy(group, "_task").agg(F.sum(value).alias("_sum"))
+    totals = kept.groupBy(group, "_task").agg(*(F.sum(v).alias(f"_sum_{v}") for v in values))
     earlier = Window.partitionBy(group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(group, "_task", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
-    joined = kept.join(offsets.filter("_offset > 0"), [group, "_task"], "left")
-    return joined.withColumn("before", F.col("_before") + F.coalesce("_offset", F.lit(0))).drop("_before", "_offset", "_task")
+    offsets = totals.select(group, "_task", *(F.sum(f"_sum_{v}").over(earlier).alias(f"_offset_{v}") for v in values))
+    joined = kept.join(offsets.filter(F.col(f"_offset_{values[0]}").isNotNull()), [group, "_task"], "left")
+    return joined.withColumns({f"before_{v}": F.col(f"before_{v}") + F.coalesce(f"_offset_{v}", F.lit(0)) for v in values}).drop(
+        "_task", *(f"_offset_{v}" for v in values))

@@ -21,7 +21,7 @@ def targets(sizes: DataFrame) -> DataFrame:
     only sums over the sources reach the driver.
     """
     ranked = ranged(sizes.withColumn("all", F.lit(0)).withColumn("one", F.lit(1)), ["all", "source_key"], "all", "one")
-    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("before") % len(WEIGHTS) + 1).cast("int"))
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("before_one") % len(WEIGHTS) + 1).cast("int"))
     rows = stored(ranked.select("source_key", "source_size", weight.cast("long").alias("weight")))
     total = rows.agg(F.sum("source_size")).first()[0] or 0
     # Sums of whole numbers, so no order of adding changes them: a target is weight * spare / (SHARE_DOWN * weights).
@@ -65,7 +65,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     goals = stored(targets(ordered.groupBy("source_key").agg(F.sum("size").alias("source_size"))))
     whole = F.col("target").cast("long")
     times = F.when(F.col("source_size") > 0, F.expr("cast(target as bigint) div source_size")).otherwise(0)
-    last = F.greatest(F.lit(0), F.least(F.col("size"), whole - times * F.col("source_size") - F.col("before")))
+    last = F.greatest(F.lit(0), F.least(F.col("size"), whole - times * F.col("source_size") - F.col("before_size")))
     return ordered.join(goals, "source_key").select(
         "doc_id", "size", "source_size", "target", (times * F.col("size") + last).cast("long").alias("taken"), "row")
 

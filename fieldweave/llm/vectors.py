@@ -167,7 +167,7 @@ def near_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=["node", "n", "size", "unit", "lead"])
 
     led = units.mapInArrow(lead, "node long, n long, size long, unit array<double>, lead double").withColumn("one", F.lit(1))
-    blocks = ranged(led, ["size", "lead", "node"], "size", "one").withColumn("block", F.floor(F.col("before") / BLOCK))
+    blocks = ranged(led, ["size", "lead", "node"], "size", "one").withColumn("block", F.floor(F.col("before_one") / BLOCK))
     packed = stored(blocks.select("size", "block", "node", "n", "unit", "lead").groupBy("size", "block").applyInArrow(
         _packed(axes), "size long, block long, low double, high double, nodes binary, sizes binary, units binary"))
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
