@@ -23,7 +23,7 @@ def patterns(demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
 
     The cutting-stock linear program over all patterns, solved by column generation: the duals of the present basis
     price an unbounded knapsack over the room, and its best pattern enters the basis, until none prices above one.
-    Uses are then rounded down. Patterns that leave room are left out; their items are cut to fit elsewhere.
+    Uses are then rounded down. Patterns that leave the least room come first.
     """
     classes = np.flatnonzero(demand[:room])
     if not len(classes):
@@ -58,7 +58,7 @@ def patterns(demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
         basis[:, leaving] = entering
     found = []
     for column, use in zip(basis.T, uses):
-        if column @ classes == room and use + 1e-6 >= 1:
+        if use + 1e-6 >= 1:
             items = np.zeros(room, np.int64)
             items[classes] = column.astype(np.int64)
             found.append((items, int(use + 1e-6)))
@@ -67,25 +67,45 @@ def patterns(demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
         n = next(n for n, (items, _) in enumerate(found) if (items[taken > demand[:room]] > 0).any())
         taken -= found[n][0]
         found[n] = (found[n][0], found[n][1] - 1)
-    return [(items, use) for items, use in found if use]
+    return sorted(((items, use) for items, use in found if use), key=lambda f: room - int(f[0] @ np.arange(room)))
 
 
 class Places:
-    """Where the item of a class and rank goes: sequence and offset in it, or neither."""
+    """Where the item of a class and rank goes, and where the loose ids go that fill what room the patterns leave.
 
-    def __init__(self, found: list[tuple[np.ndarray, int]], unit: int) -> None:
+    ``most`` sequences at most are filled by patterns, as many as there are ids to fill them.
+    """
+
+    def __init__(self, found: list[tuple[np.ndarray, int]], unit: int, length: int, most: int) -> None:
+        self.unit, self.length, self.sequences = unit, length, 0
         self.rows: dict[int, tuple[np.ndarray, ...]] = {}
-        self.sequences, runs = 0, {}
+        runs: dict[int, list[tuple]] = {}
+        gaps = [(0, 1, 0)]
         for items, use in found:
+            use = min(use, most - self.sequences)
             offset = 0
-            for size in np.flatnonzero(items):
+            for size in np.flatnonzero(items) if use else ():
                 runs.setdefault(int(size), []).append((items[size], use, self.sequences, offset * unit))
                 offset += items[size] * size
+            if use and offset * unit < length:
+                gaps.append(((length - offset * unit) * use, length - offset * unit, self.sequences))
             self.sequences += use
         for size, parts in runs.items():
             each, use, base, offset = (np.array(x, np.int64) for x in zip(*parts))
             self.rows[size] = (np.r_[0, np.cumsum(each * use)], each, base, offset)
-        self.unit = unit
+        total, self.gap, self.gap_base = (np.array(x, np.int64) for x in zip(*gaps))
+        self.gap_starts = np.cumsum(total) - total
+        self.gaps = int(total.sum())
+
+    def loose(self, at: int, left: int, after: int) -> tuple[int, int, int]:
+        """(ids, sequence, offset) of the next piece of loose ids, of which ``at`` come before; new sequences begin at ``after``."""
+        if at < self.gaps:
+            n = int(np.searchsorted(self.gap_starts, at, "right")) - 1
+            use, inside = divmod(at - int(self.gap_starts[n]), int(self.gap[n]))
+            gap = int(self.gap[n])
+            return min(left, gap - inside), int(self.gap_base[n]) + use, self.length - gap + inside
+        at -= self.gaps
+        return min(left, self.length - at % self.length), after + at // self.length, at % self.length
 
     def of(self, sizes: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sequence, offset = np.full(len(sizes), -1, np.int64), np.full(len(sizes), -1, np.int64)
@@ -123,7 +143,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     are sequences of their own. The rests, in whole units of ``UNIT`` ids, are items of a cutting-stock problem whose demand
     is a histogram with one class per number of units, the only thing that reaches the driver. Its rounded patterns
     are dealt to the documents by their rank within their class. The ids behind the last unit, and rests that no pattern
-    took, are laid end to end and cut at every ``length`` ids, so that only the very last sequence can have padding.
+    took, are laid end to end and cut to fill first the room that patterns leave, then further sequences. Patterns are used
+    only as often as there are ids to fill them, so that only the very last sequence can have padding.
 
     Ranks and totals are summed over range-sorted tasks. NULL and empty texts are the end id alone. Rows that repeat an id are
     documents of their own. No rows give no rows; other columns are not read. ``length`` is a multiple of ``UNIT``.
@@ -138,10 +159,12 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         (rest / UNIT).cast("long").alias("units"), F.lit(1).alias("one"), F.xxhash64("row").alias("draw"))
     ranked = ranged(sizes, ["units", "draw", "row"], "units", "one")
     demand = np.zeros(length // UNIT, np.int64)
-    for units, count in ranked.groupBy("units").count().collect():
+    left = 0
+    for units, count, ids in ranked.groupBy("units").agg(F.count(F.lit(1)), F.sum("rest")).collect():
         demand[units] = count
+        left += ids
     demand[0] = 0
-    places = Places(patterns(demand, length // UNIT), UNIT)
+    places = Places(patterns(demand, length // UNIT), UNIT, length, left // length)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,8 +192,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                     start += r["rest"] - r["loose"]
                 left, at = r["loose"], r["before_loose"]
                 while left:
-                    size = min(left, length - at % length)
-                    parts.append((start, size, stream + at // length, at % length))
+                    size, sequence, offset = places.loose(at, left, stream)
+                    parts.append((start, size, sequence, offset))
                     start, left, at = start + size, left - size, at + size
                 pieces += [(r["doc_id"], s, n, ids[s:s + n].tobytes(), r["doc_tokens"], q, o) for s, n, q, o in parts]
             columns = list(zip(*pieces)) or [()] * 7

@@ -52,12 +52,13 @@ def test_edges(spark):
     check(packing.pack(docs, PATH).collect(), texts, 2048)
 
 
-def test_patterns_are_used(spark):
+@pytest.mark.parametrize("low, high", [(1, 200), (70, 71), (60, 90), (2, 5)])
+def test_patterns_are_used(spark, low, high):
     rng = np.random.default_rng(2)
-    texts = [(n, "a " * int(rng.integers(1, 200))) for n in range(400)]
+    texts = [(n, "a " * int(rng.integers(low, high))) for n in range(400)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     sequences = check(packing.pack(docs, PATH, length=128).collect(), texts, 128)
-    assert sum(len(parts) > 1 for parts in sequences.values()) > 20
+    assert sum(len(parts) > 1 for parts in sequences.values()) > 9
 
 
 def test_repeated_rows(spark):
@@ -87,9 +88,9 @@ def test_pattern_counts(room):
         found = packing.patterns(demand, room)
         used = sum((items * use for items, use in found), np.zeros(room, int))
         assert (used <= demand).all()
-        assert all(items @ np.arange(room) == room for items, _ in found)
+        assert all(items @ np.arange(room) <= room for items, _ in found)
         if top == 4000 and room == 64:
-            assert (used @ np.arange(room)) > 0.5 * (demand @ np.arange(room))
+            assert (used @ np.arange(room)) > 0.98 * (demand @ np.arange(room))
 
 
 def test_patterns_match_the_bound():
