@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldweave.llm import licenses, minhash, mixing, packing, preferences, radix, vectors
+from fieldweave.llm import licenses, minhash, mixing, packing, preferences, radix, toxicity, vectors
 from fieldweave.llm.common import read
 from fieldweave.llm.sql import SQL  # noqa: F401 - read by the entry
 
@@ -47,7 +47,13 @@ def packed(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.learn(docs, read(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity_scores,
     "op2_preference_pairs": preference_pairs,
     "op3_packing": packed,
     "op5_license_scan": license_scan,
