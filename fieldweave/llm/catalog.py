@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldweave.llm import licenses, minhash, mixing, packing, preferences, radix, toxicity, vectors
+from fieldweave.llm import licenses, lm, minhash, mixing, packing, preferences, radix, toxicity, vectors
 from fieldweave.llm.common import read
 from fieldweave.llm.sql import SQL  # noqa: F401 - read by the entry
 
@@ -52,10 +52,15 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.learn(docs, read(spark, folder, "labels")))
 
 
+def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_texts(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity_scores,
     "op2_preference_pairs": preference_pairs,
     "op3_packing": packed,
+    "op4_lm_scores": lm_scores,
     "op5_license_scan": license_scan,
     "op6_exact_dedup": exact_dedup,
     "op7_source_mix": source_mix,
