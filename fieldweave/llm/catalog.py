@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldweave.llm import licenses, lm, minhash, mixing, packing, preferences, radix, toxicity, vectors
+from fieldweave.llm import debruijn, licenses, lm, minhash, mixing, packing, preferences, radix, toxicity, vectors
 from fieldweave.llm.common import read
 from fieldweave.llm.sql import SQL  # noqa: F401 - read by the entry
 
@@ -56,6 +56,10 @@ def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_texts(read(spark, folder, "documents"))
 
 
+def shared_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return debruijn.shared_passages(read(spark, folder, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity_scores,
     "op2_preference_pairs": preference_pairs,
@@ -66,4 +70,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_source_mix": source_mix,
     "op8_near_dedup": near_dedup,
     "op9_near_vectors": near_vectors,
+    "op10_shared_passages": shared_passages,
 }

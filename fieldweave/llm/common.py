@@ -20,11 +20,23 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Shuffle files of a query go when it has ended, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: later steps see fixed rows of a known size."""
-    folder = work_folder(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(folder)
-    kept = df.sparkSession.read.schema(df.schema).parquet(folder)
+    """``df`` written to the shared folder and read back: later steps see fixed rows of a known size.
+
+    Nothing needs the shuffle files of the step after that, so they are removed.
+    """
+    spark = df.sparkSession
+    folder, before = work_folder(spark), spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    kept = spark.read.schema(df.schema).parquet(folder)
     kept.stored_in = folder
     return kept
 
