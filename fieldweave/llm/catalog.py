@@ -35,7 +35,7 @@ def preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return minhash.near_groups(read(spark, folder, "documents"))
+    return minhash.near_groups(read(spark, folder, "documents")).drop("text_key")
 
 
 def near_vectors(spark: SparkSession, folder: str) -> DataFrame:

@@ -24,22 +24,24 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return tied.filter("u != v").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one edge, to a node that has none."""
+    rows, nodes = edges.agg(F.count(F.lit(1)), F.countDistinct("u")).first()
+    inner = edges.select(F.col("v").alias("u")).distinct().join(edges.select("u"), "u", "left_semi")
+    return rows == nodes and inner.isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``u, v``: every node ``u`` of ``edges (u, v)`` that is not the smallest of its component, with the smallest, ``v``.
 
-    Alternating large-star and small-star steps, until the edges no longer change. Each step is written to the shared
-    folder, so lineage stays short, and its predecessor is deleted. The number of steps grows with the logarithm of
-    the largest component.
+    Alternating large-star and small-star steps, until the edges are stars. Each step is written to the shared folder,
+    so lineage stays short, and its predecessor is deleted. The number of steps grows with the logarithm of the largest
+    component.
     """
     state = stored(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    mark = None
-    while True:
+    while not _settled(state):
         for large in (True, False):
             following = stored(_star(state, large))
             forget(state)
             state = following
-        digest = F.xxhash64("u", "v")
-        now = tuple(state.agg(F.count(F.lit(1)), F.bit_xor(digest), F.bit_xor(F.xxhash64(digest))).first())
-        if now == mark or not now[0]:
-            return state
-        mark = now
+    return state

@@ -94,19 +94,35 @@ def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame
     """The pairs whose full sets are similar enough."""
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct()
     wanted = stored(wanted.join(nodes.select("row", F.col("doc_id").alias("id"), F.col("text_key").alias("key")), "row"))
-    found = texts.join(wanted, (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    found = texts.join(wanted.hint("merge"), (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id")))
     sets = stored(found.select("row", "text").mapInArrow(_sets, "row long, items array<long>").dropDuplicates(["row"]))
     u, v = (sets.select(F.col("row").alias(c), F.col("items").alias(f"items_{c}")) for c in "uv")
     both = F.size(F.array_intersect("items_u", "items_v"))
     return pairs.join(u, "u").join(v, "v").filter(100 * both >= PERCENT * (F.size("items_u") + F.size("items_v") - both)).select("u", "v")
 
 
+def _apart(pairs: DataFrame, tied: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components so far."""
+    ends = [tied.select(F.col("u").alias(c), F.col("v").alias(f"part_{c}")) for c in "uv"]
+    named = pairs.join(ends[0], "u", "left").join(ends[1], "v", "left")
+    return named.filter(F.coalesce("part_u", "u") != F.coalesce("part_v", "v")).select("u", "v")
+
+
+def _tied_more(tied: DataFrame, pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    pairs = stored(pairs)
+    if pairs.isEmpty():
+        return tied
+    links = stored(_verified(pairs, texts, nodes))
+    return tied if links.isEmpty() else components(tied.unionByName(links))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``, and ``text_key``, a hash of its text.
 
     Texts with equal shingle sets are one node. Nodes that share a band of minima are a bucket. Every node is compared
     with the first node of each of its buckets: by size and sketch of the signature inside the join, then by full
-    sets. After large-star and small-star steps over the links found, most buckets lie in one component. In the others,
+    sets, with the smallest of these first nodes first, and with others if they are not in one component by then. After
+    large-star and small-star steps over the links found, most buckets lie in one component. In the others,
     nodes outside the component that most of the bucket belongs to are compared with all nodes of the bucket in other
     components, so no candidate pair that could still connect two components is left out, and no bucket is capped.
     The steps are then repeated with these links. Joins are between stored tables, which lets Spark split hot keys.
@@ -122,22 +138,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         described.filter("set_id is not null").groupBy("set_id")
         .agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("node")).filter("n > 1").drop("n"))
     rows = stored(
-        described.select("row", "doc_id", "n_shingles", "set_id").join(copies, "set_id", "left")
-        .select("row", "doc_id", "n_shingles", F.coalesce("node", "row").alias("node")))
+        described.select("row", "doc_id", "text_key", "n_shingles", "set_id").join(copies.hint("merge"), "set_id", "left")
+        .select("row", "doc_id", "text_key", "n_shingles", F.coalesce("node", "row").alias("node")))
     repeats = rows.filter("row != node").select("row")
     nodes = described.filter("set_id is not null").join(repeats, "row", "left_anti")
     in_bands = nodes.select(F.explode("bands").alias("band"), "row")
     buckets = stored(
         in_bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("center")).filter("n > 1").drop("n"))
     members = stored(
-        in_bands.join(buckets, "band")
+        in_bands.join(buckets.hint("merge"), "band")
         .join(described.select("row", "n_shingles", "s1", "s2"), "row"))
     centers = members.filter("row = center")
     links = F.col("a.band") == F.col("b.band")
     first = stored(
         members.filter("row != center").alias("a").join(centers.alias("b"), links & _near("a", "b")).select(*_pair("a", "b")).distinct())
-    edges = stored(_verified(first, texts, described))
-    tied = components(edges)
+    tied = components(_verified(first.groupBy("u").agg(F.min("v").alias("v")), texts, described))
+    tied = _tied_more(tied, _apart(first, tied), texts, described)
 
     named = members.join(tied.select(F.col("u").alias("row"), "v"), "row", "left").withColumn("part", F.coalesce("v", "row")).drop("v")
     shares = named.groupBy("band", "part").agg(F.count(F.lit(1)).alias("n"))
@@ -146,20 +162,25 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     outside = mixed_.filter("part != main and row != center")
     others = mixed_.filter("row != center")
     apart = (F.col("a.part") != F.col("b.part")) & ((F.col("b.part") == F.col("b.main")) | (F.col("a.row") < F.col("b.row")))
-    second = stored(
+    second = (
         outside.alias("a").join(others.alias("b"), links & apart & _near("a", "b")).select(*_pair("a", "b")).distinct()
         .join(first, ["u", "v"], "left_anti"))
-    if not second.isEmpty():
-        more = stored(_verified(second, texts, described))
-        if not more.isEmpty():
-            tied = components(tied.unionByName(more))
+    tied = _tied_more(tied, second, texts, described)
 
     placed = stored(
         rows.join(tied.select(F.col("u").alias("node"), "v"), "node", "left")
-        .select("row", "doc_id", "n_shingles", F.coalesce("v", "node").alias("part")))
+        .select("row", "doc_id", "text_key", "n_shingles", F.coalesce("v", "node").alias("part")))
     groups = stored(
         placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"),
                                    F.coalesce(F.min_by("row", "doc_id"), F.min("row")).alias("first_row")).filter("n > 1").drop("n"))
     return placed.join(groups, "part", "left").select(
         "doc_id", "n_shingles", F.when(F.col("first_row").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("component_id"),
-        (F.col("first_row").isNull() | (F.col("row") == F.col("first_row"))).alias("kept"))
+        (F.col("first_row").isNull() | (F.col("row") == F.col("first_row"))).alias("kept"), "text_key")
+
+
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; rows equal in id and text all stay if one of them does."""
+    found = near_groups(docs, id_col, text_col).select("kept", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    found = stored(found.groupBy("_id", "_key").agg(F.max("kept").alias("_kept")).filter("not _kept").drop("_kept"))
+    gone = (F.xxhash64(text_col) == F.col("_key")) & F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
+    return docs.join(found.hint("merge"), gone, "left_anti")
