@@ -16,6 +16,8 @@ LENGTH = 2048
 #: Rests of documents are packed in whole units of so many tokens.
 UNIT = 16
 END = 1
+#: Steps of the linear program without gain after which its present basis is taken; any basis packs every document.
+IDLE = 200
 
 
 def patterns(demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
@@ -28,7 +30,9 @@ def patterns(demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
     classes = np.flatnonzero(demand[:room])
     if not len(classes):
         return []
-    wanted = demand[classes].astype(float)
+    # Tiny unequal shares keep steps from having no length, with which bases could follow each other in a circle.
+    wanted = demand[classes] + np.random.default_rng(room).uniform(1e-4, 1e-3, len(classes))
+    least, idle = np.inf, 0
     basis = np.diag((room // classes).astype(float))  # one column for each pattern, one row for each class
     uses = wanted / np.diag(basis)
     while True:
@@ -43,7 +47,9 @@ def patterns(demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
             if len(values) and values.max() > best[space] + 1e-12:
                 last[space] = int(values.argmax())
                 best[space] = values[last[space]]
-        if best[room] <= 1 + 1e-7:
+        idle = 0 if uses.sum() < least - 1e-9 else idle + 1
+        least = min(least, uses.sum())
+        if best[room] <= 1 + 1e-7 or idle > IDLE:  # beyond that only rounding errors move
             break
         entering, space = np.zeros(len(classes)), room
         while space > 0:
