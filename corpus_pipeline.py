@@ -2,27 +2,49 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldweave.llm import mixing, radix
+from fieldweave.llm import minhash, mixing, packing, radix, toxicity
 from fieldweave.llm.common import read, stored
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are not predicted toxic, by what the labels of ``sf_dir`` teach."""
+    return toxicity.accepted(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return radix.kept_rows(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return minhash.kept_rows(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, as often as it takes them."""
+    """The documents that the mix takes, as often as it takes them; one that it takes twice is two rows."""
     return mixing.mixed_rows(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents, each row a document of its own, with their place in the sequences."""
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
 STAGES = [
+    ("toxicity", clean),
     ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
     ("mixing", mixed),
+    ("packing", packed),
 ]
 
+# The learned lexicon, components and token ids are not for SQL; tests replay every stage by brute force.
 ORACLE_SQL = None
 
 
