@@ -239,6 +239,9 @@ FIELDS = [
     ("activity", "REG_Pattern", "plant_pattern", False),
     ("activity", "REG_Stock_Type", "plant_stock", False),
     ("hv_unit", "Status", "harv_status", False),
+    ("special_point", "sp_type", "special_point", False),
+    ("special_line", "sp_type", "special_line", False),
+    ("special_poly", "sp_type", "special_poly", False),
 ]
 
 
@@ -371,6 +374,9 @@ def oracle() -> dict[str, str]:
         "rel_mobile_guid": related("Activity_Chemical_New", ["OBJECTID"], ["MasterChemOID", "Rate"]),
         "rel_unit_product": related("HVunit_OPTproduct", ["GlobalID"], ["Quantity"]),
         "rel_backward": related("HVunit_OPTproduct", ["GlobalID"], ["Quantity"], "RIGHT JOIN"),
+        "rel_backward_property": related("Property_PropAct", ["Name"], ["OBJECTID", "Status", "Cost"], "RIGHT JOIN"),
+        "rel_backward_activity": related("Activity_Chemical_Existing", ["GlobalID"], ["MasterChemOID", "Rate", "Cost"], "RIGHT JOIN"),
+        "rel_backward_mobile": related("Activity_Chemical_New", ["OBJECTID"], ["MasterChemOID", "Rate"], "RIGHT JOIN"),
         "rel_orphans": each(orphan_keys, RELATIONS),
         "rel_childless": each(childless_keys, RELATIONS),
         "rel_cardinality": each(repeated_keys, RELATIONS + [
@@ -387,6 +393,9 @@ def oracle() -> dict[str, str]:
             "activity", ["OBJECTID", "PropertyOID"], [f for f in FIELDS if f[0] == "activity" and f[3]]
         ),
         "decode_universal_domain": described("activity", ["OBJECTID"], [f for f in FIELDS if f[0] == "activity" and not f[3]]),
+        "decode_chemical_domain": described("chem_app", ["Child_GUID", "PropertyOID"], [f for f in FIELDS if f[0] == "chem_app"]),
+        "decode_unit_domain": described("hv_unit", ["ObjectID"], [f for f in FIELDS if f[0] == "hv_unit"]),
+        "decode_special_domain": described("special_point", [], [f for f in FIELDS if f[0] == "special_point"]),
         "domain_violations": each(outside_list, FIELDS),
         "subtype_decode": """
             SELECT OBJECTID, PropertyOID, (SELECT split_part(prop_key, ' - ', 2) FROM property_flags
@@ -399,6 +408,20 @@ def oracle() -> dict[str, str]:
         "sync_property_activities": "SELECT * FROM staged_property",
         "sync_stand_activities": "SELECT * FROM staged_stand",
         "sync_chemicals": "SELECT * FROM chemicals_after WHERE Child_GUID IN (SELECT Child_GUID FROM chem_mobile)",
+        "sync_rerun": f"""
+            SELECT {CHEMICALS} FROM chemicals_after UNION ALL
+            SELECT m.Child_GUID, k.oid, k.gid, m.PropertyOID, m.MasterChemOID + 1, context, m.Rate, CASE context WHEN 0 THEN m.Cost END
+            FROM chem_mobile m LEFT JOIN activity_key k ON k.guid = m.Child_GUID CROSS JOIN (VALUES (0), (1440)) c(context)
+            WHERE m.OBJECTID % 1000 = 1""",
+        "published_universal_lists": "SELECT * FROM universal_lists",
+        "migrated_tables": f"""
+            SELECT 'stand' AS dataset, cast(ObjectID AS varchar) AS key, {guid('stand', 'ObjectID')} AS GlobalID, 1 AS rows FROM stand UNION ALL
+            SELECT 'chem_master', cast(ObjectID AS varchar), {guid('chem_master', 'ObjectID')}, 1 FROM chem_master UNION ALL
+            SELECT 'activity', cast(c.OBJECTID AS varchar), p.GlobalID, 1 FROM activity c LEFT JOIN property p ON p.ObjectID = c.PropertyOID UNION ALL
+            SELECT 'chem_app', cast(c.ActivityOID AS varchar), p.GlobalID, count(*) FROM chem_app c
+              LEFT JOIN activity p ON p.OBJECTID = c.ActivityOID GROUP BY ALL UNION ALL
+            SELECT 'hv_optprod', cast(c.HUOID AS varchar), p.GlobalID, count(*) FROM hv_optprod c
+              LEFT JOIN hv_unit p ON p.ObjectID = c.HUOID GROUP BY ALL""",
         "sync_all": f"""
             SELECT 'activity' AS output, {activity} FROM activities_after
             UNION ALL BY NAME SELECT 'chemical' AS output, * FROM chemicals_after

@@ -79,21 +79,17 @@ def enrich_property(
     return _with(rows, rows.join(parents, "PropertyOID", "left"), values)
 
 
-def enrich_stand(
+def stand_keys(
     rows: DataFrame, stands: DataFrame, where: Column | None = None, staged: DataFrame | None = None
 ) -> DataFrame:
-    """Stand key and geometry for staged rows; only those where ``where`` holds, if given.
+    """``rows`` with ``_found``, the stand that each of them gets; only those where ``where`` holds, if given.
 
     Rows are read by ascending ``OBJECTID``, and each found stand is written to the rows with its GUID read so far. So
-    of the rows that share a GUID, those up to the last one with a known stand get that stand, later ones none.
-    Only the stands that some row names are looked at: while these are few, the stands are scanned but not moved. Which
-    of them count is settled on keys alone; geometry joins once, at the end. ``staged`` is a frame with the same keys as
-    ``rows`` that is cheaper to compute, if there is one.
+    of the rows that share a GUID, those up to the last one with a known stand get that stand, later ones none. Only keys
+    are looked at. ``staged`` is a frame with the same keys as ``rows`` that is cheaper to compute, if there is one.
     """
     where = F.lit(True) if where is None else where
     items = (rows if staged is None else staged).filter(where).select("Parent_GUID", STAND_KEY, READ_ORDER)
-    named = items.select(F.col(STAND_KEY).alias("ObjectID")).distinct()
-    stands = stands.select("ObjectID", "SHAPE").join(named, "ObjectID", "left_semi")
     known = stands.select(F.col("ObjectID").alias(STAND_KEY))
     last = (
         items.join(known, STAND_KEY, "left_semi").groupBy("Parent_GUID")
@@ -101,26 +97,47 @@ def enrich_stand(
     )
     reached = where & (F.col(READ_ORDER) <= F.col("_upto"))
     given = split_join(rows, last, ["Parent_GUID"], "left").withColumn("_found", F.when(reached, F.col("_found")))
-    shapes = stands.select(F.col("ObjectID").alias("_found"), F.col("SHAPE").alias("_shape"))
-    hit = F.col("_found").isNotNull()
-    return _with(rows, given.join(shapes, "_found", "left"), {"Parent_OID": (hit, "_found"), "SHAPE": (hit, "_shape")})
+    return given.select(*rows.columns, "_found")
+
+
+def stand_shapes(rows: DataFrame, stands: DataFrame) -> DataFrame:
+    """``rows`` of ``stand_keys`` with key and geometry of their stand.
+
+    Of the stands only those that some row names are moved, while these are few. Rows without a stand, as all
+    property rows are, meet nothing: they are dealt out by the order of reading, so they never share one empty key.
+    """
+    named = rows.select(F.col("_found").alias("ObjectID")).filter("ObjectID is not null").distinct()
+    shapes = stands.select("ObjectID", "SHAPE").join(named, "ObjectID", "left_semi").select(
+        F.col("ObjectID").alias("_place"), F.lit(True).alias("_placed"), F.col("SHAPE").alias("_shape"))
+    placed = F.col("_found").isNotNull()
+    dealt = rows.withColumns({"_place": F.coalesce("_found", READ_ORDER), "_placed": placed})
+    joined = split_join(dealt, shapes, ["_place", "_placed"], "left")
+    columns = rows.drop("_found")
+    return _with(columns, joined, {"Parent_OID": (placed, "_found"), "SHAPE": (placed, "_shape")})
+
+
+def enrich_stand(
+    rows: DataFrame, stands: DataFrame, where: Column | None = None, staged: DataFrame | None = None
+) -> DataFrame:
+    """Stand key and geometry for staged rows; only those where ``where`` holds, if given."""
+    return stand_shapes(stand_keys(rows, stands, where, staged), stands)
 
 
-def unseen(rows: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """``rows`` whose key the target does not hold yet, so that a run can be repeated. Rows without a key stay."""
-    keys = rows.select(key).distinct()
-    seen = target.select(key).distinct().join(keys, key, "left_semi")
-    return split_join(rows, seen, [key], "left_anti")
+def unmerged(rows: DataFrame, merged: DataFrame | None, key: str = "OBJECTID") -> DataFrame:
+    """``rows`` of the mobile tables that no earlier run has merged, by their own key; ``merged`` has the keys it took."""
+    return rows if merged is None else split_join(rows, merged.select(key).distinct(), [key], "left_anti")
 
 
 def append_new(target: DataFrame, staged: DataFrame, properties: DataFrame, stands: DataFrame, dataset: str) -> DataFrame:
     """New rows of ``target`` out of staged ones, enriched by their route, with ObjectIDs and GlobalIDs.
 
-    ObjectIDs go to property rows first, then to stand rows, each in reading order.
+    ObjectIDs go to property rows first, then to stand rows, each in reading order. Numbers and keys are settled first;
+    shapes join in the last two steps.
     """
-    rows = enrich_property(staged, properties, where=~F.col(IS_STAND))
-    rows = enrich_stand(rows, stands, where=F.col(IS_STAND), staged=staged)
-    rows = next_object_ids(target, rows, IS_STAND, READ_ORDER, keys=staged)
+    rows = next_object_ids(target, staged, IS_STAND, READ_ORDER)
+    rows = stand_keys(rows, stands, where=F.col(IS_STAND), staged=staged)
+    rows = enrich_property(rows, properties, where=~F.col(IS_STAND))
+    rows = stand_shapes(rows, stands)
     return align(rows.withColumn("GlobalID", X.global_id(dataset, "OBJECTID")), target.schema)
 
 

@@ -30,6 +30,9 @@ BINDINGS = [
     FieldList("activity", "REG_Pattern", "plant_pattern", False),
     FieldList("activity", "REG_Stock_Type", "plant_stock", False),
     FieldList("hv_unit", "Status", "harv_status", False),
+    FieldList("special_point", "sp_type", "special_point", False),
+    FieldList("special_line", "sp_type", "special_line", False),
+    FieldList("special_poly", "sp_type", "special_poly", False),
 ]
 
 

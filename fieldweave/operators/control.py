@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from fieldweave.functions import scalars as X
 from fieldweave.operators.lists import requested
 
-# Digits of the longest property key, sign included.
-OID_DIGITS = 11
+# Characters of the longest whole number of each type, sign included.
+DIGITS = {"byte": 4, "tinyint": 4, "short": 6, "smallint": 6, "int": 11, "bigint": 20}
 
 
 def changed_properties(flags: DataFrame) -> DataFrame:
@@ -33,19 +33,21 @@ def match_forms(props: DataFrame, forms: DataFrame, exact: bool = False) -> Data
     """
     # Fixed value: str() of a whole number, so neither a leading zero nor a second sign.
     number = r"^(0|-?[1-9][0-9]*)$"
+    wanted = requested(props)
+    digits = DIGITS[wanted.schema["property_oid"].dataType.simpleString()]
     runs = F.regexp_extract_all("title", F.lit(r"(-?[0-9]+)"), 1)
     if exact:
         numbers = F.transform(runs, lambda run: F.regexp_replace(run, r"^-?0+(?=[0-9])", ""))
     else:
         def cut(run):
-            lengths = F.sequence(F.lit(1), F.least(F.length(run), F.lit(OID_DIGITS)))
+            lengths = F.sequence(F.lit(1), F.least(F.length(run), F.lit(digits)))
             starts = F.sequence(F.lit(1), F.length(run))
             return F.flatten(F.transform(starts, lambda s: F.transform(lengths, lambda n: F.substring(run, s, n))))
 
         numbers = F.flatten(F.transform(runs, cut))
     numbers = F.filter(F.array_distinct(numbers), lambda text: text.rlike(number))
     found = forms.select("form_id", F.explode(numbers).alias("text"))
-    keys = requested(props).withColumn("text", F.col("property_oid").cast("string"))
+    keys = wanted.withColumn("text", F.col("property_oid").cast("string"))
     return found.join(keys, "text").select("property_oid", "form_id")
 
 

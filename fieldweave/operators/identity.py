@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from fieldweave.functions import scalars as X
 
-# A block holds 2^20 neighbouring keys, and so at most that many rows, as keys are unique.
-BLOCK_BITS = 20
+# A block holds 2^12 neighbouring keys, and so at most that many rows, as keys are unique; an area holds 2^20 blocks.
+BLOCK_BITS = 12
+AREA_BITS = 20
 
 
 def add_global_ids(rows: DataFrame, dataset: str, oid: str = "ObjectID") -> DataFrame:
@@ -25,26 +26,24 @@ def add_guid_column(rows: DataFrame, name: str) -> DataFrame:
     return rows.withColumn(name, F.lit(None).cast("string"))
 
 
-def number_rows(
-    rows: DataFrame, group: str, key: str, name: str, bits: int = BLOCK_BITS, keys: DataFrame | None = None
-) -> DataFrame:
+def number_rows(rows: DataFrame, group: str, key: str, name: str, bits: int = BLOCK_BITS) -> DataFrame:
     """``rows`` numbered 1, 2, 3 … by ``group``, then by the unique whole number ``key``, without one global sort.
 
-    Rows are numbered inside blocks of neighbouring keys. The start of a block is the number of rows in the blocks
-    before it, found from the block sizes in two steps, so each window spans a bounded number of rows. Nothing depends
-    on how rows are split into tasks: a repeated task gives the same numbers. ``keys`` is a frame with the same groups
-    and keys as ``rows`` that is cheaper to compute, to count the blocks by.
+    Keys are numbered inside blocks of neighbouring keys, and the numbers then join the rows, so nothing else is sorted.
+    The start of a block is the number of rows in the blocks before it, found from the block sizes in two steps, so each
+    window spans a bounded number of rows. Nothing depends on how rows are split into tasks: a repeated task gives the
+    same numbers.
     """
-    block = F.shiftright(F.col(key).cast("long"), bits)
-    blocked = rows.withColumn("_block", block)
-    sizes = (rows if keys is None else keys).groupBy(F.col(group), block.alias("_block")).agg(F.count("*").alias("_rows"))
-    sizes = sizes.withColumn("_area", F.shiftright("_block", bits))
+    block = F.shiftright(F.col(key).cast("long"), bits).alias("_block")
+    keys = rows.select(group, key, block)
+    sizes = keys.groupBy(group, "_block").agg(F.count("*").alias("_rows"))
+    sizes = sizes.withColumn("_area", F.shiftright("_block", AREA_BITS))
     areas = sizes.groupBy(group, "_area").agg(F.sum("_rows").alias("_rows"))
 
     def before(order: WindowSpec) -> Column:
         return F.coalesce(F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    # An area spans 2^40 keys, so tables have one or two of them.
+    # An area spans 2^32 keys, so tables have a handful of them.
     starts = areas.select(group, "_area", before(Window.orderBy(group, "_area")).alias("_area_start"))
     in_area = before(Window.partitionBy(group, "_area").orderBy("_block"))
     blocks = (
@@ -53,14 +52,13 @@ def number_rows(
         .select(group, "_block", (F.col("_area_start") + F.col("_block_start")).alias("_start"))
     )
     place = F.row_number().over(Window.partitionBy(group, "_block").orderBy(key))
-    numbered = blocked.withColumn("_place", place).join(blocks, [group, "_block"])
-    return numbered.withColumn(name, F.col("_start") + F.col("_place")).drop("_block", "_place", "_start")
+    numbered = keys.withColumn("_place", place).join(blocks, [group, "_block"])
+    numbers = numbered.select(group, key, (F.col("_start") + F.col("_place")).alias(name))
+    return rows.join(numbers, [group, key]).select(*rows.columns, name)
 
 
-def next_object_ids(
-    target: DataFrame, rows: DataFrame, group: str, key: str, id_col: str = "OBJECTID", keys: DataFrame | None = None
-) -> DataFrame:
+def next_object_ids(target: DataFrame, rows: DataFrame, group: str, key: str, id_col: str = "OBJECTID") -> DataFrame:
     """``rows`` with ``id_col`` counting on from the highest one in ``target``, in the order of ``group`` and ``key``."""
     highest = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_highest"))
-    numbered = number_rows(rows, group, key, "_number", keys=keys)
+    numbered = number_rows(rows, group, key, "_number")
     return numbered.withColumn(id_col, F.col("_number") + highest.scalar()).drop("_number")

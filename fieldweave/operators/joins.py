@@ -7,14 +7,6 @@ from pyspark.sql import functions as F
 
 KEY_HASH = "_key_hash"
 
-# Keys of some hundred bytes each, so at most a few hundred megabytes per executor.
-BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_few(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table of keys, marked for broadcast if it has at most ``rows`` rows; counting reads file footers only."""
-    return F.broadcast(stored) if stored.count() <= rows else stored
-
 
 def split_join(rows: DataFrame, unique: DataFrame, keys: list[str], how: str) -> DataFrame:
     """``rows`` joined with ``unique`` so that tasks can share the rows of a hot key.

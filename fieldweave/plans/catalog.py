@@ -11,7 +11,6 @@ from fieldweave.functions import scalars as X
 from fieldweave.operators import activities as A
 from fieldweave.operators import cascade, chemicals, coded, control, identity, lists, mapping
 from fieldweave.operators import relations as R
-from fieldweave.operators.joins import split_join
 from fieldweave.plans import prepare, refresh, sync
 from fieldweave.sources import sinks, tables as S
 
@@ -79,9 +78,8 @@ def _typed_codes(t) -> DataFrame:
 
 def _read_code_lists(t) -> DataFrame:
     folder = _work_folder(t)
-    rows = sinks.stored(lists.universal_domains(t), f"{folder}/lists")
-    sinks.write_code_lists(rows, f"{folder}/csv", lists.UNIVERSAL)
-    return sinks.read_code_lists(_session(t), f"{folder}/csv")
+    sinks.write_code_lists(lists.universal_domains(t), folder)
+    return sinks.read_code_lists(_session(t), folder)
 
 
 def _csv_roundtrip(t) -> DataFrame:
@@ -181,10 +179,10 @@ def _rekeyed(t) -> DataFrame:
     return lists.union(parts)
 
 
-def _decoded(per_property: bool, keys: list[str]) -> Query:
+def _decoded(per_property: bool, keys: list[str], dataset: str = "activity") -> Query:
     def query(t) -> DataFrame:
-        bindings = coded.bindings_of("activity", per_property)
-        rows = t["activity"].select(*keys, *[b.field for b in bindings])
+        bindings = coded.bindings_of(dataset, per_property)
+        rows = t[dataset].select(*keys, *[b.field for b in bindings])
         return coded.decode(rows, bindings, _code_lists(t))
     return query
 
@@ -195,8 +193,46 @@ def _subtype_names(t) -> DataFrame:
 
 def _sync_chemicals(t) -> DataFrame:
     """Chemicals that the run adds or updates."""
-    after = sync.sync(t, folder=_work_folder(t)).chemicals
-    return split_join(after, chemicals.guids_of(t["chem_mobile"]), ["Child_GUID"], "left_semi")
+    result = sync.sync(t, folder=_work_folder(t))
+    return result.changed_chemicals.unionByName(result.new_chemicals)
+
+
+def _sync_rerun(t) -> DataFrame:
+    """Chemicals after a run, and a second one over the same mobile rows and one more chemical for each known GUID."""
+    spark, first, second = _session(t), _work_folder(t), _work_folder(t)
+    sync.publish(t, first)
+    read = spark.read.parquet
+    office = sync.sync(t).same_chemicals.unionByName(read(f"{first}/changed_chemicals")).unionByName(read(f"{first}/new_chemicals"))
+    more = t["chem_mobile"].filter("OBJECTID % 1000 = 1").withColumns(
+        {"OBJECTID": F.col("OBJECTID") + 500, "MasterChemOID": F.col("MasterChemOID") + 1})
+    after = {
+        **t, "activity": t["activity"].unionByName(read(f"{first}/new_activities")), "chem_app": sinks.stored(office, f"{second}/office"),
+        "chem_mobile": t["chem_mobile"].unionByName(more),
+    }
+    sync.publish(after, second, earlier=[first])
+    return sync.sync(after, sync.merged_by(spark, [first])).same_chemicals.unionByName(
+        read(f"{second}/changed_chemicals")).unionByName(read(f"{second}/new_chemicals"))
+
+
+def _published_lists(t) -> DataFrame:
+    folder = _work_folder(t)
+    refresh.publish(t, t["property_flags"], t["forms"], folder)
+    return sinks.read_code_lists(_session(t), f"{folder}/universal")
+
+
+def _migrated(t) -> DataFrame:
+    """Keys and GlobalIDs in the tables that preparation writes."""
+    folder = _work_folder(t)
+    prepare.migrate(t, folder)
+    columns = {
+        "stand": ("ObjectID", "GlobalID"), "chem_master": ("ObjectID", "GlobalID"), "activity": ("OBJECTID", "TFM_CMN_PROPERTY_GlobalID"),
+        "chem_app": ("ActivityOID", "TFM_OP_ACTIVITY_GlobalID"), "hv_optprod": ("HUOID", "HVUnit_GlobalID"),
+    }
+    return lists.union([
+        _session(t).read.parquet(f"{folder}/{name}").groupBy(F.col(key).cast("string").alias("key"), F.col(gid).alias("GlobalID"))
+        .agg(F.count("*").alias("rows")).select(F.lit(name).alias("dataset"), "key", "GlobalID", "rows")
+        for name, (key, gid) in columns.items()
+    ])
 
 
 QUERIES: dict[str, Query] = {
@@ -263,6 +299,7 @@ QUERIES: dict[str, Query] = {
     "sync_property_activities": lambda t: _staged(t, sync.staged_property(t, _activity_staging(t))),
     "sync_stand_activities": _stand,
     "sync_chemicals": _sync_chemicals,
+    "sync_rerun": _sync_rerun,
     "sync_all": lambda t: sync.sync_rows(t, _work_folder(t)),
     # relations and coded values
     "rel_property_activity": _related("Property_PropAct", ["Name"], ["OBJECTID", "Status", "Cost"]),
@@ -270,17 +307,25 @@ QUERIES: dict[str, Query] = {
     "rel_mobile_guid": _related("Activity_Chemical_New", ["OBJECTID"], ["MasterChemOID", "Rate"]),
     "rel_unit_product": _related("HVunit_OPTproduct", ["GlobalID"], ["Quantity"]),
     "rel_backward": _related("HVunit_OPTproduct", ["GlobalID"], ["Quantity"], "backward"),
+    "rel_backward_property": _related("Property_PropAct", ["Name"], ["OBJECTID", "Status", "Cost"], "backward"),
+    "rel_backward_activity": _related("Activity_Chemical_Existing", ["GlobalID"], ["MasterChemOID", "Rate", "Cost"], "backward"),
+    "rel_backward_mobile": _related("Activity_Chemical_New", ["OBJECTID"], ["MasterChemOID", "Rate"], "backward"),
     "rel_orphans": _each_relation(R.orphans),
     "rel_childless": _each_relation(R.childless),
     "rel_cardinality": _each_relation(R.repeated_parents, (LISTING,)),
     "rel_migrate_globalid": _rekeyed,
     "decode_property_domain": _decoded(True, ["OBJECTID", "PropertyOID"]),
     "decode_universal_domain": _decoded(False, ["OBJECTID"]),
+    "decode_chemical_domain": _decoded(True, ["Child_GUID", "PropertyOID"], "chem_app"),
+    "decode_unit_domain": _decoded(False, ["ObjectID"], "hv_unit"),
+    "decode_special_domain": _decoded(False, [], "special_point"),
     "domain_violations": lambda t: coded.domain_violations(t, _code_lists(t)),
     "subtype_decode": _subtype_names,
     "subtype_unknown": lambda t: coded.unknown_subtypes(t["activity_mobile"], t["property_flags"]),
     "prepare_model": lambda t: prepare.prepare(t, _code_lists(t)),
+    "migrated_tables": _migrated,
     # control
+    "published_universal_lists": _published_lists,
     "form_match": _forms,
     "form_missing": lambda t: control.missing_forms(_changed(t), _forms(t)),
     "refresh_properties": lambda t: refresh.refresh(t, t["property_flags"], t["forms"]),

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from fieldweave.operators import control
 from fieldweave.operators.cascade import chem_defaults, itemsets
-from fieldweave.operators.lists import Tables, domain_all
-from fieldweave.sources.sinks import replace_domains, stored, write_csv
+from fieldweave.operators.lists import Tables, domain_all, universal_domains
+from fieldweave.sources.sinks import replace_domains, stored, write_code_lists, write_csv
 
 
 def refresh(tables: Tables, flags: DataFrame, forms: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def refresh(tables: Tables, flags: DataFrame, forms: DataFrame) -> DataFrame:
 def publish(
     tables: Tables, flags: DataFrame, forms: DataFrame, folder: str, ignore: list[str] | None = None
 ) -> DataFrame:
-    """Write the lists of the changed properties and the reset flags; returns the properties without a form.
+    """Write the lists of the changed properties, all universal lists and the reset flags; returns the properties without a form.
 
     The flags come last, so a run that stops half way is repeated with the same properties.
     """
@@ -43,6 +43,7 @@ def publish(
     matches = stored(control.match_forms(props, forms), f"{folder}/forms")
     with_form = matches.select("property_oid").distinct()
     replace_domains(domain_all(tables, props), f"{folder}/domains")
+    write_code_lists(universal_domains(tables), f"{folder}/universal")
     write_csv(itemsets(tables, with_form), f"{folder}/itemsets", ordered=True)
     write_csv(chem_defaults(tables, with_form), f"{folder}/chemdefaults")
     missing = stored(control.missing_forms(props, matches), f"{folder}/missing")

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldweave.operators import activities as A
 from fieldweave.operators import chemicals as C
-from fieldweave.operators.joins import broadcast_if_few
+from fieldweave.operators.joins import split_join
 from fieldweave.operators.lists import Tables
 from fieldweave.sources.sinks import stored
 from fieldweave.sources.tables import dataset_counts, staging_schema
@@ -26,65 +27,82 @@ def staged_stand(tables: Tables, staging: T.StructType) -> DataFrame:
     return A.enrich_stand(rows, tables["stand"])
 
 
-def new_activities(tables: Tables, skip_known: bool = False) -> DataFrame:
-    """Rows to add to the activity table, complete with ObjectIDs and GlobalIDs.
+class Merged(NamedTuple):
+    """Keys of the mobile rows that earlier runs have merged."""
 
-    ``skip_known`` leaves out activities whose GUID the table already holds, so that a run can be repeated.
-    """
+    activities: DataFrame | None = None
+    chemicals: DataFrame | None = None
+
+
+def merged_by(spark: SparkSession, folders: list[str]) -> Merged:
+    """What the runs that ``publish`` wrote to ``folders`` have merged."""
+    if not folders:
+        return Merged()
+    read = spark.read.schema("OBJECTID long").parquet
+    return Merged(read(*[f"{f}/merged_activities" for f in folders]), read(*[f"{f}/merged_chemicals" for f in folders]))
+
+
+def new_activities(tables: Tables, merged: Merged = Merged()) -> DataFrame:
+    """Rows to add to the activity table, complete with ObjectIDs and GlobalIDs; mobile rows merged before are left out."""
     target = tables["activity"]
     routed = tables["activity_mobile"].filter(F.col("prop_or_stand").isin(A.PROPERTY_ROUTE, A.STAND_ROUTE))
-    staged = A.stage(routed, staging_schema(target, "activity"))
-    if skip_known:
-        staged = A.unseen(staged, target, "Parent_GUID")
+    staged = A.stage(A.unmerged(routed, merged.activities), staging_schema(target, "activity"))
     return A.append_new(target, staged, tables["property"], tables["stand"], "activity")
 
 
-def chemical_input(tables: Tables, skip_known: bool = False) -> DataFrame:
+def chemical_input(tables: Tables, merged: Merged = Merged()) -> DataFrame:
     """New chemicals; none of them counts in a run without new activities."""
-    rows = tables["chem_mobile"].where(tables["activity_mobile"].exists())
-    return A.unseen(rows, tables["chem_app"], "Child_GUID") if skip_known else rows
+    return A.unmerged(tables["chem_mobile"].where(tables["activity_mobile"].exists()), merged.chemicals)
 
 
-def new_chemicals(tables: Tables, skip_known: bool = False) -> DataFrame:
+def new_chemicals(tables: Tables, merged: Merged = Merged()) -> DataFrame:
     """Planned and actual records to add to the chemical table, without activity keys yet."""
     target = tables["chem_app"]
-    return C.planned_and_actual(chemical_input(tables, skip_known), target.schema, staging_schema(target, "chem_app"))
+    return C.planned_and_actual(chemical_input(tables, merged), target.schema, staging_schema(target, "chem_app"))
 
 
 @dataclass
 class SyncResult:
     new_activities: DataFrame
     activities: DataFrame
-    chemicals: DataFrame
+    new_chemicals: DataFrame
+    changed_chemicals: DataFrame
+    same_chemicals: DataFrame
     rejects: DataFrame
     overlay: DataFrame
     counts: DataFrame
 
+    @property
+    def chemicals(self) -> DataFrame:
+        """The whole chemical table after the run."""
+        return self.same_chemicals.unionByName(self.changed_chemicals).unionByName(self.new_chemicals)
+
 
-def sync(tables: Tables, skip_known: bool = False, folder: str | None = None) -> SyncResult:
+def sync(tables: Tables, merged: Merged = Merged(), folder: str | None = None) -> SyncResult:
     """All results of a run.
 
+    Only the chemicals with a GUID of the day are looked up and updated; all others are the rows that stay the same.
     With a ``folder`` the new rows and their keys are computed once, written there and read back. They are as few as the
-    day's work. Stored, they can be counted, and while they are few neither the activities nor the chemicals of the
-    office move to meet them. Without a folder every frame is lazy and computes what it needs anew.
+    day's work, so Spark knows their size and may leave the office tables where they are. Without a folder every frame
+    is lazy and computes what it needs anew.
     """
     def keep(df: DataFrame, name: str) -> DataFrame:
         return stored(df, f"{folder}/{name}") if folder else df
 
-    def keep_keys(df: DataFrame, name: str) -> DataFrame:
-        return broadcast_if_few(keep(df, name)) if folder else df
-
     mobile = tables["activity_mobile"]
     routes = A.route(mobile)
-    new = keep(new_activities(tables, skip_known), "new_activities")
+    new = keep(new_activities(tables, merged), "new_activities")
     activities = tables["activity"].unionByName(new)
-    records = keep(new_chemicals(tables, skip_known), "new_chemicals")
-    guids = keep_keys(C.guids_of(records), "guids")
-    keys = keep_keys(C.activity_keys(guids, activities), "activity_keys")
+    records = keep(new_chemicals(tables, merged), "chemical_records")
+    guids = keep(C.guids_of(records), "guids")
+    keys = keep(C.activity_keys(guids, activities), "activity_keys")
+    office = tables["chem_app"]
     return SyncResult(
         new_activities=new,
         activities=activities,
-        chemicals=C.set_activity_keys(tables["chem_app"].unionByName(records), keys),
+        new_chemicals=C.set_activity_keys(records, keys),
+        changed_chemicals=C.set_activity_keys(split_join(office, guids, ["Child_GUID"], "left_semi"), keys),
+        same_chemicals=split_join(office, guids, ["Child_GUID"], "left_anti"),
         rejects=routes.reject,
         overlay=A.overlay_worklist(activities, routes.stand),
         counts=A.route_counts(mobile, tables["chem_mobile"]),
@@ -108,19 +126,25 @@ def sync_rows(tables: Tables, folder: str | None = None) -> DataFrame:
     return total
 
 
-def publish(tables: Tables, folder: str, skip_known: bool = False) -> DataFrame | None:
+def publish(tables: Tables, folder: str, earlier: list[str] = []) -> DataFrame | None:
     """Run a sync and write its results under ``folder``; None if there is nothing new.
 
-    Writes ``new_activities`` to append to the activity table, ``chemicals`` to replace the chemical table with, then
-    the rest. Each step reads what the step before has written, so the keys in the chemicals are those that were
-    stored. The input tables are not touched: a run that stops half way is simply repeated. Clear the mobile tables
-    once both results are in place; where that was missed, ``skip_known`` keeps a second run from adding rows again.
+    Writes ``new_activities`` and ``new_chemicals`` to append to the office tables, ``changed_chemicals`` to put in place of
+    the chemicals with the same GUIDs, then the rest. Each step reads what the step before has written, so the keys in
+    the chemicals are those that were stored. The input tables are not touched: a run that stops half way is simply
+    repeated. Mobile rows stay until somebody clears them; ``earlier`` names the folders of the runs since, whose rows
+    are not merged again, whatever their GUID.
     """
-    dataset_counts(tables)
+    dataset_counts(tables)  # names what is missing
     if tables["activity_mobile"].isEmpty():
         return None
-    result = sync(tables, skip_known, folder)
-    stored(result.chemicals, f"{folder}/chemicals")
+    merged = merged_by(tables["activity"].sparkSession, earlier)
+    result = sync(tables, merged, folder)
+    stored(result.new_chemicals, f"{folder}/new_chemicals")
+    stored(result.changed_chemicals, f"{folder}/changed_chemicals")
     stored(result.rejects, f"{folder}/rejects")
     stored(result.overlay, f"{folder}/overlay")
+    routed = tables["activity_mobile"].filter(F.col("prop_or_stand").isin(A.PROPERTY_ROUTE, A.STAND_ROUTE))
+    stored(A.unmerged(routed, merged.activities).select("OBJECTID"), f"{folder}/merged_activities")
+    stored(chemical_input(tables, merged).select("OBJECTID"), f"{folder}/merged_chemicals")
     return stored(result.counts, f"{folder}/counts")

@@ -90,7 +90,7 @@ BINDINGS: dict[str, Binding] = {
             ("COMPARTMENTOID", "bigint", 'o_custkey % 600'),
             ("REG_Species", "string", "case o_orderkey % 7 when 0 then 'UNKNOWN' when 1 then null else 'ECONOMY' end"),
             ("REG_Pattern", "string", "concat('Brand#', cast(o_orderkey % 30 as string))"),
-            ("REG_Stock_Type", "string", "'PROMO'"),
+            ("REG_Stock_Type", "string", "case o_orderkey % 5 when 0 then 'PROMO' when 1 then 'ECONOMY' when 2 then 'LARGE' when 3 then 'UNKNOWN' else null end"),
             ("Cost", "double", 'o_totalprice'),
             ("SHAPE", "string", 'cast(null as string)'),
             ("office_only", "string", "'y'"),
@@ -99,6 +99,7 @@ BINDINGS: dict[str, Binding] = {
     "chem_mobile": Binding(
         "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= timestamp '2001-01-01 00:00:00'",
         [
+            ("OBJECTID", "bigint", "l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)"),
             ("Child_GUID", "string", "md5(concat('activity:', cast(l_orderkey as string)))"),
             ("PropertyOID", "int", 'c_nationkey'),
             ("MasterChemOID", "bigint", 'l_partkey'),
@@ -192,11 +193,11 @@ BINDINGS: dict[str, Binding] = {
         ],
     ),
     "property_category": Binding(
-        'FROM nation CROSS JOIN (SELECT DISTINCT o_orderpriority FROM orders) x',
+        'FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey',
         [
             ("category", "string", 'o_orderpriority'),
             ("PROPERTYOID", "int", 'n_nationkey'),
-            ("activeflag", "int", '(n_nationkey + length(o_orderpriority)) % 2'),
+            ("activeflag", "int", '(n_nationkey + cast(length(o_orderpriority) as int)) % 2'),
         ],
     ),
     "stand_type": Binding(

@@ -50,18 +50,17 @@ def read_csv(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_READ).csv(folder)
 
 
-def write_code_lists(lists: DataFrame, folder: str, names: list[str]) -> None:
-    """``code, description`` of each named list as CSV files in ``<folder>/<list_name>.csv``."""
-    for name in names:
-        rows = lists.filter(F.col("list_name") == name).select("code", "description")
-        rows.write.mode("overwrite").options(**CSV_WRITE).csv(f"{folder}/{name}.csv")
+def write_code_lists(lists: DataFrame, folder: str) -> None:
+    """``code, description`` of each list as CSV files in one folder ``list_name=<list_name>`` per list."""
+    write_csv(lists.select("list_name", "code", "description"), folder, by="list_name")
 
 
 def read_code_lists(spark: SparkSession, folder: str) -> DataFrame:
-    """``list_name, code, description`` of the CSV files ``<folder>/<list_name>.csv``, plain files or folders of parts."""
-    rows = read_csv(spark, f"{folder.rstrip('/')}/*.csv", "code string, description string")
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv(?:/[^/]*)?$", 1)
-    return rows.select(F.url_decode(name).alias("list_name"), "code", "description")
+    """``list_name, code, description`` of what ``write_code_lists`` wrote, or of plain files ``<list_name>.csv``."""
+    rows = spark.read.schema("code string, description string").options(**CSV_READ, recursiveFileLookup=True, pathGlobFilter="*.csv")
+    name = F.regexp_extract(F.input_file_name(), r"(?:/list_name=([^/]+)/[^/]*|/([^/]+)\.csv)$", 0)
+    name = F.regexp_replace(F.regexp_replace(name, r"^/(?:list_name=)?", ""), r"(?:/[^/]*|\.csv)$", "")
+    return rows.csv(folder).select(F.url_decode(name).alias("list_name"), "code", "description")
 
 
 def replace_domains(domains: DataFrame, folder: str, name: str = "domain_name") -> None:

@@ -22,11 +22,6 @@ COLLATION = "UTF8_LCASE_RTRIM"
 
 RAW_NAME = re.compile(rf"\b({'|'.join(RAW_SCHEMAS)})\b")
 
-# The same rows as nation x distinct priorities, without a cross join: the few distinct priorities travel as one array.
-PROPERTY_CATEGORY = (
-    "FROM (SELECT n_nationkey, explode((SELECT collect_set(o_orderpriority) FROM orders)) AS o_orderpriority FROM nation) x"
-)
-
 
 class BoundTables(Mapping):
     """The data model bound to a folder of raw parquet tables. Each table is built when first asked for."""
@@ -45,9 +40,8 @@ class BoundTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._bound:
             binding = BINDINGS[name]
-            source = PROPERTY_CATEGORY if name == "property_category" else binding.source
-            text = binding.select(RAW_NAME.sub(r"{\1}", source))
-            used = {raw: self.raw(raw) for raw in set(RAW_NAME.findall(source))}
+            text = binding.select(RAW_NAME.sub(r"{\1}", binding.source))
+            used = {raw: self.raw(raw) for raw in set(RAW_NAME.findall(binding.source))}
             self._bound[name] = self._spark.sql(text, **used)
         return self._bound[name]
 

@@ -42,21 +42,14 @@ def test_matching_forms_needs_no_shuffle_of_titles(spark, folder):
     assert "Exchange hashpartitioning(text" not in before_scan
 
 
-def test_office_tables_stay_in_place_while_keys_are_few(spark, tables, tmp_path):
-    """With the day's keys stored, the whole chemical table is updated without a shuffle of its own."""
-    from fieldweave.operators.joins import broadcast_if_few
+def test_chemicals_are_filtered_before_they_are_updated(spark, tables, tmp_path):
+    """Without any broadcast: only chemicals with a GUID of the day meet the keys."""
     from fieldweave.plans import sync
 
-    for name in ("activity", "chem_app"):
-        tables[name].write.parquet(str(tmp_path / name))
-    stored = {**tables, **{name: spark.read.parquet(str(tmp_path / name)) for name in ("activity", "chem_app")}}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        result = sync.sync(stored, folder=str(tmp_path / "run"))
-        assert "Exchange hashpartitioning" not in plan(result.chemicals)
-        keys = spark.read.parquet(str(tmp_path / "run" / "activity_keys"))
-        assert "BroadcastExchange" in plan(tables["chem_app"].join(broadcast_if_few(keys), "Child_GUID", "left"))
-        assert "BroadcastExchange" not in plan(stored["chem_app"].join(broadcast_if_few(keys, rows=0), "Child_GUID", "left"))
+        text = plan(sync.sync(tables, folder=str(tmp_path / "run")).changed_chemicals)
+        assert text.index("LeftOuter") < text.index("LeftSemi")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -62,9 +62,9 @@ def keys_of_chemicals(spark):
     return chemicals.backfill(rows, rows, activity)
 
 
-def unseen(spark):
-    rows = guid_rows(spark)
-    return A.unseen(rows, rows.filter("id % 2 = 1 and key <> 'hot'"), "key")
+def unmerged(spark):
+    rows = hot(spark, F.lit(-1).cast("long"), F.col("id")).withColumnRenamed("key", "OBJECTID")
+    return A.unmerged(rows, rows.filter("id % 2 = 1 and OBJECTID >= 0"))
 
 
 def decoded(spark):
@@ -108,14 +108,14 @@ def compartments(spark):
 
 
 @pytest.mark.parametrize("build", [
-    stand, keys_of_chemicals, unseen, decoded, rekeyed, related, defaults, compartments,
+    stand, keys_of_chemicals, unmerged, decoded, rekeyed, related, defaults, compartments,
 ], ids=lambda build: build.__name__)
 def test_hot_key_is_split(spark, build):
     with small_partitions(spark):
         df = build(spark)
         found = df.collect()
         assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
-    missing = ROWS // 3 if build is unseen else 0
+    missing = ROWS // 3 if build is unmerged else 0
     assert len(found) == ROWS - missing
 
 
@@ -137,3 +137,32 @@ def test_pairs_of_a_hot_property_are_dealt_to_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     sizes = [row["count"] for row in per_task]
     assert sum(sizes) == 600 * 50 and len(sizes) > 1
+
+
+def test_property_rows_are_dealt_out(spark):
+    """Half the rows are property rows, which have no stand: they must not meet in one task of the join for shapes."""
+    rows = spark.range(0, ROWS, 1, 16).select(
+        F.concat(F.lit("g"), F.col("id")).alias("PARENT_GUID"), F.lit(None).cast("long").alias("Parent_OID"),
+        F.lit(None).cast("string").alias("SHAPE"), F.col("id").alias("_read_order"),
+        F.when(F.col("id") % 2 == 0, F.col("id") % 40).alias("_stand_oid"), (F.col("id") % 2 == 0).alias("_is_stand"))
+    stands = spark.range(ROWS).select(F.col("id").alias("ObjectID"), F.lit("s").alias("SHAPE"))
+    with small_partitions(spark):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            keyed = A.stand_keys(rows, stands, where=F.col("_is_stand")).withColumn(
+                "_found", F.when(F.col("_found").isNotNull(), F.col("_read_order")))
+            sizes = [r["n"] for r in A.stand_shapes(keyed, stands).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == ROWS and max(sizes) < 2 * ROWS / len(sizes)
+
+
+def test_numbering_is_dealt_out(spark):
+    from fieldweave.operators.identity import number_rows
+
+    rows = spark.range(1, ROWS + 1).select(F.lit(True).alias("group"), F.col("id").alias("key"), F.lit("shape").alias("SHAPE"))
+    with small_partitions(spark):
+        df = number_rows(rows, "group", "key", "number")
+        assert df.filter("number = key").count() == ROWS
+        text = df._jdf.queryExecution().executedPlan().toString()
+    assert all("SHAPE" not in line for line in text.splitlines() if "Window" in line and "row_number" in line)

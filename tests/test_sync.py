@@ -176,17 +176,26 @@ def test_publish_then_repeat(spark, tables, tmp_path):
     assert counts == dict(rows(lazy.counts))
     read = spark.read.parquet
     assert rows(read(f"{first}/new_activities")) == rows(lazy.new_activities)
-    assert rows(read(f"{first}/chemicals")) == rows(lazy.chemicals)
+    assert rows(read(f"{first}/changed_chemicals")) == rows(lazy.changed_chemicals)
+    assert rows(read(f"{first}/new_chemicals")) == rows(lazy.new_chemicals)
     assert rows(read(f"{first}/overlay")) == rows(lazy.overlay)
     after = {
         **tables,
         "activity": tables["activity"].unionByName(read(f"{first}/new_activities")),
-        "chem_app": read(f"{first}/chemicals"),
+        "chem_app": lazy.chemicals,
     }
     second = str(tmp_path / "second")
-    sync.publish(after, second, skip_known=True)
-    assert read(f"{second}/new_activities").isEmpty()
-    assert rows(read(f"{second}/chemicals")) == rows(read(f"{first}/chemicals"))
+    sync.publish(after, second, earlier=[first])
+    assert read(f"{second}/new_activities").isEmpty() and read(f"{second}/new_chemicals").isEmpty()
+    assert read(f"{second}/merged_chemicals").isEmpty()
+
+
+def test_rerun_goes_by_the_row_itself(spark):
+    """A new chemical of a known activity is merged; a merged one without a GUID is not merged again."""
+    merged = spark.createDataFrame([(1,), (2,)], "OBJECTID long")
+    mobile = spark.createDataFrame([(1, "g1"), (2, None), (3, "g1"), (4, None)], "OBJECTID long, Child_GUID string")
+    assert rows(A.unmerged(mobile, merged)) == [(3, "g1"), (4, None)]
+    assert A.unmerged(mobile, None) is mobile
 
 
 def test_publish_without_news(tables, tmp_path):
