@@ -278,7 +278,7 @@ BINDINGS: dict[str, Binding] = {
         'FROM pages',
         [
             ("form_id", "bigint", 'page_id'),
-            ("title", "string", 'url'),
+            ("title", "string", "replace(url, '9', '')"),
         ],
     ),
 }
