@@ -90,15 +90,36 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.greatest(x, y).alias("u"), F.least(x, y).alias("v")]
 
 
+def _sets_of(rows: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``row, items``: the full sets of the texts of ``rows``."""
+    wanted = stored(rows.distinct().join(nodes.select("row", F.col("doc_id").alias("id"), F.col("text_key").alias("key")), "row"))
+    found = texts.join(wanted.hint("merge"), (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    return stored(found.select("row", "text").mapInArrow(_sets, "row long, items array<long>").dropDuplicates(["row"]))
+
+
+def _similar(a: str, b: str) -> Column:
+    both = F.size(F.array_intersect(a, b))
+    return 100 * both >= PERCENT * (F.size(a) + F.size(b) - both)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct()
-    wanted = stored(wanted.join(nodes.select("row", F.col("doc_id").alias("id"), F.col("text_key").alias("key")), "row"))
-    found = texts.join(wanted.hint("merge"), (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id")))
-    sets = stored(found.select("row", "text").mapInArrow(_sets, "row long, items array<long>").dropDuplicates(["row"]))
+    sets = _sets_of(pairs.select(F.explode(F.array("u", "v")).alias("row")), texts, nodes)
     u, v = (sets.select(F.col("row").alias(c), F.col("items").alias(f"items_{c}")) for c in "uv")
-    both = F.size(F.array_intersect("items_u", "items_v"))
-    return pairs.join(u, "u").join(v, "v").filter(100 * both >= PERCENT * (F.size("items_u") + F.size("items_v") - both)).select("u", "v")
+    return pairs.join(u, "u").join(v, "v").filter(_similar("items_u", "items_v")).select("u", "v")
+
+
+def _links_within(mixed_: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links between nodes that share a bucket of ``mixed_`` but no component, one of them outside the bucket's main one.
+
+    Sets are compared inside the join, so that only links come out of it, and a pair only in the first band it shares.
+    """
+    rows = mixed_.filter("row != center")
+    rows = rows.join(nodes.select("row", "bands"), "row").join(_sets_of(rows.select("row"), texts, nodes), "row")
+    apart = (F.col("a.part") != F.col("b.part")) & ((F.col("a.part") == F.col("a.main")) | (F.col("a.row") < F.col("b.row")))
+    earlier = F.zip_with(F.slice("a.bands", F.lit(1), F.col("a.place")), F.slice("b.bands", F.lit(1), F.col("b.place")), lambda x, y: x == y)
+    same = (F.col("a.band") == F.col("b.band")) & apart & _near("a", "b") & ~F.exists(earlier, lambda x: x) & _similar("a.items", "b.items")
+    return rows.alias("a").join(rows.filter("part != main").alias("b"), same).select(*_pair("a", "b")).distinct()
 
 
 def _apart(pairs: DataFrame, tied: DataFrame) -> DataFrame:
@@ -108,11 +129,8 @@ def _apart(pairs: DataFrame, tied: DataFrame) -> DataFrame:
     return named.filter(F.coalesce("part_u", "u") != F.coalesce("part_v", "v")).select("u", "v")
 
 
-def _tied_more(tied: DataFrame, pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    pairs = stored(pairs)
-    if pairs.isEmpty():
-        return tied
-    links = stored(_verified(pairs, texts, nodes))
+def _tied_more(tied: DataFrame, links: DataFrame) -> DataFrame:
+    links = stored(links)
     return tied if links.isEmpty() else components(tied.unionByName(links))
 
 
@@ -124,8 +142,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sets, with the smallest of these first nodes first, and with others if they are not in one component by then. After
     large-star and small-star steps over the links found, most buckets lie in one component. In the others,
     nodes outside the component that most of the bucket belongs to are compared with all nodes of the bucket in other
-    components, so no candidate pair that could still connect two components is left out, and no bucket is capped.
-    The steps are then repeated with these links. Joins are between stored tables, which lets Spark split hot keys.
+    components, so no candidate pair that could still connect two components is left out, and no bucket is capped. Of
+    these pairs only the links come out of the join; the steps are then repeated with them. Joins are between stored tables, which lets Spark split hot keys.
 
     Texts without words have no shingles and are linked with nothing. NULL ids come last when the row that stays is
     chosen; of rows that repeat an id within a component one stays. Other columns are not read. No rows give no rows.
@@ -142,7 +160,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .select("row", "doc_id", "text_key", "n_shingles", F.coalesce("node", "row").alias("node")))
     repeats = rows.filter("row != node").select("row")
     nodes = described.filter("set_id is not null").join(repeats, "row", "left_anti")
-    in_bands = nodes.select(F.explode("bands").alias("band"), "row")
+    in_bands = nodes.select(F.posexplode("bands").alias("place", "band"), "row")
     buckets = stored(
         in_bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("center")).filter("n > 1").drop("n"))
     members = stored(
@@ -153,19 +171,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first = stored(
         members.filter("row != center").alias("a").join(centers.alias("b"), links & _near("a", "b")).select(*_pair("a", "b")).distinct())
     tied = components(_verified(first.groupBy("u").agg(F.min("v").alias("v")), texts, described))
-    tied = _tied_more(tied, _apart(first, tied), texts, described)
+    tied = _tied_more(tied, _verified(stored(_apart(first, tied)), texts, described))
 
     named = members.join(tied.select(F.col("u").alias("row"), "v"), "row", "left").withColumn("part", F.coalesce("v", "row")).drop("v")
     shares = named.groupBy("band", "part").agg(F.count(F.lit(1)).alias("n"))
     main = shares.groupBy("band").agg(F.max_by("part", "n").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
     mixed_ = stored(named.join(main.select("band", "main"), "band"))
-    outside = mixed_.filter("part != main and row != center")
-    others = mixed_.filter("row != center")
-    apart = (F.col("a.part") != F.col("b.part")) & ((F.col("b.part") == F.col("b.main")) | (F.col("a.row") < F.col("b.row")))
-    second = (
-        outside.alias("a").join(others.alias("b"), links & apart & _near("a", "b")).select(*_pair("a", "b")).distinct()
-        .join(first, ["u", "v"], "left_anti"))
-    tied = _tied_more(tied, second, texts, described)
+    if not mixed_.isEmpty():
+        tied = _tied_more(tied, _links_within(mixed_, texts, described))
 
     placed = stored(
         rows.join(tied.select(F.col("u").alias("node"), "v"), "node", "left")
