@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fieldweave.llm.licenses import PHRASES, TEMPLATES
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 EXACT_DEDUP = r"""
@@ -67,8 +69,73 @@ SELECT pair_id, any_value(n_prompt) AS n_prompt_turns,
 FROM s GROUP BY pair_id
 """
 
+NEAR_DEDUP = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS item
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.item = b.item GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * i >= 75 * (na.n + nb.n - i)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id, n.n
+"""
+
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+reach(vec_id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT r.vec_id, (SELECT count(*) FROM links WHERE a = r.vec_id) AS n_links, min(other) AS component_id, r.vec_id = min(other) AS kept
+FROM reach r GROUP BY r.vec_id
+"""
+
+SHARED_PASSAGES = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+x AS (SELECT doc_id, p, w[p] AS word, CASE WHEN p + 12 <= len(w) THEN array_to_string(w[p:p + 12], ' ') END AS span
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+f AS (SELECT doc_id, p, word, span IS NOT NULL AND min(doc_id) OVER (PARTITION BY span) < doc_id AS repeated FROM x),
+c AS (SELECT doc_id, p, word, bool_or(repeated) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM f),
+k AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS kept FROM c GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+def _phrases() -> str:
+    rows = [(text, label, "true") for text, label in PHRASES] + [(text, label, "false") for text, label in TEMPLATES]
+    return ", ".join(f"({n}, '{text}', '{label}', {base})" for n, (text, label, base) in enumerate(rows))
+
+
+LICENSE_SCAN = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+k AS (SELECT n, label, base, string_split(t, ' ') AS w FROM (VALUES {_phrases()}) v(n, t, label, base)),
+t AS (SELECT n, label, base, len(w) - 1 AS grams, place, w[place] AS x, w[place + 1] AS y FROM (SELECT *, unnest(range(1, len(w))) AS place FROM k)),
+g AS (SELECT doc_id, p, w[p] AS x, w[p + 1] AS y FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS p FROM d)),
+v AS (SELECT doc_id, n, label, base, grams, p - place AS diagonal, list(place) AS seen, min(p) - 1 AS start FROM g JOIN t USING (x, y)
+      GROUP BY doc_id, n, label, base, grams, p - place),
+r AS (SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER o > 2, true) THEN 1 ELSE 0 END AS apart FROM v
+      WINDOW o AS (PARTITION BY doc_id, n ORDER BY diagonal)),
+q AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, n ORDER BY diagonal) AS run FROM r),
+u AS (SELECT doc_id, label, base, grams, len(list_distinct(flatten(list(seen)))) AS votes, min(start) AS start
+      FROM q GROUP BY doc_id, n, label, base, grams, run)
+SELECT d.doc_id, len(w) AS n_words, count(*) FILTER (WHERE base AND votes = grams) AS n_base,
+       min(start) FILTER (WHERE base AND votes = grams) AS first_word, max(start) FILTER (WHERE base AND votes = grams) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base AND votes = grams), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base AND votes = grams OR NOT base AND votes >= 0.8 * grams), '') AS labels,
+       coalesce(max(votes / grams), 0) AS score
+FROM d LEFT JOIN u ON u.doc_id = d.doc_id GROUP BY d.doc_id, w
+"""
+
 SQL = {
+    "op5_license_scan": LICENSE_SCAN,
     "op2_preference_pairs": PREFERENCE_PAIRS,
     "op6_exact_dedup": EXACT_DEDUP,
     "op7_source_mix": SOURCE_MIX,
+    "op8_near_dedup": NEAR_DEDUP,
+    "op9_near_vectors": NEAR_VECTORS,
+    "op10_shared_passages": SHARED_PASSAGES,
 }
