@@ -407,7 +407,7 @@ def oracle() -> dict[str, str]:
             GROUP BY PropertyOID""",
         "sync_property_activities": "SELECT * FROM staged_property",
         "sync_stand_activities": "SELECT * FROM staged_stand",
-        "sync_chemicals": "SELECT * FROM chemicals_after WHERE Child_GUID IN (SELECT Child_GUID FROM chem_mobile)",
+        "sync_chemicals": "SELECT * FROM chemicals_after WHERE Child_GUID IN (SELECT Child_GUID FROM chem_mobile) OR Child_GUID IS NULL",
         "sync_rerun": f"""
             SELECT {CHEMICALS} FROM chemicals_after UNION ALL
             SELECT m.Child_GUID, k.oid, k.gid, m.PropertyOID, m.MasterChemOID + 1, context, m.Rate, CASE context WHEN 0 THEN m.Cost END

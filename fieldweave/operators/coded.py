@@ -49,8 +49,8 @@ def code_lists(tables: Tables, props: DataFrame) -> DataFrame:
 def published_code_lists(domains: DataFrame, universal: DataFrame) -> DataFrame:
     """The same out of the tables that the lists were published to.
 
-    Prefer this for many rows: the size of a stored list is known beforehand, so while it is small it goes to the rows
-    and the rows stay where they are.
+    Decode and check with stored lists, these or a stored ``code_lists``: the size of a stored list is known beforehand,
+    so while it is small it goes to the rows and the rows stay where they are.
     """
     kind = F.substring_index("domain_name", "_", -1).alias("list_name")
     own = domains.select(kind, "property_oid", "code", "description")

@@ -42,7 +42,8 @@ def _all_lists(t) -> DataFrame:
 
 
 def _code_lists(t) -> DataFrame:
-    return coded.code_lists(t, lists.all_properties(t))
+    """All lists, stored as they are once published: Spark knows their size, and small ones go to the rows."""
+    return sinks.stored(coded.code_lists(t, lists.all_properties(t)), _work_folder(t))
 
 
 def _changed(t) -> DataFrame:

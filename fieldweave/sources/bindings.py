@@ -62,7 +62,7 @@ BINDINGS: dict[str, Binding] = {
         "FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= timestamp '2001-01-01 00:00:00'",
         [
             ("OBJECTID", "bigint", 'o_orderkey'),
-            ("Parent_GUID", "string", "md5(concat('activity:', cast(o_orderkey as string)))"),
+            ("Parent_GUID", "string", "case when o_orderkey % 50 = 3 then null else md5(concat('activity:', cast(o_orderkey - case when o_orderkey % 10 in (1, 2) then o_orderkey % 10 else 0 end as string))) end"),
             ("prop_or_stand", "string", "case o_orderstatus when 'F' then 'prop' when 'O' then 'stand' else null end"),
             ("PropertyOID", "int", 'case when o_orderkey % 40 = 0 then 999 else c_nationkey end'),
             ("standOID", "bigint", 'case when o_custkey % 10 = 0 then -1 else o_custkey end'),
@@ -100,7 +100,7 @@ BINDINGS: dict[str, Binding] = {
         "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= timestamp '2001-01-01 00:00:00'",
         [
             ("OBJECTID", "bigint", "l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)"),
-            ("Child_GUID", "string", "md5(concat('activity:', cast(l_orderkey as string)))"),
+            ("Child_GUID", "string", "case when l_orderkey % 50 = 7 then null else md5(concat('activity:', cast(l_orderkey as string))) end"),
             ("PropertyOID", "int", 'c_nationkey'),
             ("MasterChemOID", "bigint", 'l_partkey'),
             ("Activity_ContextID", "int", '0'),
