@@ -17,7 +17,7 @@ from fieldweave.llm.hashing import U64, window_hashes, word_hashes
 #: Words of an edge; its nodes are its first and its last ``WINDOW - 1`` words.
 WINDOW = 13
 #: Words of an anchor. Of the anchors in a window the one with the smallest hash stands for it.
-ANCHOR = 4
+ANCHOR = 6
 #: The id that stands for NULL: no document comes later.
 LAST = 2**63 - 1
 
@@ -53,7 +53,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             joined = b" ".join(words)
             whole.append(xxhash.xxh3_128_digest(joined) if len(words) >= WINDOW else None)
             digests.append(hashlib.sha256(joined).hexdigest())
-            found.append(np.unique(anchors(word_hashes(words))).view(np.int64))
+            found.append(np.unique(anchors(word_hashes(joined))).view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(whole, pa.binary()), pa.array(digests, pa.string()),
              _lists(found, np.int64)], names=["did", "text_key", "n_words", "whole", "sha", "anchors"])
@@ -64,7 +64,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         places, edges, following = [], [], []
         for text, known in zip(batch.column(2).to_pylist(), batch.column(3)):
-            hashes = word_hashes(words_of(text))
+            hashes = word_hashes(text.encode("utf-8", "surrogatepass"))
             at = np.flatnonzero(np.isin(anchors(hashes), known.values.to_numpy().view(U64)))
             every = window_hashes(hashes, WINDOW)
             edge = every[at]

@@ -3,26 +3,38 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
 U64 = np.uint64
-#: Words whose hash a worker keeps; beyond that it starts afresh.
-KEPT_WORDS = 400_000
 
-
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_words = _Words()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_words.__getitem__, words), U64, len(words))
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, *range(9, 14)]] = True
+_LETTERS = np.random.default_rng(64).integers(0, 2**63, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_powers = [np.ones(1, U64), np.ones(1, U64)]
+
+
+def _grown(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64."""
+    if len(_powers[0]) < size:
+        length = 1 << size.bit_length()
+        for n, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            factors = np.full(length, base, U64)
+            factors[0] = 1
+            _powers[n] = np.multiply.accumulate(factors)
+    return _powers[0], _powers[1]
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """One number for each word of a text: a polynomial over its bytes, from running sums over the whole text."""
+    letters = np.frombuffer(raw, np.uint8)
+    inside = np.zeros(len(letters) + 2, bool)
+    inside[1:-1] = ~_BLANK[letters]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    powers, inverse = _grown(len(letters) + 1)
+    sums = np.zeros(len(letters) + 1, U64)
+    np.cumsum(_LETTERS[letters] * powers[:len(letters)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ _BAND = odd_numbers(ROWS, 83)
 
 def shingles(text: str | None) -> np.ndarray:
     """The set of word shingles of a text as sorted numbers; a shorter text is one shingle."""
-    words = word_hashes((text or "").encode("utf-8", "surrogatepass").lower().split())
+    words = word_hashes((text or "").encode("utf-8", "surrogatepass").lower())
     if 0 < len(words) < WORDS:
         return mixed(window_hashes(words, len(words)) + U64(len(words)))
     return np.unique(window_hashes(words, WORDS))
