@@ -47,6 +47,13 @@ def forget(*tables: DataFrame) -> None:
         remove_folder(table.sparkSession, table.stored_in)
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of some rows, so that a task holds few texts as Python objects at a time."""
+    for batch in batches:
+        for start in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(start, rows)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import stored
+from fieldweave.llm.common import in_parts, stored
 from fieldweave.llm.graph import components
 from fieldweave.llm.hashing import U64, mixed, odd_numbers, window_hashes, word_hashes
 
@@ -46,7 +46,7 @@ def signature(items: np.ndarray) -> np.ndarray:
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seeds = mixed(np.arange(BANDS, dtype=U64))
-    for batch in batches:
+    for batch in in_parts(batches):
         sizes, digests, keys, sketches = [], [], [], []
         for text in batch.column(2).to_pylist():
             items = shingles(text)
@@ -71,7 +71,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         found = [shingles(text).view(np.int64) for text in batch.column(1).to_pylist()]
         offsets = np.r_[0, np.cumsum([len(x) for x in found])].astype(np.int32)
         items = pa.ListArray.from_arrays(offsets, np.concatenate(found or [np.empty(0, np.int64)]))

@@ -10,7 +10,7 @@ from array import array
 from tokenizers import Tokenizer
 
 #: Words whose ids a worker keeps; beyond that it starts afresh.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
 #: A word and the marks behind it; an apostrophe may open a word part of its own.
 _ENDED = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]+)")
 

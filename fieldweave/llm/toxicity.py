@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import forget, stored
+from fieldweave.llm.common import forget, in_parts, stored
 
 #: About so many labelled texts of either kind are learned from.
 TOXIC_TEXTS, CLEAN_TEXTS = 3000, 12000
@@ -31,7 +31,7 @@ CONTEXT = 8
 #: Evidence at which the score is one half.
 EVEN = 4.0
 PREDICTED = 0.3
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 
 QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "»": "«", "‘": "’", "‹": "›", "`": "`"}
 #: Words that speak about a term rather than use it.
@@ -182,7 +182,7 @@ def _features(words: list[bytes]) -> dict[str, bytes]:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         rows = [pair for text in batch.column(0).to_pylist() for pair in _features(words_of(text)).items()]
         terms, contexts = zip(*rows) if rows else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(contexts, pa.binary())], names=["term", "context"])
@@ -287,7 +287,7 @@ def scored(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Lexicon(terms, excepted)
-        for batch in batches:
+        for batch in in_parts(batches):
             scores = [score(own.evidence(text)) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
@@ -302,7 +302,7 @@ def accepted(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Lexicon(terms, excepted)
-        for batch in batches:
+        for batch in in_parts(batches):
             keep = np.array([score(own.evidence(text)) < PREDICTED for text in batch.column(place).to_pylist()], bool)
             yield batch.filter(pa.array(keep))
 
