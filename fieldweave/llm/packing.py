@@ -9,15 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import ranged, stored
+from fieldweave.llm.common import in_parts, ranged, stored
 from fieldweave.llm.tokens import ids_by
 
 LENGTH = 2048
 #: Rests of documents are packed in whole units of so many tokens.
 UNIT = 16
 END = 1
-#: Steps of the linear program without gain after which its present basis is taken; any basis packs every document.
-IDLE = 200
+#: The linear program ends after so many steps without gain, or steps for each class; any basis packs every document.
+IDLE, STEPS = 50, 8
 
 
 def patterns(demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
@@ -35,8 +35,8 @@ def patterns(demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
     least, idle = np.inf, 0
     basis = np.diag((room // classes).astype(float))  # one column for each pattern, one row for each class
     uses = wanted / np.diag(basis)
-    while True:
-        inverse = np.linalg.inv(basis)
+    inverse = np.diag(1 / np.diag(basis))
+    for _ in range(STEPS * len(classes)):
         uses = np.maximum(inverse @ wanted, 0.0)
         worth = inverse.sum(axis=0)
         best, last = np.zeros(room + 1), np.full(room + 1, -1)
@@ -47,7 +47,7 @@ def patterns(demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
             if len(values) and values.max() > best[space] + 1e-12:
                 last[space] = int(values.argmax())
                 best[space] = values[last[space]]
-        idle = 0 if uses.sum() < least - 1e-9 else idle + 1
+        idle = 0 if uses.sum() < least - 1e-6 else idle + 1
         least = min(least, uses.sum())
         if best[room] <= 1 + 1e-7 or idle > IDLE:  # beyond that only rounding errors move
             break
@@ -59,9 +59,15 @@ def patterns(demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
                 entering[last[space]] += 1
                 space -= classes[last[space]]
         direction = inverse @ entering
-        steps = np.where(direction > 1e-9, uses / np.where(direction > 1e-9, direction, 1), np.inf)
-        leaving = int(np.argmin(steps))
+        steps = np.where(direction > 1e-7, uses / np.where(direction > 1e-7, direction, 1), np.inf)
+        # Of equally short steps the one over the largest pivot keeps the basis well apart from a singular one.
+        leaving = int(np.argmax(np.where(steps <= steps.min() + 1e-9, direction, -np.inf)))
+        if not np.isfinite(steps[leaving]):
+            break
         basis[:, leaving] = entering
+        row = inverse[leaving] / direction[leaving]
+        inverse = inverse - np.outer(direction, row)
+        inverse[leaving] = row
     found = []
     for column, use in zip(basis.T, uses):
         if use + 1e-6 >= 1:
@@ -132,7 +138,7 @@ def _tokenized(path: str, end: int):
         ids = ids_by(path)
         last = np.array([end], ids.kind).tobytes()
         width = len(last)
-        for batch in batches:
+        for batch in in_parts(batches):
             found = [ids.of(text or "") + last for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.binary()), pa.array([len(x) // width for x in found], pa.int64()),
@@ -187,7 +193,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     stream = base + (plan.agg(F.sum("whole")).first()[0] or 0)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             pieces: list[tuple] = []
             for r in batch.to_pylist():
                 ids = np.frombuffer(r["ids"], "<u2" if r["width"] == 2 else "<u4").astype("<u4")
