@@ -16,9 +16,15 @@ from fieldweave.llm.common import stored
 
 #: Words whose counts every task holds, of at most so many bytes each; all other words are joined with their counts.
 FREQUENT, FREQUENT_BYTES = 200_000, 64
-#: Outcomes of the model: the end, the most frequent words, and all others as one, whose words share its probability by count.
+#: Outcomes of the first level: the end, the most frequent words, and all others as one, which the tree of words divides.
 CLASSES, SIZE = 512, 16
 OTHER, STOP = 0, 1
+#: Words that training saw so often are leaves of the tree and have a context vector of their own.
+LEAST_COUNT = 10
+#: The squares that steps in the tree start from.
+TREE_SQUARE = 1.0
+#: Tokens that are scored at a time, and contexts that are normalised at a time.
+SCORED, BLOCK = 32_768, 2048
 ROUNDS, NOISE, BATCH, STEP = 2, 32, 4096, 0.15
 #: Words that a task counts before it passes the counts on.
 COUNTED = 500_000
@@ -86,12 +92,21 @@ class Model:
             total[:, before] = top[:, 0] + np.log(np.exp(logits - top).sum(axis=1))
         return one, two, total
 
-    def train(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, squares: dict[str, np.ndarray], rng: np.random.Generator) -> None:
-        """One step for a batch: ``one`` is the class before ``word``, ``two`` the one before that."""
+    def train(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, squares: dict[str, np.ndarray], rng: np.random.Generator,
+              tree: Tree | None = None) -> None:
+        """One step for a batch: ``one`` is what stands before ``word``, ``two`` the one before that.
+
+        Without a tree they are classes. With one, what is above ``CLASSES`` is a leaf: it is looked up in the tree as a
+        context, and as an outcome it is the class of the others, within which the tree learns too.
+        """
         v = self.values
         noise = rng.choice(CLASSES, NOISE, p=self.share)
         offset = np.log(NOISE * np.maximum(self.share, 1e-30)).astype(np.float32)
-        a, b = v["words"][one], v["words"][two]
+        if tree:
+            leaf, word = tree.leaves(word), np.where(word > CLASSES, OTHER, word)
+            a, b = tree.contexts(one, v["words"]), tree.contexts(two, v["words"])
+        else:
+            a, b = v["words"][one], v["words"][two]
         q = a @ v["first"] + b @ v["second"]
         out = v["out"][word]
         hit = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, out) + v["bias"][word] - offset[word], -30, 30)))
@@ -99,8 +114,15 @@ class Model:
         miss = -1 / (1 + np.exp(-np.clip(q @ drawn.T + v["bias"][noise] - offset[noise], -30, 30)))
         dq = hit[:, None] * out + miss @ drawn
         size = np.float32(1 / len(word))
+        if tree:
+            inside = np.flatnonzero(word == OTHER)
+            dq[inside] += tree.train(leaf[inside], q[inside])
+        da, db = dq @ v["first"].T, dq @ v["second"].T
+        if tree:
+            tree.train_contexts(np.concatenate([one, two]), np.concatenate([da, db]))
+            one, two = np.minimum(one, CLASSES + 1), np.minimum(two, CLASSES + 1)
         steps = {
-            "words": _spread(one, dq @ v["first"].T, CLASSES + 1) + _spread(two, dq @ v["second"].T, CLASSES + 1),
+            "words": (_spread(one, da, CLASSES + 2) + _spread(two, db, CLASSES + 2))[:-1],
             "first": a.T @ dq, "second": b.T @ dq, "out": _spread(word, hit[:, None] * q, CLASSES),
             "bias": np.bincount(word, hit, CLASSES).astype(np.float32)}
         np.add.at(steps["out"], noise, miss.T @ q)
@@ -116,34 +138,156 @@ def _spread(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(places, column, size) for column in rows.T], axis=1).astype(np.float32)
 
 
-def _classes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    """Classes of the words and the end, after two starts."""
-    found = np.full(len(words) + 3, CLASSES, np.int64)
-    found[2:-1] = np.fromiter(map(known.get, words, repeat(OTHER)), np.int64, len(words))
-    found[-1] = STOP
-    return found
+class Tree:
+    """A binary tree whose leaves are words, in the order of their bytes, and the last one all rarer words.
 
+    Each node halves its leaves by count and has a vector and a bias, so that a leaf's probability is the product of
+    logistic functions on its way: all leaves add up to one, and a word costs as many steps as its count is halvings
+    from the total. A node is named by the first leaf on its right. ``values`` has a row for each word: its context
+    vector, then the vector and bias of the node before the next leaf. A learner has these apart, and in ``seen`` how
+    often it trained the contexts and the nodes.
+    """
 
-def _trained(known: dict[bytes, int], unigram: np.ndarray, start: np.ndarray, turn: int):
-    """A task's weights after one pass over its texts, as one row for each number, times the tokens it saw."""
+    def __init__(self, weights: np.ndarray) -> None:
+        """``weights``: what each leaf counts."""
+        n = len(weights)
+        self.words = n - 1
+        self.sides = np.zeros((2, n), np.int32)
+        self.root = 0
+        self.values = np.zeros((n - 1, 2 * SIZE + 1), np.float32)
+        total = np.concatenate([[0.0], np.cumsum(weights, dtype=np.float64)])
+        first, last, parent, side = (np.array([x]) for x in (0, n, 0, 0))
+        while True:
+            whole = last - first > 1
+            first, last, parent, side = first[whole], last[whole], parent[whole], side[whole]
+            if not len(first):
+                break
+            half = (total[first] + total[last]) / 2
+            cut = np.searchsorted(total, half)
+            cut -= total[cut] - half > half - total[cut - 1]
+            cut = np.clip(cut, first + 1, last - 1)
+            self.sides[side, parent] = cut
+            self.root = self.root or int(cut[0])
+            self.values[cut - 1, -1] = np.log((total[last] - total[cut]) / (total[cut] - total[first]))
+            first, last = np.concatenate([first, cut]), np.concatenate([cut, last])
+            parent, side = np.concatenate([cut, cut]), np.repeat([0, 1], len(cut))
+
+    def learner(self, values: np.ndarray) -> Tree:
+        """This tree with weights of its own, to be trained."""
+        own = object.__new__(Tree)
+        own.words, own.sides, own.root = self.words, self.sides, self.root
+        own.inputs, own.nodes, own.biases = values[:, :SIZE].copy(), values[:, SIZE:-1].copy(), values[:, -1].copy()
+        own.squares = np.full((2, self.words), TREE_SQUARE, np.float32)
+        own.seen = np.zeros((2, self.words), np.int32)
+        return own
+
+    def trained(self, rows: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.inputs[rows], self.nodes[rows], self.biases[rows, None]], axis=1)
+
+    def leaves(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(ids > CLASSES, ids - CLASSES - 1, self.words)
+
+    def contexts(self, ids: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        found = classes[np.minimum(ids, CLASSES)]
+        own = np.flatnonzero(ids > CLASSES)
+        found[own] = self.inputs[ids[own] - CLASSES - 1]
+        return found
+
+    def _ways(self, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Level by level: the places that are not at their leaf yet, their nodes, and whether they go right."""
+        at = np.arange(len(leaf))
+        node = np.full(len(leaf), self.root)
+        while self.root and len(at):
+            right = leaf >= node
+            yield at, node, right
+            node = self.sides[right.astype(np.int8), node]
+            on = np.flatnonzero(node)
+            at, node, leaf = at[on], node[on], leaf[on]
+
+    def logs(self, leaf: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Natural logarithms of the probabilities of leaves."""
+        found = np.zeros(len(leaf))
+        for at, node, right in self._ways(leaf):
+            x = np.einsum("ij,ij->i", q.take(at, axis=0), self.nodes.take(node - 1, axis=0)) + self.biases.take(node - 1)
+            found[at] -= np.log1p(np.exp(np.minimum(np.where(right, -x, x), 80)))
+        return found
+
+    def train(self, leaf: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """One step for the nodes on the way to each leaf; what the features ``q`` gain by.
+
+        Leaves are sorted, and on one level the nodes of sorted leaves are sorted, too.
+        """
+        order = np.argsort(leaf, kind="stable")
+        leaf, q = leaf[order], q[order]
+        dq = np.zeros_like(q)
+        for at, node, right in self._ways(leaf):
+            node = node - 1
+            own, features = self.nodes.take(node, axis=0), q.take(at, axis=0)
+            x = np.einsum("ij,ij->i", features, own) + self.biases.take(node)
+            miss = right - 1 / (1 + np.exp(np.minimum(-x, 80)))
+            own *= miss[:, None]
+            features *= miss[:, None]
+            dq[at] += own
+            starts, step = self._step(node, features, self.nodes, 1)
+            self.biases[node[starts]] += np.add.reduceat(miss, starts) * step
+        found = np.empty_like(dq)
+        found[order] = dq
+        return found
+
+    def train_contexts(self, ids: np.ndarray, steps: np.ndarray) -> None:
+        own = np.flatnonzero(ids > CLASSES)
+        own = own[np.argsort(ids[own], kind="stable")]
+        if len(own):
+            self._step(ids[own] - CLASSES - 1, steps[own], self.inputs, 0)
+
+    def _step(self, rows: np.ndarray, steps: np.ndarray, table: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray]:
+        """Add the steps of sorted rows, the smaller the more a row has moved; where rows start, and the size of their step."""
+        starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        step, row = np.add.reduceat(steps, starts, axis=0), rows.take(starts)
+        self.seen[part][row] += np.diff(starts, append=len(rows))
+        squares = self.squares[part].take(row) + np.einsum("ij,ij->i", step, step) / np.float32(SIZE)
+        self.squares[part][row] = squares
+        size = np.float32(STEP) / np.sqrt(squares)
+        step *= size[:, None]
+        table[row] = table.take(row, axis=0) + step
+        return starts, size
+
+
+def _numbers(rows: np.ndarray, kind: type) -> pa.Array:
+    """Rows of numbers as binary values."""
+    rows = np.ascontiguousarray(rows, kind)
+    return pa.Array.from_buffers(pa.binary(rows.itemsize * rows.shape[1]), len(rows), [None, pa.py_buffer(rows)]).cast(pa.binary())
+
+
+def _trained(shared, start: np.ndarray, values, turn: int):
+    """A task's weights after one pass over its texts, times the tokens it saw, as one row for each number.
+
+    ``values``: the weights of the tree that the task starts from; without them only classes are trained. With them, a row
+    for each word of the tree that the task saw goes along: how far its weights have moved, in half precision to save
+    disk, and how often both parts were trained.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, rng, seen = Model(unigram).set(start), np.random.default_rng(turn), 0
+        facts = shared.value
+        model, rng, seen = Model(facts.unigram).set(start), np.random.default_rng(turn), 0
+        tree = facts.tree.learner(values.value) if values else None
         squares = {k: np.full(s, 1e-4, np.float32) for k, s in Model.SHAPES.items()}
         held: list[np.ndarray] = []
 
         def learn() -> None:
             one, two, word = (np.concatenate([x[cut] for x in held]) for cut in (slice(1, -1), slice(0, -2), slice(2, None)))
+            if not tree:
+                one, two, word = (np.where(x > CLASSES, OTHER, x) for x in (one, two, word))
             order = rng.permutation(len(word))
             for at in range(0, len(word), BATCH):
                 part = order[at:at + BATCH]
-                model.train(one[part], two[part], word[part], squares, rng)
+                model.train(one[part], two[part], word[part], squares, rng, tree)
             held.clear()
 
         waiting = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                held.append(_classes(tokens(text), known))
+                held.append(facts.ids(facts.ranks(tokens(text))))
                 waiting += len(held[-1]) - 2
                 if waiting >= 16 * BATCH:
                     seen += waiting
@@ -154,12 +298,48 @@ def _trained(known: dict[bytes, int], unigram: np.ndarray, start: np.ndarray, tu
             learn()
         if seen:
             flat = model.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], names=["place", "value", "seen"])
+            places, weights = [np.arange(len(flat)) - len(flat)], [np.stack([np.full(len(flat), seen), np.zeros(len(flat))], axis=1)]
+            yield _rows(places[0], weights[0], _numbers(flat[:, None], np.float32))
+            if tree:
+                row = np.flatnonzero(tree.seen.any(axis=0))
+                for at in range(0, len(row), 20_000):
+                    part = row[at:at + 20_000]
+                    yield _rows(part, tree.seen[:, part].T, _numbers(tree.trained(part) - values.value[part], np.float16))
 
     return run
 
 
+def _rows(places: np.ndarray, seen: np.ndarray, values: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(places, pa.int32()), pa.array(seen[:, 0], pa.float64()), pa.array(seen[:, 1], pa.float64()), values], names=["place", "seen", "nodes", "value"])
+
+
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Averages of the rows of each place, weighted by how often they were trained, all in one row for each kind."""
+    for wide in (False, True):
+        if not wide:
+            kinds: dict[bool, list[tuple]] = {False: [], True: []}
+            for batch in batches:
+                place, seen, nodes = (batch.column(n).to_numpy(zero_copy_only=False) for n in range(3))
+                for kind in (False, True):
+                    own = np.flatnonzero((place >= 0) == kind)
+                    if len(own):
+                        values = np.frombuffer(b"".join(batch.column(3).take(pa.array(own)).to_pylist()), np.float16 if kind else np.float32).reshape(len(own), -1)
+                        kinds[kind].append((place[own], seen[own], nodes[own], values))
+        if not kinds[wide]:
+            continue
+        place, seen, nodes, values = (np.concatenate(x) for x in zip(*kinds[wide]))
+        order = np.argsort(place, kind="stable")
+        place, seen, nodes, values = place[order], seen[order], nodes[order], values[order]
+        starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+        share = np.repeat(seen[:, None], values.shape[1], axis=1)
+        share[:, SIZE:] = nodes[:, None]
+        whole = np.add.reduceat(share, starts, axis=0)
+        mean = np.add.reduceat(share * values, starts, axis=0) / np.maximum(whole, 1)
+        yield pa.RecordBatch.from_arrays([pa.array([place[starts].astype(np.int32).tobytes()], pa.binary()), pa.array([mean.astype(np.float32).tobytes()], pa.binary())],
+                                         names=["places", "means"])
+
+
 class Statistics:
     """What is known of the training tokens: ``total`` of them, ``distinct`` ones, counts of the frequent words."""
 
@@ -173,6 +353,26 @@ class Statistics:
         self.unigram[STOP] = ends
         self.unigram[OTHER] = total - self.unigram.sum()
         self.other_words = distinct - len(self.known) - (ends > 0)
+        own = sorted((word, n) for n, (word, count) in enumerate(frequent) if n >= CLASSES - 2 and count >= LEAST_COUNT)
+        leaf_counts = self.counts[[n for _, n in own]] + 1.0 if own else np.zeros(0)
+        #: What all words that are no leaf count, and one unseen word.
+        self.rare_total = self.other_total() - leaf_counts.sum()
+        self.tree = Tree(np.r_[leaf_counts, self.rare_total])
+        #: By rank, the class of a word or, above the classes, its leaf; at the end that of words without a rank.
+        self.places = np.full(len(frequent) + 1, OTHER, np.int32)
+        self.places[:len(self.known)] = np.arange(len(self.known)) + 2
+        self.places[[n for _, n in own]] = np.arange(len(own)) + CLASSES + 1
+
+    def ranks(self, words: list[bytes]) -> np.ndarray:
+        """Ranks of words; -1 if they have none."""
+        return np.fromiter(map(self.frequent.get, words, repeat(-1)), np.int32, len(words))
+
+    def ids(self, ranks: np.ndarray) -> np.ndarray:
+        """Classes and leaves of the words and the end, after two starts."""
+        found = np.full(len(ranks) + 3, CLASSES, np.int32)
+        found[2:-1] = self.places[ranks]
+        found[-1] = STOP
+        return found
 
     def other_total(self) -> float:
         return self.unigram[OTHER] + self.other_words + 1
@@ -183,52 +383,114 @@ def gather(texts: DataFrame) -> tuple[Statistics, DataFrame]:
     counts = stored(texts.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     ends = texts.count()
-    frequent = counts.filter(F.octet_length("word") <= FREQUENT_BYTES).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    return Statistics([(bytes(r["word"]), r["n"]) for r in frequent], (total or 0) + ends, distinct + (ends > 0), ends), counts
+    short = counts.filter(F.octet_length("word") <= FREQUENT_BYTES)
+    leaves = short.filter(F.col("n") >= LEAST_COUNT)
+    held = (leaves if leaves.count() >= FREQUENT else short.orderBy(F.desc("n"), "word").limit(FREQUENT)).toArrow()
+    frequent = sorted(zip(held["word"].to_pylist(), held["n"].to_pylist()), key=lambda x: (-x[1], x[0]))
+    return Statistics(frequent, (total or 0) + ends, distinct + (ends > 0), ends), counts
 
 
-def fit(texts: DataFrame, facts: Statistics) -> Model:
-    """Each round, every task trains on all its texts from the same weights; the weights are averaged by tokens seen."""
-    model = Model(facts.unigram)
-    for turn in range(ROUNDS):
-        rows = texts.mapInArrow(_trained(facts.known, facts.unigram, model.flat(), turn), "place int, value double, seen double")
-        found = rows.groupBy("place").agg((F.sum("value") / F.sum("seen")).alias("value")).collect()
-        if found:
-            flat = np.empty(len(found), np.float32)
-            for r in found:
-                flat[r["place"]] = r["value"]
-            model.set(flat)
-    return model
+def fit(texts: DataFrame, facts: Statistics, shared) -> tuple[Model, np.ndarray]:
+    """Each round, every task trains on all its texts from the same weights; the weights are averaged by tokens seen.
 
+    The tree is trained in the last round, its contexts from what the class of the others has learned; a word's or
+    node's weights are averaged by how often each task trained them. Averages of a part of the places are one row.
+    """
+    model, values = Model(facts.unigram), facts.tree.values.copy()
+    context = texts.sparkSession.sparkContext
+    for turn in range(ROUNDS):
+        values[:, :SIZE] = model.values["words"][OTHER]
+        start = context.broadcast(values) if turn == ROUNDS - 1 and facts.tree.words else None
+        rows = texts.mapInArrow(_trained(shared, model.flat(), start, turn), "place int, seen double, nodes double, value binary")
+        found = rows.repartition("place").mapInArrow(_averaged, "places binary, means binary").collect()
+        flat = model.flat()
+        for r in found:
+            place = np.frombuffer(r["places"], np.int32)
+            mean = np.frombuffer(r["means"], np.float32).reshape(len(place), -1)
+            if place[0] < 0:
+                flat[place] = mean[:, 0]
+            else:
+                values[place] += mean
+        model.set(flat)
+    return model, values
+
+
+class Scorer:
+    """A model and its tree, ready to score."""
+
+    def __init__(self, facts: Statistics, flat: np.ndarray, values: np.ndarray) -> None:
+        model = Model(facts.unigram).set(flat)
+        self.one, self.two, self.total = model.log_probabilities()
+        self.tree = facts.tree.learner(values)
+        del self.tree.squares, self.tree.seen
+        self.one = np.concatenate([self.one, values[:, :SIZE] @ model.values["first"]])
+        self.two = np.concatenate([self.two, values[:, :SIZE] @ model.values["second"]])
+        self.out = model.values["out"]
+        self.bias = np.where(model.share > 0, model.values["bias"], np.float32(-1e30))
+
+    def logs(self, two: np.ndarray, one: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Natural logarithms of the probabilities of ``ids``, a leaf's word or any rarer word as one, after two contexts."""
+        q = self.one[one] + self.two[two]
+        word = np.where(ids > CLASSES, OTHER, ids)
+        norm = self.total[np.minimum(two, CLASSES), np.minimum(one, CLASSES)]
+        open_ = np.flatnonzero((one > CLASSES) | (two > CLASSES))
+        for at in range(0, len(open_), BLOCK):
+            part = open_[at:at + BLOCK]
+            logits = q[part] @ self.out.T
+            logits += self.bias
+            top = logits.max(axis=1)
+            logits -= top[:, None]
+            norm[part] = top + np.log(np.exp(logits, out=logits).sum(axis=1))
+        found = (np.einsum("ij,ij->i", q, self.out[word]) + self.bias[word] - norm).astype(np.float64)
+        inside = np.flatnonzero(word == OTHER)
+        found[inside] += self.tree.logs(self.tree.leaves(ids[inside]), q[inside])
+        return found
+
+
+def _scored(shared, flat: np.ndarray, values):
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))]
 
-def _scored(facts, flat: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = facts.value
-        model = Model(own.unigram).set(flat)
-        one, two, total = model.log_probabilities()
-        out, bias = model.values["out"], model.values["bias"]
+        own = shared.value
+        scorer = Scorer(own, flat, values.value)
         logs = np.log10(own.counts + 1.0)
+        columns: list[list] = [[] for _ in kinds]
+        held: list[np.ndarray] = []
+        waiting = 0
+
+        def made() -> pa.RecordBatch:
+            nonlocal waiting
+            two, one, ids = (np.concatenate([x[cut] for x in held]) for cut in (slice(0, -2), slice(1, -1), slice(2, None)))
+            token = np.concatenate([scorer.logs(two[at:at + SCORED], one[at:at + SCORED], ids[at:at + SCORED]) for at in range(0, len(ids), SCORED)])
+            starts = np.cumsum([0, *(len(x) - 2 for x in held[:-1])])
+            columns[4] = (np.add.reduceat(token, starts) / math.log(10) + columns[4]).tolist()
+            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_tokens", "n_known", "base", "model", "others", "rare"])
+            for column in columns:
+                column.clear()
+            held.clear()
+            waiting = 0
+            return batch
+
         for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
-            for text in batch.column(1).to_pylist():
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = tokens(text)
-                ids = _classes(words, own.known)
-                before, first, word = ids[1:-1], ids[:-2], ids[2:]
-                q = one[before] + two[first]
-                score = (np.einsum("ij,ij->i", q, out[word]) + bias[word] - total[first, before]).sum(dtype=np.float64) / math.log(10)
-                at = np.fromiter(map(own.frequent.get, words, repeat(-1)), np.int64, len(words))
+                at = own.ranks(words)
+                held.append(own.ids(at))
+                waiting += len(words) + 1
                 rare = Counter(words[n] for n in np.flatnonzero(at < 0))
                 common = at[at >= 0]
-                others = common[common >= len(own.known)]
-                columns[0].append(len(words) + 1)
-                columns[1].append(len(common) + (own.ends > 0))
-                columns[2].append(float(logs[common].sum() + math.log10(own.ends + 1)))
-                columns[3].append(float(score + logs[others].sum()))
-                columns[4].append(int((word == OTHER).sum()))
-                columns[5].append([{"word": w, "n": n} for w, n in rare.items()])
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                                             names=["doc_id", "n_tokens", "n_known", "base", "model", "others", "rare"])
+                shared_ = held[-1][2:-1] == OTHER
+                columns[0].append(doc_id)
+                columns[1].append(len(words) + 1)
+                columns[2].append(len(common) + (own.ends > 0))
+                columns[3].append(float(logs[common].sum() + math.log10(own.ends + 1)))
+                columns[4].append(float(logs[at[shared_ & (at >= 0)]].sum()))
+                columns[5].append(int(shared_.sum()))
+                columns[6].append([{"word": w, "n": n} for w, n in rare.items()])
+                if waiting >= SCORED:
+                    yield made()
+        if held:
+            yield made()
 
     return run
 
@@ -236,9 +498,11 @@ def _scored(facts, flat: np.ndarray):
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
-    Counts cover all training tokens. The model predicts the class of a token from the two before it; the softmax over all
-    classes is normalised by matrix products over the contexts, and a word outside the classes has the share of its count plus one in
-    what the class of the others gets, so that the probabilities of all words and of one unseen word add up to one.
+    Counts cover all training tokens. The model predicts a token from the two before it: its class by a softmax that is
+    normalised over all classes, and a word outside the classes by its way through the tree of words. Every word that
+    training has ``LEAST_COUNT`` times is a leaf, so the tree grows with the corpus; rarer words, and words of more than
+    ``FREQUENT_BYTES`` bytes, have the share of their count plus one in what the tree leaves to them. So the
+    probabilities of all words and of one unseen word add up to one. Classes and leaves are contexts of their own.
     Both scores need the counts of rare words: these, once per text and word, are joined with the table of counts.
 
     NULL and empty texts are the end alone. Rows with a NULL id are trained on. Rows that repeat an id are scored each for
@@ -248,19 +512,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     training = texts.filter(~held_out(F.col("doc_id"))).select("text")
     facts, counts = gather(training)
-    model = fit(training, facts)
-    shared = docs.sparkSession.sparkContext.broadcast(facts)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(facts)
+    model, values = fit(training, facts, shared)
     found = stored(
-        texts.mapInArrow(_scored(shared, model.flat()), "doc_id long, n_tokens long, n_known long, base double, model double, "
+        texts.mapInArrow(_scored(shared, model.flat(), context.broadcast(values)), "doc_id long, n_tokens long, n_known long, base double, model double, "
                          "others long, rare array<struct<word:binary,n:long>>").withColumn("row", F.monotonically_increasing_id()))
     rare = found.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
     joined = rare.join(counts.withColumnRenamed("n", "c"), "word").groupBy("row").agg(
         F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("logs"))
-    base_total, other_total = math.log10(facts.total + facts.distinct + 1), math.log10(facts.other_total())
+    base_total, rare_total = math.log10(facts.total + facts.distinct + 1), math.log10(facts.rare_total)
     logs = F.coalesce("logs", F.lit(0.0))
     empty = F.lit(facts.total == 0)
     return found.drop("rare").join(joined, "row", "left").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(facts.total).cast("long").alias("train_tokens"),
         F.when(empty, 0.0).otherwise(F.col("base") + logs - F.col("n_tokens") * base_total).alias("base_score"),
-        F.when(empty, 0.0).otherwise(F.col("model") + logs - F.col("others") * other_total).alias("score"))
+        F.when(empty, 0.0).otherwise(F.col("model") + logs - F.col("others") * rare_total).alias("score"))

@@ -70,3 +70,35 @@ def test_empty(spark):
     alone = next(n for n in range(100) if not trains(n))
     row = lm.score_texts(spark.createDataFrame([(alone, "a b")], "doc_id long, text string")).first()
     assert tuple(row) == (alone, True, 3, 0, 0, 0.0, 0.0)
+
+
+def test_rarer_words_are_outcomes_and_contexts():
+    """Words beyond the classes: a tree whose leaves add up to one, and a word that tells which word follows."""
+    frequent = [(f"w{n:04}".encode(), 2000 - n) for n in range(1400)]
+    facts = lm.Statistics(frequent, 3000 + sum(n for _, n in frequent) + 40, 2000, 40)
+    words = facts.tree.words
+    assert words == 1400 - (lm.CLASSES - 2)
+    model, rng = lm.Model(facts.unigram), np.random.default_rng(0)
+    tree = facts.tree.learner(facts.tree.values)
+    squares = {k: np.full(s, 1e-4, np.float32) for k, s in lm.Model.SHAPES.items()}
+    pairs = np.arange(lm.CLASSES + 1, lm.CLASSES + 1 + 40)
+    for _ in range(600):
+        one = rng.choice(pairs, 512)
+        model.train(one, np.full(512, 3), one + 100, squares, rng, tree)
+    scorer = lm.Scorer(facts, model.flat(), tree.trained(np.arange(words)))
+    every = np.r_[np.arange(lm.CLASSES), np.arange(words) + lm.CLASSES + 1]
+    context = np.full(len(every), pairs[5])
+    for two, one in ((context * 0 + 3, context), (context, context * 0 + 7), (context * 0 + lm.CLASSES, context * 0)):
+        logs = scorer.logs(two, one, every)
+        inside = scorer.tree.logs(np.array([words]), (scorer.one[one[:1]] + scorer.two[two[:1]]))
+        assert np.isfinite(logs).all() and np.exp(logs).sum() == pytest.approx(1, abs=1e-3) and np.isfinite(inside).all()
+    after = scorer.logs(np.full(40, 3), pairs, pairs + 100)
+    others = scorer.logs(np.full(40, 3), pairs, np.roll(pairs, 7) + 100)
+    assert (after - others).mean() > 1
+
+
+def test_words_by_corpus(spark):
+    """With more texts more words have an outcome, and a word beyond the classes tells the next one."""
+    lines = [" ".join(f"a{k} b{k}" for k in range(n % 7, 800, 7)) for n in range(700)]
+    small, large = (lm.gather(spark.createDataFrame([(x,) for x in lines[:n]], "text string"))[0] for n in (60, 700))
+    assert small.tree.words < large.tree.words == 1600 - (lm.CLASSES - 2)
