@@ -97,10 +97,14 @@ class Lexicon:
         return self._closed(following)
 
     def match(self, word: bytes) -> tuple[str, bool] | None:
-        """(term, misspelled) of a word; a term as it is spelled goes first."""
+        """(term, misspelled) of a word; a term as it is spelled goes first.
+
+        A stem is misspelled if one edit turns the beginning of the word into it.
+        """
         if word in self.known:
             return self.known[word]
         states, stem, found = self.start, None, None
+        near: set[str] = set()
         for letter in word.decode("utf-8", "replace"):
             step = (states, letter)
             if step not in self.moves:
@@ -108,11 +112,18 @@ class Lexicon:
             states = self.moves[step]
             if not states:
                 break
-            stem = stem or next((self.ends[n] for n, e, o in states if not e and not o and self.ends[n] and self.terms[self.ends[n]][0]), None)
+            for n, e, o in states:
+                term = self.ends[n]
+                if term and not o and self.terms[term][0]:
+                    if e:
+                        near.add(term)
+                    else:
+                        stem = stem or term
         if stem:
             found = (stem, False)
         else:
             ends = [(e, self.ends[n]) for n, e, o in states if not o and self.ends[n] and not self.terms[self.ends[n]][0]]
+            ends += [(1, term) for term in near]
             ends = [(e, t) for e, t in ends if not e or (t in self.fuzzy and word not in self.excepted)]
             if ends:
                 edits, term = min(ends)

@@ -90,3 +90,18 @@ def test_edges(spark):
     assert toxicity.learn(docs, none).terms == {} and toxicity.scored(none, Lexicon(TERMS)).count() == 0
     labels = spark.createDataFrame([(None, 1), (1, None), (1, 0), (2, 1), (2, 0)], "doc_id long, toxic int")
     assert toxicity.accepted(docs, toxicity.learn(docs, labels)).count() == 4
+
+
+def test_misspelled_stems():
+    """Words that begin with a stem but for one edit, against distances of their beginnings; excepted words stay out."""
+    lexicon, rng = Lexicon({"vequx": (True, 6.0), "idiot": (False, 6.0)}), random.Random(2)
+    assert lexicon.match(b"vequxille") == ("vequx", False)
+    for word in ("vqeuxille", "veuxille", "vequuxille", "vebuxille", "bequxille"):
+        assert lexicon.match(word.encode()) == ("vequx", True), word
+    assert toxicity.score(lexicon.evidence("vous vqeuxille")) >= 0.3
+    assert Lexicon(lexicon.terms, frozenset([b"vqeuxille"])).match(b"vqeuxille") is None
+    for _ in range(3000):
+        word = "".join(rng.choice("vequx") for _ in range(rng.randint(1, 8)))
+        if not word.startswith("vequx"):
+            want = any(distance(word[:n], "vequx") <= 1 for n in range(len(word) + 1))
+            assert lexicon.match(word.encode()) == (("vequx", True) if want else None), word
