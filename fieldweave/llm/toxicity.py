@@ -22,8 +22,11 @@ LEAST_CONTEXTS, LEAST_SHARE = 4, 0.01
 #: Terms looked at, terms kept; log odds from which a term counts, and at which its weight ends.
 CANDIDATES, TERMS = 100_000, 2000
 LEAST_WEIGHT, MOST_WEIGHT = 3.0, 6.0
-#: Letters and weight from which a term may be misspelled by one edit.
-FUZZY_LETTERS, FUZZY_WEIGHT = 5, 5.5
+#: Letters from which a term may be misspelled by one edit, and the share of the terms, the strongest, that may be.
+FUZZY_LETTERS, FUZZY_SHARE = 5, 0.5
+#: The share of clean texts with a word one edit away from a term that the sample does not show, from which on the term
+#: is not taken for misspelled. As usual it is estimated by the words that a single text of the sample has.
+LOOKALIKES = 0.001
 #: What a mention counts if misspelled, and if quoted or talked about.
 MISSPELLED, QUOTED = 0.7, 0.2
 #: Words before and after a mention that are its context.
@@ -36,6 +39,7 @@ KEPT_WORDS = 150_000
 QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "»": "«", "‘": "’", "‹": "›", "`": "`"}
 #: Words that speak about a term rather than use it.
 ABOUT = {"word", "words", "term", "terms", "quote", "quoted", "quotes", "called", "said", "says", "phrase", "meaning", "definition", "slur", "insult"}
+_ABOUT = {word.encode() for word in ABOUT}
 
 _MARKS = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 48 or 58 <= c < 97 or 123 <= c < 128 else c for c in range(256))
 
@@ -52,10 +56,13 @@ class Lexicon:
     word first needs them, so a word costs one look-up per letter until no term can match it any more.
     """
 
-    def __init__(self, terms: dict[str, tuple[bool, float]], excepted: frozenset[bytes] = frozenset()) -> None:
-        """``terms``: whether it is a stem, and its weight. ``excepted``: words that only look misspelled."""
-        self.terms, self.excepted = terms, excepted
-        self.fuzzy = {t for t, (_, weight) in terms.items() if len(t) >= FUZZY_LETTERS and weight >= FUZZY_WEIGHT}
+    def __init__(self, terms: dict[str, tuple[bool, float]], excepted: frozenset[bytes] = frozenset(),
+                 literal: frozenset[str] = frozenset()) -> None:
+        """``terms``: whether it is a stem, and its weight. ``excepted``: words that only look misspelled; ``literal``: terms never misspelled."""
+        self.terms, self.excepted, self.literal = terms, excepted, literal
+        # A rank, as weights grow with the number of labelled texts.
+        least = sorted((weight for _, weight in terms.values()), reverse=True)[math.ceil(len(terms) * FUZZY_SHARE) - 1] if terms else 0.0
+        self.fuzzy = {t for t, (_, weight) in terms.items() if len(t) >= FUZZY_LETTERS and weight >= least and t not in literal}
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[str | None] = [None]
         for term in terms:
@@ -199,12 +206,23 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(contexts, pa.binary())], names=["term", "context"])
 
 
+def _used(text: str | None, wanted: frozenset[str]) -> set[str]:
+    """The wanted terms that a text has in a mention that is neither quoted nor talked about."""
+    words = words_of(text)
+    found = wanted.intersection(_features(words))
+    if not found or not (any(mark in text for mark in QUOTES) or any(word in _ABOUT for word in words)):
+        return found
+    places = [place for place, word in enumerate(words) if not found.isdisjoint(_features([word]))]
+    aside = _quoted(text, words, places)
+    return found.intersection(_features([words[place] for place, quoted in zip(places, aside) if not quoted]))
+
+
 def _counted(wanted: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts.update(wanted.intersection(_features(words_of(text))))
+                counts.update(_used(text, wanted))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
     return run
@@ -212,11 +230,11 @@ def _counted(wanted: frozenset[str]):
 
 def _lookalikes(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = set()
+        counts: Counter[bytes] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found.update(w for w in set(words_of(text)) if (hit := lexicon.match(w)) and hit[1])
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary())], names=["word"])
+                counts.update(w for w in set(words_of(text)) if (hit := lexicon.match(w)) and hit[1])
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
     return run
 
@@ -260,8 +278,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The lexicon from the texts of ``docs`` that ``labels (doc_id, toxic)`` has, without those held out.
 
     A sample of ``TOXIC_TEXTS`` and ``CLEAN_TEXTS`` texts, drawn by a hash of the id, is stored. Terms of toxic texts are
-    counted by the different words before them, so that copies of a text count once, then by the clean texts that have
-    them. Words of clean texts that one edit turns into a term are excepted. A document labelled twice is toxic if any label
+    counted by the different words before them, so that copies of a text count once, then by the clean texts that use
+    them: mentions that are quoted or talked about are left out. Words of clean texts that one edit turns into a term are excepted, and a term is not taken for misspelled at all if
+    further such words are expected in more than the share ``LOOKALIKES`` of clean texts. A document labelled twice is toxic if any label
     says so; NULL ids and labels are left out. Without toxic labels the lexicon is empty.
     """
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -282,10 +301,15 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     others = clean.mapInArrow(_counted(frozenset(counts)), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
     other = {r["term"]: r["n"] for r in others.collect()}
     terms = chosen_terms({t: (n, other.get(t, 0)) for t, n in counts.items()}, sizes.get(1, 0), sizes.get(0, 0))
-    alike = clean.mapInArrow(_lookalikes(Lexicon(terms)), "word binary").distinct()
-    excepted = frozenset(bytes(r["word"]) for r in alike.collect())
+    every = Lexicon(terms)
+    alike = clean.mapInArrow(_lookalikes(every), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    excepted = frozenset(bytes(r["word"]) for r in alike)
+    by_term: Counter[str] = Counter()
+    for r in alike:
+        by_term[every.match(bytes(r["word"]))[0]] += r["n"] == 1
+    literal = frozenset(t for t, n in by_term.items() if n > LOOKALIKES * sizes.get(0, 0))
     forget(sample)
-    return Lexicon(terms, excepted)
+    return Lexicon(terms, excepted, literal)
 
 
 def scored(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,10 +318,10 @@ def scored(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col:
     The score is the logistic function of the evidence. NULL and empty texts have none and get the lowest score. A NULL
     id is not held out. Rows that repeat an id are scored each for itself; other columns are not read.
     """
-    terms, excepted = lexicon.terms, lexicon.excepted
+    learned = lexicon.terms, lexicon.excepted, lexicon.literal
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Lexicon(terms, excepted)
+        own = Lexicon(*learned)
         for batch in in_parts(batches):
             scores = [score(own.evidence(text)) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
@@ -309,10 +333,10 @@ def scored(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col:
 
 def accepted(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
-    terms, excepted, place = lexicon.terms, lexicon.excepted, docs.columns.index(text_col)
+    learned, place = (lexicon.terms, lexicon.excepted, lexicon.literal), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Lexicon(terms, excepted)
+        own = Lexicon(*learned)
         for batch in in_parts(batches):
             keep = np.array([score(own.evidence(text)) < PREDICTED for text in batch.column(place).to_pylist()], bool)
             yield batch.filter(pa.array(keep))

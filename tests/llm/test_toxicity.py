@@ -105,3 +105,22 @@ def test_misspelled_stems():
         if not word.startswith("vequx"):
             want = any(distance(word[:n], "vequx") <= 1 for n in range(len(word) + 1))
             assert lexicon.match(word.encode()) == (("vequx", True) if want else None), word
+
+
+def test_fuzzy_terms_do_not_depend_on_sample_size():
+    shares = {"brutex": (0.04, 0), "gromulo ": (0.03, 0), "vastok ": (0.02, 0), "maybe ": (0.05, 0.0008), "rather ": (0.05, 0.0008), "mostly ": (0.05, 0.0008)}
+    found = []
+    for toxic, clean in ((3000, 1200), (3000, 2650), (3000, 12000)):
+        counts = {t: (round(p * toxic), round(q * clean)) for t, (p, q) in shares.items()}
+        terms = toxicity.chosen_terms(counts, toxic, clean)
+        assert len(terms) == 6
+        found.append(Lexicon(terms).fuzzy)
+    assert found[0] == found[1] == found[2] == {"brutex", "gromulo", "vastok"}
+
+
+def test_quoted_mentions_of_clean_texts_are_not_counted():
+    wanted = frozenset(["moron ", "moro", "fine "])
+    assert toxicity._used('he wrote "moron" and it was fine', wanted) == {"fine "}
+    assert toxicity._used("the word moron is quite fine", wanted) == {"fine "}
+    assert toxicity._used('"moron" was written there, you moron', wanted) == {"moron ", "moro"}
+    assert toxicity._used(None, wanted) == toxicity._used('""', wanted) == set()
