@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldweave.llm import debruijn, licenses, lm, minhash, mixing, packing, preferences, radix, toxicity, vectors
+from fieldweave.llm import (
+    debruijn, licenses, lm, minhash, mixing, packing, phrases, pieces, preferences, radix, toxicity, vectors, whitening,
+)
 from fieldweave.llm.common import read
 from fieldweave.llm.sql import SQL  # noqa: F401 - read by the entry
 
@@ -60,6 +62,22 @@ def shared_passages(spark: SparkSession, folder: str) -> DataFrame:
     return debruijn.shared_passages(read(spark, folder, "documents")).drop("spans")
 
 
+def encoded_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pieces.encode_texts(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("last_byte"))
+
+
+def whitened(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity_scores,
     "op2_preference_pairs": preference_pairs,
@@ -71,4 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": near_dedup,
     "op9_near_vectors": near_vectors,
     "op10_shared_passages": shared_passages,
+    "op11_pieces": encoded_pieces,
+    "op12_whitening": whitened,
+    "op13_collocations": collocations,
 }

@@ -130,6 +130,27 @@ SELECT d.doc_id, len(w) AS n_words, count(*) FILTER (WHERE base AND votes = gram
 FROM d LEFT JOIN u ON u.doc_id = d.doc_id GROUP BY d.doc_id, w
 """
 
+COLLOCATIONS = r"""
+WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+       SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+x AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS n FROM x, (VALUES (1), (2), (3)) v(m)
+      WHERE i + m - 1 <= len(w) GROUP BY ALL),
+c AS (SELECT lang, m, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND n >= 10),
+cut AS (SELECT lang, m, phrase, a, w, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT t.lang, t.phrase, t.a, t.k, l.n AS l, r.n AS r,
+             CAST(1000000::HUGEINT * t.a * t.a // (l.n::HUGEINT * r.n) AS BIGINT) AS score
+      FROM cut t JOIN f l ON l.lang = t.lang AND l.phrase = array_to_string(t.w[1:t.k], ' ')
+      JOIN f r ON r.lang = t.lang AND r.phrase = array_to_string(t.w[t.k + 1:t.m], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE m = 3),
+kept AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.a >= 50 * b.a)),
+n AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n.n AS n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
 SQL = {
     "op5_license_scan": LICENSE_SCAN,
     "op2_preference_pairs": PREFERENCE_PAIRS,
@@ -138,4 +159,5 @@ SQL = {
     "op8_near_dedup": NEAR_DEDUP,
     "op9_near_vectors": NEAR_VECTORS,
     "op10_shared_passages": SHARED_PASSAGES,
+    "op13_collocations": COLLOCATIONS,
 }

@@ -1,0 +1,140 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from fieldweave.llm import phrases
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def counted(rows):
+    found, total = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(LOWER)):
+            words = re.findall("[^\x20\x09]+", piece)
+            total[lang] += len(words)
+            for m in (1, 2, 3):
+                for i in range(len(words) - m + 1):
+                    found[lang, tuple(words[i:i + m])] += 1
+    return found, total
+
+
+def brute(rows, kept=2000):
+    found, total = counted(rows)
+    candidates = {key: a for key, a in found.items() if len(key[1]) > 1 and a >= 10}
+    ranked = {}
+    for (lang, words), a in candidates.items():
+        inside = [b for (other, longer), b in candidates.items() if other == lang and len(longer) > len(words)
+                  and any(longer[i:i + len(words)] == words for i in range(len(longer)))]
+        if any(100 * b >= 50 * a for b in inside):
+            continue
+        cuts = [(1000000 * a * a // (found[lang, words[:k]] * found[lang, words[k:]]), k) for k in range(1, len(words))]
+        score, k = min(cuts)
+        ranked.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), found[lang, words[:k]], found[lang, words[k:]]))
+    return sorted((lang, n, p.decode(), -a, l, r, total[lang], -s) for lang, own in ranked.items()
+                  for n, (s, a, p, l, r) in enumerate(sorted(own)[:kept], 1))
+
+
+def texts(seed, docs=60, words=300):
+    rng = random.Random(seed)
+    vocabulary = ["the", "The", "of", "ünï", "中", "\x00", "x" * 90, "a\x85b", "w\xa0v"] + [f"w{n}" for n in range(20)]
+    common = ["new york city", "as well as", "hot", "the of the"]
+    out = []
+    for _ in range(docs):
+        parts = [rng.choice(common) if rng.random() < 0.2 else rng.choice(vocabulary) for _ in range(rng.randrange(words))]
+        out.append(("".join(p + rng.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\x0b", "!", " :"]) for p in parts), rng.choice(["en", "de", None, "und", ""])))
+    return out
+
+
+def result(spark, rows, **options):
+    df = spark.createDataFrame([(n, t, l, "x", 1) for n, (t, l) in enumerate(rows)], "doc_id long, text string, lang string, phrase string, n int")
+    return sorted(map(tuple, phrases.collocations(df.repartition(3), **options).collect()))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed):
+    rows = texts(seed)
+    want = brute(rows)
+    assert len(want) > 10 and result(spark, rows) == want
+
+
+def test_small_chunks_blocks_and_passes(spark, monkeypatch):
+    """Texts that go on behind a chunk, many buckets and several passes give the same counts."""
+    rows = texts(3, docs=30, words=900) + [("one two three four " * 500, "en")]
+    found, total = counted(rows)
+    want = {(lang, " ".join(words)): a for (lang, words), a in found.items() if a >= 10} | {(lang, None): a for lang, a in total.items() if a}
+    df = spark.createDataFrame([(t, l) for t, l in rows], "text string, lang string").repartition(3)
+    monkeypatch.setattr(phrases, "CHUNK", 700)
+    monkeypatch.setattr(phrases, "BLOCK", 400)
+    for bucket_bytes, fan in ((1 << 20, 512), (5000, 512), (5000, 3)):
+        got = phrases.phrase_counts(df, bucket_bytes=bucket_bytes, fan=fan).collect()
+        assert {(r.lang, r.phrase): r.n for r in got} == want and len(got) == len(want)
+
+
+def test_workers_see_small_chunks():
+    """The same in one process, where the settings hold."""
+    import pyarrow as pa
+
+    rows = texts(5, docs=20, words=500) + [("one two three four " * 300, "en")] * 2
+    found, total = counted(rows)
+    before = phrases.CHUNK, phrases.BLOCK
+    phrases.CHUNK, phrases.BLOCK = 600, 300
+    try:
+        batch = pa.RecordBatch.from_arrays([pa.array(["und" if l is None else l for _, l in rows]), pa.array([t for t, _ in rows])], names=["lang", "text"])
+        sent = pa.Table.from_batches(phrases._counted(3, 7, 1)(iter([batch])))
+    finally:
+        phrases.CHUNK, phrases.BLOCK = before
+    sent = sent.sort_by([("bucket", "ascending"), ("lang", "ascending")])
+    assert sent.num_rows > 100
+    got = pa.Table.from_batches(phrases._frequent(3, 1)(iter(sent.to_batches())))
+    want = {(lang, " ".join(words)): a for (lang, words), a in found.items()} | {(lang, None): a for lang, a in total.items() if a}
+    assert {(lang, p): n for lang, p, n in zip(*(got.column(c).to_pylist() for c in range(3)))} == want
+    assert got.num_rows == len(want)
+
+
+@pytest.mark.parametrize("least", [1, 4, 50])
+def test_quicksort_counts(least):
+    rng = np.random.default_rng(least)
+    keys = rng.zipf(1.3, (3000, 3)).clip(max=40) - 1
+    for row, end in enumerate(rng.integers(1, 4, len(keys))):
+        keys[row, end:] = -1
+    weights = rng.integers(1, 4, len(keys))
+    want = Counter()
+    for row, weight in zip(map(tuple, keys), weights):
+        want[row] += int(weight)
+    rows, sizes = phrases.equal_partitions(keys, weights, least)
+    got = {tuple(keys[row]): size for row, size in zip(rows, sizes)}
+    assert len(got) == len(rows) and got == {key: n for key, n in want.items() if n >= least}
+
+
+def test_large_counts_are_exact(spark):
+    """Products beyond 64 bits: the same expression as the operator's on counts of a far larger corpus."""
+    from pyspark.sql import functions as F
+
+    a, l, r = 3_000_000_017, 4_000_000_007, 5_000_000_029
+    df = spark.createDataFrame([(a, l, r)], "a long, l long, r long")
+    wide = lambda name: F.col(name).cast("decimal(19,0)")
+    upper = (F.lit(1000000).cast("decimal(7,0)") * wide("a") * wide("a")).cast("decimal(38,0)")
+    row = df.select(upper.alias("u"), (wide("l") * wide("r")).cast("decimal(38,0)").alias("v")).selectExpr("u div v AS s").first()
+    assert row.s == 1000000 * a * a // (l * r)
+
+
+def test_limit_and_ties(spark):
+    """Equal scores and counts: by the bytes of the phrase, and no more rows than asked for."""
+    rows = [(" . ".join([f"z{n} ä{n}", f"Z{n} é{n}", f"b{n} c{n}"] * 10), "en") for n in range(12)]
+    want = brute(rows, kept=30)
+    assert len(want) == 30 and result(spark, rows, kept=30) == want
+
+
+@pytest.mark.parametrize("rows", [[], [(None, "en")], [("", None)], [(" \n.", "en")], [("a b", "en")] * 9])
+def test_nothing_found(spark, rows):
+    df = spark.createDataFrame(rows, "text string, lang string")
+    assert phrases.collocations(df).collect() == []
+
+
+def test_repeated_rows_count(spark):
+    assert result(spark, [("A b", None)] * 10) == [("und", 1, "a b", 10, 10, 10, 20, 1000000)]

@@ -1,0 +1,113 @@
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from fieldweave.llm import whitening
+
+LAYOUT = "vec_id long, embedding array<double>, n string, z int, size int, `a.b` int"
+
+
+def frame(spark, vectors):
+    return spark.createDataFrame([(i, v, "x", 1, 2, 3) for i, v in vectors], LAYOUT)
+
+
+def brute(vectors):
+    """Eigenvalues and components of the exact covariance by another solver, and the exact deviations."""
+    x = np.array([[int(np.floor(1024.0 * c)) + 100000 for c in v] for v in vectors], object)
+    n, s = len(x), x.sum(axis=0)
+    centred = n * x - s
+    covariance = np.array([[float(Fraction(int(v), n ** 3)) for v in row] for row in centred.T @ centred])
+    values, axes = np.linalg.eigh(covariance)
+    return values[::-1], axes[:, ::-1], (centred ** 2).sum(axis=1), (centred / n).astype(float), np.trace(covariance)
+
+
+def check(rows, vectors):
+    values, axes, deviation, centred, trace = brute([v for _, v in vectors])
+    got = {(r.vec_id, r.component): r for r in rows}
+    assert len(got) == len(rows) == len(vectors) * min(8, len(values))
+    sign = {}
+    for place, (vec_id, _) in enumerate(vectors):
+        for k in range(min(8, len(values))):
+            r = got[vec_id, k + 1]
+            want = centred[place] @ axes[:, k] / np.sqrt(values[k])
+            sign.setdefault(k, np.sign(want) * np.sign(r.whitened))
+            assert r.whitened == pytest.approx(sign[k] * want, rel=1e-7, abs=1e-7)
+            assert r.explained == pytest.approx(values[k] / trace, rel=1e-9)
+            assert (r.n, int(r.deviation)) == (len(vectors), deviation[place])
+            assert r.identity_error < 1e-9
+    assert len({r.identity_error for r in rows}) == 1
+
+
+@pytest.mark.parametrize("size, n", [(1, 5), (3, 40), (8, 30), (11, 200)])
+def test_against_brute_force(spark, size, n):
+    rng = np.random.default_rng(size)
+    vectors = [(i, (rng.normal(size=size) * (1 + np.arange(size))).tolist()) for i in range(n)]
+    check(whitening.whiten(frame(spark, vectors).repartition(3)).collect(), vectors)
+
+
+def test_table(spark, folder):
+    import __spark_entry__ as entry
+
+    vectors = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    check(entry.queries()["op12_whitening"](spark, folder).collect(), vectors)
+
+
+def test_unusable_vectors(spark):
+    rng = np.random.default_rng(1)
+    good = [(i, rng.normal(size=3).tolist()) for i in range(9)]
+    bad = [(20, None), (21, [1.0, None, 2.0]), (22, [1.0, float("nan"), 2.0]), (23, [float("inf"), 1.0, 1.0]), (24, []), (25, [None] * 3)]
+    check(whitening.whiten(frame(spark, good + bad)).collect(), good)
+
+
+def test_each_length_is_a_fit(spark):
+    rng = np.random.default_rng(2)
+    a, b = ([(base + i, rng.normal(size=size).tolist()) for i in range(12)] for base, size in ((0, 2), (100, 5)))
+    rows = whitening.whiten(frame(spark, a + b)).collect()
+    check([r for r in rows if r.vec_id < 100], a)
+    check([r for r in rows if r.vec_id >= 100], b)
+
+
+def test_rank(spark):
+    """Two independent dimensions, the others copies of them; repeated rows and a NULL id count."""
+    rng = np.random.default_rng(3)
+    pairs = [rng.integers(-900, 900, 2) / 1024 for _ in range(20)]
+    vectors = [(None if i == 3 else i % 7, [a, b, a, b, 0.5]) for i, (a, b) in enumerate(map(np.ndarray.tolist, pairs))]
+    rows = whitening.whiten(frame(spark, vectors)).collect()
+    assert len(rows) == 40 and {r.component for r in rows} == {1, 2}
+    assert sum(r.explained for r in rows) == pytest.approx(20)
+    assert {r.vec_id for r in rows} == {None, *range(7)}
+
+
+@pytest.mark.parametrize("vectors", [[], [(1, [1.0, 2.0])], [(1, [1.0, 2.0])] * 5, [(1, None)], [(1, [])]])
+def test_no_variance(spark, vectors):
+    assert whitening.whiten(frame(spark, vectors)).collect() == []
+
+
+def test_huge_entries(spark):
+    vectors = [(1, [1e300, 1.0]), (2, [-1e300, 2.0]), (3, [0.0, 4.0])]
+    rows = whitening.whiten(frame(spark, vectors)).collect()
+    assert len(rows) in (3, 6) and all(np.isfinite(r.whitened) for r in rows)
+    ends = {1: 2 ** 61, 2: -2 ** 61, 3: 0}
+    total = {i: (3 * e) ** 2 for i, e in ends.items()}
+    assert all(abs(int(r.deviation) - total[r.vec_id]) < 2 ** 60 for r in rows)
+
+
+@pytest.mark.parametrize("bound", [100, 2 ** 26, 2 ** 40])
+def test_products_are_exact(bound):
+    y = np.random.default_rng(bound).integers(-bound, bound, (700, 4))
+    assert (whitening._products(y) == y.astype(object).T @ y.astype(object)).all()
+
+
+@pytest.mark.parametrize("size, rank", [(1, 1), (5, 5), (12, 12), (12, 4), (64, 64)])
+def test_factor_and_rotations(size, rank):
+    base = np.random.default_rng(size + rank).normal(size=(size, rank))
+    a = base @ base.T
+    factor, order = whitening.pivoted_cholesky(a)
+    assert factor.shape == (size, rank)
+    assert factor @ factor.T == pytest.approx(a[np.ix_(order, order)], abs=1e-9)
+    assert np.allclose(np.triu(factor, 1), 0)
+    turned = whitening.one_sided_jacobi(factor)
+    products = turned.T @ turned
+    assert products - np.diag(products.diagonal()) == pytest.approx(np.zeros((rank, rank)), abs=1e-9)
+    assert np.sort(products.diagonal()) == pytest.approx(np.linalg.eigvalsh(a)[size - rank:], rel=1e-7)
