@@ -80,35 +80,33 @@ class _Words:
         """
         codes = np.concatenate([*self.parts, np.full(longest, -1)])
         upto = self.size if whole else max(0, self.size - longest + 1)
-        rows, sizes = [], []
-        base, known, own = len(self.numbers), None, codes
-        for m in range(1, longest + 1):
+        place, base = np.flatnonzero(codes[:upto] >= 0), len(self.numbers)
+        own = codes[place]
+        times = np.bincount(own, minlength=base)
+        known = np.full((base, longest), -1, np.int32)
+        known[:, 0] = np.arange(base)
+        rows, sizes, total = [known[times > 0]], [times[times > 0]], len(own)
+        for m in range(2, longest + 1):
             # A phrase of m words is one of m - 1 words and the word behind it.
-            if known is None:
-                place = np.flatnonzero(codes[:upto] >= 0)
-                key, first = codes[place], None
+            last = codes[place + m - 1]
+            keep = last >= 0
+            place, key = place[keep], own[keep] * base + last[keep]
+            if m < longest:
+                found, own, times = np.unique(key, return_inverse=True, return_counts=True)
             else:
-                last = codes[place + m - 1]
-                keep = last >= 0
-                place, key = place[keep], own[keep] * base + last[keep]
-            found, own, times = np.unique(key, return_inverse=True, return_counts=True)
-            table = np.full((len(found), longest), -1)
-            if known is None:
-                table[:, 0] = found
-            else:
-                table[:, :m - 1] = known[found // base, :m - 1]
-                table[:, m - 1] = found % base
+                found, times = np.unique(key, return_counts=True)
+            table = known[found // base]
+            table[:, m - 1] = found % base
             rows.append(table)
             sizes.append(times)
             known = table
-        total = int(sizes[0].sum())
         self.parts, self.size = ([], 0) if whole else ([codes[upto:self.size]], self.size - upto)
         return np.concatenate(rows), np.concatenate(sizes), total
 
 
 def _digests(words: pa.Array, language: str, table: np.ndarray) -> np.ndarray:
     """A hash of each phrase and its language."""
-    own = np.array([xxhash.xxh3_64_intdigest(w.as_buffer()) for w in words.cast(pa.binary())] + [0], np.uint64)
+    own = np.array([*map(xxhash.xxh3_64_intdigest, words.to_pylist()), 0], np.uint64)
     found = np.full(len(table), xxhash.xxh3_64_intdigest(language.encode()), np.uint64)
     for column in table.T:
         found = np.where(column < 0, found, (found ^ own[column]) * _MIX)
@@ -240,45 +238,48 @@ def _dealt(longest: int, buckets: int, share: int):
 def equal_partitions(keys: np.ndarray, weights: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """A row of each group of equal rows of ``keys``, and the group's weight, for groups of at least that weight.
 
-    Multikey three-way quicksort of pointers, all partitions of a round at once: each is parted by one of its own keys,
-    at its depth, into lower, equal and higher rows; equal ones go on at the next depth until a row ends (-1) or all keys
-    are equal, and the size of that partition is the count. A partition of less weight than ``least`` is abandoned.
+    Multikey three-way quicksort of pointers, all partitions of a round at once: each is parted by one of its own keys
+    into lower, equal and higher ones. Equal ones point to the next key of their rows; where that was the end of the rows
+    (-1), the size of the partition is the count. A partition of less weight than ``least`` is abandoned.
     """
-    rng = np.random.default_rng(0)
-    order, starts, depth = np.arange(len(keys)), np.zeros(1, np.int64), np.zeros(1, np.int64)
-    rows, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    while len(order):
-        size = np.diff(np.r_[starts, len(order)])
-        part = np.repeat(np.arange(len(starts)), size)
-        own = keys[order, depth[part]]
-        pivot = own[starts + (rng.random(len(starts)) * size).astype(np.int64)]
-        mine = pivot[part]
+    rng, width = np.random.default_rng(0), keys.shape[1] + 1
+    kind = np.int32 if keys.size + len(keys) < 2 ** 31 else np.int64
+    flat = np.full((len(keys), width), -1, kind)
+    flat[:, :-1] = keys
+    flat = flat.ravel()
+    pointers, sizes = np.arange(len(keys), dtype=kind) * kind(width), np.array([len(keys)])
+    rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while len(pointers):
+        starts = np.cumsum(sizes) - sizes
+        own = flat[pointers]
+        pivot = own[starts + (rng.random(len(starts)) * sizes).astype(np.int64)]
+        mine = np.repeat(pivot, sizes)
         low, same = own < mine, own == mine
-        side = np.where(low, 0, np.where(same, 1, 2))
-        group = part * 3 + side
-        count = np.bincount(group, minlength=3 * len(starts))
-        offset = np.cumsum(count) - count
-        # The place of a row within its side of the partition is how many of that side come before it there.
-        place = np.empty(len(order), np.int64)
-        for value, chosen in enumerate((low, same, ~(low | same))):
-            before = np.cumsum(chosen)
-            place[chosen] = (before - 1 - (before[starts] - chosen[starts])[part])[chosen]
-        moved = np.empty_like(order)
-        moved[offset[group] + place] = order
-        found = np.flatnonzero(count)
-        begins = offset[found]
-        weight = np.add.reduceat(weights[moved], begins)
-        equal, parent = found % 3 == 1, found // 3
-        deeper = depth[parent] + equal
-        done = equal & ((deeper == keys.shape[1]) | (pivot[parent] < 0))
-        enough = weight >= least
-        rows.append(moved[begins[done & enough]])
-        sizes.append(weight[done & enough])
+        n_low, n_same = np.cumsum(low, dtype=kind), np.cumsum(same, dtype=kind)
+        before_low, before_same = n_low[starts] - low[starts], n_same[starts] - same[starts]
+        lows, sames = n_low[starts + sizes - 1] - before_low, n_same[starts + sizes - 1] - before_same
+        # Where a pointer goes: behind the lower sides of its partition, in the order of its own side.
+        moved, weighed = np.empty_like(pointers), np.empty_like(weights)
+        place = np.where(low, n_low + np.repeat((starts - 1 - before_low).astype(kind), sizes),
+                         n_same + np.repeat((starts + lows - 1 - before_same).astype(kind), sizes))
+        high = np.flatnonzero(~(low | same))
+        place[high] = high + (np.repeat((lows + sames + before_low + before_same).astype(kind), sizes) - n_low - n_same)[high]
+        moved[place], weighed[place] = pointers, weights
+        parts = np.column_stack([lows, sames, sizes - lows - sames]).ravel()
+        used = np.flatnonzero(parts)
+        parts, equal, parent = parts[used], used % 3 == 1, used // 3
+        ends = np.cumsum(parts)
+        begins = ends - parts
+        weight = np.diff(np.cumsum(weighed)[ends - 1], prepend=0)
+        enough, done = weight >= least, equal & (pivot[parent] < 0)
+        rows.append(moved[begins[done & enough]] // width)
+        found.append(weight[done & enough])
         alive = enough & ~done
-        order = moved[np.repeat(alive, count[found])]
-        kept = count[found][alive]
-        starts, depth = np.cumsum(kept) - kept, deeper[alive]
-    return np.concatenate(rows), np.concatenate(sizes)
+        kept = np.repeat(alive, parts)
+        # Equal ones go on at the next key.
+        pointers = (moved + np.repeat(equal, parts))[kept].astype(kind, copy=False)
+        weights, sizes = weighed[kept], parts[alive]
+    return np.concatenate(rows), np.concatenate(found)
 
 
 def _frequent(longest: int, least: int):
