@@ -268,5 +268,5 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     facts = [(size, k, float(value / own.trace), errors[size]) for size, own in fits.items() for k, value in enumerate(own.values, 1)]
     facts = vectors.sparkSession.createDataFrame(facts, "size long, component int, explained double, identity_error double")
     each = whitened.select("vec_id", "size", "n", "deviation", F.posexplode("z").alias("place", "whitened"))
-    return each.withColumn("component", F.col("place") + 1).join(F.broadcast(facts), ["size", "component"]).select(
+    return each.withColumn("component", F.col("place") + 1).join(facts, ["size", "component"]).select(
         "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
