@@ -208,6 +208,31 @@ DERIVED = {
           CASE WHEN k.oid IS NULL THEN c.TFM_OP_ACTIVITY_GlobalID ELSE k.gid END AS TFM_OP_ACTIVITY_GlobalID,
           c.PropertyOID, c.MasterChemOID, c.Activity_ContextID, c.Rate, c.Cost
         FROM chemicals_before c LEFT JOIN activity_key k ON k.guid = c.Child_GUID""",
+    # The same rows merged on two days: numbers go by the day first.
+    "numbered_by_day": """
+        SELECT (SELECT max(OBJECTID) FROM activity) + row_number() OVER (ORDER BY x.OBJECTID // 10 % 2, part, x.OBJECTID) AS new_oid, x.*
+        FROM (SELECT 0 AS part, * FROM staged_property UNION ALL SELECT 1, * FROM staged_stand) x""",
+    "added_by_day": "SELECT " + ", ".join(
+        {"OBJECTID": "new_oid AS OBJECTID", "GlobalID": guid("activity", "new_oid") + " AS GlobalID"}.get(c, c)
+        for c in ACTIVITY_COLUMNS
+    ) + " FROM numbered_by_day",
+    "activities_by_day": f"SELECT {', '.join(ACTIVITY_COLUMNS)} FROM activity UNION ALL "
+                         f"SELECT {', '.join(ACTIVITY_COLUMNS)} FROM added_by_day",
+    "key_by_day": """
+        SELECT PARENT_GUID AS guid, max(OBJECTID) AS oid, arg_max(GlobalID, OBJECTID) AS gid FROM activities_by_day
+        WHERE PARENT_GUID IN (SELECT Child_GUID FROM chem_mobile) GROUP BY PARENT_GUID""",
+    "chemicals_by_day": f"""
+        SELECT c.Child_GUID, coalesce(k.oid, c.ActivityOID) AS ActivityOID,
+          CASE WHEN k.oid IS NULL THEN c.TFM_OP_ACTIVITY_GlobalID ELSE k.gid END AS TFM_OP_ACTIVITY_GlobalID,
+          c.PropertyOID, c.MasterChemOID, c.Activity_ContextID, c.Rate, c.Cost
+        FROM (SELECT * FROM chemicals_before UNION ALL
+              SELECT m.Child_GUID, NULL, NULL, m.PropertyOID, m.MasterChemOID + 1, context, m.Rate, CASE context WHEN 0 THEN m.Cost END
+              FROM chem_mobile m CROSS JOIN (VALUES (0), (1440)) x(context) WHERE m.OBJECTID % 1000 = 1) c
+        LEFT JOIN key_by_day k ON k.guid = c.Child_GUID""",
+    "office_by_day": """
+        SELECT 'activity' AS output, * FROM activities_by_day UNION ALL BY NAME SELECT 'chemical' AS output, * FROM chemicals_by_day
+        UNION ALL BY NAME SELECT 'reject' AS output, OBJECTID, Cost FROM activity_mobile
+        WHERE prop_or_stand IS NULL OR prop_or_stand NOT IN ('prop', 'stand')""",
     "overlay": """
         SELECT t.OBJECTID, count(*) AS times FROM activities_after t JOIN activity_mobile m ON t.PARENT_GUID = m.Parent_GUID
         WHERE m.prop_or_stand = 'stand' GROUP BY t.OBJECTID""",
@@ -413,6 +438,11 @@ def oracle() -> dict[str, str]:
             SELECT m.Child_GUID, k.oid, k.gid, m.PropertyOID, m.MasterChemOID + 1, context, m.Rate, CASE context WHEN 0 THEN m.Cost END
             FROM chem_mobile m LEFT JOIN activity_key k ON k.guid = m.Child_GUID CROSS JOIN (VALUES (0), (1440)) c(context)
             WHERE m.OBJECTID % 1000 = 1""",
+        "sync_applied": "SELECT * FROM office_by_day",
+        "sync_taken_up": "SELECT * FROM office_by_day",
+        "scan_store_by_keys": """
+            SELECT OBJECTID, GlobalID, PARENT_GUID FROM activity
+            WHERE PARENT_GUID IN (SELECT Child_GUID FROM chem_app WHERE MasterChemOID % 50 = 7)""",
         "published_universal_lists": "SELECT * FROM universal_lists",
         "migrated_tables": f"""
             SELECT 'stand' AS dataset, cast(ObjectID AS varchar) AS key, {guid('stand', 'ObjectID')} AS GlobalID, 1 AS rows FROM stand UNION ALL

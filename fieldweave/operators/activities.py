@@ -128,13 +128,15 @@ def unmerged(rows: DataFrame, merged: DataFrame | None, key: str = "OBJECTID") -
     return rows if merged is None else split_join(rows, merged.select(key).distinct(), [key], "left_anti")
 
 
-def append_new(target: DataFrame, staged: DataFrame, properties: DataFrame, stands: DataFrame, dataset: str) -> DataFrame:
+def append_new(
+    target: DataFrame, staged: DataFrame, properties: DataFrame, stands: DataFrame, dataset: str, highest: int | None = None
+) -> DataFrame:
     """New rows of ``target`` out of staged ones, enriched by their route, with ObjectIDs and GlobalIDs.
 
     ObjectIDs go to property rows first, then to stand rows, each in reading order. Numbers and keys are settled first;
     shapes join in the last two steps.
     """
-    rows = next_object_ids(target, staged, IS_STAND, READ_ORDER)
+    rows = next_object_ids(target, staged, IS_STAND, READ_ORDER, highest=highest)
     rows = stand_keys(rows, stands, where=F.col(IS_STAND), staged=staged)
     rows = enrich_property(rows, properties, where=~F.col(IS_STAND))
     rows = stand_shapes(rows, stands)

@@ -57,8 +57,13 @@ def number_rows(rows: DataFrame, group: str, key: str, name: str, bits: int = BL
     return rows.join(numbers, [group, key]).select(*rows.columns, name)
 
 
-def next_object_ids(target: DataFrame, rows: DataFrame, group: str, key: str, id_col: str = "OBJECTID") -> DataFrame:
-    """``rows`` with ``id_col`` counting on from the highest one in ``target``, in the order of ``group`` and ``key``."""
-    highest = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_highest"))
+def next_object_ids(
+    target: DataFrame, rows: DataFrame, group: str, key: str, id_col: str = "OBJECTID", highest: int | None = None
+) -> DataFrame:
+    """``rows`` with ``id_col`` counting on from the highest one in ``target``, in the order of ``group`` and ``key``.
+
+    Who knows the highest one passes it, and ``target`` is not read.
+    """
+    last = F.lit(highest) if highest is not None else target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_highest")).scalar()
     numbered = number_rows(rows, group, key, "_number")
-    return numbered.withColumn(id_col, F.col("_number") + highest.scalar()).drop("_number")
+    return numbered.withColumn(id_col, F.col("_number") + last).drop("_number")

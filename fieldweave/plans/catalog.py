@@ -11,8 +11,10 @@ from fieldweave.functions import scalars as X
 from fieldweave.operators import activities as A
 from fieldweave.operators import cascade, chemicals, coded, control, identity, lists, mapping
 from fieldweave.operators import relations as R
-from fieldweave.plans import prepare, refresh, sync
+from fieldweave.plans import office, prepare, refresh, sync
 from fieldweave.sources import sinks, tables as S
+from fieldweave.sources.store import Store
+from fieldweave.streaming import inbox
 
 Query = Callable[[S.BoundTables], DataFrame]
 
@@ -20,6 +22,9 @@ Query = Callable[[S.BoundTables], DataFrame]
 MOBILE_FIELDS = ["OBJECTID", "Parent_GUID", "prop_or_stand", "PropertyOID", "standOID"]
 KEPT_PREFIXES = ["000", "006", "012"]
 
+# Buckets of the small stores that queries make.
+QUERY_BUCKETS = 8
+
 
 def _session(t: S.BoundTables) -> SparkSession:
     return t["property"].sparkSession
@@ -203,18 +208,67 @@ def _sync_rerun(t) -> DataFrame:
     spark, first, second = _session(t), _work_folder(t), _work_folder(t)
     sync.publish(t, first)
     read = spark.read.parquet
-    office = sync.sync(t).same_chemicals.unionByName(read(f"{first}/changed_chemicals")).unionByName(read(f"{first}/new_chemicals"))
-    more = t["chem_mobile"].filter("OBJECTID % 1000 = 1").withColumns(
-        {"OBJECTID": F.col("OBJECTID") + 500, "MasterChemOID": F.col("MasterChemOID") + 1})
+    whole = sync.sync(t).same_chemicals.unionByName(read(f"{first}/changed_chemicals")).unionByName(read(f"{first}/new_chemicals"))
     after = {
-        **t, "activity": t["activity"].unionByName(read(f"{first}/new_activities")), "chem_app": sinks.stored(office, f"{second}/office"),
-        "chem_mobile": t["chem_mobile"].unionByName(more),
+        **t, "activity": t["activity"].unionByName(read(f"{first}/new_activities")), "chem_app": sinks.stored(whole, f"{second}/office"),
+        "chem_mobile": t["chem_mobile"].unionByName(_more_chemicals(t)),
     }
     sync.publish(after, second, earlier=[first])
     return sync.sync(after, sync.merged_by(spark, [first])).same_chemicals.unionByName(
         read(f"{second}/changed_chemicals")).unionByName(read(f"{second}/new_chemicals"))
 
 
+# The mobile rows of two days: a GUID's rows share all but the last digit of their order's number.
+DAY = {"activity_mobile": "OBJECTID div 10 % 2", "chem_mobile": "OBJECTID div 10000 % 2"}
+
+
+def _more_chemicals(t) -> DataFrame:
+    """One more chemical for each GUID that has some."""
+    return t["chem_mobile"].filter("OBJECTID % 1000 = 1").withColumns(
+        {"OBJECTID": F.col("OBJECTID") + 500, "MasterChemOID": F.col("MasterChemOID") + 1})
+
+
+def _office_rows(store: Store) -> DataFrame:
+    """Both office tables of a store in one frame, told apart by ``output``."""
+    parts = {"activity": store.table("activity"), "chemical": store.table("chem_app"), "reject": store.table("rejects").select("OBJECTID", "Cost")}
+    rows = [part.select(F.lit(name).alias("output"), *part.columns) for name, part in parts.items()]
+    return rows[0].unionByName(rows[1], allowMissingColumns=True).unionByName(rows[2], allowMissingColumns=True)
+
+
+def _sync_applied(t) -> DataFrame:
+    """The office tables after two days, the mobile rows of the first still there on the second."""
+    store = Store(_session(t), _work_folder(t))
+    office.create(store, t, QUERY_BUCKETS)
+    office.apply(store, {**t, **{name: t[name].filter(f"{day} = 0") for name, day in DAY.items()}}, "first")
+    office.apply(store, {**t, "chem_mobile": t["chem_mobile"].unionByName(_more_chemicals(t))}, "second")
+    store.vacuum()
+    return _office_rows(store)
+
+
+def _sync_taken_up(t) -> DataFrame:
+    """The same, where the rows of each day arrive as files."""
+    spark, folder = _session(t), _work_folder(t)
+    store = Store(spark, f"{folder}/office")
+    office.create(store, t, QUERY_BUCKETS)
+    for day in (0, 1):
+        arrived = {name: t[name].filter(f"{rule} = {day}") for name, rule in DAY.items()}
+        if day:
+            arrived["chem_mobile"] = arrived["chem_mobile"].unionByName(_more_chemicals(t))
+        for name, rows in arrived.items():
+            rows.write.mode("append").parquet(f"{folder}/drop/{name}")
+            inbox.take_up(spark, f"{folder}/drop", f"{folder}/inbox", name, t[name].schema, files=2)
+        office.apply_inbox(store, t, f"{folder}/inbox", f"day-{day}")
+    return _office_rows(store)
+
+
+def _store_keys(t) -> DataFrame:
+    """Activities with a GUID of the special rows, out of their buckets."""
+    store = Store(_session(t), _work_folder(t))
+    office.create(store, t, QUERY_BUCKETS)
+    keys = t["chem_app"].filter("MasterChemOID % 50 = 7").select("Child_GUID")
+    return store.scan_keys("activity", ["OBJECTID", "GlobalID", "PARENT_GUID"], keys)
+
+
 def _published_lists(t) -> DataFrame:
     folder = _work_folder(t)
     refresh.publish(t, t["property_flags"], t["forms"], folder)
@@ -302,6 +356,9 @@ QUERIES: dict[str, Query] = {
     "sync_chemicals": _sync_chemicals,
     "sync_rerun": _sync_rerun,
     "sync_all": lambda t: sync.sync_rows(t, _work_folder(t)),
+    "sync_applied": _sync_applied,
+    "sync_taken_up": _sync_taken_up,
+    "scan_store_by_keys": _store_keys,
     # relations and coded values
     "rel_property_activity": _related("Property_PropAct", ["Name"], ["OBJECTID", "Status", "Cost"]),
     "rel_activity_chemical": _related("Activity_Chemical_Existing", ["GlobalID"], ["MasterChemOID", "Rate", "Cost"]),

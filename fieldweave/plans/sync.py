@@ -42,12 +42,15 @@ def merged_by(spark: SparkSession, folders: list[str]) -> Merged:
     return Merged(read(*[f"{f}/merged_activities" for f in folders]), read(*[f"{f}/merged_chemicals" for f in folders]))
 
 
-def new_activities(tables: Tables, merged: Merged = Merged()) -> DataFrame:
+def routed(tables: Tables) -> DataFrame:
+    return tables["activity_mobile"].filter(F.col("prop_or_stand").isin(A.PROPERTY_ROUTE, A.STAND_ROUTE))
+
+
+def new_activities(tables: Tables, merged: Merged = Merged(), highest: int | None = None) -> DataFrame:
     """Rows to add to the activity table, complete with ObjectIDs and GlobalIDs; mobile rows merged before are left out."""
     target = tables["activity"]
-    routed = tables["activity_mobile"].filter(F.col("prop_or_stand").isin(A.PROPERTY_ROUTE, A.STAND_ROUTE))
-    staged = A.stage(A.unmerged(routed, merged.activities), staging_schema(target, "activity"))
-    return A.append_new(target, staged, tables["property"], tables["stand"], "activity")
+    staged = A.stage(A.unmerged(routed(tables), merged.activities), staging_schema(target, "activity"))
+    return A.append_new(target, staged, tables["property"], tables["stand"], "activity", highest)
 
 
 def chemical_input(tables: Tables, merged: Merged = Merged()) -> DataFrame:
@@ -78,8 +81,8 @@ class SyncResult:
         return self.same_chemicals.unionByName(self.changed_chemicals).unionByName(self.new_chemicals)
 
 
-def sync(tables: Tables, merged: Merged = Merged(), folder: str | None = None) -> SyncResult:
-    """All results of a run.
+def sync(tables: Tables, merged: Merged = Merged(), folder: str | None = None, highest: int | None = None) -> SyncResult:
+    """All results of a run. ``highest`` is the highest ObjectID of the activities, if it is known.
 
     Only the chemicals with a GUID of the day are looked up and updated; all others are the rows that stay the same.
     With a ``folder`` the new rows and their keys are computed once, written there and read back. They are as few as the
@@ -91,7 +94,7 @@ def sync(tables: Tables, merged: Merged = Merged(), folder: str | None = None) -
 
     mobile = tables["activity_mobile"]
     routes = A.route(mobile)
-    new = keep(new_activities(tables, merged), "new_activities")
+    new = keep(new_activities(tables, merged, highest), "new_activities")
     activities = tables["activity"].unionByName(new)
     records = keep(new_chemicals(tables, merged), "chemical_records")
     guids = keep(C.guids_of(records), "guids")
@@ -144,7 +147,6 @@ def publish(tables: Tables, folder: str, earlier: list[str] = []) -> DataFrame |
     stored(result.changed_chemicals, f"{folder}/changed_chemicals")
     stored(result.rejects, f"{folder}/rejects")
     stored(result.overlay, f"{folder}/overlay")
-    routed = tables["activity_mobile"].filter(F.col("prop_or_stand").isin(A.PROPERTY_ROUTE, A.STAND_ROUTE))
-    stored(A.unmerged(routed, merged.activities).select("OBJECTID"), f"{folder}/merged_activities")
+    stored(A.unmerged(routed(tables), merged.activities).select("OBJECTID"), f"{folder}/merged_activities")
     stored(chemical_input(tables, merged).select("OBJECTID"), f"{folder}/merged_chemicals")
     return stored(result.counts, f"{folder}/counts")

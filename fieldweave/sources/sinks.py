@@ -29,6 +29,46 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class FileTree:
+    """Small files and folder names under one folder, of any file system that Spark reaches."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._io = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
+        self.folder = folder.rstrip("/")
+        self._files = self._paths(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self._paths(f"{self.folder}/{name}" if name else self.folder)
+
+    def names(self, name: str = "") -> list[str]:
+        """Names in a folder; none if there is no such folder."""
+        path = self._path(name)
+        return sorted(f.getPath().getName() for f in self._files.listStatus(path)) if self._files.exists(path) else []
+
+    def read(self, name: str) -> str:
+        stream = self._files.open(self._path(name))
+        try:
+            return self._io.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_once(self, name: str, text: str) -> None:
+        """A file that appears whole under its name; one that is there already is an error."""
+        path, draft = self._path(name), self._path(f"{name}.{uuid.uuid4()}.draft")
+        stream = self._files.create(draft, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        if self._files.exists(path) or not self._files.rename(draft, path):
+            self._files.delete(draft, False)
+            raise FileExistsError(f"{self.folder}/{name}")
+
+    def remove(self, name: str) -> None:
+        self._files.delete(self._path(name), True)
+
+
 def stored(df: DataFrame, folder: str) -> DataFrame:
     """``df`` written to ``folder`` and read back, so that later steps see fixed rows of a known size."""
     df.write.mode("overwrite").parquet(folder)
