@@ -420,7 +420,9 @@ def oracle() -> dict[str, str]:
         "decode_universal_domain": described("activity", ["OBJECTID"], [f for f in FIELDS if f[0] == "activity" and not f[3]]),
         "decode_chemical_domain": described("chem_app", ["Child_GUID", "PropertyOID"], [f for f in FIELDS if f[0] == "chem_app"]),
         "decode_unit_domain": described("hv_unit", ["ObjectID"], [f for f in FIELDS if f[0] == "hv_unit"]),
-        "decode_special_domain": described("special_point", [], [f for f in FIELDS if f[0] == "special_point"]),
+        "decode_special_domain": " UNION ALL ".join(
+            described(name, [f"'{name}' AS dataset", "sp_subtype"], [f for f in FIELDS if f[0] == name])
+            for name in ("special_point", "special_line", "special_poly")),
         "domain_violations": each(outside_list, FIELDS),
         "subtype_decode": """
             SELECT OBJECTID, PropertyOID, (SELECT split_part(prop_key, ' - ', 2) FROM property_flags

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldweave.functions import scalars as X
 from fieldweave.operators.joins import split_join
-from fieldweave.operators.lists import Tables, property_lists, union, universal_domains
+from fieldweave.operators.lists import KINDS, UNIVERSAL, Tables, property_lists, union, universal_domains
 
 
 class FieldList(NamedTuple):
@@ -40,10 +41,18 @@ def bindings_of(dataset: str, per_property: bool | None = None) -> list[FieldLis
     return [b for b in BINDINGS if b.dataset == dataset and per_property in (None, b.per_property)]
 
 
-def code_lists(tables: Tables, props: DataFrame) -> DataFrame:
-    """``list_name, property_oid, code, description`` of the properties' lists and the universal ones."""
-    own = property_lists(tables, props).withColumnRenamed("kind", "list_name")
-    return own.unionByName(universal_domains(tables).withColumn("property_oid", F.lit(None).cast("int")))
+def code_lists(tables: Tables, props: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
+    """``list_name, property_oid, code, description`` of the properties' lists and the universal ones.
+
+    Of the lists only those with the given names, if any are given; the others' sources are not read.
+    """
+    names = [*KINDS, *UNIVERSAL] if names is None else list(names)
+    parts = []
+    if kinds := [kind for kind in KINDS if kind in names]:
+        parts.append(property_lists(tables, props, kinds).withColumnRenamed("kind", "list_name"))
+    if universal := [name for name in UNIVERSAL if name in names]:
+        parts.append(universal_domains(tables, universal).withColumn("property_oid", F.lit(None).cast("int")))
+    return union(parts)
 
 
 def published_code_lists(domains: DataFrame, universal: DataFrame) -> DataFrame:
@@ -57,24 +66,39 @@ def published_code_lists(domains: DataFrame, universal: DataFrame) -> DataFrame:
     return own.unionByName(universal.withColumn("property_oid", F.lit(None).cast("int")))
 
 
+def _value(number: int, b: FieldList, code: str, place: str) -> str:
+    """A bound field as a SQL struct of its number, its list, the property that the list belongs to, if any, and the code."""
+    place = place if b.per_property else "NULL"
+    return (f"named_struct('number', {number}, 'list_name', '{b.list_name}', 'place', cast({place} AS int), "
+            f"'code', cast({code} AS string))")
+
+
+def dictionary(lists: DataFrame, names: Iterable[str]) -> DataFrame:
+    """``list_name, place, code, description``, each code once: one with several descriptions gets the alphabetically first."""
+    own = lists.filter(F.col("list_name").isin(*names)).withColumnRenamed("property_oid", "place")
+    return own.groupBy("list_name", "place", "code").agg(F.min("description").alias("description"))
+
+
 def decode(rows: DataFrame, bindings: list[FieldList], lists: DataFrame, property_field: str = "PropertyOID") -> DataFrame:
     """``rows`` with ``<field>_description`` for each bound field; NULL where the list lacks the code.
 
-    A code listed with several descriptions gets the alphabetically first, so no row is ever repeated.
+    All fields meet the lists in one join, whatever their number. Rows with the same codes collapse first; each
+    combination gives one narrow row per field, finds its descriptions, is put together again and goes back to the rows.
+    So the rows themselves are shuffled twice at most: their codes once, and they once. A code listed with several
+    descriptions gets the alphabetically first, so no row is ever repeated.
     """
-    columns = list(rows.columns)
-    for number, binding in enumerate(bindings):
-        text, code, place = f"_text_{number}", f"_code_{number}", f"_place_{number}"
-        found = lists.filter(F.col("list_name") == binding.list_name)
-        found = found.select(F.col("property_oid").alias(place), F.col("code").alias(code), F.col("description").alias(text))
-        keys = [place, code] if binding.per_property else [code]
-        found = found.groupBy(*keys).agg(F.min(text).alias(text))
-        rows = rows.withColumn(code, F.col(binding.field).cast("string"))
-        if binding.per_property:
-            rows = rows.withColumn(place, F.col(property_field).cast("int"))
-        rows = split_join(rows, found, keys, "left")
-        columns.append(F.col(text).alias(f"{binding.field}_description"))
-    return rows.select(*columns)
+    place = [F.col(property_field).cast("int").alias("place")] if any(b.per_property for b in bindings) else []
+    codes = [F.col(f"`{b.field}`").cast("string").alias(f"code_{n}") for n, b in enumerate(bindings)]
+    combined = rows.withColumn("_codes", F.struct(*place, *codes))
+    each = ", ".join(_value(n, b, f"_codes.code_{n}", "_codes.place") for n, b in enumerate(bindings))
+    single = combined.select("_codes").distinct().selectExpr("_codes", f"inline(array({each}))").filter("code IS NOT NULL")
+    # A property or the lack of one is a key like any other.
+    keyed = lambda df: df.withColumns({"_all": F.col("place").isNull(), "place": F.coalesce("place", F.lit(0))})
+    known = keyed(dictionary(lists, dict.fromkeys(b.list_name for b in bindings)))
+    found = split_join(keyed(single), known, ["list_name", "_all", "place", "code"], "inner")
+    texts = [F.max(F.when(F.col("number") == n, F.col("description"))).alias(f"_text_{n}") for n in range(len(bindings))]
+    decoded = split_join(combined, found.groupBy("_codes").agg(*texts), ["_codes"], "left")
+    return decoded.select(*rows.columns, *[F.col(f"_text_{n}").alias(f"{b.field}_description") for n, b in enumerate(bindings)])
 
 
 def coded_values(tables: Tables, bindings: list[FieldList], property_field: str = "PropertyOID") -> DataFrame:
@@ -82,20 +106,15 @@ def coded_values(tables: Tables, bindings: list[FieldList], property_field: str
 
     Values are counted under the number of their binding, over all datasets at once; its names join the counts after.
     """
-    def value(number: int, b: FieldList) -> str:
-        place = property_field if b.per_property else "NULL"
-        return (
-            f"named_struct('number', {number}, 'property_oid', cast({place} AS int), 'code', cast({b.field} AS string))"
-        )
-
     def label(names: list[str]) -> Column:
         return F.element_at(F.array(*[F.lit(name) for name in names]), F.col("number"))
 
     found = []
     for dataset in dict.fromkeys(b.dataset for b in bindings):
-        fields = [value(number, b) for number, b in enumerate(bindings, 1) if b.dataset == dataset]
+        fields = [_value(number, b, b.field, property_field) for number, b in enumerate(bindings, 1) if b.dataset == dataset]
         found.append(tables[dataset].selectExpr(f"inline(array({', '.join(fields)}))").filter("code IS NOT NULL"))
-    counted = union(found).groupBy("number", "property_oid", "code").agg(F.count("*").alias("rows"))
+    values = union(found).select("number", F.col("place").alias("property_oid"), "code")
+    counted = values.groupBy("number", "property_oid", "code").agg(F.count("*").alias("rows"))
     return counted.select(
         label([b.dataset for b in bindings]).alias("dataset"), label([b.field for b in bindings]).alias("field"),
         label([b.list_name for b in bindings]).alias("list_name"), "property_oid", "code", "rows",

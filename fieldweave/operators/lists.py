@@ -142,7 +142,7 @@ def hardcoded_lists(tables: Tables, props: DataFrame) -> DataFrame:
     return of_properties(rows, props).select("property_oid", "list_name", *CODE_COLUMNS)
 
 
-def universal_domains(tables: Tables) -> DataFrame:
+def universal_domains(tables: Tables, names: list[str] = UNIVERSAL) -> DataFrame:
     """``list_name, code, description`` of the lists that hold for every property.
 
     Rows collapse in the tasks that read them, so what is shuffled is the size of the lists.
@@ -155,9 +155,9 @@ def universal_domains(tables: Tables) -> DataFrame:
     }
     rows = [
         tables[source].select(F.lit(name).alias("list_name"), F.col("CODE").alias("code"), F.col("DESCRIPTION").alias("description"))
-        for name, source in plain.items()
+        for name, source in plain.items() if name in names
     ]
-    for name in UNIVERSAL[len(plain):]:
+    for name in [name for name in UNIVERSAL[len(plain):] if name in names]:
         rows.append(
             tables[name].select(
                 F.lit(name).alias("list_name"),

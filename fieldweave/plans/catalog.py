@@ -46,9 +46,9 @@ def _all_lists(t) -> DataFrame:
     return lists.domain_all(t, lists.all_properties(t))
 
 
-def _code_lists(t) -> DataFrame:
-    """All lists, stored as they are once published: Spark knows their size, and small ones go to the rows."""
-    return sinks.stored(coded.code_lists(t, lists.all_properties(t)), _work_folder(t))
+def _code_lists(t, names: list[str] | None = None) -> DataFrame:
+    """The named lists or all, stored as they are once published: Spark knows their size, and small ones go to the rows."""
+    return sinks.stored(coded.code_lists(t, lists.all_properties(t), names), _work_folder(t))
 
 
 def _changed(t) -> DataFrame:
@@ -189,10 +189,22 @@ def _decoded(per_property: bool, keys: list[str], dataset: str = "activity") ->
     def query(t) -> DataFrame:
         bindings = coded.bindings_of(dataset, per_property)
         rows = t[dataset].select(*keys, *[b.field for b in bindings])
-        return coded.decode(rows, bindings, _code_lists(t))
+        return coded.decode(rows, bindings, _code_lists(t, [b.list_name for b in bindings]))
     return query
 
 
+SPECIAL = ["special_point", "special_line", "special_poly"]
+
+
+def _decoded_special(t) -> DataFrame:
+    """The types of all three tables, each by its own list."""
+    known = _code_lists(t, SPECIAL)
+    return lists.union([
+        coded.decode(t[name].select("sp_type", "sp_subtype"), coded.bindings_of(name), known).select(F.lit(name).alias("dataset"), "*")
+        for name in SPECIAL
+    ])
+
+
 def _subtype_names(t) -> DataFrame:
     return coded.decode_subtype(t["activity_mobile"].select("OBJECTID", "PropertyOID"), t["property_flags"])
 
@@ -376,7 +388,7 @@ QUERIES: dict[str, Query] = {
     "decode_universal_domain": _decoded(False, ["OBJECTID"]),
     "decode_chemical_domain": _decoded(True, ["Child_GUID", "PropertyOID"], "chem_app"),
     "decode_unit_domain": _decoded(False, ["ObjectID"], "hv_unit"),
-    "decode_special_domain": _decoded(False, [], "special_point"),
+    "decode_special_domain": _decoded_special,
     "domain_violations": lambda t: coded.domain_violations(t, _code_lists(t)),
     "subtype_decode": _subtype_names,
     "subtype_unknown": lambda t: coded.unknown_subtypes(t["activity_mobile"], t["property_flags"]),

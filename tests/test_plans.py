@@ -69,3 +69,33 @@ def test_only_named_stands_are_moved(spark, tables, tmp_path):
         assert "BroadcastHashJoin [ObjectID" in plan(df)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_all_fields_are_decoded_in_one_join(spark, tables, tmp_path):
+    """Without any broadcast: rows are shuffled once whole and once as their codes, for any number of fields."""
+    from fieldweave.operators import coded, lists
+
+    tables["activity"].write.parquet(str(tmp_path / "rows"))
+    coded.code_lists(tables, lists.all_properties(tables)).write.parquet(str(tmp_path / "lists"))
+    facts, known = spark.read.parquet(str(tmp_path / "rows")), spark.read.parquet(str(tmp_path / "lists"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        exchanges = []
+        for bindings in (coded.bindings_of("activity")[:1], coded.bindings_of("activity")):
+            text = plan(coded.decode(facts, bindings, known))
+            exchanges.append(len(re.findall(r"Exchange hashpartitioning", text)))
+            # The scan of the rows stands behind two exchanges, one of them narrow.
+            assert text.count("office_only") and len(re.findall(r"FileScan parquet \[[^\]]*OBJECTID", text)) == 1
+            assert len(re.findall(r"FileScan parquet \[[^\]]*Supervisor", text)) == 2
+        assert exchanges[0] == exchanges[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_decoding_reads_the_needed_lists(spark, folder):
+    from fieldweave.operators import coded, lists
+    from fieldweave.sources.tables import BoundTables
+
+    own = BoundTables(spark, folder)
+    text = plan(coded.code_lists(own, lists.all_properties(own), ["harv_status"]))
+    assert text.count("FileScan") == 1 and "l_linestatus" in text
