@@ -13,6 +13,7 @@ from fieldweave.sources.bindings import BINDINGS
 ACTIVITY_COLUMNS = [name for name, _, _ in BINDINGS["activity"].columns]
 CHEMICAL_COLUMNS = [name for name, _, _ in BINDINGS["chem_app"].columns]
 LAYOUT = "list_name, name, label, p_category, p_type, s_category, s_type, prop_or_stand, s_subtype, inv_loc, REG_Species"
+KEYLESS = ["chem_app", "hv_optprod", "special_point", "special_line", "special_poly"]
 KINDS = ["compartment", "supervisor", "contractor", "species", "chemical"]
 
 
@@ -24,6 +25,18 @@ def guid(dataset: str, oid: str) -> str:
     )
 
 
+def content(name: str) -> str:
+    """The values of a row as one text: each with its length in front."""
+    texts = [f"cast({column} AS varchar)" for column, _, _ in BINDINGS[name].columns]
+    return " || ".join(f"coalesce(cast(length({t}) AS varchar) || ':' || {t}, 'N')" for t in texts)
+
+
+def keyless_ids(name: str) -> str:
+    """Identifiers of a table without a key: its values, and the number among equal rows."""
+    numbered = f"SELECT {content(name)} AS c, row_number() OVER (PARTITION BY {content(name)}) AS n FROM {name}"
+    return guid(name, "c || '#' || n"), f"({numbered}) q"
+
+
 def bound(text: str, extra: dict[str, str] | None = None) -> str:
     """``text`` behind the common table expressions that it names, directly or through each other."""
     parts = {name: binding.select() for name, binding in BINDINGS.items()} | DERIVED | (extra or {})
@@ -42,6 +55,16 @@ def bound(text: str, extra: dict[str, str] | None = None) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in needed.items()) + "\n" + text
 
 
+def variants(name: str) -> str:
+    """A table whose rows come a second time in capitals with a blank behind."""
+    again = ", ".join(f"upper({e}) || ' ' AS {c}" if kind == "string" else f"{e} AS {c}" for c, kind, e in BINDINGS[name].columns)
+    return f"{BINDINGS[name].select()} UNION ALL SELECT {again} {BINDINGS[name].source}"
+
+
+VARIANTS = {name: variants(name) for name in (
+    "supervisor", "contractor", "species", "compartment", "chem_view", "property_type", "property_category", "stand_type", "act_type")}
+
+
 def listed(kind: str) -> str:
     """Rows of one kind of list, as its procedure selects them."""
     return {
@@ -376,9 +399,10 @@ def oracle() -> dict[str, str]:
         "chem_planned_actual": f"SELECT {CHEMICALS} FROM planned UNION ALL SELECT {CHEMICALS} FROM actual",
         "chem_backfill": "SELECT * FROM chemicals_after",
         "add_guid_column": "SELECT *, cast(NULL AS varchar) AS Child_GUID FROM hv_optprod",
-        "add_global_ids": f"""
-            SELECT 'stand' AS dataset, ObjectID, {guid('stand', 'ObjectID')} AS GlobalID FROM stand UNION ALL
-            SELECT 'chem_master', ObjectID, {guid('chem_master', 'ObjectID')} FROM chem_master""",
+        "add_global_ids": " UNION ALL ".join(
+            [f"SELECT '{name}' AS dataset, {key} AS ObjectID, {guid(name, key)} AS GlobalID FROM {name}"
+             for name, key in (("stand", "ObjectID"), ("chem_master", "ObjectID"), ("activity_mobile", "OBJECTID"), ("chem_mobile", "OBJECTID"))]
+            + [f"SELECT '{name}', NULL, {keyless_ids(name)[0]} FROM {keyless_ids(name)[1]}" for name in KEYLESS]),
         "route_activities": """
             SELECT OBJECTID, Parent_GUID, CASE WHEN prop_or_stand = 'prop' THEN 'prop' WHEN prop_or_stand = 'stand'
               THEN 'stand' ELSE 'reject' END AS route FROM activity_mobile""",
@@ -453,7 +477,8 @@ def oracle() -> dict[str, str]:
             SELECT 'chem_app', cast(c.ActivityOID AS varchar), p.GlobalID, count(*) FROM chem_app c
               LEFT JOIN activity p ON p.OBJECTID = c.ActivityOID GROUP BY ALL UNION ALL
             SELECT 'hv_optprod', cast(c.HUOID AS varchar), p.GlobalID, count(*) FROM hv_optprod c
-              LEFT JOIN hv_unit p ON p.ObjectID = c.HUOID GROUP BY ALL""",
+              LEFT JOIN hv_unit p ON p.ObjectID = c.HUOID GROUP BY ALL UNION ALL """ + " UNION ALL ".join(
+                f"SELECT '{name}.own', NULL, {keyless_ids(name)[0]}, 1 FROM {keyless_ids(name)[1]}" for name in KEYLESS),
         "sync_all": f"""
             SELECT 'activity' AS output, {activity} FROM activities_after
             UNION ALL BY NAME SELECT 'chemical' AS output, * FROM chemicals_after
@@ -482,4 +507,17 @@ def oracle() -> dict[str, str]:
             ) l ON l.property_oid = c.property_oid LEFT JOIN form_count f ON f.property_oid = c.property_oid
             WHERE f.forms_found IS NOT NULL OR NOT l.needs_form""",
     }
-    return {name: bound(sql.strip()) for name, sql in out.items()}
+    found = {name: bound(sql.strip()) for name, sql in out.items()}
+    plain = lambda c: f"lower(rtrim({c}, ' '))"
+    first = lambda keys, order: f"row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1"
+    lists = " UNION ALL ".join(
+        f"SELECT concat(property_oid, '_{kind}') AS domain_name, * FROM ({rows}) q"
+        for kind, rows in {
+            kind: f"SELECT * FROM list_{kind}" if kind == "compartment" else
+            f"SELECT * FROM list_{kind} QUALIFY {first(f'property_oid, {plain("code")}, {plain("description")}', 'code NULLS FIRST, description NULLS FIRST')}"
+            for kind in KINDS
+        }.items())
+    columns = [c.strip() for c in LAYOUT.split(",")]
+    choices = f"SELECT * FROM choices QUALIFY " + first(
+        ", ".join(["property_oid", *map(plain, columns)]), ", ".join(f"{c} NULLS FIRST" for c in columns))
+    return found | {"domain_collated": bound(lists, VARIANTS), "itemsets_collated": bound(choices, VARIANTS)}

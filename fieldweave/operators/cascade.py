@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from fieldweave.functions import scalars as X
 from fieldweave.operators.joins import split_join
-from fieldweave.operators.lists import Tables, active, approved, chemical_codes, of_properties, union
+from fieldweave.operators.lists import (
+    Tables, active, approved, chemical_codes, distinct_rows, exact_copies_out, of_properties, union,
+)
 from fieldweave.sources.tables import collated
 
 # Columns of the choice table and its ten lists.
@@ -20,8 +22,8 @@ BRANCHES = [
     "REG_Variety",
 ]
 
-# Tasks that share the location x subtype pairs of one property.
-PAIR_SPREAD = 16
+# Locations, and subtypes, of a property that meet in one cell of its grid.
+PAIR_SIDE = 256
 
 
 def _entry(list_name: str, name: str, label: str, **others: str) -> str:
@@ -33,7 +35,7 @@ def _entry(list_name: str, name: str, label: str, **others: str) -> str:
 
 def _property_rows(tables: Tables) -> DataFrame:
     categories = active(tables["property_category"]).withColumnRenamed("category", "Category")
-    return active(tables["property_type"]).distinct().join(categories, ["property_oid", "Category"], "left_semi")
+    return exact_copies_out(active(tables["property_type"])).join(categories, ["property_oid", "Category"], "left_semi")
 
 
 def _stand_rows(tables: Tables) -> DataFrame:
@@ -71,19 +73,32 @@ def _plain_lists(tables: Tables, branches: list[str]) -> list[DataFrame]:
     return found
 
 
-def _locations(tables: Tables, props: DataFrame, spread: int) -> DataFrame:
+def _dealt(rows: DataFrame, grids: DataFrame, value: str, own: str, other: str) -> DataFrame:
+    """``rows`` in their place on one axis of their property's grid, ``own``, once for each place on the ``other`` one."""
+    placed = split_join(rows, grids, ["property_oid"], "inner")
+    place = F.pmod(F.xxhash64(F.collate(value, "UTF8_BINARY")), F.col(f"{own}s")).cast("int")
+    return placed.select(*rows.columns, place.alias(own), F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other))
+
+
+def _locations(tables: Tables, props: DataFrame, side: int) -> DataFrame:
     """Every inventory location of a property with every chemical subtype there, if the property has an approved chemical.
 
-    The result holds all pairs of a property by definition. Both sides are distinct first, so no pair is made twice,
-    and the locations of a property are dealt to ``spread`` groups, so its pairs are made by that many tasks.
+    The result holds all pairs of a property by definition. Both sides are distinct first, so no pair is made twice. By
+    their measured numbers the pairs of a property are dealt to a grid of cells with about ``side`` locations and ``side``
+    subtypes each. A property with no more of either is one cell, without copies of its rows; a large one has as many
+    cells as it takes, and each is made by whatever task it falls to.
     """
-    deal = F.pmod(F.xxhash64("Inventory_Location"), F.lit(spread)).cast("int")
-    subtypes = active(tables["act_type"]).filter(F.col("IS_CHEMICAL_IND") == 1).select("property_oid", "subtype").distinct()
+    subtypes = active(tables["act_type"]).filter(F.col("IS_CHEMICAL_IND") == 1).select("property_oid", "subtype")
     chemicals = approved(tables).select(F.col("PropertyOID").cast("int").alias("property_oid"))
-    subtypes = of_properties(split_join(subtypes, chemicals.distinct(), ["property_oid"], "left_semi"), props)
-    subtypes = subtypes.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    places = active(tables["chem_view"]).select("property_oid", "Inventory_Location").distinct().withColumn("deal", deal)
-    pairs = of_properties(places, props).join(subtypes, ["property_oid", "deal"])
+    subtypes = of_properties(split_join(distinct_rows(subtypes), chemicals.distinct(), ["property_oid"], "left_semi"), props)
+    places = of_properties(distinct_rows(active(tables["chem_view"]).select("property_oid", "Inventory_Location")), props)
+
+    def cells(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("property_oid").agg(F.ceil(F.count("*") / side).cast("int").alias(name))
+
+    grids = cells(places, "rows").join(cells(subtypes, "columns"), "property_oid")
+    dealt = _dealt(places, grids, "Inventory_Location", "row", "column")
+    pairs = dealt.join(_dealt(subtypes, grids, "subtype", "column", "row"), ["property_oid", "row", "column"])
     entry = _entry("inv_loc", "Inventory_Location", "Inventory_Location", s_subtype="subtype")
     return pairs.selectExpr("property_oid", f"inline(array({entry}))")
 
@@ -103,28 +118,28 @@ def itemsets(
     props: DataFrame,
     branches: list[str] = BRANCHES,
     ordered: bool = True,
-    spread: int = PAIR_SPREAD,
+    side: int = PAIR_SIDE,
     collation: str | None = None,
 ) -> DataFrame:
     """Choice table of the requested properties: ``property_oid`` and the eleven columns of ``LAYOUT``.
 
     Lists never share a row, as each has its own name, so one DISTINCT serves the lists that need it. Chemicals and
     location pairs are distinct by construction and are not shuffled again for it. Under a ``collation`` rows that are
-    equal for it count as one; give the tables the same one.
+    equal for it count as one, the one that comes first byte by byte; give the tables the same one.
     """
     frames = []
     if plain := _plain_lists(tables, branches):
         rows = union(plain)
         if collation:
             texts = [F.col(name).cast("string").alias(name) for name in LAYOUT]
-            rows = collated(rows, collation).distinct().select("property_oid", *texts)
+            rows = distinct_rows(collated(rows, collation)).select("property_oid", *texts)
         else:
             rows = rows.distinct()
         frames.append(of_properties(rows, props))
     if "chem_masterOID" in branches:
         frames.append(of_properties(_chemicals(tables), props))
     if "inv_loc" in branches:
-        frames.append(_locations(tables, props, spread))
+        frames.append(_locations(tables, props, side))
     rows = union(frames)
     return rows.orderBy(*choice_order()) if ordered else rows
 

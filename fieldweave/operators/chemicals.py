@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldweave.functions import scalars as X
 from fieldweave.operators.joins import split_join
 from fieldweave.operators.mapping import align, aligned_columns, map_fields
 
@@ -29,13 +30,16 @@ def planned_and_actual(
 ) -> DataFrame:
     """Both records of every chemical out of one scan, in the target layout.
 
-    The planned one has every mapped column; the actual one only those that staging has as well.
+    The planned one has every mapped column; the actual one only those that staging has as well. If the target has
+    GlobalIDs, theirs come from the key of the chemical, so a repeated task gives the same ones.
     """
+    keyed = "globalid" in map(str.lower, target.names) and "objectid" in map(str.lower, chemicals.columns)
+    ids = {kind: {"GlobalID": X.global_id(f"chem_app:{kind}", "OBJECTID")} if keyed else {} for kind in ("planned", "actual")}
     straight = map_fields(target, chemicals.schema)
     staged = map_fields(target, T.StructType([chemicals.schema[name] for name in map_fields(staging, chemicals.schema)]))
     copies = F.array(
-        F.struct(*aligned_columns(straight, target)),
-        F.struct(*aligned_columns(staged, target, Activity_ContextID=F.lit(context))),
+        F.struct(*aligned_columns(straight, target, **ids["planned"])),
+        F.struct(*aligned_columns(staged, target, Activity_ContextID=F.lit(context), **ids["actual"])),
     )
     return chemicals.select(F.inline(copies))
 

@@ -11,6 +11,9 @@ from fieldweave.functions import scalars as X
 BLOCK_BITS = 12
 AREA_BITS = 20
 
+# Equal rows that are written out together.
+COPIES = 1 << 16
+
 
 def add_global_ids(rows: DataFrame, dataset: str, oid: str = "ObjectID") -> DataFrame:
     """``rows`` with a ``GlobalID`` column, unless there is one."""
@@ -19,6 +22,32 @@ def add_global_ids(rows: DataFrame, dataset: str, oid: str = "ObjectID") -> Data
     return rows.withColumn("GlobalID", X.global_id(dataset, oid))
 
 
+def content(columns: list[str]) -> Column:
+    """The values of a row as one text that no other values give: each with its length in front, NULL as ``N``."""
+    texts = [F.col(f"`{name}`").cast("string") for name in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("N")) for t in texts])
+
+
+def add_content_ids(rows: DataFrame, dataset: str, copies: int = COPIES) -> DataFrame:
+    """``rows`` of a table without a key with a ``GlobalID`` column, unless there is one.
+
+    An identifier comes from the row's values and its number among equal rows, so the same rows get the same ones again.
+    Equal rows are counted and then written out by their numbers, in blocks of ``copies``; nothing is sorted, and the
+    blocks of a row that fills a third of the table are dealt to all tasks.
+    """
+    if "globalid" in (name.lower() for name in rows.columns):
+        return rows
+    values = [F.col(f"`{name}`") for name in rows.columns]
+    counted = rows.groupBy(*values).agg(F.count("*").alias("_copies"))
+    last = F.floor((F.col("_copies") - 1) / copies)
+    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    dealt = blocks.repartition(F.col("_block"), *values)
+    begin = F.col("_block") * copies
+    each = dealt.withColumn("_number", F.explode(F.sequence(begin + 1, F.least(begin + copies, F.col("_copies")))))
+    text = F.concat(content(rows.columns), F.lit("#"), F.col("_number").cast("string"))
+    return each.select(*values, X.global_id(dataset, text).alias("GlobalID"))
+
+
 def add_guid_column(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` with an empty text column ``name``, unless there is one."""
     if name.lower() in (column.lower() for column in rows.columns):

@@ -45,6 +45,45 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _collated_columns(rows: DataFrame) -> list[str]:
+    return [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType) and not f.dataType.isUTF8BinaryCollation()]
+
+
+def _bytewise(rows: DataFrame) -> list[Column]:
+    """The columns of ``rows`` with text compared byte by byte."""
+    collated = _collated_columns(rows)
+    return [F.collate(name, "UTF8_BINARY").alias(name) if name in collated else F.col(name) for name in rows.columns]
+
+
+def plain_text(rows: DataFrame) -> DataFrame:
+    """``rows`` as they are published: their text has no collation any more."""
+    return rows.select(*_bytewise(rows)) if _collated_columns(rows) else rows
+
+
+def _as_before(rows: DataFrame, before: DataFrame) -> DataFrame:
+    return rows.withColumns({name: F.collate(name, before.schema[name].dataType.collation) for name in _collated_columns(before)})
+
+
+def exact_copies_out(rows: DataFrame) -> DataFrame:
+    """``rows`` without copies that are equal byte by byte, whatever their collation."""
+    if not _collated_columns(rows):
+        return rows.distinct()
+    return _as_before(rows.select(*_bytewise(rows)).distinct(), rows)
+
+
+def distinct_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` without repeats.
+
+    Of rows that are equal under the collation of their text the one whose values come first byte by byte stays, column
+    by column, so a repeated task or another split into tasks publishes the same rows.
+    """
+    if not _collated_columns(rows):
+        return rows.distinct()
+    keys = [F.col(name).alias(f"_key_{n}") for n, name in enumerate(rows.columns)]
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*_bytewise(rows))).alias("_first")).select("_first.*")
+    return _as_before(first, rows)
+
+
 def active(table: DataFrame) -> DataFrame:
     """Active rows, with the property key named ``property_oid``."""
     key = F.col("PropertyOID").cast("int").alias("property_oid")
@@ -75,7 +114,7 @@ def chemical_codes(tables: Tables, *extra: str) -> DataFrame:
     )
     keys = approved(tables).select(F.col("ObjectID").alias("CODE"))
     return (
-        listed.distinct().join(keys, "CODE", "left_semi")
+        distinct_rows(listed).join(keys, "CODE", "left_semi")
         .select("property_oid", X.text_code("CODE").alias("code"), "description", *extra)
     )
 
@@ -88,15 +127,19 @@ def _codes(table: DataFrame, code: str, description: str) -> DataFrame:
 
 def list_rows(tables: Tables, kind: str) -> DataFrame:
     """``property_oid, code, description`` of one kind of list. Compartments alone keep repeated rows."""
+    return plain_text(_listed(tables, kind))
+
+
+def _listed(tables: Tables, kind: str) -> DataFrame:
     match kind:
         case "compartment":
             return _codes(tables["compartment"], "CompartmentOID", "description")
         case "supervisor":
-            return _codes(tables["supervisor"], "CODE", "DESCRIPTION").distinct()
+            return distinct_rows(_codes(tables["supervisor"], "CODE", "DESCRIPTION"))
         case "contractor":
-            return _codes(tables["contractor"], "Contractor_OID", "DESCRIPTION").distinct()
+            return distinct_rows(_codes(tables["contractor"], "Contractor_OID", "DESCRIPTION"))
         case "species":
-            return _codes(tables["species"], "SPECIES_CODE", "SPECIES_DESC").distinct()
+            return distinct_rows(_codes(tables["species"], "SPECIES_CODE", "SPECIES_DESC"))
         case "chemical":
             return chemical_codes(tables)
     raise ValueError(f"unknown list kind: {kind}")
@@ -165,6 +208,8 @@ def universal_domains(tables: Tables, names: list[str] = UNIVERSAL) -> DataFrame
                 X.pair_label("sp_type_desc", "sp_subtype_desc").alias("description"),
             )
         )
+    if any(_collated_columns(part) for part in rows):
+        return union([plain_text(distinct_rows(part)) for part in rows])
     return union(rows).distinct()
 
 

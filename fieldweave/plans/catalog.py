@@ -22,6 +22,9 @@ Query = Callable[[S.BoundTables], DataFrame]
 MOBILE_FIELDS = ["OBJECTID", "Parent_GUID", "prop_or_stand", "PropertyOID", "standOID"]
 KEPT_PREFIXES = ["000", "006", "012"]
 
+# Tables whose text the collated queries compare without regard to case.
+COLLATED = ["supervisor", "contractor", "species", "compartment", "chem_view", "property_type", "property_category", "stand_type", "act_type"]
+
 # Buckets of the small stores that queries make.
 QUERY_BUCKETS = 8
 
@@ -151,9 +154,11 @@ def _stand(t) -> DataFrame:
 
 
 def _global_ids(t) -> DataFrame:
+    """Key, if there is one, and identifier of the rows of all tables that lack identifiers."""
+    key = lambda name: F.col(S.WITHOUT_GLOBAL_ID[name] or "_none").alias("ObjectID")
     return lists.union([
-        identity.add_global_ids(t[name].select("ObjectID"), name).select(F.lit(name).alias("dataset"), "ObjectID", "GlobalID")
-        for name in S.WITHOUT_GLOBAL_ID
+        rows.withColumn("_none", F.lit(None).cast("long")).select(F.lit(name).alias("dataset"), key(name), "GlobalID")
+        for name, rows in prepare.with_global_ids(t).items()
     ])
 
 
@@ -295,11 +300,36 @@ def _migrated(t) -> DataFrame:
         "stand": ("ObjectID", "GlobalID"), "chem_master": ("ObjectID", "GlobalID"), "activity": ("OBJECTID", "TFM_CMN_PROPERTY_GlobalID"),
         "chem_app": ("ActivityOID", "TFM_OP_ACTIVITY_GlobalID"), "hv_optprod": ("HUOID", "HVUnit_GlobalID"),
     }
+    own = [
+        _session(t).read.parquet(f"{folder}/{name}").select(
+            F.lit(f"{name}.own").alias("dataset"), F.lit(None).cast("string").alias("key"), "GlobalID", F.lit(1).cast("long").alias("rows"))
+        for name, key in S.WITHOUT_GLOBAL_ID.items() if not key
+    ]
     return lists.union([
         _session(t).read.parquet(f"{folder}/{name}").groupBy(F.col(key).cast("string").alias("key"), F.col(gid).alias("GlobalID"))
         .agg(F.count("*").alias("rows")).select(F.lit(name).alias("dataset"), "key", "GlobalID", "rows")
         for name, (key, gid) in columns.items()
-    ])
+    ] + own)
+
+
+def _variants(t) -> dict[str, DataFrame]:
+    """The tables, each row of those with text a second time in capitals with a blank behind, compared without regard to both."""
+    found = {}
+    for name in COLLATED:
+        rows = t[name]
+        texts = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string"]
+        again = rows.withColumns({c: F.concat(F.upper(c), F.lit(" ")) for c in texts})
+        found[name] = S.collated(rows.unionByName(again))
+    return {**t, **found}
+
+
+def _domain_collated(t) -> DataFrame:
+    rows = lists.domain_all(_variants(t), lists.all_properties(t))
+    return rows.select("domain_name", "property_oid", F.col("code").cast("string"), F.col("description").cast("string"))
+
+
+def _itemsets_collated(t) -> DataFrame:
+    return cascade.itemsets(_variants(t), lists.all_properties(t), ordered=False, collation=S.COLLATION)
 
 
 QUERIES: dict[str, Query] = {
@@ -325,6 +355,8 @@ QUERIES: dict[str, Query] = {
     "items_chem_master": _branch("chem_masterOID"),
     "items_species": _branch("REG_Species"),
     "items_variety": _branch("REG_Variety"),
+    "domain_collated": _domain_collated,
+    "itemsets_collated": _itemsets_collated,
     # scans, sources, sinks
     "scan_activity_fields": lambda t: S.scan(t["activity_mobile"], MOBILE_FIELDS),
     "scan_activity_by_keys": lambda t: S.scan_keys(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldweave.operators import coded, relations
-from fieldweave.operators.identity import add_global_ids, add_guid_column
+from fieldweave.operators.identity import add_content_ids, add_global_ids, add_guid_column
 from fieldweave.operators.lists import Tables, union
 from fieldweave.sources.sinks import copy_dataset
 from fieldweave.sources.tables import WITHOUT_GLOBAL_ID
@@ -46,12 +46,23 @@ def prepare(
     return union(checks)
 
 
+def with_global_ids(tables: Tables) -> dict[str, DataFrame]:
+    """The tables that lack GlobalIDs, with them: from the key of a row, or from its values where there is no key."""
+    return {
+        dataset: add_global_ids(tables[dataset], dataset, key) if key else add_content_ids(tables[dataset], dataset)
+        for dataset, key in WITHOUT_GLOBAL_ID.items()
+    }
+
+
 def migrate(tables: Tables, folder: str, rels: list[relations.Relation] = relations.RELATIONS) -> None:
     """Write the tables that preparation changes: GlobalIDs and GUID columns added, children keyed by GlobalID."""
-    for dataset in WITHOUT_GLOBAL_ID:
-        copy_dataset(add_global_ids(tables[dataset], dataset), f"{folder}/{dataset}")
+    identified = with_global_ids(tables)
+    children_of = {rel.child for rel in rels}
+    for dataset in identified:
+        if dataset not in children_of:
+            copy_dataset(identified[dataset], f"{folder}/{dataset}")
     for rel in rels:
-        children = relations.rekey(tables, rel)
+        children = relations.rekey({**tables, **identified}, rel)
         if rel.child in GUID_COLUMNS:
             children = add_guid_column(children, GUID_COLUMNS[rel.child])
         copy_dataset(children, f"{folder}/{rel.child}")

@@ -11,9 +11,13 @@ from pyspark.sql import types as T
 
 from fieldweave.sources.bindings import BINDINGS, RAW_SCHEMAS
 
-# The datasets every sync run requires, and those that carry an ObjectID but no GlobalID.
+# The datasets every sync run requires, and those without a GlobalID, each
+# with its key, if it has one.
 REQUIRED = ["activity_mobile", "chem_mobile", "activity", "chem_app", "stand", "property"]
-WITHOUT_GLOBAL_ID = ["stand", "chem_master"]
+WITHOUT_GLOBAL_ID = {
+    "stand": "ObjectID", "chem_master": "ObjectID", "activity_mobile": "OBJECTID", "chem_mobile": "OBJECTID", "chem_app": None,
+    "hv_optprod": None, "special_point": None, "special_line": None, "special_poly": None,
+}
 
 # Columns the staging tables lack compared with the tables they feed.
 NOT_STAGED = {"activity": ["office_only"], "chem_app": ["Cost"]}

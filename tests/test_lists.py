@@ -94,9 +94,9 @@ def test_itemsets_order(tables):
     assert got == sorted(got)
 
 
-def test_pairs_do_not_depend_on_spread(tables):
+def test_pairs_do_not_depend_on_the_grid(tables):
     props = lists.all_properties(tables)
-    results = [rows(cascade.itemsets(tables, props, ["inv_loc"], spread=n)) for n in (1, 3, 64)]
+    results = [rows(cascade.itemsets(tables, props, ["inv_loc"], side=n)) for n in (1, 3, 64)]
     assert results[0] and results[0] == results[1] == results[2]
 
 
@@ -136,3 +136,42 @@ def test_collated_itemsets(spark):
     assert cascade.itemsets({"species": species}, props, branches).count() == 4
     merged = cascade.itemsets({"species": collated(species)}, props, branches, collation=COLLATION)
     assert [r[0] for r in rows(merged, "list_name")] == ["REG_Species", "REG_Variety", "REG_Variety"]
+
+
+def test_the_first_row_stands_for_equal_ones(spark):
+    """Whatever the order and the number of tasks: the least row byte by byte, column by column, NULL first."""
+    data = [(1, "oak ", "b"), (1, "Oak", "c"), (1, "OAK  ", "B "), (1, "Oak", None), (2, "oak", "b"), (1, None, "x"), (1, None, "X")]
+    want = [(1, None, "X"), (1, "OAK  ", "B "), (1, "Oak", "c"), (1, "Oak", None), (2, "oak", "b")]
+    for order in (data, data[::-1], data[3:] + data[:3]):
+        frame = spark.createDataFrame(order, "property_oid int, code string, description string").repartition(3)
+        got = lists.distinct_rows(collated(frame))
+        assert rows(lists.plain_text(got)) == sorted(want, key=lambda row: [(v is not None, str(v)) for v in row])
+        assert got.schema["code"].dataType.collation == COLLATION
+    assert rows(lists.distinct_rows(frame)) == rows(frame)
+
+
+def grid_tables(spark, sizes):
+    """``sizes``: locations and subtypes of each property."""
+    places = [(1, f"d{n}", p, 1, f"loc{n}") for p, (a, _) in sizes.items() for n in range(a)]
+    kinds = [(p, f"sub{n}", 1, 1) for p, (_, b) in sizes.items() for n in range(b)]
+    return {
+        "chem_view": spark.createDataFrame(places, "CODE long, description string, PropertyOID int, activeflag int, Inventory_Location string"),
+        "act_type": spark.createDataFrame(kinds, "PROPERTYOID long, subtype string, ACTIVEFLAG int, IS_CHEMICAL_IND int"),
+        "chem_master": spark.createDataFrame([(p, p, "Y") for p in sizes], "ObjectID long, PropertyOID long, GTFF_Approved_IND string"),
+    }
+
+
+def test_pairs_are_dealt_by_measured_size(spark):
+    sizes = {1: (900, 600), 2: (30, 10), 3: (1, 100), 4: (100, 100)}
+    tables, props = grid_tables(spark, sizes), spark.createDataFrame([(p,) for p in sizes], "property_oid int")
+    got = cascade.itemsets(tables, props, ["inv_loc"], ordered=False, side=100)
+    assert got.count() == got.distinct().count() == sum(a * b for a, b in sizes.values())
+    # The cells as the operator deals them: the hot property has 9 x 6 of them of like size, the others have one each.
+    places = tables["chem_view"].selectExpr("PropertyOID AS property_oid", "Inventory_Location").distinct()
+    subtypes = tables["act_type"].selectExpr("cast(PROPERTYOID AS int) AS property_oid", "subtype").distinct()
+    grids = spark.createDataFrame([(p, -(-a // 100), -(-b // 100)) for p, (a, b) in sizes.items()], "property_oid int, rows int, columns int")
+    left = cascade._dealt(places, grids, "Inventory_Location", "row", "column")
+    right = cascade._dealt(subtypes, grids, "subtype", "column", "row")
+    cells = [r["count"] for r in left.join(right, ["property_oid", "row", "column"]).filter("property_oid = 1").groupBy("row", "column").count().collect()]
+    assert len(cells) == 54 and max(cells) < 2 * sum(cells) / len(cells)
+    assert left.filter("property_oid > 1").count() == 131 and right.filter("property_oid > 1").count() == 210

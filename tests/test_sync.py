@@ -214,3 +214,12 @@ def test_new_ids_are_dense_and_unique(tables):
     highest = tables["activity"].agg(F.max("OBJECTID")).collect()[0][0]
     ids = sorted(r.OBJECTID for r in new.collect())
     assert ids == list(range(highest + 1, highest + 1 + len(ids)))
+
+
+def test_new_chemicals_get_identifiers(spark):
+    """From the key of the mobile row, one for each of its records; the same again in a rerun."""
+    target = T.StructType.fromDDL(f"{CHEM}, GlobalID string")
+    mobile = spark.createDataFrame([(1, "g", 1.5), (2, "g", 1.5)], "OBJECTID long, Child_GUID string, Cost double")
+    staging = T.StructType([f for f in target if f.name != "Cost"])
+    first, again = (rows(C.planned_and_actual(mobile.repartition(n), target, staging)) for n in (1, 3))
+    assert first == again and len({row[-1] for row in first}) == 4
