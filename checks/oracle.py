@@ -336,6 +336,18 @@ def described(table: str, keys: list[str], fields: list[tuple]) -> str:
     return f"SELECT {', '.join(keys + texts)} FROM {table} t {' '.join(joins)}"
 
 
+def csv_lines(ending: str, source: str, columns: list[str], order: list[str]) -> str:
+    """The lines of one file for each changed property: quoted fields, quotes doubled, the header at place 0."""
+    quote = lambda c: f"""'"' || coalesce(replace(cast({c} AS varchar), '"', '""'), '') || '"'"""
+    line = " || ',' || ".join(map(quote, columns))
+    header = ",".join(f'"{c}"' for c in columns)
+    rows = f"SELECT * FROM {source} WHERE property_oid IN (SELECT property_oid FROM changed)"
+    place = f"row_number() OVER (PARTITION BY property_oid ORDER BY {', '.join(f'{c} NULLS FIRST' for c in order)})"
+    return f"""
+        SELECT concat(property_oid, '{ending}') AS file, {place} AS place, {line} AS line FROM ({rows}) q
+        UNION ALL SELECT DISTINCT concat(property_oid, '{ending}'), 0, '{header}' FROM ({rows}) q"""
+
+
 def related(name, parent_columns: list[str], child_columns: list[str], how: str = "JOIN") -> str:
     _, parent, parent_key, child, child_key = next(r for r in RELATIONS if r[0] == name)
     columns = [f"p.{c} AS parent_{c}" for c in [parent_key, *parent_columns]]
@@ -356,14 +368,14 @@ def oracle() -> dict[str, str]:
         "inv_loc": BRANCHES["inv_loc"], "chem_master": BRANCHES["chem_masterOID"], "species": BRANCHES["REG_Species"],
         "variety": BRANCHES["REG_Variety"],
     }.items()}
+    columns = [c.strip() for c in LAYOUT.split(",")]
+    out["hardcoded_lists"] = " UNION ALL ".join(
+        f"SELECT property_oid, '{kind}' AS list_name, code, description FROM rows_{kind} "
+        "WHERE property_oid IN (SELECT ObjectID FROM property)" for kind in ("compartment", "supervisor", "contractor"))
     out |= {
         "itemsets": "SELECT * FROM choices",
         "domain_all": "SELECT domain_name, property_oid, code, description FROM all_lists",
         "domain_sizes": "SELECT domain_name, count(*) AS rows FROM all_lists GROUP BY domain_name",
-        "hardcoded_lists": " UNION ALL ".join(
-            f"SELECT property_oid, '{kind}' AS list_name, code, description FROM rows_{kind} "
-            "WHERE property_oid IN (SELECT ObjectID FROM property)" for kind in ("compartment", "supervisor", "contractor")
-        ),
         "universal_domains": "SELECT * FROM universal_lists",
         "chem_defaults": "SELECT * FROM defaults",
         "active_rows": " UNION ALL ".join(
@@ -470,6 +482,17 @@ def oracle() -> dict[str, str]:
             SELECT OBJECTID, GlobalID, PARENT_GUID FROM activity
             WHERE PARENT_GUID IN (SELECT Child_GUID FROM chem_app WHERE MasterChemOID % 50 = 7)""",
         "published_universal_lists": "SELECT * FROM universal_lists",
+        "lists_changed": """
+            SELECT domain_name, count(*) AS rows FROM all_lists
+            WHERE kind = 'supervisor' AND property_oid % 5 = 0 OR kind = 'contractor' AND property_oid = 1 GROUP BY domain_name""",
+        "named_files": " UNION ALL ".join([
+            csv_lines("itemsets.csv", "choices", columns, ["lower(list_name)", *columns]),
+            csv_lines("chemdefaults.csv", "defaults", ["cost", "rate", "chem_masterOID"], ["chem_masterOID", "cost", "rate"])]),
+        "call_domains": "SELECT domain_name, property_oid, code, description FROM all_lists",
+        "call_itemsets": "SELECT * FROM choices WHERE property_oid IN (SELECT property_oid FROM changed)",
+        "call_universal": "SELECT * FROM universal_lists",
+        "call_hardcoded": out["hardcoded_lists"],
+        "call_chem_defaults": "SELECT * FROM defaults",
         "migrated_tables": f"""
             SELECT 'stand' AS dataset, cast(ObjectID AS varchar) AS key, {guid('stand', 'ObjectID')} AS GlobalID, 1 AS rows FROM stand UNION ALL
             SELECT 'chem_master', cast(ObjectID AS varchar), {guid('chem_master', 'ObjectID')}, 1 FROM chem_master UNION ALL
@@ -517,7 +540,6 @@ def oracle() -> dict[str, str]:
             f"SELECT * FROM list_{kind} QUALIFY {first(f'property_oid, {plain("code")}, {plain("description")}', 'code NULLS FIRST, description NULLS FIRST')}"
             for kind in KINDS
         }.items())
-    columns = [c.strip() for c in LAYOUT.split(",")]
-    choices = f"SELECT * FROM choices QUALIFY " + first(
+    choices = "SELECT * FROM choices QUALIFY " + first(
         ", ".join(["property_oid", *map(plain, columns)]), ", ".join(f"{c} NULLS FIRST" for c in columns))
     return found | {"domain_collated": bound(lists, VARIANTS), "itemsets_collated": bound(choices, VARIANTS)}

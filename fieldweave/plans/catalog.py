@@ -11,8 +11,8 @@ from fieldweave.functions import scalars as X
 from fieldweave.operators import activities as A
 from fieldweave.operators import cascade, chemicals, coded, control, identity, lists, mapping
 from fieldweave.operators import relations as R
-from fieldweave.plans import office, prepare, refresh, sync
-from fieldweave.sources import sinks, tables as S
+from fieldweave.plans import office, prepare, procedures, refresh, sync
+from fieldweave.sources import named_files, sinks, tables as S
 from fieldweave.sources.store import Store
 from fieldweave.streaming import inbox
 
@@ -286,6 +286,39 @@ def _store_keys(t) -> DataFrame:
     return store.scan_keys("activity", ["OBJECTID", "GlobalID", "PARENT_GUID"], keys)
 
 
+def _lists_changed(t) -> DataFrame:
+    """What a second publication writes: lists that had other descriptions, or were not there."""
+    folder, current = _work_folder(t), _all_lists(t)
+    kind = F.substring_index("domain_name", "_", -1)
+    other = (kind == "supervisor") & (F.col("property_oid") % 5 == 0)
+    before = current.withColumn("description", F.when(other, F.lit("other")).otherwise(F.col("description")))
+    sinks.publish_changed(before.filter((kind != "contractor") | (F.col("property_oid") != 1)), f"{folder}/lists", f"{folder}/state")
+    return sinks.publish_changed(current, f"{folder}/lists", f"{folder}/state")
+
+
+def _named_files(t) -> DataFrame:
+    """The lines of the files that forms take, with the file's name and the line's place."""
+    folder = _work_folder(t)
+    props = _changed(t).select("property_oid")
+    refresh.write_form_files(cascade.itemsets(t, props, ordered=False), cascade.chem_defaults(t, props), folder)
+    return named_files.read_lines(_session(t), folder).withColumn("place", F.col("place").cast("long"))
+
+
+def _called(text: str) -> Query:
+    """A SQL text that calls the procedures, with the properties as ``props`` and the changed ones as ``changed``."""
+    def query(t) -> DataFrame:
+        spark = _session(t)
+        procedures.register(spark, t)
+        return spark.sql(text, props=t["property"], changed=_changed(t))
+    return query
+
+
+CALL_DOMAINS = " UNION ALL ".join(
+    f"SELECT concat(p.ObjectID, '_{kind}') AS domain_name, p.ObjectID AS property_oid, l.* FROM {{props}} p, LATERAL {name}(p.ObjectID) l"
+    for kind, name in procedures.BY_KIND.items())
+CALL_ITEMSETS = f"SELECT c.property_oid, l.* FROM {{changed}} c, LATERAL {procedures.ITEMSETS}(c.property_oid) l"
+
+
 def _published_lists(t) -> DataFrame:
     folder = _work_folder(t)
     refresh.publish(t, t["property_flags"], t["forms"], folder)
@@ -428,6 +461,13 @@ QUERIES: dict[str, Query] = {
     "migrated_tables": _migrated,
     # control
     "published_universal_lists": _published_lists,
+    "lists_changed": _lists_changed,
+    "named_files": _named_files,
+    "call_domains": _called(CALL_DOMAINS),
+    "call_itemsets": _called(CALL_ITEMSETS),
+    "call_universal": _called(f"SELECT * FROM {procedures.UNIVERSAL}()"),
+    "call_hardcoded": _called(f"SELECT p.ObjectID AS property_oid, l.* FROM {{props}} p, LATERAL {procedures.HARDCODED}(p.ObjectID) l"),
+    "call_chem_defaults": _called(f"SELECT p.ObjectID AS property_oid, l.* FROM {{props}} p, LATERAL {procedures.CHEM_DEFAULTS}(p.ObjectID) l"),
     "form_match": _forms,
     "form_missing": lambda t: control.missing_forms(_changed(t), _forms(t)),
     "refresh_properties": lambda t: refresh.refresh(t, t["property_flags"], t["forms"]),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Header, all fields quoted, quotes doubled, blanks kept. NULL and '' are both written as "".
@@ -109,6 +109,36 @@ def replace_domains(domains: DataFrame, folder: str, name: str = "domain_name")
     rows.option("partitionOverwriteMode", "dynamic").parquet(folder)
 
 
+def list_digests(domains: DataFrame, name: str = "domain_name") -> DataFrame:
+    """``<name>, rows, first, second``: the size of each list and two sums over hashes of its rows, whatever their order."""
+    def total(seed: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(seed), "code", "description").cast("decimal(38,0)"))
+
+    return domains.groupBy(name).agg(F.count("*").alias("rows"), total(1).alias("first"), total(2).alias("second"))
+
+
+def publish_changed(domains: DataFrame, folder: str, state: str, name: str = "domain_name") -> DataFrame:
+    """Replace the lists in ``folder`` whose rows are not the published ones; returns ``<name>, rows`` of those.
+
+    ``<state>/digests`` holds the digests of the published lists, a new version for each run; the last one that is complete
+    counts. It is written after the lists, so a run that stops before it writes the same lists again.
+    """
+    spark, files = domains.sparkSession, FileTree(domains.sparkSession, state)
+    versions = [v for v in files.names("digests") if "_SUCCESS" in files.names(f"digests/{v}")]
+    domains = stored(domains, f"{state}/computed")
+    digests = list_digests(domains, name)
+    before = spark.read.schema(digests.schema).parquet(f"{state}/digests/{versions[-1]}") if versions else digests.limit(0)
+    changed = stored(digests.join(before, digests.columns, "left_anti"), f"{state}/changed")
+    if changed.isEmpty() and versions:
+        return changed.select(name, "rows")
+    replace_domains(domains.join(changed.select(name), name, "left_semi"), folder, name)
+    kept = before.join(changed.select(name), name, "left_anti").unionByName(changed)
+    kept.write.mode("overwrite").parquet(f"{state}/digests/{int(versions[-1]) + 1 if versions else 0:012}")
+    for version in versions:
+        files.remove(f"digests/{version}")
+    return changed.select(name, "rows")
+
+
 def copy_dataset(df: DataFrame, folder: str) -> None:
     df.write.mode("overwrite").parquet(folder)
 
