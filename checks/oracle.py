@@ -466,7 +466,7 @@ def oracle() -> dict[str, str]:
             FROM activity_mobile m""",
         "subtype_unknown": """
             SELECT PropertyOID AS property_oid, count(*) AS rows FROM activity_mobile
-            WHERE PropertyOID NOT IN (SELECT cast(split_part(prop_key, ' - ', 1) AS integer) FROM property_flags)
+            WHERE PropertyOID IS NULL OR PropertyOID NOT IN (SELECT cast(split_part(prop_key, ' - ', 1) AS integer) FROM property_flags)
             GROUP BY PropertyOID""",
         "sync_property_activities": "SELECT * FROM staged_property",
         "sync_stand_activities": "SELECT * FROM staged_stand",

@@ -64,7 +64,7 @@ BINDINGS: dict[str, Binding] = {
             ("OBJECTID", "bigint", 'o_orderkey'),
             ("Parent_GUID", "string", "case when o_orderkey % 50 = 3 then null else md5(concat('activity:', cast(o_orderkey - case when o_orderkey % 10 in (1, 2) then o_orderkey % 10 else 0 end as string))) end"),
             ("prop_or_stand", "string", "case o_orderstatus when 'F' then 'prop' when 'O' then 'stand' else null end"),
-            ("PropertyOID", "int", 'case when o_orderkey % 40 = 0 then 999 else c_nationkey end'),
+            ("PropertyOID", "int", 'case o_orderkey % 40 when 0 then 999 when 20 then 998 when 8 then null else c_nationkey end'),
             ("standOID", "bigint", 'case when o_custkey % 10 = 0 then -1 else o_custkey end'),
             ("Category", "string", "case o_orderpriority when '1-URGENT' then 'Property' when '2-HIGH' then 'PropertyE' when '3-MEDIUM' then 'PropertyH' when '4-NOT SPECIFIED' then 'PropertyM' else 'Other' end"),
             ("status", "string", 'o_orderstatus'),
@@ -278,7 +278,7 @@ BINDINGS: dict[str, Binding] = {
         'FROM pages',
         [
             ("form_id", "bigint", 'page_id'),
-            ("title", "string", "replace(url, '9', '')"),
+            ("title", "string", "case when page_id % 50 = 7 then null else replace(replace(replace(url, '9', ''), '8', ''), '5', '') end"),
         ],
     ),
 }
