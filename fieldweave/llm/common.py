@@ -47,6 +47,18 @@ def forget(*tables: DataFrame) -> None:
         remove_folder(table.sparkSession, table.stored_in)
 
 
+def packed_row(columns: list[str] | tuple[str, ...]) -> Column:
+    """A struct of columns of any name."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]) if columns else F.lit(None).cast("struct<none:int>")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that ``df`` does not have."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
 def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """The batches in parts of some rows, so that a task holds few texts as Python objects at a time."""
     for batch in batches:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import in_parts, stored
+from fieldweave.llm.common import in_parts, stored, unused
 from fieldweave.llm.graph import components
 from fieldweave.llm.hashing import U64, mixed, odd_numbers, window_hashes, word_hashes
 
@@ -193,7 +193,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; rows equal in id and text all stay if one of them does."""
-    found = near_groups(docs, id_col, text_col).select("kept", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    found = stored(found.groupBy("_id", "_key").agg(F.max("kept").alias("_kept")).filter("not _kept").drop("_kept"))
-    gone = (F.xxhash64(text_col) == F.col("_key")) & F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
+    own, key = unused(docs, "gone_id"), unused(docs, "gone_key")
+    found = near_groups(docs, id_col, text_col).groupBy(F.col("doc_id").alias(own), F.col("text_key").alias(key)).agg(F.max("kept").alias("kept"))
+    found = stored(found.filter("not kept").drop("kept"))
+    gone = (F.xxhash64(text_col) == F.col(key)) & F.col(id_col).cast("long").eqNullSafe(F.col(own))
     return docs.join(found.hint("merge"), gone, "left_anti")

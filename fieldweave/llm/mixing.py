@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import BLANKS, ranged, stored, word_count
+from fieldweave.llm.common import BLANKS, packed_row, ranged, stored, word_count
 
 #: Weights of the sources by code point, repeating.
 WEIGHTS = (3, 1, 2)
@@ -27,8 +29,11 @@ def targets(sizes: DataFrame) -> DataFrame:
     # Sums of whole numbers, so no order of adding changes them: a target is weight * spare / (SHARE_DOWN * weights).
     capped = F.lit(False)
     spare, weights = SHARE_UP * total, rows.agg(F.sum("weight")).first()[0] or 1
+    # Products of all words and all weights pass 64 bits.
+    wide = lambda column: F.col(column).cast("decimal(19,0)")
+    number = lambda value: F.lit(Decimal(value)).cast("decimal(38,0)")
     while True:
-        above = F.col("weight") * F.lit(spare) > F.col("source_size") * F.lit(MOST * SHARE_DOWN * weights)
+        above = wide("weight") * number(spare) > wide("source_size") * number(MOST * SHARE_DOWN * weights)
         full, left = rows.agg(
             F.sum(F.when(capped | above, F.col("source_size"))), F.sum(F.when(~(capped | above), F.col("weight")))).first()
         following = (SHARE_UP * total - MOST * SHARE_DOWN * (full or 0), left or 0)
@@ -37,7 +42,7 @@ def targets(sizes: DataFrame) -> DataFrame:
             spare, weights = following
             break
         spare, weights = following
-    free = (F.col("weight") * F.lit(spare)).cast("double") / F.lit(float(SHARE_DOWN * max(weights, 1)))
+    free = (wide("weight") * number(spare)).cast("double") / F.lit(float(SHARE_DOWN * max(weights, 1)))
     target = F.when(capped, (F.col("source_size") * MOST).cast("double")).otherwise(free)
     return rows.select("source_key", "source_size", target.alias("target"))
 
@@ -56,11 +61,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     columns may have any name, as only ``carry`` is kept, inside ``row``.
     """
     source = F.col(source_col)
-    row = F.struct(*carry) if carry else F.lit(None).cast("struct<none:int>")
     rows = docs.select(
         F.when(source.isNull(), "1").otherwise(F.concat(F.lit("0"), source)).alias("source_key"),
         F.md5(F.col(id_col).cast("string").cast("binary")).alias("draw"), F.col(id_col).cast("long").alias("doc_id"),
-        word_count(F.col(text_col)).alias("size"), row.alias("row"))
+        word_count(F.col(text_col)).alias("size"), packed_row(carry).alias("row"))
     ordered = ranged(rows, ["source_key", "draw", "doc_id"], "source_key", "size")
     goals = stored(targets(ordered.groupBy("source_key").agg(F.sum("size").alias("source_size"))))
     whole = F.col("target").cast("long")
@@ -73,8 +77,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_rows(docs: DataFrame) -> DataFrame:
     """The rows of the mix, with the columns of ``docs``: a document taken twice is two rows.
 
-    A document of which only some words are taken has a row with these first words, as they stand in the text, and
-    ``n_chars`` follows its text. A document that is not taken has no row.
+    A document of which only some words are taken has a row with these first words, one space between them, behind the
+    blanks that the text begins with, and ``n_chars`` follows its text. A document that is not taken has no row.
     """
     taken = mix(docs, carry=tuple(docs.columns)).filter("taken > 0")
     copies = F.expr("transform(sequence(0, cast((taken - 1) div size as int)), i -> least(size, taken - i * size))")
@@ -83,8 +87,6 @@ def mixed_rows(docs: DataFrame) -> DataFrame:
     body = F.regexp_replace("row.text", r"^[\x20\x09-\x0D]+", "")
     cut = F.concat(lead, F.array_join(F.slice(F.split(body, BLANKS), F.lit(1), F.col("part").cast("int")), " "))
     text = F.when(F.col("part") < F.col("size"), cut).otherwise(F.col("row.text"))
-    columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    return rows.select(*columns, text.alias("_text"), (F.col("part") < F.col("size")).alias("_cut")).select(*[
-        F.col("_text").alias(c) if c == "text" else
-        F.when(F.col("_cut"), F.length("_text")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(f"`{c}`")
-        for c in docs.columns])
+    is_cut = F.col("part") < F.col("size")
+    changed = {"text": text, "n_chars": F.when(is_cut, F.length(text)).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {"text": text}
+    return rows.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

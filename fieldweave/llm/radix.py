@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import BLANKS, forget, stored
+from fieldweave.llm.common import BLANKS, forget, packed_row, stored
 
 FIRST_DIGIT, GROWTH = 256, 8
 
@@ -30,8 +30,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     columns may have any name, as only ``carry`` is kept, inside ``row``. No rows give no rows.
     """
     text = F.encode(normalised(F.col(text_col)), "utf-8")
-    row = F.struct(*carry) if carry else F.lit(None).cast("struct<none:int>")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), text.alias("rest"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), packed_row(carry).alias("row"), text.alias("rest"))
     digit = F.substring("rest", 1, FIRST_DIGIT)
     shared = stored(
         base.select(digit.alias("digit")).groupBy("digit").count().filter("count > 1")

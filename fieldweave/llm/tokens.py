@@ -9,8 +9,8 @@ from array import array
 
 from tokenizers import Tokenizer
 
-#: Words whose ids a worker keeps; beyond that it starts afresh.
-KEPT_WORDS = 300_000
+#: Words whose ids a worker keeps, and words of letters before marks; beyond that it starts afresh.
+KEPT_WORDS, KEPT_STARTS = 300_000, 100_000
 #: A word and the marks behind it; an apostrophe may open a word part of its own.
 _ENDED = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]+)")
 
@@ -43,6 +43,7 @@ class Ids:
             and not spec["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"] and spec["model"]["type"] == "BPE")
         self.letters = str.maketrans({chr(b): c for b, c in _spelled().items()})
         self.known: dict[bytes, bytes] = {}
+        self.starts: dict[bytes, bytes | None] = {}
 
     def _whole(self, text: str) -> bytes:
         return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -58,17 +59,20 @@ class Ids:
             spelled = spelled.encode().decode("latin-1").translate(self.letters)
         return array(self.kind, [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
 
+    def _start(self, word: bytes) -> bytes | None:
+        """Ids of the letters before a mark; ``None`` where marks may belong to what is before them."""
+        if word not in self.starts:
+            if len(self.starts) >= KEPT_STARTS:
+                self.starts.clear()
+            self.starts[word] = self._letters(word)
+        return self.starts[word]
+
     def _word(self, word: bytes) -> bytes:
         found = self._letters(word)
         if found is None:
             ended = _ENDED.fullmatch(word)
-            first = ended and (self.known.get(ended[1]) or self._letters(ended[1]))
-            if first:
-                if ended[1] not in self.known:
-                    self._keep(ended[1], first)
-                found = first + self.of_word(ended[2])
-            else:
-                found = self._whole(word.decode())
+            first = ended and self._start(ended[1])
+            found = first + self.of_word(ended[2]) if first else self._whole(word.decode())
         return self._keep(word, found)
 
     def _keep(self, word: bytes, found: bytes) -> bytes:

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldweave.llm.common import forget, in_parts, stored
 
@@ -338,7 +339,10 @@ def accepted(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Lexicon(*learned)
         for batch in in_parts(batches):
-            keep = np.array([score(own.evidence(text)) < PREDICTED for text in batch.column(place).to_pylist()], bool)
+            keep = np.array([score(own.evidence(text)) < PREDICTED for text in batch.column(0).field(place).to_pylist()], bool)
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    # One struct, as columns may have any name.
+    rows = docs.select(packed_row(docs.columns).alias("row"))
+    kept = rows.mapInArrow(run, T.StructType([T.StructField("row", docs.schema)]))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -85,3 +85,16 @@ def test_mixed_rows(spark):
         assert r.n_chars == len(r.text)
         words[r.doc_id] += len(r.text.encode().split())
     assert dict(words) == {i: n for i, n in taken.items() if n}
+
+
+def test_large_totals(spark):
+    """A source of 2e13 words among 200,001: weights times words pass 64 bits."""
+    big = 2 * 10 ** 13
+    sizes = spark.range(200_000).selectExpr("concat('0s', lpad(id, 7, '0')) AS source_key", "10L AS source_size").union(
+        spark.createDataFrame([("0a", big)], "source_key string, source_size long"))
+    got = mixing.targets(sizes)
+    rows = got.filter("source_size > 10").collect()
+    assert [r.source_size for r in rows] == [big]
+    # All others stop at twice their size; the rest of the mix is the large source's.
+    assert rows[0].target == 1.5 * (big + 2_000_000) - 4_000_000
+    assert got.filter("source_size = 10 AND target = 20").count() == 200_000

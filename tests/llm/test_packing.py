@@ -113,3 +113,25 @@ def test_other_tokenizer(name):
     ids = ids_by(public_tokenizers.path(name))
     text = "A word  and\nanother <|endoftext|>"
     assert np.frombuffer(ids.of(text), np.dtype(ids.kind)).tolist() == Tokenizer.from_file(public_tokenizers.path(name)).encode(text, add_special_tokens=False).ids
+
+
+WORDS = st.lists(st.sampled_from(["😀", "👍", "•", "—", "“", "…", "é", "a", "the", "中", "!", ",", "🏽", "´", "ﬁ", "²"]), min_size=1, max_size=3).map("".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(WORDS, max_size=6).map(" ".join), min_size=1, max_size=8))
+def test_ids_do_not_depend_on_earlier_texts(texts):
+    """A worker that has seen any other texts, marks and symbols alone and before punctuation, gives the library's ids."""
+    from fieldweave.llm.tokens import Ids
+
+    own = ids_by(PATH)
+    fresh = Ids.__new__(Ids)
+    fresh.__dict__ = {**own.__dict__, "known": {}, "starts": {}}
+    for text in texts:
+        assert np.frombuffer(fresh.of(text), np.dtype(own.kind)).tolist() == want(text)[:-1]
+
+
+@pytest.mark.parametrize("text", ["😀 😀,", "hi 👍 there 👍!", "… a …,", "x — —, y", "“ “,", "• •."])
+def test_marks_alone_and_before_punctuation(text):
+    ids = ids_by(PATH)
+    assert np.frombuffer(ids.of(text), np.dtype(ids.kind)).tolist() == want(text)[:-1]

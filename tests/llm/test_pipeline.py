@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 from fieldweave.llm import toxicity
@@ -79,3 +80,18 @@ def test_edges(spark, folder):
 
 def test_run(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+@pytest.mark.parametrize("stage", list(STAGES))
+def test_columns_of_any_name(spark, folder, stage):
+    """Names that the operators use themselves, and one with a dot."""
+    names = ["_key", "_id", "_kept", "_text", "_cut", "row", "part", "a.b", "gone_id", "kept", "size", "label", "doc_key", "node"]
+    texts = ["one two three four five six", "one two  three four five six", "x y", None]
+    data = [(n, t, "en", "s", n, *[f"{c}{n}" for c in names]) for n, t in enumerate(texts)]
+    schema = ", ".join(["doc_id long, text string, lang string, source string, n_chars long", *[f"`{c}` string" for c in names]])
+    out = STAGES[stage](spark, spark.createDataFrame(data, schema), folder)
+    if stage == "packing":
+        assert out.count() == 4
+    else:
+        assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+        assert all(tuple(r)[5:] == tuple(f"{c}{r.doc_id}" for c in names) for r in out.collect())
