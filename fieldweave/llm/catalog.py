@@ -28,7 +28,7 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = preferences.format_pairs(preferences.neighbours(read(spark, folder, "conversations")))
+    pairs = preferences.format_pairs(preferences.retold(read(spark, folder, "conversations")))
     text = lambda side: F.array_join(F.transform(side, lambda s: s.text), "")
     return pairs.select(
         "pair_id", "n_prompt_turns", "n_chosen_turns", "n_rejected_turns", "prompt",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldweave.operators.joins import split_join
+
 OPEN, MIDDLE, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
 
@@ -59,6 +61,27 @@ def format_pairs(turns: DataFrame) -> DataFrame:
         _rendered(rest(F.col("a"))).alias("chosen"), _rendered(rest(F.col("b"))).alias("rejected"))
 
 
+def retold(conversations: DataFrame) -> DataFrame:
+    """Turns for ``format_pairs``: each conversation as it is (chosen) and with another answer (rejected); ``pair_id`` is its id.
+
+    The rejected one goes up to one of the assistant's turns, which a hash of conversation and turn picks, and has in its
+    place the answer that was picked in the same way from conversation 2k for 2k + 1, and the other way round: the first
+    by text if there are several at that turn. If the other one has no answer, the rejected one ends before that turn, and
+    so the chosen one begins with all of it. Without a turn of the assistant there is no rejected one. Rows without a
+    conversation are left out; a turn without a number is never picked and stays out of the rejected one.
+    """
+    turns = conversations.select(F.col("conv_id").cast("long").alias("pair_id"), "turn", "role", "text").filter("pair_id is not null")
+    answers = turns.filter((F.col("role") == TRAINED_ROLE) & F.col("turn").isNotNull())
+    place = F.md5(F.concat_ws(":", F.col("pair_id").cast("string"), F.col("turn").cast("string")).cast("binary"))
+    cut = answers.groupBy("pair_id").agg(F.min_by("turn", place).alias("at"))
+    picked = split_join(answers.withColumnRenamed("turn", "at"), cut.withColumnRenamed("at", "own"), ["pair_id"], "inner").filter("at = own")
+    answer = picked.groupBy(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id")).agg(F.min("text").alias("text"))
+    other = answer.join(cut, "pair_id").select(
+        "pair_id", F.lit(False).alias("chosen"), F.col("at").alias("turn"), F.lit(TRAINED_ROLE).alias("role"), "text")
+    before = split_join(turns, cut, ["pair_id"], "inner").filter("turn < at").select("pair_id", F.lit(False).alias("chosen"), "turn", "role", "text")
+    return turns.select("pair_id", F.lit(True).alias("chosen"), "turn", "role", "text").unionByName(before).unionByName(other)
+
+
 def neighbours(conversations: DataFrame) -> DataFrame:
     """Turns for ``format_pairs``: conversations 2k (chosen) and 2k + 1 (rejected) are pair k."""
     conv = F.col("conv_id").cast("long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldweave.llm.licenses import PHRASES, TEMPLATES
+from fieldweave.llm.licenses import COVERED, LONGER, PHRASES, SLACK, TEMPLATES, telling_words
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -47,7 +47,13 @@ FROM p JOIN goal USING (k)
 """
 
 PREFERENCE_PAIRS = r"""
-WITH t AS (SELECT DISTINCT conv_id >> 1 AS pair_id, conv_id % 2 = 0 AS chosen, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+WITH c AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+cut AS (SELECT conv_id, arg_min(turn, md5(conv_id || ':' || turn)) AS spot FROM c WHERE role = 'assistant' AND turn IS NOT NULL GROUP BY conv_id),
+answer AS (SELECT cut.conv_id, cut.spot, min(text) AS text FROM cut JOIN cut o ON o.conv_id = xor(cut.conv_id, 1)
+           JOIN c ON c.conv_id = o.conv_id AND c.turn = o.spot AND role = 'assistant' GROUP BY ALL),
+t AS (SELECT conv_id AS pair_id, true AS chosen, turn, role, text FROM c
+      UNION ALL SELECT c.conv_id, false, turn, role, text FROM c JOIN cut USING (conv_id) WHERE turn < spot
+      UNION ALL SELECT conv_id, false, spot, 'assistant', text FROM answer),
 n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, chosen ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k FROM t),
 paired AS (
   SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.k, b.k) AS k,
@@ -105,27 +111,32 @@ FROM d LEFT JOIN k USING (doc_id)
 """
 
 def _phrases() -> str:
-    rows = [(text, label, "true") for text, label in PHRASES] + [(text, label, "false") for text, label in TEMPLATES]
-    return ", ".join(f"({n}, '{text}', '{label}', {base})" for n, (text, label, base) in enumerate(rows))
+    rows = [(text, label, "true", [], []) for text, label in PHRASES]
+    rows += [(text, label, "false", *words) for (text, label), words in zip(TEMPLATES, telling_words())]
+    return ", ".join(f"({n}, '{text}', '{label}', {base}, {needed}::VARCHAR[], {barred}::VARCHAR[])"
+                     for n, (text, label, base, needed, barred) in enumerate(rows))
 
 
 LICENSE_SCAN = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-k AS (SELECT n, label, base, string_split(t, ' ') AS w FROM (VALUES {_phrases()}) v(n, t, label, base)),
+k AS (SELECT n, label, base, needed, barred, string_split(t, ' ') AS w FROM (VALUES {_phrases()}) v(n, t, label, base, needed, barred)),
 t AS (SELECT n, label, base, len(w) - 1 AS grams, place, w[place] AS x, w[place + 1] AS y FROM (SELECT *, unnest(range(1, len(w))) AS place FROM k)),
 g AS (SELECT doc_id, p, w[p] AS x, w[p + 1] AS y FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS p FROM d)),
-v AS (SELECT doc_id, n, label, base, grams, p - place AS diagonal, list(place) AS seen, min(p) - 1 AS start FROM g JOIN t USING (x, y)
-      GROUP BY doc_id, n, label, base, grams, p - place),
-r AS (SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER o > 2, true) THEN 1 ELSE 0 END AS apart FROM v
-      WINDOW o AS (PARTITION BY doc_id, n ORDER BY diagonal)),
+v AS (SELECT doc_id, n, label, base, grams, p, place, p - place AS diagonal FROM g JOIN t USING (x, y)),
+e AS (SELECT DISTINCT doc_id, n, base, diagonal FROM v),
+r AS (SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, n ORDER BY diagonal) > {SLACK}, true) THEN 1 ELSE 0 END AS apart FROM e),
 q AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, n ORDER BY diagonal) AS run FROM r),
-u AS (SELECT doc_id, label, base, grams, len(list_distinct(flatten(list(seen)))) AS votes, min(start) AS start
-      FROM q GROUP BY doc_id, n, label, base, grams, run)
+m AS (SELECT v.doc_id, v.n, label, v.base, grams, count(DISTINCT place) AS votes, list(place ORDER BY p, place) AS places, min(p) AS b, max(p) + 1 AS e
+      FROM v JOIN q ON q.doc_id = v.doc_id AND q.n = v.n AND q.diagonal = v.diagonal GROUP BY v.doc_id, v.n, label, v.base, grams, run),
+u AS (SELECT m.doc_id, m.label, m.base, grams, votes, b - 1 AS start,
+             m.base AND votes = grams OR NOT m.base AND votes >= {COVERED} * grams AND list_sort(places) = places
+               AND e - b + 1 <= grams + 1 + {LONGER} AND list_has_all(d.w[b:e], k.needed) AND NOT list_has_any(d.w[b:e], k.barred) AS held
+      FROM m JOIN d ON d.doc_id = m.doc_id JOIN k ON k.n = m.n)
 SELECT d.doc_id, len(w) AS n_words, count(*) FILTER (WHERE base AND votes = grams) AS n_base,
        min(start) FILTER (WHERE base AND votes = grams) AS first_word, max(start) FILTER (WHERE base AND votes = grams) AS last_word,
        coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base AND votes = grams), '') AS base_labels,
-       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base AND votes = grams OR NOT base AND votes >= 0.8 * grams), '') AS labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE held), '') AS labels,
        coalesce(max(votes / grams), 0) AS score
 FROM d LEFT JOIN u ON u.doc_id = d.doc_id GROUP BY d.doc_id, w
 """

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldweave.llm.common import forget, in_parts, stored
+from fieldweave.llm.common import forget, in_parts, packed_row, stored
 
 #: About so many labelled texts of either kind are learned from.
 TOXIC_TEXTS, CLEAN_TEXTS = 3000, 12000

@@ -1,3 +1,5 @@
+import hashlib
+
 from fieldweave.llm import preferences
 
 SCHEMA = "conv_id long, turn long, role string, text string, chosen string, n int"
@@ -43,7 +45,69 @@ def test_whole_conversation_comes_back(spark, folder):
         assert r.prompt + "".join(s.text for s in r.rejected) == whole.get(2 * r.pair_id + 1, "")
 
 
+def brute(rows):
+    """``(prompt turns, chosen rest, rejected rest)`` of each retold conversation."""
+    turns = {}
+    for conv, turn, role, text in set(rows):
+        if conv is not None:
+            turns.setdefault(conv, []).append((turn, role, text))
+    low = lambda t: tuple((v is not None, v if v is not None else 0) for v in t)
+    cuts = {}
+    for conv, own in turns.items():
+        spoken = {t for t, role, _ in own if role == "assistant" and t is not None}
+        if spoken:
+            cuts[conv] = min(spoken, key=lambda t: hashlib.md5(f"{conv}:{t}".encode()).hexdigest())
+    out = {}
+    for conv, own in turns.items():
+        chosen, rejected = sorted(own, key=low), []
+        if conv in cuts:
+            rejected = sorted([t for t in own if t[0] is not None and t[0] < cuts[conv]], key=low)
+            if conv ^ 1 in cuts:
+                texts = [x for t, role, x in turns[conv ^ 1] if role == "assistant" and t == cuts[conv ^ 1]]
+                known = [x for x in texts if x is not None]
+                rejected.append((cuts[conv], "assistant", min(known) if known else None))
+        n = 0
+        while n < min(len(chosen), len(rejected)) and chosen[n][1:] == rejected[n][1:]:
+            n += 1
+        out[conv] = (n, [x for _, _, x in chosen[n:]], [x for _, _, x in rejected[n:]])
+    return out
+
+
+def check_retold(spark, rows):
+    want, clean = brute(rows), lambda x: (x or "").replace("<|", "< |") + "<|im_end|>\n"
+    got = preferences.format_pairs(preferences.retold(frame(spark, rows))).collect()
+    assert sorted(r.pair_id for r in got) == sorted(want)
+    for r in got:
+        n, chosen, rejected = want[r.pair_id]
+        assert r.n_prompt_turns == n
+        assert [s.text for s in r.chosen][1::2] == list(map(clean, chosen))
+        assert [s.text for s in r.rejected][1::2] == list(map(clean, rejected))
+    return got
+
+
+def test_retold_conversations_share_their_history(spark, folder):
+    rows = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{folder}/conversations.parquet").collect()]
+    got = check_retold(spark, rows)
+    assert sum(r.n_prompt_turns > 0 for r in got) > 0.7 * len(got)
+    assert sum(r.n_rejected_turns > 0 for r in got) > 0.7 * len(got)
+
+
+def test_retold_edges(spark):
+    rows = [
+        (0, 0, "user", "q"), (0, 1, "assistant", "a"), (0, 1, "assistant", "a"), (0, 2, "user", None), (0, 3, "assistant", "c"),
+        (1, 0, "user", "q"), (1, 1, "assistant", "x"), (1, 1, "assistant", "b"), (2, 0, "user", "alone"), (2, 1, "assistant", "y"),
+        (3, 0, "user", "no answer"), (4, 0, "assistant", None), (5, 0, "assistant", ""), (6, None, "assistant", "z"), (None, 0, "user", "lost"),
+        (8, 0, "assistant", "same"), (9, 0, "assistant", "same"), (10, 0, None, "r"), (10, 1, "assistant", "long " * 50000), (11, 7, "assistant", "<|x"),
+    ]
+    got = {r.pair_id: r for r in check_retold(spark, rows)}
+    # Nothing to answer with: the chosen one begins with all of the rejected one.
+    assert (got[2].n_prompt_turns, got[2].n_chosen_turns, got[2].n_rejected_turns) == (1, 1, 0)
+    assert got[8].n_prompt_turns == 1 and got[8].n_chosen_turns == got[8].n_rejected_turns == 0
+    assert check_retold(spark, []) == []
+
+
 def test_empty_and_plan(spark):
     pairs = preferences.format_pairs(preferences.neighbours(frame(spark, [])))
     assert pairs.count() == 0
+    pairs = preferences.format_pairs(preferences.retold(frame(spark, [])))
     assert "Python" not in pairs._jdf.queryExecution().executedPlan().toString()
