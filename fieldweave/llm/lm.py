@@ -12,20 +12,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import stored
+from fieldweave.llm.common import in_parts, stored
 
 #: Words whose counts every task holds, of at most so many bytes each; all other words are joined with their counts.
 FREQUENT, FREQUENT_BYTES = 200_000, 64
-#: Outcomes of the first level: the end, the most frequent words, and all others as one, which the tree of words divides.
-CLASSES, SIZE = 512, 16
-OTHER, STOP = 0, 1
-#: Words that training saw so often are leaves of the tree and have a context vector of their own.
-LEAST_COUNT = 10
-#: The squares that steps in the tree start from.
-TREE_SQUARE = 1.0
-#: Tokens that are scored at a time, and contexts that are normalised at a time.
-SCORED, BLOCK = 32_768, 2048
-ROUNDS, NOISE, BATCH, STEP = 2, 32, 4096, 0.15
+#: Outcomes of the first level: all rare words as one, the end, the most frequent words, and groups of the next ones.
+SINGLES, GROUPS, MEMBERS = 254, 256, 256
+OTHER, STOP, FIRST_GROUP = 0, 1, 2 + SINGLES
+CLASSES, SIZE = FIRST_GROUP + GROUPS, 16
+#: The squares that steps of the words in groups start from.
+WORD_SQUARE = 1.0
+#: Tokens that are scored at a time.
+SCORED = 65_536
+ROUNDS, NOISE, WORD_NOISE, BATCH, STEP = 2, 32, 6, 4096, 0.15
 #: Words that a task counts before it passes the counts on.
 COUNTED = 500_000
 
@@ -44,9 +43,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def made() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(tokens(text))
+    for batch in in_parts(batches):
+        for text in batch.column(0):
+            counts.update(tokens(text.as_py()))
             if len(counts) > COUNTED:
                 yield made()
                 counts.clear()
@@ -92,21 +91,16 @@ class Model:
             total[:, before] = top[:, 0] + np.log(np.exp(logits - top).sum(axis=1))
         return one, two, total
 
-    def train(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, squares: dict[str, np.ndarray], rng: np.random.Generator,
-              tree: Tree | None = None) -> None:
-        """One step for a batch: ``one`` is what stands before ``word``, ``two`` the one before that.
+    def train(self, one: np.ndarray, two: np.ndarray, ids: np.ndarray, squares: dict[str, np.ndarray], rng: np.random.Generator,
+              words: Words | None = None) -> None:
+        """One step for a batch: the class ``one`` stands before ``ids``, the class ``two`` before that.
 
-        Without a tree they are classes. With one, what is above ``CLASSES`` is a leaf: it is looked up in the tree as a
-        context, and as an outcome it is the class of the others, within which the tree learns too.
+        Classes are told from noise of all classes; with ``words``, a word of a group from noise of its group as well.
         """
-        v = self.values
+        v, word = self.values, class_of(ids)
         noise = rng.choice(CLASSES, NOISE, p=self.share)
         offset = np.log(NOISE * np.maximum(self.share, 1e-30)).astype(np.float32)
-        if tree:
-            leaf, word = tree.leaves(word), np.where(word > CLASSES, OTHER, word)
-            a, b = tree.contexts(one, v["words"]), tree.contexts(two, v["words"])
-        else:
-            a, b = v["words"][one], v["words"][two]
+        a, b = v["words"][one], v["words"][two]
         q = a @ v["first"] + b @ v["second"]
         out = v["out"][word]
         hit = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, out) + v["bias"][word] - offset[word], -30, 30)))
@@ -114,15 +108,13 @@ class Model:
         miss = -1 / (1 + np.exp(-np.clip(q @ drawn.T + v["bias"][noise] - offset[noise], -30, 30)))
         dq = hit[:, None] * out + miss @ drawn
         size = np.float32(1 / len(word))
-        if tree:
-            inside = np.flatnonzero(word == OTHER)
-            dq[inside] += tree.train(leaf[inside], q[inside])
+        if words:
+            inside = np.flatnonzero(ids > CLASSES)
+        if words and len(inside):
+            dq[inside] += words.train(ids[inside] - CLASSES - 1, q[inside], rng)
         da, db = dq @ v["first"].T, dq @ v["second"].T
-        if tree:
-            tree.train_contexts(np.concatenate([one, two]), np.concatenate([da, db]))
-            one, two = np.minimum(one, CLASSES + 1), np.minimum(two, CLASSES + 1)
         steps = {
-            "words": (_spread(one, da, CLASSES + 2) + _spread(two, db, CLASSES + 2))[:-1],
+            "words": _spread(one, da, CLASSES + 1) + _spread(two, db, CLASSES + 1),
             "first": a.T @ dq, "second": b.T @ dq, "out": _spread(word, hit[:, None] * q, CLASSES),
             "bias": np.bincount(word, hit, CLASSES).astype(np.float32)}
         np.add.at(steps["out"], noise, miss.T @ q)
@@ -133,211 +125,145 @@ class Model:
             v[k] += np.float32(STEP) * step / np.sqrt(squares[k] + np.float32(1e-8))
 
 
+def class_of(ids: np.ndarray) -> np.ndarray:
+    """Classes of tokens; above ``CLASSES`` a token is a word of a group, numbered group by group."""
+    return np.where(ids > CLASSES, FIRST_GROUP + (ids - CLASSES - 1) // MEMBERS, ids)
+
+
 def _spread(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Sums of the rows that go to each place."""
     return np.stack([np.bincount(places, column, size) for column in rows.T], axis=1).astype(np.float32)
 
 
-class Tree:
-    """A binary tree whose leaves are words, in the order of their bytes, and the last one all rarer words.
+class Words:
+    """The second level: for each word of a group a vector and a bias, by which a softmax over its group predicts it."""
 
-    Each node halves its leaves by count and has a vector and a bias, so that a leaf's probability is the product of
-    logistic functions on its way: all leaves add up to one, and a word costs as many steps as its count is halvings
-    from the total. A node is named by the first leaf on its right. ``values`` has a row for each word: its context
-    vector, then the vector and bias of the node before the next leaf. A learner has these apart, and in ``seen`` how
-    often it trained the contexts and the nodes.
-    """
-
-    def __init__(self, weights: np.ndarray) -> None:
-        """``weights``: what each leaf counts."""
-        n = len(weights)
-        self.words = n - 1
-        self.sides = np.zeros((2, n), np.int32)
-        self.root = 0
-        self.values = np.zeros((n - 1, 2 * SIZE + 1), np.float32)
-        total = np.concatenate([[0.0], np.cumsum(weights, dtype=np.float64)])
-        first, last, parent, side = (np.array([x]) for x in (0, n, 0, 0))
-        while True:
-            whole = last - first > 1
-            first, last, parent, side = first[whole], last[whole], parent[whole], side[whole]
-            if not len(first):
-                break
-            half = (total[first] + total[last]) / 2
-            cut = np.searchsorted(total, half)
-            cut -= total[cut] - half > half - total[cut - 1]
-            cut = np.clip(cut, first + 1, last - 1)
-            self.sides[side, parent] = cut
-            self.root = self.root or int(cut[0])
-            self.values[cut - 1, -1] = np.log((total[last] - total[cut]) / (total[cut] - total[first]))
-            first, last = np.concatenate([first, cut]), np.concatenate([cut, last])
-            parent, side = np.concatenate([cut, cut]), np.repeat([0, 1], len(cut))
-
-    def learner(self, values: np.ndarray) -> Tree:
-        """This tree with weights of its own, to be trained."""
-        own = object.__new__(Tree)
-        own.words, own.sides, own.root = self.words, self.sides, self.root
-        own.inputs, own.nodes, own.biases = values[:, :SIZE].copy(), values[:, SIZE:-1].copy(), values[:, -1].copy()
-        own.squares = np.full((2, self.words), TREE_SQUARE, np.float32)
-        own.seen = np.zeros((2, self.words), np.int32)
-        return own
-
-    def trained(self, rows: np.ndarray) -> np.ndarray:
-        return np.concatenate([self.inputs[rows], self.nodes[rows], self.biases[rows, None]], axis=1)
-
-    def leaves(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids > CLASSES, ids - CLASSES - 1, self.words)
-
-    def contexts(self, ids: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        found = classes[np.minimum(ids, CLASSES)]
-        own = np.flatnonzero(ids > CLASSES)
-        found[own] = self.inputs[ids[own] - CLASSES - 1]
-        return found
-
-    def _ways(self, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Level by level: the places that are not at their leaf yet, their nodes, and whether they go right."""
-        at = np.arange(len(leaf))
-        node = np.full(len(leaf), self.root)
-        while self.root and len(at):
-            right = leaf >= node
-            yield at, node, right
-            node = self.sides[right.astype(np.int8), node]
-            on = np.flatnonzero(node)
-            at, node, leaf = at[on], node[on], leaf[on]
-
-    def logs(self, leaf: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the probabilities of leaves."""
-        found = np.zeros(len(leaf))
-        for at, node, right in self._ways(leaf):
-            x = np.einsum("ij,ij->i", q.take(at, axis=0), self.nodes.take(node - 1, axis=0)) + self.biases.take(node - 1)
-            found[at] -= np.log1p(np.exp(np.minimum(np.where(right, -x, x), 80)))
-        return found
+    def __init__(self, counts: np.ndarray) -> None:
+        """``counts`` of the words, group by group; those of a group come first, and 0 is no word."""
+        counts = counts.reshape(GROUPS, MEMBERS)
+        self.sizes = (counts > 0).sum(axis=1)
+        share = (counts + 1.0) / np.maximum(1, (counts + 1.0).sum(axis=1, where=counts > 0, keepdims=True))
+        self.bias = np.where(counts > 0, np.log(share), -1e30).astype(np.float32).ravel()
+        self.vectors = np.zeros((GROUPS * MEMBERS, SIZE), np.float32)
 
-    def train(self, leaf: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """One step for the nodes on the way to each leaf; what the features ``q`` gain by.
+    def values(self) -> np.ndarray:
+        return np.column_stack([self.vectors, self.bias])
 
-        Leaves are sorted, and on one level the nodes of sorted leaves are sorted, too.
-        """
-        order = np.argsort(leaf, kind="stable")
-        leaf, q = leaf[order], q[order]
-        dq = np.zeros_like(q)
-        for at, node, right in self._ways(leaf):
-            node = node - 1
-            own, features = self.nodes.take(node, axis=0), q.take(at, axis=0)
-            x = np.einsum("ij,ij->i", features, own) + self.biases.take(node)
-            miss = right - 1 / (1 + np.exp(np.minimum(-x, 80)))
-            own *= miss[:, None]
-            features *= miss[:, None]
-            dq[at] += own
-            starts, step = self._step(node, features, self.nodes, 1)
-            self.biases[node[starts]] += np.add.reduceat(miss, starts) * step
-        found = np.empty_like(dq)
-        found[order] = dq
-        return found
-
-    def train_contexts(self, ids: np.ndarray, steps: np.ndarray) -> None:
-        own = np.flatnonzero(ids > CLASSES)
-        own = own[np.argsort(ids[own], kind="stable")]
-        if len(own):
-            self._step(ids[own] - CLASSES - 1, steps[own], self.inputs, 0)
+    def learner(self, values: np.ndarray) -> Words:
+        """The same words with weights of their own, to be trained."""
+        own = object.__new__(Words)
+        own.sizes, own.vectors, own.bias = self.sizes, values[:, :SIZE].copy(), values[:, SIZE].copy()
+        own.squares = np.full(len(values), WORD_SQUARE, np.float32)
+        own.seen = np.zeros(len(values), np.int64)
+        return own
 
-    def _step(self, rows: np.ndarray, steps: np.ndarray, table: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray]:
-        """Add the steps of sorted rows, the smaller the more a row has moved; where rows start, and the size of their step."""
+    def train(self, place: np.ndarray, q: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        """One step that tells words from noise, any words of their groups alike; what the features ``q`` gain by."""
+        group = place // MEMBERS
+        size = self.sizes[group]
+        noise = group[:, None] * MEMBERS + (rng.random((len(place), WORD_NOISE), np.float32) * size[:, None]).astype(np.int64)
+        rows = np.column_stack([place, noise])
+        vectors = self.vectors.take(rows.ravel(), axis=0).reshape(*rows.shape, SIZE)
+        x = np.einsum("ij,ikj->ik", q, vectors) + self.bias.take(rows) - np.log(WORD_NOISE / size).astype(np.float32)[:, None]
+        miss = -1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        miss[:, 0] += 1
+        dq = np.einsum("ik,ikj->ij", miss, vectors)
+        steps = np.concatenate([miss[:, :, None] * q[:, None], miss[:, :, None]], axis=2).reshape(-1, SIZE + 1)
+        rows = rows.ravel()
+        order = np.argsort(rows, kind="stable")
+        rows = rows[order]
         starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        step, row = np.add.reduceat(steps, starts, axis=0), rows.take(starts)
-        self.seen[part][row] += np.diff(starts, append=len(rows))
-        squares = self.squares[part].take(row) + np.einsum("ij,ij->i", step, step) / np.float32(SIZE)
-        self.squares[part][row] = squares
-        size = np.float32(STEP) / np.sqrt(squares)
-        step *= size[:, None]
-        table[row] = table.take(row, axis=0) + step
-        return starts, size
-
-
-def _numbers(rows: np.ndarray, kind: type) -> pa.Array:
-    """Rows of numbers as binary values."""
-    rows = np.ascontiguousarray(rows, kind)
-    return pa.Array.from_buffers(pa.binary(rows.itemsize * rows.shape[1]), len(rows), [None, pa.py_buffer(rows)]).cast(pa.binary())
+        step, row = np.add.reduceat(steps[order], starts, axis=0), rows[starts]
+        self.squares[row] += np.einsum("ij,ij->i", step, step) / np.float32(SIZE)
+        step *= (np.float32(STEP) / np.sqrt(self.squares[row]))[:, None]
+        self.vectors[row] += step[:, :SIZE]
+        self.bias[row] += step[:, SIZE]
+        self.seen[row] += np.diff(starts, append=len(rows))
+        return dq
+
+    def logs(self, place: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Natural logarithms of the probabilities of words within their groups; one product of matrices for each group."""
+        found = np.empty(len(place))
+        order = np.argsort(place // MEMBERS, kind="stable")
+        group = (place // MEMBERS)[order]
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else []
+        for begin, end in zip(starts, [*starts[1:], len(group)]):
+            own, at = order[begin:end], group[begin] * MEMBERS
+            members = slice(at, at + self.sizes[group[begin]])
+            logits = q[own] @ self.vectors[members].T
+            logits += self.bias[members]
+            logits -= logits.max(axis=1, keepdims=True)
+            own_logit = logits[np.arange(len(own)), place[own] - at]
+            found[own] = own_logit - np.log(np.exp(logits, out=logits).sum(axis=1))
+        return found
 
 
 def _trained(shared, start: np.ndarray, values, turn: int):
-    """A task's weights after one pass over its texts, times the tokens it saw, as one row for each number.
+    """A task's weights after one pass over its texts: a row for the first level, and one for each group of words.
 
-    ``values``: the weights of the tree that the task starts from; without them only classes are trained. With them, a row
-    for each word of the tree that the task saw goes along: how far its weights have moved, in half precision to save
-    disk, and how often both parts were trained.
+    The first level is weighed by the tokens that the task saw, a word by how often it was trained.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         facts = shared.value
         model, rng, seen = Model(facts.unigram).set(start), np.random.default_rng(turn), 0
-        tree = facts.tree.learner(values.value) if values else None
+        words = facts.words.learner(values.value)
         squares = {k: np.full(s, 1e-4, np.float32) for k, s in Model.SHAPES.items()}
         held: list[np.ndarray] = []
 
         def learn() -> None:
-            one, two, word = (np.concatenate([x[cut] for x in held]) for cut in (slice(1, -1), slice(0, -2), slice(2, None)))
-            if not tree:
-                one, two, word = (np.where(x > CLASSES, OTHER, x) for x in (one, two, word))
-            order = rng.permutation(len(word))
-            for at in range(0, len(word), BATCH):
+            one, two, ids = (np.concatenate([x[cut] for x in held]) for cut in (slice(1, -1), slice(0, -2), slice(2, None)))
+            one, two = class_of(one), class_of(two)
+            order = rng.permutation(len(ids))
+            for at in range(0, len(ids), BATCH):
                 part = order[at:at + BATCH]
-                model.train(one[part], two[part], word[part], squares, rng, tree)
+                model.train(one[part], two[part], ids[part], squares, rng, words)
             held.clear()
 
         waiting = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(facts.ids(facts.ranks(tokens(text))))
-                waiting += len(held[-1]) - 2
-                if waiting >= 16 * BATCH:
-                    seen += waiting
-                    waiting = 0
-                    learn()
+            for part in in_parts([batch]):
+                for text in part.column(0):
+                    held.append(facts.ids(facts.ranks(tokens(text.as_py()))))
+                    waiting += len(held[-1]) - 2
+                    if waiting >= 16 * BATCH:
+                        seen += waiting
+                        waiting = 0
+                        learn()
         if held:
             seen += waiting
             learn()
         if seen:
-            flat = model.flat().astype(np.float64)
-            places, weights = [np.arange(len(flat)) - len(flat)], [np.stack([np.full(len(flat), seen), np.zeros(len(flat))], axis=1)]
-            yield _rows(places[0], weights[0], _numbers(flat[:, None], np.float32))
-            if tree:
-                row = np.flatnonzero(tree.seen.any(axis=0))
-                for at in range(0, len(row), 20_000):
-                    part = row[at:at + 20_000]
-                    yield _rows(part, tree.seen[:, part].T, _numbers(tree.trained(part) - values.value[part], np.float16))
+            flat = model.flat()
+            yield _weights(-1, np.full(len(flat), seen), flat)
+            moved, times = words.vectors, words.seen.reshape(GROUPS, MEMBERS)
+            for group in np.flatnonzero(times.any(axis=1)):
+                rows = slice(group * MEMBERS, (group + 1) * MEMBERS)
+                yield _weights(group, times[group], np.column_stack([moved[rows], words.bias[rows]]))
 
     return run
 
 
-def _rows(places: np.ndarray, seen: np.ndarray, values: pa.Array) -> pa.RecordBatch:
+WEIGHTS = "place int, seen binary, weights binary"
+
+
+def _weights(place: int, seen: np.ndarray, weights: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(places, pa.int32()), pa.array(seen[:, 0], pa.float64()), pa.array(seen[:, 1], pa.float64()), values], names=["place", "seen", "nodes", "value"])
+        [pa.array([place], pa.int32()), pa.array([seen.astype(np.float64).tobytes()], pa.binary()), pa.array([weights.astype(np.float32).tobytes()], pa.binary())],
+        names=["place", "seen", "weights"])
 
 
 def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Averages of the rows of each place, weighted by how often they were trained, all in one row for each kind."""
-    for wide in (False, True):
-        if not wide:
-            kinds: dict[bool, list[tuple]] = {False: [], True: []}
-            for batch in batches:
-                place, seen, nodes = (batch.column(n).to_numpy(zero_copy_only=False) for n in range(3))
-                for kind in (False, True):
-                    own = np.flatnonzero((place >= 0) == kind)
-                    if len(own):
-                        values = np.frombuffer(b"".join(batch.column(3).take(pa.array(own)).to_pylist()), np.float16 if kind else np.float32).reshape(len(own), -1)
-                        kinds[kind].append((place[own], seen[own], nodes[own], values))
-        if not kinds[wide]:
-            continue
-        place, seen, nodes, values = (np.concatenate(x) for x in zip(*kinds[wide]))
-        order = np.argsort(place, kind="stable")
-        place, seen, nodes, values = place[order], seen[order], nodes[order], values[order]
-        starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        share = np.repeat(seen[:, None], values.shape[1], axis=1)
-        share[:, SIZE:] = nodes[:, None]
-        whole = np.add.reduceat(share, starts, axis=0)
-        mean = np.add.reduceat(share * values, starts, axis=0) / np.maximum(whole, 1)
-        yield pa.RecordBatch.from_arrays([pa.array([place[starts].astype(np.int32).tobytes()], pa.binary()), pa.array([mean.astype(np.float32).tobytes()], pa.binary())],
-                                         names=["places", "means"])
+    """Averages of the weights of each place, weighed by how often each was trained."""
+    sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        for place, seen, weights in zip(*(batch.column(n) for n in range(3))):
+            times = np.frombuffer(seen.as_py())
+            own = np.frombuffer(weights.as_py(), np.float32).astype(np.float64).reshape(len(times), -1) * times[:, None]
+            before = sums.get(place.as_py(), (0.0, 0.0))
+            sums[place.as_py()] = before[0] + times, before[1] + own
+    for place, (times, total) in sums.items():
+        yield _weights(place, times, total / np.maximum(times, 1)[:, None])
 
 
 class Statistics:
@@ -347,21 +273,25 @@ class Statistics:
         self.total, self.distinct, self.ends = total, distinct, ends
         self.frequent = {word: n for n, (word, _) in enumerate(frequent)}
         self.counts = np.array([n for _, n in frequent], np.int64)
-        self.known = {word: n + 2 for n, (word, _) in enumerate(frequent[:CLASSES - 2])}
+        single, grouped = frequent[:SINGLES], frequent[SINGLES:SINGLES + GROUPS * MEMBERS]
+        # Words with like endings share a group.
+        order = sorted(range(len(grouped)), key=lambda n: grouped[n][0][::-1])
+        per_group = -(-len(grouped) // GROUPS)
+        own = np.array([n // per_group * MEMBERS + n % per_group for n in range(len(order))], np.int64)
+        counts = np.zeros(GROUPS * MEMBERS, np.int64)
+        counts[own] = self.counts[SINGLES:SINGLES + len(grouped)][order]
+        self.words = Words(counts)
         self.unigram = np.zeros(CLASSES)
-        self.unigram[2:2 + len(self.known)] = self.counts[:CLASSES - 2]
+        self.unigram[2:2 + len(single)] = self.counts[:len(single)]
         self.unigram[STOP] = ends
+        self.unigram[FIRST_GROUP:] = counts.reshape(GROUPS, MEMBERS).sum(axis=1)
         self.unigram[OTHER] = total - self.unigram.sum()
-        self.other_words = distinct - len(self.known) - (ends > 0)
-        own = sorted((word, n) for n, (word, count) in enumerate(frequent) if n >= CLASSES - 2 and count >= LEAST_COUNT)
-        leaf_counts = self.counts[[n for _, n in own]] + 1.0 if own else np.zeros(0)
-        #: What all words that are no leaf count, and one unseen word.
-        self.rare_total = self.other_total() - leaf_counts.sum()
-        self.tree = Tree(np.r_[leaf_counts, self.rare_total])
-        #: By rank, the class of a word or, above the classes, its leaf; at the end that of words without a rank.
+        #: What all words that are neither outcomes of their own nor in a group count, each once more, and one unseen word.
+        self.rare_total = self.unigram[OTHER] + distinct - len(single) - len(grouped) - (ends > 0) + 1
+        #: By rank, the token's number; at the end that of words without a rank.
         self.places = np.full(len(frequent) + 1, OTHER, np.int32)
-        self.places[:len(self.known)] = np.arange(len(self.known)) + 2
-        self.places[[n for _, n in own]] = np.arange(len(own)) + CLASSES + 1
+        self.places[:len(single)] = np.arange(len(single)) + 2
+        self.places[np.array(order, np.int64) + SINGLES] = own + CLASSES + 1
 
     def ranks(self, words: list[bytes]) -> np.ndarray:
         """Ranks of words; -1 if they have none."""
@@ -374,9 +304,6 @@ class Statistics:
         found[-1] = STOP
         return found
 
-    def other_total(self) -> float:
-        return self.unigram[OTHER] + self.other_words + 1
-
 
 def gather(texts: DataFrame) -> tuple[Statistics, DataFrame]:
     """Counts of all words of the training ``texts (text)``, and what the driver and the tasks keep of them."""
@@ -384,66 +311,47 @@ def gather(texts: DataFrame) -> tuple[Statistics, DataFrame]:
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     ends = texts.count()
     short = counts.filter(F.octet_length("word") <= FREQUENT_BYTES)
-    leaves = short.filter(F.col("n") >= LEAST_COUNT)
-    held = (leaves if leaves.count() >= FREQUENT else short.orderBy(F.desc("n"), "word").limit(FREQUENT)).toArrow()
+    held = short.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
     frequent = sorted(zip(held["word"].to_pylist(), held["n"].to_pylist()), key=lambda x: (-x[1], x[0]))
     return Statistics(frequent, (total or 0) + ends, distinct + (ends > 0), ends), counts
 
 
 def fit(texts: DataFrame, facts: Statistics, shared) -> tuple[Model, np.ndarray]:
-    """Each round, every task trains on all its texts from the same weights; the weights are averaged by tokens seen.
+    """Each round, every task trains on all its texts from the same weights; the weights are averaged.
 
-    The tree is trained in the last round, its contexts from what the class of the others has learned; a word's or
-    node's weights are averaged by how often each task trained them. Averages of a part of the places are one row.
+    The driver gets the averages of the model, whose size is fixed, whatever the corpus.
     """
-    model, values = Model(facts.unigram), facts.tree.values.copy()
+    model, values = Model(facts.unigram), facts.words.values()
     context = texts.sparkSession.sparkContext
     for turn in range(ROUNDS):
-        values[:, :SIZE] = model.values["words"][OTHER]
-        start = context.broadcast(values) if turn == ROUNDS - 1 and facts.tree.words else None
-        rows = texts.mapInArrow(_trained(shared, model.flat(), start, turn), "place int, seen double, nodes double, value binary")
-        found = rows.repartition("place").mapInArrow(_averaged, "places binary, means binary").collect()
-        flat = model.flat()
-        for r in found:
-            place = np.frombuffer(r["places"], np.int32)
-            mean = np.frombuffer(r["means"], np.float32).reshape(len(place), -1)
-            if place[0] < 0:
-                flat[place] = mean[:, 0]
+        rows = texts.mapInArrow(_trained(shared, model.flat(), context.broadcast(values), turn), WEIGHTS)
+        for r in rows.repartition("place").mapInArrow(_averaged, WEIGHTS).collect():
+            seen, weights = np.frombuffer(r["seen"]), np.frombuffer(r["weights"], np.float32)
+            if r["place"] < 0:
+                model.set(weights)
             else:
-                values[place] += mean
-        model.set(flat)
+                own = r["place"] * MEMBERS + np.flatnonzero(seen)
+                values[own] = weights.reshape(MEMBERS, -1)[seen > 0]
     return model, values
 
 
 class Scorer:
-    """A model and its tree, ready to score."""
+    """A model of both levels, ready to score."""
 
     def __init__(self, facts: Statistics, flat: np.ndarray, values: np.ndarray) -> None:
         model = Model(facts.unigram).set(flat)
         self.one, self.two, self.total = model.log_probabilities()
-        self.tree = facts.tree.learner(values)
-        del self.tree.squares, self.tree.seen
-        self.one = np.concatenate([self.one, values[:, :SIZE] @ model.values["first"]])
-        self.two = np.concatenate([self.two, values[:, :SIZE] @ model.values["second"]])
+        self.words = facts.words.learner(values)
         self.out = model.values["out"]
         self.bias = np.where(model.share > 0, model.values["bias"], np.float32(-1e30))
 
     def logs(self, two: np.ndarray, one: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the probabilities of ``ids``, a leaf's word or any rarer word as one, after two contexts."""
+        """Natural logarithms of the probabilities of ``ids``, all rare words as one, after two tokens."""
+        two, one, word = class_of(two), class_of(one), class_of(ids)
         q = self.one[one] + self.two[two]
-        word = np.where(ids > CLASSES, OTHER, ids)
-        norm = self.total[np.minimum(two, CLASSES), np.minimum(one, CLASSES)]
-        open_ = np.flatnonzero((one > CLASSES) | (two > CLASSES))
-        for at in range(0, len(open_), BLOCK):
-            part = open_[at:at + BLOCK]
-            logits = q[part] @ self.out.T
-            logits += self.bias
-            top = logits.max(axis=1)
-            logits -= top[:, None]
-            norm[part] = top + np.log(np.exp(logits, out=logits).sum(axis=1))
-        found = (np.einsum("ij,ij->i", q, self.out[word]) + self.bias[word] - norm).astype(np.float64)
-        inside = np.flatnonzero(word == OTHER)
-        found[inside] += self.tree.logs(self.tree.leaves(ids[inside]), q[inside])
+        found = (np.einsum("ij,ij->i", q, self.out[word]) + self.bias[word] - self.total[two, one]).astype(np.float64)
+        inside = np.flatnonzero(ids > CLASSES)
+        found[inside] += self.words.logs(ids[inside] - CLASSES - 1, q[inside])
         return found
 
 
@@ -471,9 +379,9 @@ def _scored(shared, flat: np.ndarray, values):
             waiting = 0
             return batch
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = tokens(text)
+        for batch in in_parts(batches):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = tokens(text.as_py())
                 at = own.ranks(words)
                 held.append(own.ids(at))
                 waiting += len(words) + 1
@@ -498,11 +406,12 @@ def _scored(shared, flat: np.ndarray, values):
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
-    Counts cover all training tokens. The model predicts a token from the two before it: its class by a softmax that is
-    normalised over all classes, and a word outside the classes by its way through the tree of words. Every word that
-    training has ``LEAST_COUNT`` times is a leaf, so the tree grows with the corpus; rarer words, and words of more than
-    ``FREQUENT_BYTES`` bytes, have the share of their count plus one in what the tree leaves to them. So the
-    probabilities of all words and of one unseen word add up to one. Classes and leaves are contexts of their own.
+    Counts cover all training tokens. The model predicts a token from the two before it in two levels, both trained by
+    noise-contrastive estimation on all training texts and normalised by products of matrices: its class, which is the end,
+    one of the ``SINGLES`` most frequent words or one of ``GROUPS`` groups of words with like endings, and in a group one of
+    its ``MEMBERS`` words. These 65,790 words are the model's fixed vocabulary. All other words, and words of more than
+    ``FREQUENT_BYTES`` bytes, are one class more, in which each has the share of its count plus one. So the probabilities of
+    all words and of one unseen word add up to one. Contexts are classes.
     Both scores need the counts of rare words: these, once per text and word, are joined with the table of counts.
 
     NULL and empty texts are the end alone. Rows with a NULL id are trained on. Rows that repeat an id are scored each for

