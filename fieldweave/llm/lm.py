@@ -23,8 +23,8 @@ CLASSES, SIZE = FIRST_GROUP + GROUPS, 16
 #: The squares that steps of the words in groups start from.
 WORD_SQUARE = 1.0
 #: Tokens that are scored at a time.
-SCORED = 65_536
-ROUNDS, NOISE, WORD_NOISE, BATCH, STEP = 2, 32, 6, 4096, 0.15
+SCORED = 131_072
+ROUNDS, NOISE, WORD_NOISE, BATCH, STEP = 1, 32, 2, 4096, 0.15
 #: Words that a task counts before it passes the counts on.
 COUNTED = 500_000
 
@@ -105,7 +105,12 @@ class Model:
         out = v["out"][word]
         hit = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, out) + v["bias"][word] - offset[word], -30, 30)))
         drawn = v["out"][noise]
-        miss = -1 / (1 + np.exp(-np.clip(q @ drawn.T + v["bias"][noise] - offset[noise], -30, 30)))
+        miss = q @ drawn.T
+        miss += v["bias"][noise] - offset[noise]
+        np.clip(miss, -30, 30, out=miss)
+        np.exp(np.negative(miss, out=miss), out=miss)
+        miss += 1
+        np.divide(-1, miss, out=miss)
         dq = hit[:, None] * out + miss @ drawn
         size = np.float32(1 / len(word))
         if words:
@@ -168,17 +173,15 @@ class Words:
         miss = -1 / (1 + np.exp(-np.clip(x, -30, 30)))
         miss[:, 0] += 1
         dq = np.einsum("ik,ikj->ij", miss, vectors)
-        steps = np.concatenate([miss[:, :, None] * q[:, None], miss[:, :, None]], axis=2).reshape(-1, SIZE + 1)
-        rows = rows.ravel()
-        order = np.argsort(rows, kind="stable")
-        rows = rows[order]
-        starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        step, row = np.add.reduceat(steps[order], starts, axis=0), rows[starts]
+        row, own, times = np.unique(rows, return_inverse=True, return_counts=True)
+        own = own.ravel()
+        sums = [np.bincount(own, (miss * column[:, None]).ravel(), len(row)) for column in np.ascontiguousarray(q.T)]
+        step = np.stack([*sums, np.bincount(own, miss.ravel(), len(row))], axis=1).astype(np.float32)
         self.squares[row] += np.einsum("ij,ij->i", step, step) / np.float32(SIZE)
         step *= (np.float32(STEP) / np.sqrt(self.squares[row]))[:, None]
         self.vectors[row] += step[:, :SIZE]
         self.bias[row] += step[:, SIZE]
-        self.seen[row] += np.diff(starts, append=len(rows))
+        self.seen[row] += times
         return dq
 
     def logs(self, place: np.ndarray, q: np.ndarray) -> np.ndarray:
