@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ CLASSES, SIZE = FIRST_GROUP + GROUPS, 16
 WORD_SQUARE = 1.0
 #: Tokens that are scored at a time.
 SCORED = 131_072
-ROUNDS, NOISE, WORD_NOISE, BATCH, STEP = 1, 32, 2, 4096, 0.15
+ROUNDS, NOISE, WORD_NOISE, BATCH, STEP = 1, 32, 4, 2048, 0.15
 #: Words that a task counts before it passes the counts on.
 COUNTED = 500_000
 
@@ -184,6 +184,10 @@ class Words:
         self.seen[row] += times
         return dq
 
+    @staticmethod
+    def _norm(rows: np.ndarray) -> float:
+        return math.sqrt(float(np.einsum("ij,ij->i", rows, rows).max()))
+
     def logs(self, place: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Natural logarithms of the probabilities of words within their groups; one product of matrices for each group."""
         found = np.empty(len(place))
@@ -193,9 +197,12 @@ class Words:
         for begin, end in zip(starts, [*starts[1:], len(group)]):
             own, at = order[begin:end], group[begin] * MEMBERS
             members = slice(at, at + self.sizes[group[begin]])
-            logits = q[own] @ self.vectors[members].T
+            features, vectors = q[own], self.vectors[members]
+            logits = features @ vectors.T
             logits += self.bias[members]
-            logits -= logits.max(axis=1, keepdims=True)
+            # No product is larger than that of the norms; only beyond what an exponential can hold the largest is taken off.
+            if self._norm(features) * self._norm(vectors) + abs(self.bias[members]).max() > 60:
+                logits -= logits.max(axis=1, keepdims=True)
             own_logit = logits[np.arange(len(own)), place[own] - at]
             found[own] = own_logit - np.log(np.exp(logits, out=logits).sum(axis=1))
         return found
@@ -226,10 +233,11 @@ def _trained(shared, start: np.ndarray, values, turn: int):
         waiting = 0
         for batch in batches:
             for part in in_parts([batch]):
-                for text in part.column(0):
-                    held.append(facts.ids(facts.ranks(tokens(text.as_py()))))
+                _, ranks, ends = facts.ranked(part.column(0))
+                for own in np.split(ranks, ends[:-1]) if len(ends) else []:
+                    held.append(facts.ids(own))
                     waiting += len(held[-1]) - 2
-                    if waiting >= 16 * BATCH:
+                    if waiting >= 32 * BATCH:
                         seen += waiting
                         waiting = 0
                         learn()
@@ -274,7 +282,7 @@ class Statistics:
 
     def __init__(self, frequent: list[tuple[bytes, int]], total: int, distinct: int, ends: int) -> None:
         self.total, self.distinct, self.ends = total, distinct, ends
-        self.frequent = {word: n for n, (word, _) in enumerate(frequent)}
+        self.frequent = pa.array([word for word, _ in frequent], pa.binary())
         self.counts = np.array([n for _, n in frequent], np.int64)
         single, grouped = frequent[:SINGLES], frequent[SINGLES:SINGLES + GROUPS * MEMBERS]
         # Words with like endings share a group.
@@ -296,9 +304,17 @@ class Statistics:
         self.places[:len(single)] = np.arange(len(single)) + 2
         self.places[np.array(order, np.int64) + SINGLES] = own + CLASSES + 1
 
-    def ranks(self, words: list[bytes]) -> np.ndarray:
-        """Ranks of words; -1 if they have none."""
-        return np.fromiter(map(self.frequent.get, words, repeat(-1)), np.int32, len(words))
+    def ranked(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The words of texts as ``tokens`` has them, their ranks, -1 for words without one, and the ends of the texts among them."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        words, sizes = split.flatten().cast(pa.binary()), pc.list_value_length(split).to_numpy()
+        # What stands before the first blank and behind the last one may be empty.
+        full = pc.binary_length(words).to_numpy() > 0
+        if not full.all():
+            sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full], minlength=len(sizes))
+            words = words.filter(pa.array(full))
+        ranks = pc.fill_null(pc.index_in(words, value_set=self.frequent), -1).to_numpy()
+        return words, ranks, np.cumsum(sizes)
 
     def ids(self, ranks: np.ndarray) -> np.ndarray:
         """Classes and leaves of the words and the end, after two starts."""
@@ -383,16 +399,17 @@ def _scored(shared, flat: np.ndarray, values):
             return batch
 
         for batch in in_parts(batches):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = tokens(text.as_py())
-                at = own.ranks(words)
+            words, ranks, ends = own.ranked(batch.column(1))
+            unranked = words.filter(pa.array(ranks < 0)).to_pylist()
+            for doc_id, at in zip(batch.column(0).to_pylist(), np.split(ranks, ends[:-1]) if len(ends) else []):
                 held.append(own.ids(at))
-                waiting += len(words) + 1
-                rare = Counter(words[n] for n in np.flatnonzero(at < 0))
+                waiting += len(at) + 1
+                n_rare = int((at < 0).sum())
+                rare, unranked = Counter(unranked[:n_rare]), unranked[n_rare:]
                 common = at[at >= 0]
                 shared_ = held[-1][2:-1] == OTHER
                 columns[0].append(doc_id)
-                columns[1].append(len(words) + 1)
+                columns[1].append(len(at) + 1)
                 columns[2].append(len(common) + (own.ends > 0))
                 columns[3].append(float(logs[common].sum() + math.log10(own.ends + 1)))
                 columns[4].append(float(logs[at[shared_ & (at >= 0)]].sum()))

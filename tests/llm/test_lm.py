@@ -3,7 +3,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from fieldweave.llm import lm
 
@@ -132,12 +136,11 @@ def test_score_of_a_text_by_hand(spark):
     model, values = lm.fit(docs.filter(~lm.held_out(docs.doc_id)).select("text").coalesce(1), facts, spark.sparkContext.broadcast(facts))
     scorer = lm.Scorer(facts, model.flat(), values)
     words = lm.tokens(texts[-1][1])
-    ids = facts.ids(facts.ranks(words))
+    ranks = facts.ranked(pa.array([texts[-1][1]]))[1]
+    ids = facts.ids(ranks)
     logs = scorer.logs(ids[:-2], ids[1:-1], ids[2:]) / math.log(10)
-    rare = [math.log10(1 / facts.rare_total) for w in words if w not in facts.frequent]
-    assert len(rare) >= 1
-    import pandas as pd
-    import pyarrow as pa
+    rare = [math.log10(1 / facts.rare_total) for rank in ranks if rank < 0]
+    assert len(rare) >= 1 and len(ranks) == len(words)
 
     class Shared:
         def __init__(self, value):
@@ -153,3 +156,15 @@ def test_statistics_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(lm, "FREQUENT", 50)
     facts, counts = lm.gather(spark.createDataFrame([(" ".join(f"w{n}" for n in range(500)),)] * 12, "text string"))
     assert len(facts.frequent) == 50 and facts.total == 12 * 501 and facts.distinct == 501 and counts.count() == 500
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text() | st.text(alphabet="aAbÉé \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u2003\x00"), max_size=5))
+def test_words_of_a_batch(texts):
+    """Words, ranks and ends of many texts at once are those of each text."""
+    facts = lm.Statistics([(b"a", 9), (b"ab", 8), (b"b", 7)], 30, 4, 3)
+    words, ranks, ends = facts.ranked(pa.array(texts, pa.string()))
+    own = [lm.tokens(t) for t in texts]
+    assert words.to_pylist() == [w for t in own for w in t]
+    assert ends.tolist() == np.cumsum([len(t) for t in own]).tolist()
+    assert ranks.tolist() == [{b"a": 0, b"ab": 1, b"b": 2}.get(w, -1) for t in own for w in t]
