@@ -102,24 +102,67 @@ def _similar(a: str, b: str) -> Column:
     return 100 * both >= PERCENT * (F.size(a) + F.size(b) - both)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    sets = _sets_of(pairs.select(F.explode(F.array("u", "v")).alias("row")), texts, nodes)
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     u, v = (sets.select(F.col("row").alias(c), F.col("items").alias(f"items_{c}")) for c in "uv")
     return pairs.join(u, "u").join(v, "v").filter(_similar("items_u", "items_v")).select("u", "v")
 
 
+def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    return _compared(pairs, _sets_of(pairs.select(F.explode(F.array("u", "v")).alias("row")), texts, nodes))
+
+
+def _least_shared(size: Column, partner: str) -> Column:
+    """The least number of shingles that a set of ``size`` shares with one that it is linked with.
+
+    A link has (100 + PERCENT) * both >= PERCENT * (size + other size). The other set has ``size`` shingles or more if it is
+    the ``longer`` one, and PERCENT of a hundred of them or more if it is any.
+    """
+    return F.ceil(2 * PERCENT * size / (100 + PERCENT)) if partner == "longer" else F.ceil(PERCENT * size / 100)
+
+
+def _rarest(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``item, row, part, n_shingles, s1, s2, place, short``: the rarest shingles of each set of ``rows``, as far as components share them.
+
+    In one order of all shingles, those that one component alone has first, then by frequency, two linked sets share one among
+    their first ``size - least shared + 1``. ``place`` counts in this order; ``short`` says that the shingle is
+    among those of the set as the smaller one of a pair.
+    """
+    items = sets.join(rows.select("row", "part"), "row").select("row", "part", F.explode("items").alias("item"))
+    often = stored(items.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
+                   .filter("low != high").select("item", "n"))
+    ordered = items.select("row", "item").join(often.hint("merge"), "item").groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("n", "item"))).alias("shared"))
+    size, own = F.col("n_shingles"), F.col("n_shingles") - F.size("shared")
+    wanted = (size - _least_shared(size, "any") + 1 - own).cast("int")
+    first = ordered.join(rows, "row").filter(wanted > 0).select(
+        "row", "part", "n_shingles", "s1", "s2", own.alias("own"), F.posexplode(F.slice("shared", F.lit(1), wanted)).alias("n", "each"))
+    place = F.col("own") + F.col("n")
+    return first.select("row", "part", "n_shingles", "s1", "s2", F.col("each.item").alias("item"), place.alias("place"),
+                        (place <= size - _least_shared(size, "longer")).alias("short"))
+
+
 def _links_within(mixed_: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links between nodes that share a bucket of ``mixed_`` but no component, one of them outside the bucket's main one.
+    """Links between the nodes of buckets of ``mixed_`` that are in no common component.
 
-    Sets are compared inside the join, so that only links come out of it, and a pair only in the first band it shares.
+    Nodes are compared if they share one of their rarest shingles, which all linked ones do. What the pages of a site have in
+    common is frequent among them, so pages with one frame meet only if little else is in them. One of two nodes is outside the
+    component that most nodes with the shingle belong to.
     """
-    rows = mixed_.filter("row != center")
-    rows = rows.join(nodes.select("row", "bands"), "row").join(_sets_of(rows.select("row"), texts, nodes), "row")
+    rows = stored(mixed_.filter("row != center").select("row", "part", "n_shingles", "s1", "s2").distinct())
+    sets = _sets_of(rows.select("row"), texts, nodes)
+    rarest = stored(_rarest(rows, sets))
+    shares = rarest.groupBy("item", "part").agg(F.count(F.lit(1)).alias("n"))
+    main = shares.groupBy("item").agg(F.max_by("part", "n").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
+    ends = stored(rarest.join(main.hint("merge"), "item"))
+    n, m = F.col("a.n_shingles"), F.col("b.n_shingles")
     apart = (F.col("a.part") != F.col("b.part")) & ((F.col("a.part") == F.col("a.main")) | (F.col("a.row") < F.col("b.row")))
-    earlier = F.zip_with(F.slice("a.bands", F.lit(1), F.col("a.place")), F.slice("b.bands", F.lit(1), F.col("b.place")), lambda x, y: x == y)
-    same = (F.col("a.band") == F.col("b.band")) & apart & _near("a", "b") & ~F.exists(earlier, lambda x: x) & _similar("a.items", "b.items")
-    return rows.alias("a").join(rows.filter("part != main").alias("b"), same).select(*_pair("a", "b")).distinct()
+    smaller = F.when((n < m) | ((n == m) & (F.col("a.row") < F.col("b.row"))), F.col("a.short")).otherwise(F.col("b.short"))
+    # From the first shingle that both have on, enough must be left.
+    left = (100 + PERCENT) * F.least(n - F.col("a.place"), m - F.col("b.place")) >= PERCENT * (n + m)
+    same = (F.col("a.item") == F.col("b.item")) & apart & smaller & left & _near("a", "b")
+    pairs = stored(ends.alias("a").join(ends.filter("part != main").alias("b"), same).select(*_pair("a", "b")).distinct())
+    return _compared(pairs, sets)
 
 
 def _apart(pairs: DataFrame, tied: DataFrame) -> DataFrame:
@@ -140,10 +183,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Texts with equal shingle sets are one node. Nodes that share a band of minima are a bucket. Every node is compared
     with the first node of each of its buckets: by size and sketch of the signature inside the join, then by full
     sets, with the smallest of these first nodes first, and with others if they are not in one component by then. After
-    large-star and small-star steps over the links found, most buckets lie in one component. In the others,
-    nodes outside the component that most of the bucket belongs to are compared with all nodes of the bucket in other
-    components, so no candidate pair that could still connect two components is left out, and no bucket is capped. Of
-    these pairs only the links come out of the join; the steps are then repeated with them. Joins are between stored tables, which lets Spark split hot keys.
+    large-star and small-star steps over the links found, most buckets lie in one component. The nodes of the others are
+    joined on their rarest shingles, of which linked ones share one, so no candidate pair that could still connect two components is
+    left out, no bucket is capped, and what many pages share pairs none of them. Sizes, places and sketches are compared
+    inside that join, full sets after it; the steps are then repeated with the links found. Joins are between stored tables, which
+    lets Spark split hot keys.
 
     Texts without words have no shingles and are linked with nothing. NULL ids come last when the row that stays is
     chosen; of rows that repeat an id within a component one stays. Other columns are not read. No rows give no rows.

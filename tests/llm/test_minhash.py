@@ -81,6 +81,54 @@ def test_chains_and_hot_groups(spark):
     assert grouped(spark, docs) == brute(docs)
 
 
+def pages(rng, count, frame, own):
+    shared = words(rng, frame)
+    return [" ".join(shared + words(rng, own)) for _ in range(count)]
+
+
+def test_framed_pages(spark):
+    """Pages whose frames make them similar, more and less than a link needs, with copies that have one."""
+    rng = random.Random(5)
+    docs = pages(rng, 40, 120, 50) + pages(rng, 30, 120, 24) + pages(rng, 30, 120, 17) + pages(rng, 20, 120, 40)
+    for text in rng.sample(docs, 25):
+        copy = text.split()
+        for _ in range(rng.randint(1, 5)):
+            copy[rng.randrange(len(copy))] = "edit"
+        docs.append(" ".join(copy[rng.randint(0, 9):]))
+    rng.shuffle(docs)
+    docs = list(enumerate(docs))
+    assert grouped(spark, docs) == brute(docs)
+
+
+def test_rarest_shingles(spark):
+    """All linked pairs of different components share one, with the smaller set's shorter beginning; frames pair nobody."""
+    rng = random.Random(6)
+    found = []
+    for _ in range(60):
+        base = rng.sample(range(3000), rng.randint(1, 80))
+        found.append(set(base))
+        found.append(set(base[rng.randint(0, len(base) // 8):] + rng.sample(range(3000), rng.randint(0, len(base) // 8))))
+    frame = list(range(5000, 5100))
+    framed = [set(frame + rng.sample(range(6000, 60000), 30)) for _ in range(50)]
+    sets = [sorted(s) for s in found + framed]
+    rows = spark.createDataFrame([(n, n, len(s), 0, 0) for n, s in enumerate(sets)], "row long, part long, n_shingles long, s1 long, s2 long")
+    rarest = minhash._rarest(rows, spark.createDataFrame(list(enumerate(sets)), "row long, items array<long>")).collect()
+    every, short = {}, {}
+    for r in rarest:
+        every.setdefault(r.row, {})[r.item] = r.place
+        if r.short:
+            short.setdefault(r.row, set()).add(r.item)
+    links = 0
+    for a in range(len(sets)):
+        for b in range(len(sets)):
+            both = len(set(sets[a]) & set(sets[b]))
+            if a != b and len(sets[a]) <= len(sets[b]) and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                links += 1
+                assert short[a] & every[b].keys()
+    assert links > 50
+    assert not any(i in frame for n in range(len(found), len(sets)) for i in short.get(n, ()))
+
+
 def test_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = minhash.near_groups(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()
