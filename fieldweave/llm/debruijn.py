@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import stored
+from fieldweave.llm.common import in_parts, stored
 from fieldweave.llm.hashing import U64, window_hashes, word_hashes
 
 #: Words of an edge; its nodes are its first and its last ``WINDOW - 1`` words.
@@ -45,7 +45,7 @@ def _lists(arrays: list[np.ndarray], kind: type) -> pa.ListArray:
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         sizes, whole, digests, found = [], [], [], []
         for text in batch.column(2).to_pylist():
             words = words_of(text)
@@ -59,24 +59,22 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              _lists(found, np.int64)], names=["did", "text_key", "n_words", "whole", "sha", "anchors"])
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows whose anchor is shared: place, edge, and half of the hash of the edge that follows (0 if none does)."""
-    for batch in batches:
-        places, edges, following = [], [], []
-        for text, known in zip(batch.column(2).to_pylist(), batch.column(3)):
-            hashes = word_hashes(text.encode("utf-8", "surrogatepass"))
-            at = np.flatnonzero(np.isin(anchors(hashes), known.values.to_numpy().view(U64)))
-            every = window_hashes(hashes, WINDOW)
-            edge = every[at]
-            after = np.zeros(len(at), np.int32)
-            beside = np.flatnonzero(np.diff(at) == 1)
-            after[beside] = (edge[beside + 1] & U64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-            places.append(at)
-            edges.append(edge.view(np.int64))
-            following.append(after)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), _lists(places, np.int32), _lists(edges, np.int64), _lists(following, np.int32)],
-            names=["row", "did", "places", "edges", "following"])
+def _windows(bits: int):
+    """Windows whose anchor is shared: place and edge, a hash of ``bits`` bits."""
+    mask = U64(2**bits - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_parts(batches):
+            places, edges = [], []
+            for text, known in zip(batch.column(2).to_pylist(), batch.column(3)):
+                hashes = word_hashes(text.encode("utf-8", "surrogatepass"))
+                at = np.flatnonzero(np.isin(anchors(hashes), known.values.to_numpy().view(U64)))
+                places.append(at)
+                edges.append((window_hashes(hashes, WINDOW)[at] & mask).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), _lists(places, np.int32), _lists(edges, np.int64)], names=["row", "did", "places", "edges"])
+
+    return run
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +111,7 @@ def _digest(words: list[bytes]) -> bytes:
 
 
 def _source_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         rows = []
         for did, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             words = words_of(text)
@@ -123,9 +121,14 @@ def _source_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                                          names=["first", "source", "words", "digest"])
 
 
+SPANS = "array<struct<start:long,words:long>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        removed, digests, spans = [], [], []
+    """Texts without the words of ``wanted`` runs whose digest they have; ``failed`` are the runs that have another one."""
+    for batch in in_parts(batches):
+        removed, digests, spans, failed = [], [], [], []
         for text, wanted in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             words = words_of(text)
             gone = np.zeros(len(words), bool)
@@ -139,32 +142,68 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests.append(hashlib.sha256(b" ".join(w for w, out in zip(words, gone) if not out)).hexdigest())
             edges = np.flatnonzero(np.diff(np.r_[False, gone, False]))
             spans.append([{"start": int(a), "words": int(b - a)} for a, b in zip(edges[::2], edges[1::2])])
+            others = {(w["start"], w["words"]) for w in wanted} - held
+            failed.append([{"start": start, "words": size} for start, size in sorted(others)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(removed, pa.int64()), pa.array(digests, pa.string()),
-             pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())])))], names=["row", "n_removed", "kept_sha256", "spans"])
+            [batch.column(0), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(spans, _SPANS), pa.array(failed, _SPANS)],
+            names=["row", "n_removed", "kept_sha256", "spans", "failed"])
+
+
+def _without(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``row, n_removed, kept_sha256, spans, failed`` for the rows that ``wanted (row, start, words, digest)`` names."""
+    runs = wanted.groupBy("row").agg(F.collect_list(F.struct("start", "words", "digest")).alias("wanted"))
+    return stored(texts.select("row", "text").join(runs.hint("merge"), "row").select("row", "text", "wanted").mapInArrow(
+        _kept, f"row long, n_removed long, kept_sha256 string, spans {SPANS}, failed {SPANS}").dropDuplicates(["row"]))
+
+
+def _named_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Row, document, place and digest of the windows at some places of each text."""
+    for batch in in_parts(batches, 50):
+        rows = []
+        for row, did, text, places in zip(*(batch.column(n).to_pylist() for n in range(4))):
+            words = words_of(text)
+            rows += [(row, did, place, _digest(words[place:place + WINDOW])) for place in places]
+        columns = list(zip(*rows)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.int64(), pa.binary()])],
+                                         names=["row", "did", "start", "digest"])
+
+
+def _by_digest(failed: DataFrame, at: DataFrame, texts: DataFrame) -> DataFrame:
+    """``row, start, words, digest``: the repeated windows among all whose edge lies in a run of ``failed``.
+
+    Such an edge may stand for different words, so that its first place says nothing. Digests of the words tell them
+    apart, and each has a first document of its own.
+    """
+    last = F.col("run.start") + F.col("run.words") - WINDOW
+    places = failed.select("row", F.explode("failed").alias("run")).select(
+        "row", F.explode(F.sequence(F.col("run.start").cast("int"), last.cast("int"))).alias("place")).distinct()
+    doubted = stored(at.join(places.hint("merge"), ["row", "place"]).select("edge").distinct())
+    again = at.join(doubted.hint("merge"), "edge").groupBy("row").agg(F.collect_set("place").alias("places"))
+    named = stored(texts.select("row", "did", "text").join(again.hint("merge"), "row").select("row", "did", "text", "places").mapInArrow(
+        _named_windows, "row long, did long, start long, digest binary"))
+    least = named.groupBy("digest").agg(F.min("did").alias("first"), F.max("did").alias("last")).filter("first < last").drop("last")
+    return named.join(least.hint("merge"), "digest").filter("did > first").select("row", "start", F.lit(WINDOW).cast("long").alias("words"), "digest")
 
 
 def paths(edges: DataFrame) -> DataFrame:
     """``edge, first, source, path`` from ``edge, first, source, least, most``: each edge with the start of its path.
 
     ``first`` and ``source`` are document and place of an edge's first occurrence; ``least`` and ``most`` are the smallest
-    and the largest half hash of what follows its occurrences. A path goes on from an edge to the next place of the same document
-    if that edge is the only one to follow, and follows no other edge; joins on the half hash count what an edge
+    and the largest edge that follows its occurrences, 0 if none does. A path goes on from an edge to the next place of the same document
+    if that edge is the only one to follow, and follows no other edge; a join counts what an edge
     follows. Documents are far apart in the order, so no window spans more than the edges of one.
     """
-    entered = edges.filter("least = most and least != 0").groupBy(F.col("least").alias("half")).agg(F.count(F.lit(1)).alias("entries"))
-    low = F.col("edge").bitwiseAND(F.lit(0xFFFFFFFF))
-    signed = F.when(low >= 2**31, low - 2**32).otherwise(low).cast("int")
-    named = edges.withColumn("half", signed).join(entered, "half", "left")
+    entered = edges.filter("least = most and least != 0").groupBy(F.col("least").alias("edge")).agg(F.count(F.lit(1)).alias("entries"))
+    named = edges.join(entered, "edge", "left")
     order = Window.partitionBy("first").orderBy("source")
     goes_on = (
-        (F.col("source") == F.lag("source").over(order) + 1) & (F.lag("least").over(order) == F.col("half"))
-        & (F.lag("most").over(order) == F.col("half")) & (F.coalesce("entries", F.lit(0)) <= 1))
+        (F.col("source") == F.lag("source").over(order) + 1) & (F.lag("least").over(order) == F.col("edge"))
+        & (F.lag("most").over(order) == F.col("edge")) & (F.coalesce("entries", F.lit(0)) <= 1))
     begun = named.withColumn("begin", F.when(~F.coalesce(goes_on, F.lit(False)), F.col("source")))
     return begun.select("edge", "first", "source", F.max("begin").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("path"))
 
 
-def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edge_bits: int = 64) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, n_removed, kept_sha256, spans``.
 
     Words go that a window of ``WINDOW`` words covers whose words also start in a document with a smaller id; ``spans``
@@ -172,7 +211,8 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges: an anchor of ``ANCHOR`` words stands for each window, and one that only one document has repeats nothing.
     Repeated edges keep the place of their first occurrence, paths of them without branches are compacted, and runs of
     windows along a path become spans with the place in the first document that they repeat. Words at both places
-    are compared, by digests of 16 bytes, before anything is removed.
+    are compared, by digests of 16 bytes, before anything is removed. Where they differ, as different windows have one hash
+    of ``edge_bits`` bits, all windows with the hashes of such a run are named by digests instead and looked up once more.
 
     Of equal texts only the first goes through this; all words of the others go if they have ``WINDOW``. A document with
     a NULL id comes after all others, and such documents do not remove each other's words; nor do rows that repeat an id.
@@ -197,13 +237,17 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = described.select("row", "did", "text_key").join(wanted.hint("merge"), "row")
     likely = stored(texts.select("did", "text_key", "text").join(wanted.hint("merge"), ["did", "text_key"]).select("row", "did", "text", "anchors"))
 
-    windows = stored(likely.mapInArrow(_windows, "row long, did long, places array<int>, edges array<long>, following array<int>"))
-    at = windows.select("row", "did", F.explode(F.arrays_zip("places", "edges", "following")).alias("w")).select(
-        "row", "did", F.col("w.places").alias("place"), F.col("w.edges").alias("edge"), F.col("w.following").alias("following"))
+    windows = stored(likely.mapInArrow(_windows(edge_bits), "row long, did long, places array<int>, edges array<long>"))
+    at = windows.select("row", "did", F.explode(F.arrays_zip("places", "edges")).alias("w")).select(
+        "row", "did", F.col("w.places").alias("place"), F.col("w.edges").alias("edge"))
+    later = [F.slice(c, F.lit(2), F.size(c)).alias(name) for c, name in (("places", "next_place"), ("edges", "next_edge"))]
+    chained = windows.select("did", F.explode(F.arrays_zip("places", "edges", *later)).alias("w")).select(
+        "did", F.col("w.places").alias("place"), F.col("w.edges").alias("edge"),
+        F.when(F.col("w.next_place") == F.col("w.places") + 1, F.col("w.next_edge")).otherwise(F.lit(0)).alias("following"))
     # Document and place as one number, so that the smallest is found without sorting.
     shift = F.lit(2**32).cast("decimal(10,0)")
     code = F.col("did").cast("decimal(19,0)") * shift + F.col("place").cast("decimal(10,0)")
-    edges = at.groupBy("edge").agg(
+    edges = chained.groupBy("edge").agg(
         F.min(code).alias("code"), F.max("did").alias("last"), F.min("following").alias("least"), F.max("following").alias("most"))
     first = F.floor(F.col("code") / shift).cast("long")
     edges = edges.withColumn("first", first).filter(F.col("first") < F.col("last"))
@@ -217,10 +261,15 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sources = spans.select("first", "source", "words").distinct().groupBy("first").agg(F.collect_list(F.struct("source", "words")).alias("wanted"))
     digests = stored(likely.select(F.col("did").alias("first"), "text").join(sources.hint("merge"), "first").select("first", "text", "wanted").mapInArrow(
         _source_digests, "first long, source long, words long, digest binary").distinct())
-    checked = spans.join(digests.hint("merge"), ["first", "source", "words"]).groupBy("row").agg(
-        F.collect_list(F.struct("start", "words", "digest")).alias("wanted"))
-    cut = stored(likely.select("row", "text").join(checked.hint("merge"), "row").select("row", "text", "wanted").mapInArrow(
-        _kept, "row long, n_removed long, kept_sha256 string, spans array<struct<start:long,words:long>>").dropDuplicates(["row"]))
+    checked = spans.join(digests.hint("merge"), ["first", "source", "words"]).select("row", "start", "words", "digest")
+    cut = _without(likely, checked)
+    failed = cut.filter(F.size("failed") > 0)
+    if not failed.isEmpty():
+        more = stored(_by_digest(failed.select("row", "failed"), at, likely))
+        touched = stored(more.select("row").distinct())
+        again = _without(likely, checked.join(touched.hint("merge"), "row", "left_semi").unionByName(more))
+        cut = cut.join(touched.hint("merge"), "row", "left_anti").unionByName(again)
+    cut = cut.drop("failed")
     every = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("words")))
     none = F.array().cast("array<struct<start:long,words:long>>")
     return rows.join(cut.withColumnRenamed("row", "node"), "node", "left").select(

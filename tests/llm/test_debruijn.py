@@ -2,6 +2,8 @@ import hashlib
 import random
 from collections import defaultdict
 
+import pytest
+
 from fieldweave.llm import debruijn
 
 
@@ -24,9 +26,9 @@ def brute(docs):
     return sorted(rows, key=str)
 
 
-def passages(spark, docs):
+def passages(spark, docs, **options):
     frame = spark.createDataFrame([(i, t, "r", 0, "f", 1) for i, t in docs], "doc_id long, text string, row string, first int, sha string, did int")
-    return sorted(map(tuple, debruijn.shared_passages(frame).drop("spans").collect()), key=str)
+    return sorted(map(tuple, debruijn.shared_passages(frame, **options).drop("spans").collect()), key=str)
 
 
 def words(rng, n, kinds=300):
@@ -51,6 +53,22 @@ def test_passages(spark):
     assert passages(spark, docs) == brute(docs)
 
 
+@pytest.mark.parametrize("bits", [3, 9, 13])
+def test_colliding_edges(spark, bits):
+    """Hashes of few bits, so that edges stand for several windows and runs differ from their source."""
+    rng = random.Random(bits)
+    shared = [words(rng, n) for n in (13, 20, 60)]
+    docs = []
+    for n in range(60):
+        own = words(rng, rng.randint(0, 30))
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randint(0, len(own))
+            own[at:at] = rng.choice(shared)[rng.randint(0, 6):]
+        docs.append((n * 7 % 60, " ".join(own)))
+    docs += [(None, " ".join(shared[2])), (3, " ".join(shared[1] + shared[0])), (3, "x")]
+    assert passages(spark, docs, edge_bits=bits) == brute(docs)
+
+
 def test_few_words(spark):
     """Texts of two different words branch everywhere."""
     rng = random.Random(8)
