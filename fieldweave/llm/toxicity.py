@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -16,12 +18,11 @@ from fieldweave.llm.common import forget, in_parts, packed_row, stored
 
 #: About so many labelled texts of either kind are learned from.
 TOXIC_TEXTS, CLEAN_TEXTS = 3000, 12000
-#: A term is a word, or a beginning of words, of 4 to 8 letters.
+#: A term is a word of any length, or a beginning of words of 4 to 8 letters.
 STEMS = (4, 5, 6, 7, 8)
 #: Terms stand behind so many different words at least, and that share of the toxic texts has them.
 LEAST_CONTEXTS, LEAST_SHARE = 4, 0.01
-#: Terms looked at, terms kept; log odds from which a term counts, and at which its weight ends.
-CANDIDATES, TERMS = 100_000, 2000
+#: Log odds from which a term counts, and at which its weight ends.
 LEAST_WEIGHT, MOST_WEIGHT = 3.0, 6.0
 #: Letters from which a term may be misspelled by one edit, and the share of the terms, the strongest, that may be.
 FUZZY_LETTERS, FUZZY_SHARE = 5, 0.5
@@ -30,8 +31,8 @@ FUZZY_LETTERS, FUZZY_SHARE = 5, 0.5
 LOOKALIKES = 0.001
 #: What a mention counts if misspelled, and if quoted or talked about.
 MISSPELLED, QUOTED = 0.7, 0.2
-#: Words before and after a mention that are its context.
-CONTEXT = 8
+#: Words before a mention that may speak about it.
+CONTEXT = 3
 #: Evidence at which the score is one half.
 EVEN = 4.0
 PREDICTED = 0.3
@@ -41,13 +42,19 @@ QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "»": "«", "‘": "
 #: Words that speak about a term rather than use it.
 ABOUT = {"word", "words", "term", "terms", "quote", "quoted", "quotes", "called", "said", "says", "phrase", "meaning", "definition", "slur", "insult"}
 _ABOUT = {word.encode() for word in ABOUT}
+_QUOTATION_MARKS = re.compile("[" + "".join({*QUOTES, *QUOTES.values()}) + "]")
+#: Punctuation beyond ASCII: inverted marks, guillemets, dashes, quotation marks, ellipses, and the wide forms of the ASCII ones.
+_PUNCTUATION = re.compile("[\u00a1\u00ab\u00b7\u00bb\u00bf\u2010-\u2027\u2030-\u205e\u3001-\u3003\u3008-\u3011\uff01-\uff0f\uff1a-\uff20]")
 
 _MARKS = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 48 or 58 <= c < 97 or 123 <= c < 128 else c for c in range(256))
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Words in lower case: letters, digits and what is not ASCII."""
-    return (text or "").lower().encode("utf-8", "replace").translate(_MARKS).split()
+    """Words in lower case: letters, digits and what is neither ASCII nor punctuation."""
+    lower = (text or "").lower()
+    if not lower.isascii():
+        lower = _PUNCTUATION.sub(" ", lower)
+    return lower.encode("utf-8", "replace").translate(_MARKS).split()
 
 
 class Lexicon:
@@ -160,24 +167,64 @@ class Lexicon:
         return sum(best.values())
 
 
+def _beside(text: str, at: int) -> str:
+    """What stands at a place of a text: a ``word`` character of ASCII, a ``blank`` or the text's end, or some ``other`` one."""
+    if not 0 <= at < len(text) or text[at].isspace():
+        return "blank"
+    return "word" if text[at].isascii() and text[at].isalnum() else "other"
+
+
+def _opens(text: str, at: int) -> bool:
+    mark = text[at]
+    if QUOTES.get(mark) != mark:
+        return mark in QUOTES
+    before, after = _beside(text, at - 1), _beside(text, at + 1)
+    return before != "word" and (after != "blank" or before == "blank")
+
+
+def _closes(text: str, at: int) -> bool:
+    mark = text[at]
+    if mark != "’" and QUOTES.get(mark) != mark:
+        return True
+    before, after = _beside(text, at - 1), _beside(text, at + 1)
+    return after != "word" and (before != "blank" or after == "blank")
+
+
+def _quotations(text: str) -> tuple[list[int], list[int]]:
+    """Where the outermost quotations of a text begin and end.
+
+    A mark that looks the same at both ends does not open behind a word nor close before one, so inches open nothing, and an
+    apostrophe within a word closes nothing. One with a blank on one side goes with the other side. A mark whose partner does
+    not follow opens nothing.
+    """
+    marks = [m.start() for m in _QUOTATION_MARKS.finditer(text)]
+    last = {text[at]: at for at in marks if _closes(text, at)}
+    begins: list[int] = []
+    ends: list[int] = []
+    for at in marks:
+        if len(begins) > len(ends):
+            if text[at] == QUOTES[text[begins[-1]]] and _closes(text, at):
+                ends.append(at)
+        elif _opens(text, at) and last.get(QUOTES[text[at]], -1) > at:
+            begins.append(at)
+    return begins, ends
+
+
 def _quoted(text: str, words: list[bytes], places: list[int]) -> list[bool]:
-    """For each place: whether the word stands between quotation marks that its context holds, or is talked about."""
+    """For each place: whether the word stands in a quotation, however long, or is talked about by the words before it."""
     lower = text.lower()
-    spans, at = [], 0
+    starts, at = [], 0
     for word in words:
         plain = word.decode("utf-8", "replace")
         begin = lower.find(plain, at)
         begin = at if begin < 0 else begin
         at = begin + len(plain)
-        spans.append((begin, at))
+        starts.append(begin)
+    begins, ends = _quotations(lower)
     found = []
     for place in places:
-        first, last = max(0, place - CONTEXT), min(len(words) - 1, place + CONTEXT)
-        before = lower[spans[first - 1][1] if first else 0:spans[place][0]]
-        after = lower[spans[place][1]:spans[last + 1][0] if last + 1 < len(spans) else len(lower)]
-        open_ = next((c for c in reversed(before) if c in QUOTES or c in QUOTES.values()), None)
-        between = open_ in QUOTES and QUOTES[open_] in after and (QUOTES[open_] != open_ or before.count(open_) % 2 == 1)
-        found.append(between or any(w.decode("utf-8", "replace") in ABOUT for w in words[max(0, place - 3):place]))
+        n = bisect_right(begins, starts[place])
+        found.append(bool(n) and starts[place] < ends[n - 1] or not _ABOUT.isdisjoint(words[max(0, place - CONTEXT):place]))
     return found
 
 
@@ -191,7 +238,7 @@ def _features(words: list[bytes]) -> dict[str, bytes]:
     before = b""
     for raw in words:
         word = raw.decode("utf-8", "replace")
-        if word + " " not in found and len(word) >= STEMS[0]:
+        if word + " " not in found:
             found[word + " "] = before
             for size in STEMS:
                 if len(word) >= size:
@@ -257,7 +304,7 @@ def chosen_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) ->
     found: dict[str, tuple[bool, float]] = {}
     explained: Counter[str] = Counter()
     for sure, n, _, term in order:
-        if sure < LEAST_WEIGHT or len(found) == TERMS:
+        if sure < LEAST_WEIGHT:
             break
         shorter = [term[:size] for size in range(STEMS[0], len(term))]
         if any(found.get(s, (False, 0))[0] for s in shorter):
@@ -279,7 +326,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The lexicon from the texts of ``docs`` that ``labels (doc_id, toxic)`` has, without those held out.
 
     A sample of ``TOXIC_TEXTS`` and ``CLEAN_TEXTS`` texts, drawn by a hash of the id, is stored. Terms of toxic texts are
-    counted by the different words before them, so that copies of a text count once, then by the clean texts that use
+    counted by the different words before them, so that copies of a text count once; as those that are looked at have a hundredth of
+    the toxic texts, they are at most a hundred times the mean number of words and stems of a text. They are counted then by the clean texts that use
     them: mentions that are quoted or talked about are left out. Words of clean texts that one edit turns into a term are excepted, and a term is not taken for misspelled at all if
     further such words are expected in more than the share ``LOOKALIKES`` of clean texts. A document labelled twice is toxic if any label
     says so; NULL ids and labels are left out. Without toxic labels the lexicon is empty.
@@ -295,7 +343,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     toxic, clean = (sample.filter(F.col("toxic") == kind).select("text") for kind in (1, 0))
     contexts = toxic.mapInArrow(_contexts, "term string, context binary").groupBy("term").agg(F.countDistinct("context").alias("n"))
     least = max(LEAST_CONTEXTS, LEAST_SHARE * sizes.get(1, 0))
-    counts = {r["term"]: r["n"] for r in contexts.filter(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
+    counts = {r["term"]: r["n"] for r in contexts.filter(F.col("n") >= least).collect()}
     if not counts:
         forget(sample)
         return Lexicon({})

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 import zlib
 
 from fieldweave.llm import toxicity
@@ -124,3 +125,76 @@ def test_quoted_mentions_of_clean_texts_are_not_counted():
     assert toxicity._used("the word moron is quite fine", wanted) == {"fine "}
     assert toxicity._used('"moron" was written there, you moron', wanted) == {"moron ", "moro"}
     assert toxicity._used(None, wanted) == toxicity._used('""', wanted) == set()
+
+
+def test_long_quotations_and_other_marks():
+    lexicon = Lexicon(TERMS)
+    s = lambda text: toxicity.score(lexicon.evidence(text))
+    far = "fine words without end" + " and more of them" * 20
+    assert s(f'he wrote "{far} you idiot {far}" there') < 0.3 and s(f"„{far} idiot {far}“ schrieb er") < 0.3
+    assert s("he wrote “idiot” there") < 0.3 and s("‘I don’t like an idiot’ is what was heard") < 0.3
+    assert s('he wrote " idiot " there') < 0.3 and s("他说\"idiot\"吗") < 0.3
+    assert s("you idiot… go") >= 0.3 and s("idiot—you") >= 0.3 and s("¡idiot!") >= 0.3
+    # Inches, marks without a partner and closed quotations do not cover what follows.
+    assert s('a 5" pipe, you idiot, and a 6" one') >= 0.3 and s("“ you idiot") >= 0.3 and s('"hello" you idiot') >= 0.3
+    assert s("İİİ “fine” idiot") >= 0.3 and s("İİİ “fine idiot”") < 0.3
+
+
+def test_words_of_any_length_are_terms():
+    words = toxicity._features([b"ab", b"you", b"abcde", b"ab"])
+    assert words == {"ab ": b"", "you ": b"ab", "abcde ": b"you", "abcd": b"you", "abcde": b"you"}
+    terms = toxicity.chosen_terms({"ab ": (50, 0), "the ": (90, 900)}, 100, 1000)
+    assert set(terms) == {"ab"} and not terms["ab"][0]
+    assert toxicity.score(Lexicon(terms).evidence("you ab")) >= 0.3 and Lexicon(terms).match(b"aab") is None
+    many = {f"term{n} ": (50, 0) for n in range(5000)}
+    assert len(toxicity.chosen_terms(many, 100, 1000)) == 5000
+
+
+def closing(text, at):
+    """By the text around a mark: none closes before an ASCII word, nor after a blank unless another blank follows."""
+    return text[at] not in '"`’' or not re.match(r"[a-z0-9]", text[at + 1:]) and not (re.search(r"(^|\s)$", text[:at]) and re.match(r"\S", text[at + 1:]))
+
+
+def plain_evidence(lexicon, text):
+    """The definition: each word against every term by edit distance, each character under its outermost quotation."""
+    text = (text or "").lower()
+    inside, partner, opened = [False] * len(text), None, 0
+    for at, c in enumerate(text):
+        before, after = text[max(0, at - 1):at], text[at + 1:at + 2]
+        if partner:
+            if c == partner and closing(text, at):
+                inside[opened:at] = [True] * (at - opened)
+                partner = None
+        elif c in toxicity.QUOTES:
+            glued = before.isascii() and before.isalnum()
+            ends = not before.isspace() and before != "" and (after.isspace() or after == "")
+            if not (toxicity.QUOTES[c] == c and (glued or ends)):
+                want = toxicity.QUOTES[c]
+                if any(text[n] == want and closing(text, n) for n in range(at + 1, len(text))):
+                    partner, opened = want, at
+    words = [(m.start(), m.group()) for m in re.finditer(r"[^\W_]+", text)]
+    best = {}
+    for n, (at, word) in enumerate(words):
+        stems = [t for t, (stem, _) in lexicon.terms.items() if stem and word.startswith(t)]
+        near = []
+        for term, (stem, _) in lexicon.terms.items():
+            edits = min(distance(word[:k], term) for k in range(len(word) + 1)) if stem else distance(word, term)
+            if edits == 0 or (edits == 1 and term in lexicon.fuzzy and word.encode() not in lexicon.excepted):
+                near.append((edits, term))
+        if stems or near:
+            edits, term = (0, stems[0]) if stems else min(near)
+            aside = inside[at] or any(w in toxicity.ABOUT for _, w in words[max(0, n - 3):n])
+            weight = lexicon.terms[term][1] * (0.7 if edits else 1) * (0.2 if aside else 1)
+            best[term] = max(best.get(term, 0.0), weight)
+    return sum(best.values())
+
+
+def test_score_against_its_definition(spark):
+    lexicon, rng = Lexicon(TERMS | {"ab": (False, 4.0)}, frozenset([b"oron"])), random.Random(5)
+    bits = ["idiot", "idoit", "scum", "scam", "vequille", "vqeu", "moron", "oron", "weaker", "ab", "the", "word", "said", "fine", "don’t", "5\"", '"', "“", "”",
+            "„", "«", "»", "‘", "’", "`", ". ", "… ", " ", "\n"]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " ", " ", ", "]) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in toxicity.scored(docs, lexicon).collect():
+        want = plain_evidence(lexicon, texts[row.doc_id])
+        assert abs(row.score - toxicity.score(want)) < 1e-12 and row.predicted == (row.score >= 0.3), texts[row.doc_id]
