@@ -21,6 +21,8 @@ PERCENT = 75
 BANDS, ROWS = 32, 4
 #: Of the 128 bits of two sketches, 16 differ on average at similarity 0.75; more than 35 with probability 2e-6.
 FAR_BITS = 35
+#: Nodes of its main component that a shingle picks for the others at a time, and how often it does before all are compared.
+PICKED, PICKS = 3, 2
 
 _FACTORS = odd_numbers(BANDS * ROWS, 81)
 _SHIFTS = odd_numbers(BANDS * ROWS, 82)
@@ -142,27 +144,49 @@ def _rarest(rows: DataFrame, sets: DataFrame) -> DataFrame:
                         (place <= size - _least_shared(size, "longer")).alias("short"))
 
 
-def _links_within(mixed_: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links between the nodes of buckets of ``mixed_`` that are in no common component.
-
-    Nodes are compared if they share one of their rarest shingles, which all linked ones do. What the pages of a site have in
-    common is frequent among them, so pages with one frame meet only if little else is in them. One of two nodes is outside the
-    component that most nodes with the shingle belong to.
-    """
-    rows = stored(mixed_.filter("row != center").select("row", "part", "n_shingles", "s1", "s2").distinct())
-    sets = _sets_of(rows.select("row"), texts, nodes)
-    rarest = stored(_rarest(rows, sets))
-    shares = rarest.groupBy("item", "part").agg(F.count(F.lit(1)).alias("n"))
+def _meeting(rarest: DataFrame, tied: DataFrame) -> DataFrame:
+    """``rarest`` with the components so far, and for each shingle that several have the one that most of its nodes are in, as ``main``."""
+    named = rarest.drop("part").join(tied.select(F.col("u").alias("row"), "v"), "row", "left").withColumn("part", F.coalesce("v", "row")).drop("v")
+    shares = named.groupBy("item", "part").agg(F.count(F.lit(1)).alias("n"))
     main = shares.groupBy("item").agg(F.max_by("part", "n").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
-    ends = stored(rarest.join(main.hint("merge"), "item"))
+    return named.join(main.hint("merge"), "item")
+
+
+def _pairs_meeting(others: DataFrame, ends: DataFrame) -> DataFrame:
+    """Pairs of nodes of different components that share a rare shingle and may be similar enough by size, place and sketch."""
     n, m = F.col("a.n_shingles"), F.col("b.n_shingles")
     apart = (F.col("a.part") != F.col("b.part")) & ((F.col("a.part") == F.col("a.main")) | (F.col("a.row") < F.col("b.row")))
     smaller = F.when((n < m) | ((n == m) & (F.col("a.row") < F.col("b.row"))), F.col("a.short")).otherwise(F.col("b.short"))
     # From the first shingle that both have on, enough must be left.
     left = (100 + PERCENT) * F.least(n - F.col("a.place"), m - F.col("b.place")) >= PERCENT * (n + m)
     same = (F.col("a.item") == F.col("b.item")) & apart & smaller & left & _near("a", "b")
-    pairs = stored(ends.alias("a").join(ends.filter("part != main").alias("b"), same).select(*_pair("a", "b")).distinct())
-    return _compared(pairs, sets)
+    return others.alias("a").join(ends.filter("part != main").alias("b"), same).select(*_pair("a", "b")).distinct()
+
+
+def _picked(ends: DataFrame, seed: int) -> DataFrame:
+    """Up to ``PICKED`` nodes of the main component of each shingle, by hashes that differ from shingle to shingle."""
+    fields = [c for c in ends.columns if c != "item"]
+    picks = [F.min_by(F.struct(*fields), F.xxhash64("item", "row", F.lit(PICKED * seed + n))) for n in range(PICKED)]
+    chosen = ends.filter("part = main").groupBy("item").agg(F.array_distinct(F.array(*picks)).alias("picks"))
+    return chosen.select("item", F.explode("picks").alias("pick")).select("item", "pick.*")
+
+
+def _tied_within(tied: DataFrame, mixed_: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``tied`` with the links between nodes of buckets of ``mixed_`` that are in no common component.
+
+    Nodes are compared if they share one of their rarest shingles, which all linked ones do. What the pages of a site have in
+    common is frequent among them, so pages with one frame meet only if little else is in them. One of two nodes is outside the
+    component that most nodes with the shingle belong to. In a large group of near copies most nodes join that component
+    by links with a few nodes of it that each shingle picks, at a cost in proportion to the rows; all pairs of what is still apart then follow.
+    """
+    rows = stored(mixed_.filter("row != center").select("row", "part", "n_shingles", "s1", "s2").distinct())
+    sets = _sets_of(rows.select("row"), texts, nodes)
+    rarest = stored(_rarest(rows, sets))
+    for seed in range(PICKS):
+        ends = stored(_meeting(rarest, tied))
+        tied = _tied_more(tied, _compared(stored(_pairs_meeting(_picked(ends, seed), ends)), sets))
+    ends = stored(_meeting(rarest, tied))
+    return _tied_more(tied, _compared(stored(_pairs_meeting(ends, ends)), sets))
 
 
 def _apart(pairs: DataFrame, tied: DataFrame) -> DataFrame:
@@ -222,7 +246,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     main = shares.groupBy("band").agg(F.max_by("part", "n").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
     mixed_ = stored(named.join(main.select("band", "main"), "band"))
     if not mixed_.isEmpty():
-        tied = _tied_more(tied, _links_within(mixed_, texts, described))
+        tied = _tied_within(tied, mixed_, texts, described)
 
     placed = stored(
         rows.join(tied.select(F.col("u").alias("node"), "v"), "node", "left")
