@@ -69,6 +69,7 @@ def apply(store: Store, tables: Tables, run: str, taken: dict[str, list[str]] |
         return state
     steps = f"{store.folder}/steps/{run}"
     work = store.begin(run)
+    tables = sync.stored_day(tables, steps)
     merged = _merged(store, tables)
     guids = stored(_guids(tables, merged), f"{steps}/day")
     touched = store.buckets_of(guids, "guid")
@@ -78,7 +79,9 @@ def apply(store: Store, tables: Tables, run: str, taken: dict[str, list[str]] |
 
     changed = stored(result.changed_chemicals, f"{steps}/changed_chemicals")
     replaced = store.buckets_of(changed, "Child_GUID")
-    same = split_join(store.table("chem_app", replaced), C.guids_of(changed), ["Child_GUID"], "left_anti")
+    altered = stored(C.guids_of(changed), f"{steps}/altered")
+    of_altered = sync.stored_sieve(altered, "Child_GUID", f"{steps}/altered_sieve")
+    same = split_join(store.table("chem_app", replaced), altered, ["Child_GUID"], "left_anti", of_altered)
     work.write("chem_app", same.unionByName(changed).unionByName(result.new_chemicals), replaced)
 
     rejects = A.unmerged(result.rejects, merged.activities)

@@ -21,6 +21,9 @@ from fieldweave.sources.sinks import FileTree
 BUCKET = "bucket"
 RUN = "run"
 
+# With no more buckets than these a task writes a file of its own for each, without a shuffle before.
+DIRECT_BUCKETS = 16
+
 
 @dataclass(frozen=True)
 class Table:
@@ -139,12 +142,17 @@ class Run:
         self.tables = dict(self.state.tables)
 
     def write(self, name: str, rows: DataFrame, replaced: Iterable[int] = ()) -> None:
-        """Add ``rows`` to a table. In the ``replaced`` buckets they take the place of what was there."""
+        """Add ``rows`` to a table. In the ``replaced`` buckets they take the place of what was there.
+
+        With many buckets rows are shuffled to them first, so that not every task writes a small file for each.
+        """
         table, schema = self.tables[name], self.store.schema(name)
         rows = rows.select(*schema.names).withColumn(BUCKET, self.store.bucket(table.key, schema.names, self.state))
         folder = f"{name}/{RUN}={self.name}"
         self.store.files.remove(folder)
-        rows.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(f"{self.store.folder}/{folder}")
+        if self.state.buckets > DIRECT_BUCKETS:
+            rows = rows.hint("rebalance", F.col(BUCKET))
+        rows.write.partitionBy(BUCKET).parquet(f"{self.store.folder}/{folder}")
         parts = {b: runs for b, runs in table.parts.items() if b not in set(map(str, replaced))}
         for found in self.store.files.names(folder):
             if found.startswith(f"{BUCKET}="):
