@@ -122,10 +122,10 @@ def _least_shared(size: Column, partner: str) -> Column:
 
 
 def _rarest(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """``item, row, part, n_shingles, s1, s2, place, short``: the rarest shingles of each set of ``rows``, as far as components share them.
+    """``item, row, part, n_shingles, s1, s2, own, place, short``: the rarest shingles of each set of ``rows``, as far as components share them.
 
     In one order of all shingles, those that one component alone has first, then by frequency, two linked sets share one among
-    their first ``size - least shared + 1``. ``place`` counts in this order; ``short`` says that the shingle is
+    their first ``size - least shared + 1``. ``place`` counts in this order, ``own`` the shingles of one component alone; ``short`` says that the shingle is
     among those of the set as the smaller one of a pair.
     """
     items = sets.join(rows.select("row", "part"), "row").select("row", "part", F.explode("items").alias("item"))
@@ -138,31 +138,68 @@ def _rarest(rows: DataFrame, sets: DataFrame) -> DataFrame:
     first = ordered.join(rows, "row").filter(wanted > 0).select(
         "row", "part", "n_shingles", "s1", "s2", own.alias("own"), F.posexplode(F.slice("shared", F.lit(1), wanted)).alias("n", "each"))
     place = F.col("own") + F.col("n")
-    return first.select("row", "part", "n_shingles", "s1", "s2", F.col("each.item").alias("item"), place.alias("place"),
+    return first.select("row", "part", "n_shingles", "s1", "s2", "own", F.col("each.item").alias("item"), place.alias("place"),
                         (place <= size - _least_shared(size, "longer")).alias("short"))
 
 
-def _links_within(mixed_: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links between the nodes of buckets of ``mixed_`` that are in no common component.
+def _may_link(a: str, b: str) -> Column:
+    """What two rows of ``_rarest`` with one shingle meet if their sets are linked and this is the first shingle that both have."""
+    n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    smaller = F.when((n < m) | ((n == m) & (F.col(f"{a}.row") < F.col(f"{b}.row"))), F.col(f"{a}.short")).otherwise(F.col(f"{b}.short"))
+    # From the first shingle that both have on, enough must be left.
+    left = (100 + PERCENT) * F.least(n - F.col(f"{a}.place"), m - F.col(f"{b}.place")) >= PERCENT * (n + m)
+    return smaller & left & _near(a, b)
+
 
-    Nodes are compared if they share one of their rarest shingles, which all linked ones do. What the pages of a site have in
-    common is frequent among them, so pages with one frame meet only if little else is in them. One of two nodes is outside the
-    component that most nodes with the shingle belong to.
+def _hub_pairs(rarest: DataFrame) -> DataFrame:
+    """Each node with the hubs of its rarest shingles, if they are in another component.
+
+    The hub of a shingle is the node with the least share of shingles that no other component has, among those of like size. In a
+    group of near copies that is the one with the fewest edits, which most others are linked with. Pairs are no more than ``rarest``.
+    """
+    rows = rarest.withColumn("like", F.floor(F.log("n_shingles") / F.log(F.lit(100 / PERCENT))))
+    hubs = stored(rows.groupBy("item", "like").agg(F.min_by("row", F.struct(F.col("own") / F.col("n_shingles"), F.col("row"))).alias("row")))
+    hubs = stored(rows.join(hubs.hint("merge"), ["item", "like", "row"]))
+    same = (F.col("a.item") == F.col("b.item")) & (F.col("a.like") == F.col("b.like")) & (F.col("a.part") != F.col("b.part"))
+    return stored(rows.alias("a").join(hubs.alias("b"), same & _may_link("a", "b")).select(*_pair("a", "b")).distinct())
+
+
+def _all_pairs(rarest: DataFrame) -> DataFrame:
+    """All nodes of different components that share one of their rarest shingles, as linked ones do.
+
+    What the pages of a site have in common is frequent among them, so pages with one frame meet only if little else is in them.
+    One of two nodes is outside the component that most nodes with the shingle belong to.
     """
-    rows = stored(mixed_.filter("row != center").select("row", "part", "n_shingles", "s1", "s2").distinct())
-    sets = _sets_of(rows.select("row"), texts, nodes)
-    rarest = stored(_rarest(rows, sets))
     shares = rarest.groupBy("item", "part").agg(F.count(F.lit(1)).alias("n"))
     main = shares.groupBy("item").agg(F.max_by("part", "n").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
     ends = stored(rarest.join(main.hint("merge"), "item"))
-    n, m = F.col("a.n_shingles"), F.col("b.n_shingles")
     apart = (F.col("a.part") != F.col("b.part")) & ((F.col("a.part") == F.col("a.main")) | (F.col("a.row") < F.col("b.row")))
-    smaller = F.when((n < m) | ((n == m) & (F.col("a.row") < F.col("b.row"))), F.col("a.short")).otherwise(F.col("b.short"))
-    # From the first shingle that both have on, enough must be left.
-    left = (100 + PERCENT) * F.least(n - F.col("a.place"), m - F.col("b.place")) >= PERCENT * (n + m)
-    same = (F.col("a.item") == F.col("b.item")) & apart & smaller & left & _near("a", "b")
-    pairs = stored(ends.alias("a").join(ends.filter("part != main").alias("b"), same).select(*_pair("a", "b")).distinct())
-    return _compared(pairs, sets)
+    same = (F.col("a.item") == F.col("b.item")) & apart & _may_link("a", "b")
+    return stored(ends.alias("a").join(ends.filter("part != main").alias("b"), same).select(*_pair("a", "b")).distinct())
+
+
+def _mixed_buckets(members: DataFrame, tied: DataFrame) -> DataFrame:
+    """The ``members`` of buckets that are in several components so far, each with its component as ``part``."""
+    named = members.join(tied.select(F.col("u").alias("row"), "v"), "row", "left").withColumn("part", F.coalesce("v", "row")).drop("v")
+    parts = named.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high")
+    return stored(named.join(parts.select("band"), "band"))
+
+
+def _tied_within(tied: DataFrame, members: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``tied`` with the links between nodes of mixed buckets that are in no common component.
+
+    Nodes are compared with the hubs of their rarest shingles first, at a cost in proportion to the rows, which leaves little of a
+    large group of near copies apart. All pairs of what is in mixed buckets still then follow.
+    """
+    sets = None
+    for pairs in (_hub_pairs, _all_pairs):
+        members = _mixed_buckets(members.drop("part"), tied)
+        rows = stored(members.filter("row != center").select("row", "part", "n_shingles", "s1", "s2").distinct())
+        if rows.isEmpty():
+            break
+        sets = sets or _sets_of(rows.select("row"), texts, nodes)
+        tied = _tied_more(tied, _compared(pairs(stored(_rarest(rows, sets))), sets))
+    return tied
 
 
 def _apart(pairs: DataFrame, tied: DataFrame) -> DataFrame:
@@ -184,7 +221,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     with the first node of each of its buckets: by size and sketch of the signature inside the join, then by full
     sets, with the smallest of these first nodes first, and with others if they are not in one component by then. After
     large-star and small-star steps over the links found, most buckets lie in one component. The nodes of the others are
-    joined on their rarest shingles, of which linked ones share one, so no candidate pair that could still connect two components is
+    compared with the node that has the least of its own among those with one of their rarest shingles. What is still apart is
+    joined on its rarest shingles, of which linked nodes share one, so no candidate pair that could still connect two components is
     left out, no bucket is capped, and what many pages share pairs none of them. Sizes, places and sketches are compared
     inside that join, full sets after it; the steps are then repeated with the links found. Joins are between stored tables, which
     lets Spark split hot keys.
@@ -217,12 +255,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     tied = components(_verified(first.groupBy("u").agg(F.min("v").alias("v")), texts, described))
     tied = _tied_more(tied, _verified(stored(_apart(first, tied)), texts, described))
 
-    named = members.join(tied.select(F.col("u").alias("row"), "v"), "row", "left").withColumn("part", F.coalesce("v", "row")).drop("v")
-    shares = named.groupBy("band", "part").agg(F.count(F.lit(1)).alias("n"))
-    main = shares.groupBy("band").agg(F.max_by("part", "n").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    mixed_ = stored(named.join(main.select("band", "main"), "band"))
-    if not mixed_.isEmpty():
-        tied = _tied_more(tied, _links_within(mixed_, texts, described))
+    tied = _tied_within(tied, members, texts, described)
 
     placed = stored(
         rows.join(tied.select(F.col("u").alias("node"), "v"), "node", "left")

@@ -129,6 +129,22 @@ def test_rarest_shingles(spark):
     assert not any(i in frame for n in range(len(found), len(sets)) for i in short.get(n, ()))
 
 
+def test_edited_copies(spark, monkeypatch):
+    """Copies with three or four edits each are linked with what they were made from and with few others; not all their pairs meet."""
+    rng = random.Random(7)
+    base, docs = words(rng, 149), []
+    for n in range(160):
+        copy = list(base)
+        for place in rng.sample(range(5, 144), rng.randint(3, 4)):
+            copy[place] = f"edit{n}"
+        docs.append(" ".join(copy))
+    docs = list(enumerate([*docs, " ".join(base), *pages(rng, 10, 100, 40)]))
+    met, compared = [], minhash._compared
+    monkeypatch.setattr(minhash, "_compared", lambda pairs, sets: met.append(pairs.count()) or compared(pairs, sets))
+    assert grouped(spark, docs) == brute(docs)
+    assert sum(met) < 10 * len(docs)
+
+
 def test_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = minhash.near_groups(docs).select("doc_id", "n_shingles", "component_id", "kept").collect()
