@@ -17,8 +17,9 @@ from fieldweave.llm.common import in_parts
 SPACE = "▁"
 #: Words whose pieces a worker keeps, and the longest of them; beyond that it starts afresh.
 KEPT_WORDS, KEPT_LENGTH = 400_000, 48
-#: Symbols up to which every pair is looked at for each merge; longer words use a heap.
+#: Symbols up to which the scores of all pairs are looked through for each merge; longer words use a heap.
 SHORT = 24
+NO_MERGE = float("inf")
 
 # Field numbers and piece kinds of the model file.
 PIECES, TRAINER, NORMALIZER, DENORMALIZER = 1, 2, 3, 5
@@ -135,6 +136,7 @@ class Pieces:
         self.space = SPACE if normalizer.get(5, 1) else " "
         self.ids = {p: n for n, (p, kind) in enumerate(zip(self.pieces, kinds)) if kind == NORMAL}
         self.scores = {p: -scores[n] for p, n in self.ids.items()}
+        self.packed = {p: struct.pack("<2I", n, len(p.encode())) for p, n in self.ids.items()}
         self.unknown = kinds.index(UNKNOWN)
         self.bytes = {int(p[3:5], 16): n for n, (p, kind) in enumerate(zip(self.pieces, kinds)) if kind == BYTE}
         self.by_byte = bool(trainer.get(35))
@@ -198,15 +200,17 @@ class Pieces:
         """The symbols of a word after all merges: best score first, the leftmost of equal ones."""
         symbols, scores = list(word), self.scores
         if len(symbols) <= SHORT:
-            while len(symbols) > 1:
-                best, at = None, -1
-                for n in range(len(symbols) - 1):
-                    score = scores.get(symbols[n] + symbols[n + 1])
-                    if score is not None and (best is None or score < best):
-                        best, at = score, n
-                if best is None:
-                    break
-                symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+            # The score of each pair of neighbours; a merge changes those of the pairs beside it only.
+            pairs = [scores.get(left + right, NO_MERGE) for left, right in zip(symbols, symbols[1:])]
+            while pairs and (best := min(pairs)) < NO_MERGE:
+                at = pairs.index(best)
+                symbol = symbols[at] + symbols[at + 1]
+                symbols[at:at + 2] = [symbol]
+                del pairs[at]
+                if at:
+                    pairs[at - 1] = scores.get(symbols[at - 1] + symbol, NO_MERGE)
+                if at < len(pairs):
+                    pairs[at] = scores.get(symbol + symbols[at + 1], NO_MERGE)
             return symbols
         after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
         heap = []
@@ -239,8 +243,13 @@ class Pieces:
 
     def _packed(self, word: str) -> bytes:
         """``(id, length in bytes)`` of each piece of a normalised word, as 32-bit numbers."""
+        symbols = self._merged(word)
+        try:
+            return b"".join([self.packed[symbol] for symbol in symbols])
+        except KeyError:
+            pass
         found, run = [], False
-        for symbol in self._merged(word):
+        for symbol in symbols:
             number, size = self.ids.get(symbol), len(symbol.encode())
             if number is not None:
                 found += number, size

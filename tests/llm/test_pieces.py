@@ -37,6 +37,23 @@ def test_long_words(text):
     assert ours(pieces.pieces_by(PATH), text) == library(LIBRARY, text)
 
 
+def test_pairs_are_scored_once():
+    """A merge scores the two pairs beside it anew, not all pairs of the word."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            self.asked += 1
+            return super().get(*args)
+
+    model = pieces.Pieces(PATH)
+    model.scores = Counted(model.scores)
+    for word in ["representation", "undocumented", "straightforwardly", "x", "zzqxj"]:
+        assert [i for i, _, _ in ours(model, word)] == LIBRARY.encode(word)
+        assert model.scores.asked <= 3 * (len(word) + 1)
+        model.scores.asked = 0
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from([0, 1, 2, 259, 260, 28705]) | st.integers(3, 258) | st.integers(0, 31999), max_size=9))
 def test_decoding_of_any_ids(ids):
