@@ -100,9 +100,9 @@ class Model:
         v, word = self.values, class_of(ids)
         noise = rng.choice(CLASSES, NOISE, p=self.share)
         offset = np.log(NOISE * np.maximum(self.share, 1e-30)).astype(np.float32)
-        a, b = v["words"][one], v["words"][two]
+        a, b = v["words"].take(one, axis=0), v["words"].take(two, axis=0)
         q = a @ v["first"] + b @ v["second"]
-        out = v["out"][word]
+        out = v["out"].take(word, axis=0)
         hit = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, out) + v["bias"][word] - offset[word], -30, 30)))
         drawn = v["out"][noise]
         miss = q @ drawn.T
@@ -160,6 +160,7 @@ class Words:
         own.sizes, own.vectors, own.bias = self.sizes, values[:, :SIZE].copy(), values[:, SIZE].copy()
         own.squares = np.full(len(values), WORD_SQUARE, np.float32)
         own.seen = np.zeros(len(values), np.int64)
+        own.order = np.zeros(len(values), np.int64)
         return own
 
     def train(self, place: np.ndarray, q: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -173,10 +174,16 @@ class Words:
         miss = -1 / (1 + np.exp(-np.clip(x, -30, 30)))
         miss[:, 0] += 1
         dq = np.einsum("ik,ikj->ij", miss, vectors)
-        row, own, times = np.unique(rows, return_inverse=True, return_counts=True)
-        own = own.ravel()
-        sums = [np.bincount(own, (miss * column[:, None]).ravel(), len(row)) for column in np.ascontiguousarray(q.T)]
-        step = np.stack([*sums, np.bincount(own, miss.ravel(), len(row))], axis=1).astype(np.float32)
+        times = np.bincount(rows.ravel(), minlength=len(self.bias))
+        row = np.flatnonzero(times)
+        times = times[row]
+        self.order[row] = np.arange(len(row))
+        own = self.order.take(rows.ravel())
+        parts = np.empty((*rows.shape, SIZE + 1), np.float32)
+        np.multiply(miss[:, :, None], q[:, None, :], out=parts[:, :, :SIZE])
+        parts[:, :, SIZE] = miss
+        places = own[:, None] * (SIZE + 1) + np.arange(SIZE + 1)
+        step = np.bincount(places.ravel(), parts.ravel(), len(row) * (SIZE + 1)).reshape(len(row), SIZE + 1).astype(np.float32)
         self.squares[row] += np.einsum("ij,ij->i", step, step) / np.float32(SIZE)
         step *= (np.float32(STEP) / np.sqrt(self.squares[row]))[:, None]
         self.vectors[row] += step[:, :SIZE]
@@ -197,7 +204,7 @@ class Words:
         for begin, end in zip(starts, [*starts[1:], len(group)]):
             own, at = order[begin:end], group[begin] * MEMBERS
             members = slice(at, at + self.sizes[group[begin]])
-            features, vectors = q[own], self.vectors[members]
+            features, vectors = q.take(own, axis=0), self.vectors[members]
             logits = features @ vectors.T
             logits += self.bias[members]
             # No product is larger than that of the norms; only beyond what an exponential can hold the largest is taken off.
@@ -355,11 +362,11 @@ def fit(texts: DataFrame, facts: Statistics, shared) -> tuple[Model, np.ndarray]
 
 
 class Scorer:
-    """A model of both levels, ready to score."""
+    """A model of both levels, ready to score. ``contexts`` is what its ``log_probabilities`` gave, if they are known."""
 
-    def __init__(self, facts: Statistics, flat: np.ndarray, values: np.ndarray) -> None:
+    def __init__(self, facts: Statistics, flat: np.ndarray, values: np.ndarray, contexts: tuple | None = None) -> None:
         model = Model(facts.unigram).set(flat)
-        self.one, self.two, self.total = model.log_probabilities()
+        self.one, self.two, self.total = contexts or model.log_probabilities()
         self.words = facts.words.learner(values)
         self.out = model.values["out"]
         self.bias = np.where(model.share > 0, model.values["bias"], np.float32(-1e30))
@@ -374,12 +381,12 @@ class Scorer:
         return found
 
 
-def _scored(shared, flat: np.ndarray, values):
+def _scored(shared, flat: np.ndarray, values, contexts=None):
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        scorer = Scorer(own, flat, values.value)
+        scorer = Scorer(own, flat, values.value, contexts and contexts.value)
         logs = np.log10(own.counts + 1.0)
         columns: list[list] = [[] for _ in kinds]
         held: list[np.ndarray] = []
@@ -444,8 +451,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(facts)
     model, values = fit(training, facts, shared)
+    # The normalisers of all pairs of classes, about 1 MB, are worked out once and not in every task.
+    contexts = context.broadcast(model.log_probabilities())
     found = stored(
-        texts.mapInArrow(_scored(shared, model.flat(), context.broadcast(values)), "doc_id long, n_tokens long, n_known long, base double, model double, "
+        texts.mapInArrow(_scored(shared, model.flat(), context.broadcast(values), contexts), "doc_id long, n_tokens long, n_known long, base double, model double, "
                          "others long, rare array<struct<word:binary,n:long>>").withColumn("row", F.monotonically_increasing_id()))
     rare = found.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
     joined = rare.join(counts.withColumnRenamed("n", "c"), "word").groupBy("row").agg(

@@ -168,3 +168,13 @@ def test_words_of_a_batch(texts):
     assert words.to_pylist() == [w for t in own for w in t]
     assert ends.tolist() == np.cumsum([len(t) for t in own]).tolist()
     assert ranks.tolist() == [{b"a": 0, b"ab": 1, b"b": 2}.get(w, -1) for t in own for w in t]
+
+
+def test_contexts_once(spark, monkeypatch):
+    """Normalisers are worked out once by the driver, whatever the number of tasks."""
+    made, log_probabilities = [], lm.Model.log_probabilities
+    monkeypatch.setattr(lm.Model, "log_probabilities", lambda model: made.append(1) or log_probabilities(model))
+    texts = [" A b\tb ", None, "", "É a\x0bé", "a\x0cB  c"] * 8
+    rows = lm.score_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    assert len(made) == 1
+    assert all(r.n_tokens == len(lm.tokens(texts[r.doc_id])) + 1 for r in rows)
