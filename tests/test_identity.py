@@ -54,6 +54,19 @@ def test_one_row_that_fills_the_table_is_dealt_to_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_whole_rows_are_grouped_only_where_their_hash_repeats(spark, tmp_path, monkeypatch):
+    grouped = []
+    numbered = identity._numbered_copies
+    monkeypatch.setattr(identity, "_numbered_copies", lambda rows, *others: grouped.append(rows) or numbered(rows, *others))
+    data = [(f"alone-{n}", float(n)) for n in range(3000)] + [("twice", 1.0)] * 2 + [(None, None)] * 3
+    got = identity.add_content_ids(frame(spark, data), "t").collect()
+    assert Counter((r.text, r["a.b"]) for r in got) == Counter(data) and len({r.GlobalID for r in got}) == len(data)
+    assert {("twice", 1.0), (None, None)} <= {tuple(r) for r in grouped[0].distinct().collect()}
+    assert grouped[0].count() < 100
+    whole = numbered(frame(spark, data), "t", [F.col("text"), F.col("`a.b`")], 10).collect()
+    assert {r.GlobalID for r in got} == {r.GlobalID for r in whole}
+
+
 def test_all_tables_get_identifiers(spark, tables, tmp_path):
     prepare.migrate(tables, str(tmp_path / "one"))
     prepare.migrate(tables, str(tmp_path / "two"))
