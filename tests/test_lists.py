@@ -175,3 +175,25 @@ def test_pairs_are_dealt_by_measured_size(spark):
     cells = [r["count"] for r in left.join(right, ["property_oid", "row", "column"]).filter("property_oid = 1").groupBy("row", "column").count().collect()]
     assert len(cells) == 54 and max(cells) < 2 * sum(cells) / len(cells)
     assert left.filter("property_oid > 1").count() == 131 and right.filter("property_oid > 1").count() == 210
+
+
+def chemicals_listed(spark, texts):
+    listed = spark.createDataFrame(
+        [(n % 7, text, 0, 1, f"{text}-place") for n, text in enumerate(texts)],
+        "CODE long, description string, PropertyOID int, activeflag int, Inventory_Location string")
+    masters = spark.range(7).selectExpr("id AS ObjectID", "0L AS PropertyOID", "'Y' AS GTFF_Approved_IND")
+    subtypes = spark.createDataFrame([(0, "cut", 1, 1)], "PROPERTYOID int, subtype string, ACTIVEFLAG int, IS_CHEMICAL_IND int")
+    return {"chem_view": collated(listed), "chem_master": masters, "act_type": collated(subtypes)}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_collated_chemicals_are_cut_anew_before_they_are_sorted(spark):
+    tables = chemicals_listed(spark, ["Oak", "OAK ", "oak", "Elm"] * 7)
+    got = lists.chemical_codes(tables)
+    assert plan_of(got).count("RebalancePartitions") == 1
+    assert rows(got) == sorted((0, str(n), text) for n in range(7) for text in ("Elm", "OAK "))
+    plain = {**tables, "chem_view": lists.plain_text(tables["chem_view"])}
+    assert "RebalancePartitions" not in plan_of(lists.chemical_codes(plain))
