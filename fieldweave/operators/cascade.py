@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldweave.functions import scalars as X
 from fieldweave.operators.joins import split_join
 from fieldweave.operators.lists import (
-    Tables, active, approved, chemical_codes, distinct_rows, exact_copies_out, of_properties, union,
+    Tables, active, approved, chemical_codes, dealt_evenly, distinct_rows, exact_copies_out, of_properties, union,
 )
 from fieldweave.sources.tables import collated
 
@@ -91,7 +91,9 @@ def _locations(tables: Tables, props: DataFrame, side: int) -> DataFrame:
     subtypes = active(tables["act_type"]).filter(F.col("IS_CHEMICAL_IND") == 1).select("property_oid", "subtype")
     chemicals = approved(tables).select(F.col("PropertyOID").cast("int").alias("property_oid"))
     subtypes = of_properties(split_join(distinct_rows(subtypes), chemicals.distinct(), ["property_oid"], "left_semi"), props)
-    places = of_properties(distinct_rows(active(tables["chem_view"]).select("property_oid", "Inventory_Location")), props)
+    places = exact_copies_out(active(tables["chem_view"]).select("property_oid", "Inventory_Location"))
+    # Few by now, as rows under a collation are sorted whole; without the exchange Catalyst drops the first DISTINCT.
+    places = of_properties(distinct_rows(dealt_evenly(places, "property_oid", "Inventory_Location")), props)
 
     def cells(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("property_oid").agg(F.ceil(F.count("*") / side).cast("int").alias(name))

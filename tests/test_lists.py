@@ -197,3 +197,13 @@ def test_collated_chemicals_are_cut_anew_before_they_are_sorted(spark):
     assert rows(got) == sorted((0, str(n), text) for n in range(7) for text in ("Elm", "OAK "))
     plain = {**tables, "chem_view": lists.plain_text(tables["chem_view"])}
     assert "RebalancePartitions" not in plan_of(lists.chemical_codes(plain))
+
+
+def test_collated_locations_collapse_before_they_are_sorted(spark):
+    tables = chemicals_listed(spark, ["Oak", "OAK", "Oak", "Elm"] * 7)
+    props = spark.createDataFrame([(0,)], "oid int")
+    got = cascade._locations(tables, props, 256)
+    # The DISTINCT of exact copies stands below the exchange, the one by collation above it.
+    below = plan_of(got).split("RebalancePartitions", 1)[1].split("Join", 1)[0]
+    assert "Aggregate" in below
+    assert sorted(r.name for r in got.collect()) == ["Elm-place", "OAK-place"]
