@@ -9,7 +9,8 @@ from array import array
 
 from tokenizers import Tokenizer
 
-#: Words whose ids a worker keeps, and words of letters before marks; beyond that it starts afresh.
+#: Words whose ids a worker keeps, and words of letters before marks; beyond that it starts afresh, with the words
+#: of the last time at hand.
 KEPT_WORDS, KEPT_STARTS = 300_000, 100_000
 #: A word and the marks behind it; an apostrophe may open a word part of its own.
 _ENDED = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]+)")
@@ -43,6 +44,7 @@ class Ids:
             and not spec["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"] and spec["model"]["type"] == "BPE")
         self.letters = str.maketrans({chr(b): c for b, c in _spelled().items()})
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.starts: dict[bytes, bytes | None] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -61,6 +63,8 @@ class Ids:
 
     def _start(self, word: bytes) -> bytes | None:
         """Ids of the letters before a mark; ``None`` where marks may belong to what is before them."""
+        if word.isalpha():  # ASCII, and so ids as those of the word alone
+            return self.of_word(word)
         if word not in self.starts:
             if len(self.starts) >= KEPT_STARTS:
                 self.starts.clear()
@@ -68,6 +72,9 @@ class Ids:
         return self.starts[word]
 
     def _word(self, word: bytes) -> bytes:
+        found = self.before.get(word)
+        if found is not None:
+            return self._keep(word, found)
         found = self._letters(word)
         if found is None:
             ended = _ENDED.fullmatch(word)
@@ -77,6 +84,7 @@ class Ids:
 
     def _keep(self, word: bytes, found: bytes) -> bytes:
         if len(self.known) >= KEPT_WORDS:
+            self.before = dict(self.known)
             self.known.clear()
         self.known[word] = found
         return found

@@ -135,3 +135,17 @@ def test_ids_do_not_depend_on_earlier_texts(texts):
 def test_marks_alone_and_before_punctuation(text):
     ids = ids_by(PATH)
     assert np.frombuffer(ids.of(text), np.dtype(ids.kind)).tolist() == want(text)[:-1]
+
+
+def test_words_met_before_are_not_tokenized_again(monkeypatch):
+    import public_tokenizers
+
+    from fieldweave.llm import tokens
+
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 7)
+    ids, made = tokens.Ids(public_tokenizers.path("word_bpe_49k.json")), []
+    letters = ids._letters
+    monkeypatch.setattr(ids, "_letters", lambda word: made.append(word) or letters(word))
+    text = "oak elm ash fir oak, elm! oak pine elm oak."
+    assert ids.of(text) == ids._whole(text)
+    assert max(made.count(word) for word in (b"oak", b"elm", b"ash", b"fir", b"pine")) == 1
