@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import in_parts, stored
+from fieldweave.llm.common import stored
 
 #: Words whose counts every task holds, of at most so many bytes each; all other words are joined with their counts.
 FREQUENT, FREQUENT_BYTES = 200_000, 64
@@ -22,11 +21,11 @@ OTHER, STOP, FIRST_GROUP = 0, 1, 2 + SINGLES
 CLASSES, SIZE = FIRST_GROUP + GROUPS, 16
 #: The squares that steps of the words in groups start from.
 WORD_SQUARE = 1.0
-#: Tokens that are scored at a time.
-SCORED = 131_072
 ROUNDS, NOISE, WORD_NOISE, BATCH, STEP = 1, 32, 4, 2048, 0.15
-#: Words that a task counts before it passes the counts on.
-COUNTED = 500_000
+#: Bytes of text whose words are counted at a time, and that are trained on or scored at a time.
+COUNTED, LEARNED = 1 << 24, 1 << 23
+#: Tokens that are scored at a time, and those of a group whose normalisers are.
+SCORED, SUMMED = 1 << 21, 4096
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -37,19 +36,44 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+def by_size(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most ``size`` bytes of their last column, and a few for each row, or of one row."""
+    held: list[pa.RecordBatch] = []
+    waiting = 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy().astype(np.int64) + 16)
+        start, before = 0, 0
+        while start < len(ends):
+            stop = int(np.searchsorted(ends, before + size - waiting, "right"))
+            if stop == start and not held:
+                stop += 1
+            if stop > start:
+                held.append(batch.slice(start, stop - start))
+                waiting += int(ends[stop - 1]) - before
+                start, before = stop, int(ends[stop - 1])
+            if start < len(ends):
+                yield pa.concat_batches(held)
+                held, waiting = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts as ``tokens`` has them, and how many of them each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, sizes = split.flatten().cast(pa.binary()), pc.list_value_length(split).to_numpy()
+    # What stands before the first blank and behind the last one may be empty.
+    full = pc.binary_length(words).to_numpy() > 0
+    if not full.all():
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full], minlength=len(sizes))
+        words = words.filter(pa.array(full))
+    return words, sizes
 
-    def made() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
-    for batch in in_parts(batches):
-        for text in batch.column(0):
-            counts.update(tokens(text.as_py()))
-            if len(counts) > COUNTED:
-                yield made()
-                counts.clear()
-    yield made()
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in by_size(batches, COUNTED):
+        counts = pc.value_counts(split_words(batch.column(0))[0])
+        yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], names=["word", "n"])
 
 
 class Model:
@@ -100,27 +124,25 @@ class Model:
         v, word = self.values, class_of(ids)
         noise = rng.choice(CLASSES, NOISE, p=self.share)
         offset = np.log(NOISE * np.maximum(self.share, 1e-30)).astype(np.float32)
-        a, b = v["words"].take(one, axis=0), v["words"].take(two, axis=0)
-        q = a @ v["first"] + b @ v["second"]
+        pair, both = np.column_stack([one, two]), np.concatenate([v["first"], v["second"]])
+        context = v["words"].take(pair, axis=0).reshape(len(pair), 2 * SIZE)
+        q = context @ both
         out = v["out"].take(word, axis=0)
-        hit = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, out) + v["bias"][word] - offset[word], -30, 30)))
+        hit = -_less_chance(np.einsum("ij,ij->i", -q, out) - v["bias"][word] + offset[word])
         drawn = v["out"][noise]
         miss = q @ drawn.T
         miss += v["bias"][noise] - offset[noise]
-        np.clip(miss, -30, 30, out=miss)
-        np.exp(np.negative(miss, out=miss), out=miss)
-        miss += 1
-        np.divide(-1, miss, out=miss)
+        miss = _less_chance(miss)
         dq = hit[:, None] * out + miss @ drawn
         size = np.float32(1 / len(word))
         if words:
             inside = np.flatnonzero(ids > CLASSES)
         if words and len(inside):
             dq[inside] += words.train(ids[inside] - CLASSES - 1, q[inside], rng)
-        da, db = dq @ v["first"].T, dq @ v["second"].T
+        mixed = context.T @ dq
         steps = {
-            "words": _spread(one, da, CLASSES + 1) + _spread(two, db, CLASSES + 1),
-            "first": a.T @ dq, "second": b.T @ dq, "out": _spread(word, hit[:, None] * q, CLASSES),
+            "words": _spread(pair.ravel(), (dq @ both.T).reshape(-1, SIZE), CLASSES + 1),
+            "first": mixed[:SIZE], "second": mixed[SIZE:], "out": _spread(word, hit[:, None] * q, CLASSES),
             "bias": np.bincount(word, hit, CLASSES).astype(np.float32)}
         np.add.at(steps["out"], noise, miss.T @ q)
         np.add.at(steps["bias"], noise, miss.sum(axis=0))
@@ -137,7 +159,18 @@ def class_of(ids: np.ndarray) -> np.ndarray:
 
 def _spread(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Sums of the rows that go to each place."""
-    return np.stack([np.bincount(places, column, size) for column in rows.T], axis=1).astype(np.float32)
+    width = rows.shape[1]
+    cells = places[:, None] * width + np.arange(width)
+    return np.bincount(cells.ravel(), rows.ravel(), size * width).reshape(size, width).astype(np.float32)
+
+
+def _less_chance(x: np.ndarray) -> np.ndarray:
+    """The logistic function of ``x``, negative; ``x`` is overwritten."""
+    x *= np.float32(0.5)
+    np.tanh(x, out=x)
+    x += 1
+    x *= np.float32(-0.5)
+    return x
 
 
 class Words:
@@ -157,46 +190,54 @@ class Words:
     def learner(self, values: np.ndarray) -> Words:
         """The same words with weights of their own, to be trained."""
         own = object.__new__(Words)
-        own.sizes, own.vectors, own.bias = self.sizes, values[:, :SIZE].copy(), values[:, SIZE].copy()
+        own.sizes, own.weights = self.sizes, values.astype(np.float32)
+        own.vectors, own.bias = own.weights[:, :SIZE], own.weights[:, SIZE]
         own.squares = np.full(len(values), WORD_SQUARE, np.float32)
         own.seen = np.zeros(len(values), np.int64)
-        own.order = np.zeros(len(values), np.int64)
         return own
 
     def train(self, place: np.ndarray, q: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """One step that tells words from noise, any words of their groups alike; what the features ``q`` gain by."""
         group = place // MEMBERS
         size = self.sizes[group]
-        noise = group[:, None] * MEMBERS + (rng.random((len(place), WORD_NOISE), np.float32) * size[:, None]).astype(np.int64)
-        rows = np.column_stack([place, noise])
-        vectors = self.vectors.take(rows.ravel(), axis=0).reshape(*rows.shape, SIZE)
-        x = np.einsum("ij,ikj->ik", q, vectors) + self.bias.take(rows) - np.log(WORD_NOISE / size).astype(np.float32)[:, None]
-        miss = -1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        rows = np.empty((len(place), 1 + WORD_NOISE), np.int64)
+        rows[:, 0] = place
+        rows[:, 1:] = group[:, None] * MEMBERS + (rng.random((len(place), WORD_NOISE), np.float32) * size[:, None]).astype(np.int64)
+        rows = rows.ravel()
+        weights = self.weights.take(rows, axis=0).reshape(len(place), -1, SIZE + 1)
+        features = np.column_stack([q, np.ones(len(q), np.float32)])  # the last one is that of the bias
+        x = np.einsum("ij,ikj->ik", features, weights)
+        x -= np.log(WORD_NOISE / size).astype(np.float32)[:, None]
+        miss = _less_chance(x)
         miss[:, 0] += 1
-        dq = np.einsum("ik,ikj->ij", miss, vectors)
-        times = np.bincount(rows.ravel(), minlength=len(self.bias))
-        row = np.flatnonzero(times)
-        times = times[row]
-        self.order[row] = np.arange(len(row))
-        own = self.order.take(rows.ravel())
-        parts = np.empty((*rows.shape, SIZE + 1), np.float32)
-        np.multiply(miss[:, :, None], q[:, None, :], out=parts[:, :, :SIZE])
-        parts[:, :, SIZE] = miss
-        places = own[:, None] * (SIZE + 1) + np.arange(SIZE + 1)
-        step = np.bincount(places.ravel(), parts.ravel(), len(row) * (SIZE + 1)).reshape(len(row), SIZE + 1).astype(np.float32)
-        self.squares[row] += np.einsum("ij,ij->i", step, step) / np.float32(SIZE)
-        step *= (np.float32(STEP) / np.sqrt(self.squares[row]))[:, None]
-        self.vectors[row] += step[:, :SIZE]
-        self.bias[row] += step[:, SIZE]
-        self.seen[row] += times
+        dq = np.einsum("ik,ikj->ij", miss, weights)[:, :SIZE]
+        # Few words stand twice in a batch: the step of a word is that of its first place, to which those of others are added.
+        order = np.argsort(rows.astype(np.min_scalar_type(GROUPS * MEMBERS - 1)), kind="stable")
+        rows = rows[order]
+        new = np.concatenate([[True], rows[1:] != rows[:-1]])
+        row, first, later = rows[new], order[new], order[~new]
+        miss = miss.ravel()
+        step = features.take(first // (1 + WORD_NOISE), axis=0)
+        step *= miss[first, None]
+        if len(later):
+            np.add.at(step, (np.cumsum(new) - 1)[~new], features.take(later // (1 + WORD_NOISE), axis=0) * miss[later, None])
+        squares = self.squares[row] + np.einsum("ij,ij->i", step, step) / np.float32(SIZE)
+        self.squares[row] = squares
+        step *= (np.float32(STEP) / np.sqrt(squares))[:, None]
+        self.weights[row] += step
+        self.seen[row] += np.diff(np.flatnonzero(new), append=len(rows))
         return dq
 
     @staticmethod
     def _norm(rows: np.ndarray) -> float:
         return math.sqrt(float(np.einsum("ij,ij->i", rows, rows).max()))
 
-    def logs(self, place: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the probabilities of words within their groups; one product of matrices for each group."""
+    def logs(self, place: np.ndarray, one: np.ndarray, two: np.ndarray, features: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Natural logarithms of the probabilities of words within their groups after the classes ``two`` and ``one``.
+
+        ``features`` are what each class adds as ``one`` and as ``two``. An exponential of a sum is the product of two, so
+        a group needs exponentials for each class before its words, not for each token.
+        """
         found = np.empty(len(place))
         order = np.argsort(place // MEMBERS, kind="stable")
         group = (place // MEMBERS)[order]
@@ -204,17 +245,36 @@ class Words:
         for begin, end in zip(starts, [*starts[1:], len(group)]):
             own, at = order[begin:end], group[begin] * MEMBERS
             members = slice(at, at + self.sizes[group[begin]])
-            features, vectors = q.take(own, axis=0), self.vectors[members]
-            logits = features @ vectors.T
-            logits += self.bias[members]
-            # No product is larger than that of the norms; only beyond what an exponential can hold the largest is taken off.
-            if self._norm(features) * self._norm(vectors) + abs(self.bias[members]).max() > 60:
-                logits -= logits.max(axis=1, keepdims=True)
-            own_logit = logits[np.arange(len(own)), place[own] - at]
-            found[own] = own_logit - np.log(np.exp(logits, out=logits).sum(axis=1))
+            vectors, bias = self.vectors[members], self.bias[members]
+            (first, x), (second, y) = _distinct(one[own]), _distinct(two[own])
+            before, earlier = features[0][first], features[1][second]
+            # No product is larger than that of the norms; only beyond what an exponential can hold sums come before it.
+            small = (self._norm(before) + self._norm(earlier)) * self._norm(vectors) + abs(bias).max() <= 60
+            before, earlier = before @ vectors.T, earlier @ vectors.T + bias
+            word = place[own] - at
+            logs = (before[x, word] + earlier[y, word]).astype(np.float64)
+            if small:
+                np.exp(before, out=before)
+                np.exp(earlier, out=earlier)
+            for cut in range(0, len(own), SUMMED):
+                a, b = before.take(x[cut:cut + SUMMED], axis=0), earlier.take(y[cut:cut + SUMMED], axis=0)
+                if small:
+                    logs[cut:cut + SUMMED] -= np.log(np.einsum("ij,ij->i", a, b))
+                else:
+                    a += b
+                    top = a.max(axis=1, keepdims=True)
+                    logs[cut:cut + SUMMED] -= top[:, 0] + np.log(np.exp(a - top).sum(axis=1))
+            found[own] = logs
         return found
 
 
+def _distinct(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The classes that there are, and the number of each one among them."""
+    there = np.zeros(CLASSES + 1, bool)
+    there[classes] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[classes]
+
+
 def _trained(shared, start: np.ndarray, values, turn: int):
     """A task's weights after one pass over its texts: a row for the first level, and one for each group of words.
 
@@ -238,16 +298,16 @@ def _trained(shared, start: np.ndarray, values, turn: int):
             held.clear()
 
         waiting = 0
-        for batch in batches:
-            for part in in_parts([batch]):
-                _, ranks, ends = facts.ranked(part.column(0))
-                for own in np.split(ranks, ends[:-1]) if len(ends) else []:
-                    held.append(facts.ids(own))
-                    waiting += len(held[-1]) - 2
-                    if waiting >= 32 * BATCH:
-                        seen += waiting
-                        waiting = 0
-                        learn()
+        for batch in by_size(batches, LEARNED):
+            # Words behind these are no outcome of their own.
+            _, ranks, ends = facts.ranked(batch.column(0), SINGLES + GROUPS * MEMBERS)
+            for own in np.split(facts.ids(ranks, ends), ends[:-1] + 3 * np.arange(1, len(ends))):
+                held.append(own)
+                waiting += len(own) - 2
+                if waiting >= 32 * BATCH:
+                    seen += waiting
+                    waiting = 0
+                    learn()
         if held:
             seen += waiting
             learn()
@@ -311,23 +371,19 @@ class Statistics:
         self.places[:len(single)] = np.arange(len(single)) + 2
         self.places[np.array(order, np.int64) + SINGLES] = own + CLASSES + 1
 
-    def ranked(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-        """The words of texts as ``tokens`` has them, their ranks, -1 for words without one, and the ends of the texts among them."""
-        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-        words, sizes = split.flatten().cast(pa.binary()), pc.list_value_length(split).to_numpy()
-        # What stands before the first blank and behind the last one may be empty.
-        full = pc.binary_length(words).to_numpy() > 0
-        if not full.all():
-            sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full], minlength=len(sizes))
-            words = words.filter(pa.array(full))
-        ranks = pc.fill_null(pc.index_in(words, value_set=self.frequent), -1).to_numpy()
+    def ranked(self, texts: pa.Array, most: int = FREQUENT) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The words of texts as ``tokens`` has them, their ranks, -1 beyond the ``most`` first ones, and the ends of the texts."""
+        words, sizes = split_words(texts)
+        ranks = pc.fill_null(pc.index_in(words, value_set=self.frequent.slice(0, most)), -1).to_numpy()
         return words, ranks, np.cumsum(sizes)
 
-    def ids(self, ranks: np.ndarray) -> np.ndarray:
-        """Classes and leaves of the words and the end, after two starts."""
-        found = np.full(len(ranks) + 3, CLASSES, np.int32)
-        found[2:-1] = self.places[ranks]
-        found[-1] = STOP
+    def ids(self, ranks: np.ndarray, ends: np.ndarray | None = None) -> np.ndarray:
+        """Classes and leaves of the words and the end, after two starts; one text after another, if there are several."""
+        ends = np.array([len(ranks)]) if ends is None else ends
+        texts = 3 * np.arange(len(ends))
+        found = np.full(len(ranks) + 3 * len(ends), CLASSES, np.int32)
+        found[np.arange(len(ranks)) + np.repeat(texts, np.diff(ends, prepend=0)) + 2] = self.places[ranks]
+        found[ends + texts + 2] = STOP
         return found
 
 
@@ -370,66 +426,51 @@ class Scorer:
         self.words = facts.words.learner(values)
         self.out = model.values["out"]
         self.bias = np.where(model.share > 0, model.values["bias"], np.float32(-1e30))
+        self.after_one, self.after_two = self.one @ self.out.T, self.two @ self.out.T + self.bias
 
     def logs(self, two: np.ndarray, one: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural logarithms of the probabilities of ``ids``, all rare words as one, after two tokens."""
         two, one, word = class_of(two), class_of(one), class_of(ids)
-        q = self.one[one] + self.two[two]
-        found = (np.einsum("ij,ij->i", q, self.out[word]) + self.bias[word] - self.total[two, one]).astype(np.float64)
+        found = (self.after_one[one, word] + self.after_two[two, word] - self.total[two, one]).astype(np.float64)
         inside = np.flatnonzero(ids > CLASSES)
-        found[inside] += self.words.logs(ids[inside] - CLASSES - 1, q[inside])
+        found[inside] += self.words.logs(ids[inside] - CLASSES - 1, one[inside], two[inside], (self.one, self.two))
         return found
 
 
 def _scored(shared, flat: np.ndarray, values, contexts=None):
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         scorer = Scorer(own, flat, values.value, contexts and contexts.value)
-        logs = np.log10(own.counts + 1.0)
-        columns: list[list] = [[] for _ in kinds]
-        held: list[np.ndarray] = []
-        waiting = 0
-
-        def made() -> pa.RecordBatch:
-            nonlocal waiting
-            two, one, ids = (np.concatenate([x[cut] for x in held]) for cut in (slice(0, -2), slice(1, -1), slice(2, None)))
-            token = np.concatenate([scorer.logs(two[at:at + SCORED], one[at:at + SCORED], ids[at:at + SCORED]) for at in range(0, len(ids), SCORED)])
-            starts = np.cumsum([0, *(len(x) - 2 for x in held[:-1])])
-            columns[4] = (np.add.reduceat(token, starts) / math.log(10) + columns[4]).tolist()
-            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_tokens", "n_known", "base", "model", "others", "rare"])
-            for column in columns:
-                column.clear()
-            held.clear()
-            waiting = 0
-            return batch
-
-        for batch in in_parts(batches):
+        logs = np.append(np.log10(own.counts + 1.0), 0.0)  # the last one is that of words without a rank
+        for batch in by_size(batches, LEARNED):
             words, ranks, ends = own.ranked(batch.column(1))
-            unranked = words.filter(pa.array(ranks < 0)).to_pylist()
-            for doc_id, at in zip(batch.column(0).to_pylist(), np.split(ranks, ends[:-1]) if len(ends) else []):
-                held.append(own.ids(at))
-                waiting += len(at) + 1
-                n_rare = int((at < 0).sum())
-                rare, unranked = Counter(unranked[:n_rare]), unranked[n_rare:]
-                common = at[at >= 0]
-                shared_ = held[-1][2:-1] == OTHER
-                columns[0].append(doc_id)
-                columns[1].append(len(at) + 1)
-                columns[2].append(len(common) + (own.ends > 0))
-                columns[3].append(float(logs[common].sum() + math.log10(own.ends + 1)))
-                columns[4].append(float(logs[at[shared_ & (at >= 0)]].sum()))
-                columns[5].append(int(shared_.sum()))
-                columns[6].append([{"word": w, "n": n} for w, n in rare.items()])
-                if waiting >= SCORED:
-                    yield made()
-        if held:
-            yield made()
+            rows = len(ends)
+            row = np.repeat(np.arange(rows), np.diff(ends, prepend=0))
+            ids = own.ids(ranks, ends)
+            at = np.flatnonzero(ids != CLASSES)
+            parts = [at[cut:cut + SCORED] for cut in range(0, len(at), SCORED)]
+            token = np.concatenate([scorer.logs(ids[part - 2], ids[part - 1], ids[part]) for part in parts])
+            model = np.add.reduceat(token, np.concatenate([[0], ends[:-1]]) + np.arange(rows)) / math.log(10)
+            shared_ = own.places[ranks] == OTHER
+            columns = [
+                batch.column(0), np.bincount(row, minlength=rows) + 1, np.bincount(row[ranks >= 0], minlength=rows) + (own.ends > 0),
+                np.bincount(row, logs[ranks], rows) + math.log10(own.ends + 1), model + np.bincount(row[shared_], logs[ranks[shared_]], rows),
+                np.bincount(row[shared_], minlength=rows), _occurring(words.filter(pa.array(ranks < 0)), row[ranks < 0], rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "n_tokens", "n_known", "base", "model", "others", "rare"])
 
     return run
 
 
+def _occurring(words: pa.Array, row: np.ndarray, rows: int) -> pa.Array:
+    """For each row a list of its distinct words, with how often it has them; ``row`` says whose each word is."""
+    coded = words.dictionary_encode()
+    distinct = max(1, len(coded.dictionary))
+    found, n = np.unique(row * distinct + coded.indices.to_numpy(), return_counts=True)
+    starts = np.searchsorted(found, np.arange(rows + 1) * distinct)
+    pairs = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(found % distinct)), pa.array(n)], names=["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pairs)
+
+
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 

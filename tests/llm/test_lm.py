@@ -151,6 +151,28 @@ def test_score_of_a_text_by_hand(spark):
     assert row["model"] - row["others"] * math.log10(facts.rare_total) == pytest.approx(logs.sum() + sum(rare))
 
 
+def test_scores_of_many_texts_are_those_of_each(monkeypatch):
+    """Texts scored together, and cut anywhere, give what each gives alone."""
+    texts = ["w00001 w00300 w00899 new new", None, "", "w00005 other w00300 " * 30, "w00002", "new"]
+    facts = lm.Statistics([(f"w{k:05}".encode(), 1000 - k) for k in range(900)], 10 ** 6, 1000, 40)
+    model, values = lm.Model(facts.unigram), facts.words.values()
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    def rows(part):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(part))), pa.array(part, pa.string())], names=["doc_id", "text"])
+        return [{k: v for k, v in r.items() if k != "doc_id"} for b in lm._scored(Shared(facts), model.flat(), Shared(values))(iter([batch])) for r in b.to_pylist()]
+
+    alone = [rows([t])[0] for t in texts]
+    monkeypatch.setattr(lm, "SCORED", 13)
+    for got, want, text in zip(rows(texts), alone, texts):
+        others = Counter(w for w in lm.tokens(text) if not w.startswith(b"w0"))
+        assert {r["word"]: r["n"] for r in got.pop("rare")} == {r["word"]: r["n"] for r in want.pop("rare")} == others
+        assert got == pytest.approx(want, rel=1e-5) and got["n_tokens"] == len(lm.tokens(text)) + 1 and got["others"] == others.total()
+
+
 def test_statistics_are_bounded(spark, monkeypatch):
     """However many words there are, tasks hold so many; the others are counted all the same."""
     monkeypatch.setattr(lm, "FREQUENT", 50)
@@ -178,3 +200,84 @@ def test_contexts_once(spark, monkeypatch):
     rows = lm.score_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
     assert len(made) == 1
     assert all(r.n_tokens == len(lm.tokens(texts[r.doc_id])) + 1 for r in rows)
+
+
+def test_exponentials_by_classes_not_by_tokens(monkeypatch):
+    """The normalisers of a group need exponentials for each class before its words, however many tokens there are."""
+    facts = facts_of(1400)
+    rng, ids = np.random.default_rng(2), np.unique(facts.places[:-1])
+    contexts = np.arange(2, 22)
+    scorer = trained(facts, lambda r: (r.choice(contexts, 300), r.choice(contexts, 300), r.choice(ids, 300)), 15)
+    two, one, word = rng.choice(contexts, 20_000), rng.choice(contexts, 20_000), rng.choice(ids[ids > lm.CLASSES], 20_000)
+    made, exp = [], np.exp
+    monkeypatch.setattr(lm.np, "exp", lambda x, *rest, **named: made.append(np.size(x)) or exp(x, *rest, **named))
+    got = scorer.logs(two, one, word)
+    monkeypatch.undo()
+    assert np.isfinite(got).all() and sum(made) <= 2 * len(contexts) * facts.words.sizes.sum()
+
+
+@pytest.mark.parametrize("scale", [0.1, 3, 30])
+def test_logs_within_groups_of_any_size_of_weights(monkeypatch, scale):
+    """Beyond what an exponential holds as well, and cut at any number of tokens."""
+    monkeypatch.setattr(lm, "SUMMED", 7)
+    facts, rng = facts_of(5000), np.random.default_rng(3)
+    values = np.column_stack([rng.normal(0, scale, (lm.GROUPS * lm.MEMBERS, lm.SIZE)), facts.words.bias]).astype(np.float32)
+    words = facts.words.learner(values)
+    features = [rng.normal(0, 1, (lm.CLASSES + 1, lm.SIZE)).astype(np.float32) for _ in range(2)]
+    ids = facts.places[:-1]
+    place = rng.choice(ids[ids > lm.CLASSES] - lm.CLASSES - 1, 600)
+    one, two = (rng.integers(0, lm.CLASSES + 1, 600) for _ in range(2))
+    for at, got in enumerate(words.logs(place, one, two, features)):
+        first = place[at] // lm.MEMBERS * lm.MEMBERS
+        own = values[first:first + facts.words.sizes[place[at] // lm.MEMBERS]].astype(float)
+        logits = own[:, :-1] @ (features[0][one[at]].astype(float) + features[1][two[at]]) + own[:, -1]
+        top = logits.max()
+        assert got == pytest.approx(logits[place[at] - first] - top - math.log(np.exp(logits - top).sum()), rel=1e-3, abs=2e-3)
+
+
+@pytest.mark.parametrize("different", [1, 40, 5000])
+def test_steps_of_words(different):
+    """A step of many tokens, whose words and noise repeat, against a plain sum."""
+    facts, rng = facts_of(6000), np.random.default_rng(4)
+    start = np.column_stack([rng.normal(0, 1, (lm.GROUPS * lm.MEMBERS, lm.SIZE)), facts.words.bias]).astype(np.float32)
+    words = facts.words.learner(start)
+    ids = facts.places[:-1]
+    place = rng.choice((ids[ids > lm.CLASSES] - lm.CLASSES - 1)[:different], 400)
+    q = rng.normal(0, 1, (400, lm.SIZE)).astype(np.float32)
+    dq = words.train(place, q, np.random.default_rng(5))
+    sizes = facts.words.sizes[place // lm.MEMBERS]
+    noise = (place // lm.MEMBERS * lm.MEMBERS)[:, None] + (np.random.default_rng(5).random((400, lm.WORD_NOISE), np.float32) * sizes[:, None]).astype(int)
+    step, seen, gain = np.zeros(start.shape), np.zeros(len(start)), np.zeros(q.shape)
+    for n in range(400):
+        for k, row in enumerate([place[n], *noise[n]]):
+            x = float(start[row, :-1].astype(float) @ q[n]) + start[row, -1] - math.log(lm.WORD_NOISE / sizes[n])
+            miss = (k == 0) - 1 / (1 + math.exp(-x))
+            step[row] += miss * np.append(q[n], 1)
+            gain[n] += miss * start[row, :-1]
+            seen[row] += 1
+    squares = lm.WORD_SQUARE + (step ** 2).sum(axis=1) / lm.SIZE
+    assert dq == pytest.approx(gain, rel=1e-3, abs=1e-4) and words.seen.tolist() == seen.tolist()
+    # The sum of squares is over the bias, too.
+    want = start + lm.STEP * step / np.sqrt(squares)[:, None]
+    assert np.column_stack([words.vectors, words.bias]) == pytest.approx(want, rel=1e-3, abs=1e-4)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.none() | st.text(max_size=40), max_size=6), max_size=6), st.integers(1, 200))
+def test_batches_by_size(texts, size):
+    """All rows in their order, in batches as large as they may be; the words are looked up once for each."""
+    batches = [pa.RecordBatch.from_arrays([pa.array(own, pa.string())], names=["text"]) for own in texts]
+    got = [batch.column(0).to_pylist() for batch in lm.by_size(iter(batches), size)]
+    assert [t for own in got for t in own] == [t for own in texts for t in own]
+    large = lambda own: sum(16 + len((t or "").encode()) for t in own)
+    assert all(own and (len(own) == 1 or large(own) <= size) for own in got)
+    assert all(large(own + after[:1]) > size for own, after in zip(got, got[1:]))
+
+
+def test_numbers_of_many_texts():
+    facts = facts_of(900)
+    texts = ["w00001 x w00800", None, "", "w00002 " * 5, "w00899"]
+    _, ranks, ends = facts.ranked(pa.array(texts))
+    assert facts.ids(ranks, ends).tolist() == [n for t in texts for n in facts.ids(facts.ranked(pa.array([t], pa.string()))[1])]
+    few = facts.ranked(pa.array(texts), 800)[1]
+    assert few.tolist() == [r if r < 800 else -1 for r in ranks]
