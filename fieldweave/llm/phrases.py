@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +13,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldweave.llm.common import in_parts, stored
+from fieldweave.llm.common import forget, in_parts, stored
 from fieldweave.operators.joins import split_join
+from fieldweave.sources.sinks import remove_folder, work_folder
 
 #: Words of the longest phrase, occurrences of a candidate, and rows for each language.
 LONGEST, LEAST, KEPT = 3, 10, 2000
@@ -21,8 +23,10 @@ LONGEST, LEAST, KEPT = 3, 10, 2000
 ABSORBED = 50
 #: Words that a task counts before it sends them on, and bytes of a text that it looks at at a time.
 CHUNK, BLOCK = 2_000_000, 1 << 20
-#: Bytes of text for each bucket of phrases, and buckets that one pass deals to.
-BUCKET_BYTES, FAN = 8 << 20, 512
+#: Bytes of text for each bucket of phrases, and buckets that texts are dealt to at once.
+BUCKET_BYTES, FAN = 8 << 20, 2048
+#: Parts in which more buckets than that are stored, to be dealt one part after the other.
+PARTS = 16
 #: Groups of a language's candidates that are ranked apart before the last ranking.
 RANK_GROUPS = 64
 
@@ -31,6 +35,11 @@ ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: Lower letters, one byte that no UTF-8 text holds for all ends, and one blank.
 _FOLDED = bytes.maketrans(bytes(range(65, 91)) + ENDS + BLANKS, bytes(range(97, 123)) + b"\xff" * len(ENDS) + b" " * len(BLANKS))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: A count of one byte that says that the count follows, and bytes of rows that are sent on at a time.
+_MANY, _SENT_BYTES = 255, 1 << 20
+#: What is before the phrases of a bucket: its number, theirs, and the bytes of their texts; and what is before a row: its bytes.
+_HEAD, _SIZE = struct.Struct("<QQQ"), struct.Struct("<Q")
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
 def _blocks(text: str) -> Iterator[list[bytes]]:
@@ -115,29 +124,66 @@ def _digests(words: pa.Array, language: str, table: np.ndarray) -> np.ndarray:
 
 
 def _joined(words: pa.Array, table: np.ndarray) -> pa.Array:
-    """The phrases as texts, their words joined by blanks."""
-    parts = [words.take(pa.array(np.where(column < 0, 0, column), mask=column < 0)) for column in table.T]
-    return pc.binary_join_element_wise(*parts, " ", null_handling="skip")
+    """The phrases as texts, their words joined by blanks; a line end closes each."""
+    either = pa.concat_arrays([pc.binary_join_element_wise(words, "", mark) for mark in (" ", "\n")])
+    parts, last = [], np.full(len(table), True)
+    for column in table.T[::-1]:
+        parts.append(either.take(pa.array(column + len(words) * last, mask=column < 0)))
+        last = column < 0
+    return pc.binary_join_element_wise(*parts[::-1], "", null_handling="skip")
 
 
 SENT = "bucket long, lang string, phrases binary"
 
 
+def _rows(language: str, found: Iterator[tuple[int, list[bytes]]]) -> Iterator[pa.RecordBatch]:
+    """The pieces of each bucket as one compressed row, some rows at a time."""
+    keys, rows, size = [], [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.int64()), pa.array([language] * len(keys), pa.string()), pa.array(rows, pa.binary())],
+            names=["bucket", "lang", "phrases"])
+
+    for bucket, pieces in found:
+        plain = b"".join(pieces)
+        keys.append(bucket)
+        rows.append(_SIZE.pack(len(plain)) + _CODEC.compress(plain, asbytes=True))
+        size += len(rows[-1])
+        if size >= _SENT_BYTES:
+            yield batch()
+            keys, rows, size = [], [], 0
+    if rows:
+        yield batch()
+
+
 def _sent(words: pa.Array, language: str, table: np.ndarray, times: np.ndarray, buckets: int, share: int) -> Iterator[pa.RecordBatch]:
-    """The phrases, dealt to buckets by all their words; each bucket's ones are one row."""
-    bucket = (_digests(words, language, table) % np.uint64(buckets)).astype(np.int64) // share
-    order = np.argsort(bucket, kind="stable")
+    """The phrases, dealt to buckets by all their words; those of ``share`` neighbouring buckets are one row.
+
+    Each bucket in a row has a head, a byte for each count, large counts, and texts.
+    """
+    bucket = (_digests(words, language, table) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
     texts = _joined(words, table[order])
-    bucket, times = bucket[order], pa.array(times[order])
-    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
-    for start, end in zip(starts, [*starts[1:], len(bucket)]):
-        batch = pa.RecordBatch.from_arrays([texts.slice(start, end - start), times.slice(start, end - start)], names=["phrase", "n"])
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
-            writer.write_batch(batch)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([bucket[start]]), pa.array([language]), pa.array([sink.getvalue().to_pybytes()])], names=["bucket", "lang", "phrases"])
+    bucket, times = bucket[order], times[order]
+    limits = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+    own = bucket[limits[:-1]].tolist()
+    many = times >= _MANY
+    small, large = (memoryview(a.tobytes()) for a in (np.minimum(times, _MANY).astype(np.uint8), times[many].astype("<i8")))
+    data, at = memoryview(texts.buffers()[2]), np.frombuffer(texts.buffers()[1], np.int32)[limits].tolist()
+    large_at, limits = (8 * np.r_[0, np.cumsum(many)][limits]).tolist(), limits.tolist()
+
+    def found() -> Iterator[tuple[int, list[bytes]]]:
+        pieces = []
+        for n, number in enumerate(own):
+            start, end = limits[n], limits[n + 1]
+            pieces += [_HEAD.pack(number, end - start, at[n + 1] - at[n]), small[start:end],
+                       large[large_at[n]:large_at[n + 1]], data[at[n]:at[n + 1]]]
+            if n + 1 == len(own) or own[n + 1] // share != number // share:
+                yield number // share, pieces
+                pieces = []
+
+    return _rows(language, found())
 
 
 def _counted(longest: int, buckets: int, share: int):
@@ -178,22 +224,51 @@ def _counted(longest: int, buckets: int, share: int):
     return run
 
 
-def _read(rows: list[bytes]) -> tuple[pa.Array, np.ndarray]:
-    """Phrases and counts of rows that ``_sent`` made."""
-    tables = [pa.ipc.open_stream(row).read_all() for row in rows]
-    table = pa.concat_tables(tables).combine_chunks()
-    return table.column("phrase").combine_chunks(), table.column("n").to_numpy()
+def _plain(row: bytes) -> memoryview:
+    return memoryview(_CODEC.decompress(memoryview(row)[_SIZE.size:], *_SIZE.unpack_from(row), asbytes=True))
 
 
-def _numbered(phrases: pa.Array, longest: int) -> tuple[pa.Array, np.ndarray]:
-    """Distinct words, and the numbers of the words of each phrase, -1 behind its end."""
-    split = pc.split_pattern(phrases, " ")
-    coded = split.flatten().dictionary_encode()
-    sizes = pc.list_value_length(split).to_numpy()
-    table = np.full((len(phrases), longest), -1, np.int64)
+def _pieces(plain: memoryview) -> Iterator[tuple[int, memoryview, np.ndarray, memoryview]]:
+    """Of each bucket in a row: its number, all of it, its counts, and its texts."""
+    at = 0
+    while at < len(plain):
+        bucket, n, size = _HEAD.unpack_from(plain, at)
+        begin = at + _HEAD.size
+        times = np.frombuffer(plain, np.uint8, n, begin)
+        begin += n + 8 * np.count_nonzero(times == _MANY)
+        yield bucket, plain[at:begin + size], times, plain[begin:begin + size]
+        at = begin + size
+
+
+def _read(rows: list[bytes]) -> tuple[bytes, np.ndarray]:
+    """Texts and counts of the phrases of rows that ``_sent`` made."""
+    texts, counts = [], []
+    for row in rows:
+        for _, piece, small, text in _pieces(_plain(row)):
+            times = small.astype(np.int64)
+            large = np.flatnonzero(small == _MANY)
+            times[large] = np.frombuffer(piece, "<i8", len(large), _HEAD.size + len(small))
+            counts.append(times)
+            texts.append(text)
+    return b"".join(texts), np.concatenate(counts)
+
+
+def _cut(texts: bytes, ends: np.ndarray) -> pa.Array:
+    """The texts up to each of ``ends``, with the mark there."""
+    return pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(np.r_[0, ends + 1]), pa.py_buffer(texts))
+
+
+def _numbered(texts: bytes, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the words of each phrase, -1 behind its end, and where each phrase's line end stands."""
+    raw = np.frombuffer(texts, np.uint8)
+    marks = np.flatnonzero((raw == ord(" ")) | (raw == ord("\n")))
+    lasts = np.flatnonzero(raw[marks] == ord("\n"))
+    numbers = _cut(texts.replace(b"\n", b" "), marks).dictionary_encode().indices.to_numpy()
+    sizes = np.diff(lasts, prepend=-1)
+    table = np.full((len(lasts), longest), -1, np.int64)
     row = np.repeat(np.arange(len(sizes)), sizes)
-    table[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = coded.indices.to_numpy()
-    return coded.dictionary, table
+    table[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = numbers
+    return table, marks[lasts]
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, list[bytes]]]:
@@ -211,28 +286,27 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, li
         yield *key, rows
 
 
-def _dealt(longest: int, buckets: int, share: int):
-    """Rows of a bucket put together again, some at a time, and dealt to the buckets within it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, language, rows in _by_bucket(batches):
-            if bucket < 0:
-                yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(rows)), pa.array([language] * len(rows)), pa.array(rows)],
-                                                 names=["bucket", "lang", "phrases"])
-                continue
-            some, size = [], 0
-            for n, row in enumerate(rows, 1):
-                some.append(row)
-                size += len(row)
-                if size >= BUCKET_BYTES or n == len(rows):
-                    phrases, times = _read(some)
-                    coded = phrases.dictionary_encode()
-                    summed = np.zeros(len(coded.dictionary), np.int64)
-                    np.add.at(summed, coded.indices.to_numpy(), times)
-                    words, table = _numbered(coded.dictionary, longest)
-                    yield from _sent(words, language, table, summed, buckets, share)
-                    some, size = [], 0
-
-    return run
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that hold several buckets, put together some at a time, as rows of one bucket each."""
+    def found(rows: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+        own: dict[int, list[bytes]] = {}
+        for row in rows:
+            for bucket, piece, _, _ in _pieces(_plain(row)):
+                own.setdefault(bucket, []).append(piece)
+        yield from own.items()
+
+    for bucket, language, rows in _by_bucket(batches):
+        if bucket < 0:
+            yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(rows)), pa.array([language] * len(rows)), pa.array(rows)],
+                                             names=["bucket", "lang", "phrases"])
+            continue
+        some, size = [], 0
+        for n, row in enumerate(rows, 1):
+            some.append(row)
+            size += len(row)
+            if size >= BUCKET_BYTES or n == len(rows):
+                yield from _rows(language, found(some))
+                some, size = [], 0
 
 
 def equal_partitions(keys: np.ndarray, weights: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -288,9 +362,10 @@ def _frequent(longest: int, least: int):
             if bucket < 0:
                 phrases, times = pa.nulls(1, pa.string()), np.array([sum(int.from_bytes(r, "little") for r in rows)])
             else:
-                every, weights = _read(rows)
-                chosen, times = equal_partitions(_numbered(every, longest)[1], weights, least)
-                phrases = every.take(pa.array(chosen))
+                texts, weights = _read(rows)
+                table, ends = _numbered(texts, longest)
+                chosen, times = equal_partitions(table, weights, least)
+                phrases = pc.ascii_rtrim(_cut(texts, ends).take(pa.array(chosen)), "\n").cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([language] * len(times), pa.string()), phrases, pa.array(times)], names=["lang", "phrase", "n"])
 
@@ -304,21 +379,37 @@ def phrase_counts(
     """``lang, phrase, n`` of the phrases of one to ``longest`` words with ``least`` occurrences, and of all words (phrase NULL).
 
     Each task counts the phrases that begin at each of its words and deals them, by all their words, to buckets of about
-    ``bucket_bytes`` of text, in passes of ``fan`` buckets each. So a phrase is at most one row for each task there, however
-    often it occurs, and no word or language makes a bucket larger than others.
+    ``bucket_bytes`` of text. So a phrase is at most one row for each task there, however often it occurs, and no word or
+    language makes a bucket larger than others. Of more than ``fan`` buckets several stand together at first. Then their
+    rows are stored in parts, and each part is dealt to its buckets, counted and deleted before the next one, so that the
+    disk holds the phrases once and one part of them again, whatever the size of the text. The result is a stored table.
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
-    shares = [1]
-    while buckets > shares[0] * fan:
-        shares.insert(0, shares[0] * fan)
-    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets)
-    sent = rows.mapInArrow(_counted(longest, buckets, shares[0]), SENT)
-    routed = lambda df: df.repartition(partitions, "bucket", "lang").sortWithinPartitions("bucket", "lang")
-    for share in shares[1:]:
-        sent = routed(sent).mapInArrow(_dealt(longest, buckets, share), SENT)
-    return routed(sent).mapInArrow(_frequent(longest, least), "lang string, phrase string, n long")
+    share = math.ceil(buckets / fan)
+    together = math.ceil(buckets / share)
+    spark = docs.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent = rows.mapInArrow(_counted(longest, buckets, share), SENT)
+
+    def counted(dealt: DataFrame, tasks: int) -> DataFrame:
+        routed = dealt.repartition(tasks, "bucket", "lang").sortWithinPartitions("bucket", "lang")
+        return routed.mapInArrow(_frequent(longest, least), "lang string, phrase string, n long")
+
+    if share == 1:
+        return stored(counted(sent, max(partitions, buckets)))
+    each = math.ceil(together / PARTS)
+    part = F.floor(F.greatest(F.col("bucket"), F.lit(0)) / each).cast("int")
+    kept = stored(sent.withColumn("part", part).sortWithinPartitions("part", "bucket", "lang"), by="part")
+    folder = work_folder(spark)
+    parts = math.ceil(together / each)
+    for n in range(parts):
+        own = kept.filter(F.col("part") == n).select("bucket", "lang", "phrases").mapInArrow(_dealt, SENT)
+        counts = stored(counted(own, max(math.ceil(partitions / parts), each * share)), folder)
+        remove_folder(spark, f"{kept.stored_in}/part={n}")
+    forget(kept)
+    return counts
 
 
 def collocations(
@@ -335,7 +426,7 @@ def collocations(
     A NULL text counts as empty, a NULL language as ``und``. Empty texts and no rows give no rows; repeated rows count each
     time; other columns are not read.
     """
-    counts = stored(phrase_counts(docs, longest, least, lang_col, text_col))
+    counts = phrase_counts(docs, longest, least, lang_col, text_col)
     phrases = counts.filter("phrase is not null")
     words = F.split("phrase", " ")
     every = phrases.withColumn("words", words).filter(F.size("words") > 1).withColumnRenamed("n", "a")

@@ -1,6 +1,8 @@
 import random
 import re
+import threading
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -138,3 +140,84 @@ def test_nothing_found(spark, rows):
 
 def test_repeated_rows_count(spark):
     assert result(spark, [("A b", None)] * 10) == [("und", 1, "a b", 10, 10, 10, 20, 1000000)]
+
+
+def test_large_counts_and_joined_buckets():
+    """Counts around a byte's limit, and rows of several buckets dealt anew, in one process."""
+    import pyarrow as pa
+
+    rows = [(" . ".join([f"w{n} v{n}"] * n), "en") for n in (1, 9, 254, 255, 256, 300, 70_000)] + [("a b c. " * 255, None)]
+    found, total = counted(rows)
+    want = {(lang, " ".join(words)): a for (lang, words), a in found.items()} | {(lang, None): a for lang, a in total.items()}
+    batch = pa.RecordBatch.from_arrays([pa.array([lang or "und" for _, lang in rows]), pa.array([t for t, _ in rows])], names=["lang", "text"])
+    by = [("bucket", "ascending"), ("lang", "ascending")]
+    for share in (1, 4, 30):
+        sent = pa.Table.from_batches(phrases._counted(3, 30, share)(iter([batch]))).sort_by(by)
+        if share > 1:
+            sent = pa.Table.from_batches(phrases._dealt(iter(sent.to_batches()))).sort_by(by)
+        got = pa.Table.from_batches(phrases._frequent(3, 1)(iter(sent.to_batches())))
+        assert got.num_rows == len(want)
+        assert {(lang, p): n for lang, p, n in zip(*(got.column(c).to_pylist() for c in range(3)))} == want
+
+
+def test_many_buckets_take_little_room():
+    """What is sent grows little with the number of buckets: a large text has many, and few phrases of a task for each."""
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    text = " ".join(f"word{int(rng.paretovariate(0.7)) % 50_000}" for _ in range(200_000))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text])], names=["lang", "text"])
+    few, many = (sum(len(row) for b in phrases._counted(3, n, 1)(iter([batch])) for row in b.column(2).to_pylist()) for n in (10, 2000))
+    assert many < 2 * few
+
+
+def peak_of(spark, work):
+    """The most bytes in Spark's own folders and ``work`` while ``work()`` runs, beyond those before."""
+    dirs = [Path(str(d)) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    dirs.append(Path(spark.conf.get("spark.checkpoint.dir")))
+
+    def used():
+        total = 0
+        for d in dirs:
+            for file in d.rglob("*"):
+                try:
+                    total += file.stat().st_size if file.is_file() else 0
+                except OSError:  # gone meanwhile
+                    pass
+        return total
+
+    before, most, over = used(), [0], threading.Event()
+
+    def watch():
+        while not over.wait(0.05):
+            most[0] = max(most[0], used())
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        found = work()
+    finally:
+        over.set()
+        watcher.join()
+    return max(most[0], used()) - before, found
+
+
+def test_more_buckets_than_are_dealt_at_once_hold_the_disk_once(spark):
+    """Phrases of a text with more buckets stand on the disk once and a part of them again, with the same counts."""
+    rng = random.Random(11)
+    rows = [(" ".join(f"w{int(rng.paretovariate(0.5)) % 100_000}" for _ in range(20_000)), rng.choice(["en", "de"])) for _ in range(24)]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(4).cache()
+    df.count()
+    peaks, counts = [], []
+    for fan in (64, 16):
+        peak, found = peak_of(spark, lambda: phrases.phrase_counts(df, bucket_bytes=60_000, fan=fan).collect())  # noqa: B023
+        peaks.append(peak)
+        counts.append(sorted(map(tuple, found), key=str))
+    df.unpersist()
+    assert len(counts[0]) > 1000 and counts[0] == counts[1]
+    assert peaks[1] < 1.5 * peaks[0]
+
+
+def test_parts_without_words(spark):
+    df = spark.createDataFrame([(" . , \n" * 500, "en")] * 3, "text string, lang string")
+    assert phrases.phrase_counts(df, bucket_bytes=500, fan=3).collect() == []
